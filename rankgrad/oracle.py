@@ -69,3 +69,91 @@ def rank_ctes(graph_sql: str, iterations: int, base: float = 0.15,
 def pagerank_sql(graph_sql: str, iterations: int) -> str:
     return rank_ctes(graph_sql, iterations) + \
         f"\nSELECT node, ROUND(rank, 6) AS rank FROM r{iterations}"
+
+
+# ---- vectors, training ---------------------------------------------------
+
+ORDER_KEY = "(vec_id * 7919) % 10007, vec_id"
+
+VEC_LONG = (
+    "xl AS (SELECT vec_id, label, j, CAST(v AS DOUBLE) AS v FROM ("
+    "SELECT vec_id, label, UNNEST(range(len(embedding))) AS j, UNNEST(embedding) AS v "
+    "FROM embeddings))")
+
+
+def layout_sql(shards: int, batch: int) -> str:
+    """CTEs ``ord``, ``padded``, ``lay``: positions, padding, shard, batch."""
+    return (
+        f"ord AS (SELECT vec_id, label, row_number() OVER (ORDER BY {ORDER_KEY}) - 1 AS pos "
+        "FROM embeddings),\n"
+        "cnt AS (SELECT COUNT(*) AS n FROM ord),\n"
+        "padded AS (SELECT vec_id, label, pos FROM ord UNION ALL "
+        "SELECT vec_id, label, pos + (SELECT n FROM cnt) FROM ord "
+        f"WHERE pos < (({shards} - (SELECT n FROM cnt) % {shards}) % {shards})),\n"
+        f"lay AS (SELECT vec_id, label, pos, CAST(pos % {shards} AS INTEGER) AS shard, "
+        f"pos // {shards} AS shard_pos, (pos // {shards}) // {batch} AS batch_id FROM padded)")
+
+
+def sgd_sql(steps: int, shards: int, batch: int, lr: float = 0.1, mu: float = 0.9,
+            wd: float = 0.0001, classes: int = 10) -> str:
+    """``steps`` SGD steps from zero parameters, unrolled; final ``(k, j, w)``.
+
+    ``j = d`` is the bias. Gradient per step: each shard's mean over its
+    batch rows, divided by the shard count and summed (all-reduce mean).
+    """
+    ctes = [layout_sql(shards, batch), VEC_LONG,
+            "x1 AS (SELECT vec_id, j, v FROM xl UNION ALL "
+            "SELECT vec_id, len(embedding) AS j, CAST(1.0 AS DOUBLE) AS v FROM embeddings)",
+            "dim AS (SELECT MAX(j) AS dj FROM x1)",
+            "p0 AS (SELECT k, UNNEST(range(dj + 1)) AS j, CAST(0.0 AS DOUBLE) AS w FROM "
+            f"(SELECT UNNEST(range({classes})) AS k, MAX(dj) AS dj FROM dim))"]
+    for t in range(steps):
+        ctes += [
+            f"b{t} AS (SELECT pos, vec_id, label, shard FROM lay WHERE batch_id = {t})",
+            f"z{t} AS (SELECT b.pos, b.shard, b.label, p.k, SUM(x1.v * p.w) AS z FROM b{t} b "
+            f"JOIN x1 ON x1.vec_id = b.vec_id JOIN p{t} p ON p.j = x1.j "
+            "GROUP BY b.pos, b.shard, b.label, p.k)",
+            f"m{t} AS (SELECT pos, MAX(z) AS mx FROM z{t} GROUP BY pos)",
+            f"s{t} AS (SELECT z.pos, SUM(EXP(z.z - m.mx)) AS se FROM z{t} z "
+            f"JOIN m{t} m ON z.pos = m.pos GROUP BY z.pos)",
+            f"q{t} AS (SELECT z.pos, z.shard, z.k, EXP(z.z - m.mx) / s.se - "
+            "CASE WHEN z.k = z.label THEN 1.0 ELSE 0.0 END AS dz FROM "
+            f"z{t} z JOIN m{t} m ON z.pos = m.pos JOIN s{t} s ON z.pos = s.pos)",
+            f"n{t} AS (SELECT shard, COUNT(*) AS n FROM b{t} GROUP BY shard)",
+            f"g{t} AS (SELECT q.k, x1.j, SUM(q.dz * x1.v / n.n) / {shards} AS g FROM q{t} q "
+            f"JOIN b{t} b ON q.pos = b.pos JOIN x1 ON x1.vec_id = b.vec_id "
+            f"JOIN n{t} n ON n.shard = q.shard GROUP BY q.k, x1.j)",
+        ]
+        if t == 0:
+            ctes.append(f"v1 AS (SELECT p.k, p.j, g.g + {wd} * p.w AS v FROM p0 p "
+                        "JOIN g0 g ON p.k = g.k AND p.j = g.j)")
+        else:
+            ctes.append(f"v{t + 1} AS (SELECT p.k, p.j, {mu} * v.v + g.g + {wd} * p.w AS v "
+                        f"FROM p{t} p JOIN g{t} g ON p.k = g.k AND p.j = g.j "
+                        f"JOIN v{t} v ON p.k = v.k AND p.j = v.j)")
+        ctes.append(f"p{t + 1} AS (SELECT p.k, p.j, p.w - {lr} * v.v AS w FROM p{t} p "
+                    f"JOIN v{t + 1} v ON p.k = v.k AND p.j = v.j)")
+    return ("WITH " + ",\n".join(ctes) +
+            f"\nSELECT CAST(k AS INTEGER) AS k, CAST(j AS INTEGER) AS j, ROUND(w, 6) AS w "
+            f"FROM p{steps}")
+
+
+def centroid_ctes(where: str = "TRUE") -> str:
+    """CTEs ``xl``, ``cen`` (class means fitted on rows matching ``where``), ``bias``."""
+    return (VEC_LONG + ",\n"
+            f"cen AS (SELECT label AS k, j, AVG(v) AS mu FROM xl WHERE {where} "
+            "GROUP BY label, j),\n"
+            "bias AS (SELECT k, -0.5 * SUM(mu * mu) AS b FROM cen GROUP BY k)")
+
+
+def scores_ctes(fit_where: str = "TRUE", score_where: str = "TRUE") -> str:
+    """Adds ``sc(vec_id, label, k, z)``, ``mx``, ``ce(vec_id, label, loss, pred)``."""
+    return (centroid_ctes(fit_where) + ",\n"
+            "sc AS (SELECT x.vec_id, x.label, c.k, SUM(x.v * c.mu) + MAX(bb.b) AS z "
+            f"FROM xl x JOIN cen c ON x.j = c.j JOIN bias bb ON bb.k = c.k WHERE {score_where} "
+            "GROUP BY x.vec_id, x.label, c.k),\n"
+            "mx AS (SELECT vec_id, MAX(z) AS m FROM sc GROUP BY vec_id),\n"
+            "ce AS (SELECT s.vec_id, s.label, "
+            "LN(SUM(EXP(s.z - m.m))) - (MAX(CASE WHEN s.k = s.label THEN s.z END) - MAX(m.m)) AS loss, "
+            "MIN(CASE WHEN s.z = m.m THEN s.k END) AS pred "
+            "FROM sc s JOIN mx m ON s.vec_id = m.vec_id GROUP BY s.vec_id, s.label)")

@@ -26,8 +26,14 @@ def read_lines(spark: SparkSession, path: str | list[str],
 
 
 def read_link_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """All ``link*`` files of the folder(s), as one union of lines."""
-    return read_lines(spark, path, LINK_FILE_GLOB)
+    """All ``link*`` entries of the folder(s), as one union of lines.
+
+    The name pattern applies to the folder's entries, so both plain files
+    ``link-001`` and Spark-written folders ``link_a/part-*`` are read; names
+    starting with ``.`` never match, and ``other`` does not.
+    """
+    paths = [path] if isinstance(path, str) else list(path)
+    return spark.read.text([f"{p.rstrip('/')}/{LINK_FILE_GLOB}" for p in paths])
 
 
 def edges_from_text(spark: SparkSession, path: str | list[str],
