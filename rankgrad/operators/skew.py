@@ -36,8 +36,11 @@ def find_hot_keys(counts: DataFrame, key: str, count_col: str, parts: int,
     (tests) must still keep the set below ``max_rows``.
     """
     if threshold is None:
-        total = counts.agg(F.sum(count_col)).first()[0] or 0
+        row = counts.agg(F.sum(count_col).alias("t"), F.max(count_col).alias("m")).first()
+        total, largest = row.t or 0, row.m or 0
         threshold = max(math.ceil(total / max(parts, 1)), min_threshold)
+        if largest <= threshold:  # the common case: one job, no hot key
+            return HotKeys(None, threshold, 0)
     hot = counts.filter(F.col(count_col) > threshold).select(key)
     n = hot.count()
     if n == 0:

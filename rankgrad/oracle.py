@@ -157,3 +157,29 @@ def scores_ctes(fit_where: str = "TRUE", score_where: str = "TRUE") -> str:
             "LN(SUM(EXP(s.z - m.m))) - (MAX(CASE WHEN s.k = s.label THEN s.z END) - MAX(m.m)) AS loss, "
             "MIN(CASE WHEN s.z = m.m THEN s.k END) AS pred "
             "FROM sc s JOIN mx m ON s.vec_id = m.vec_id GROUP BY s.vec_id, s.label)")
+
+
+def positive_zero(sql: str) -> str:
+    """Wrap every ``ROUND(...)`` as ``(ROUND(...) + 0.0)``.
+
+    DuckDB keeps the sign of a value that rounds to zero (``-0.0``) while
+    Spark's ``round`` returns ``0.0``; adding ``0.0`` gives ``+0.0`` in IEEE
+    arithmetic, so both engines print and hash the same value.
+    """
+    out, i = [], 0
+    while True:
+        j = sql.find("ROUND(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 0, j + len("ROUND")
+        while True:
+            if sql[k] == "(":
+                depth += 1
+            elif sql[k] == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            k += 1
+        out.append(f"{sql[i:j]}({sql[j:k + 1]} + 0.0)")
+        i = k + 1

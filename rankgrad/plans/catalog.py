@@ -42,7 +42,7 @@ def register(name: str, sql: str | None = None):
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
         if sql is not None:
-            ORACLE[name] = sql
+            ORACLE[name] = Q.positive_zero(sql)
         return run
     return deco
 
