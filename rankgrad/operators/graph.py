@@ -163,20 +163,31 @@ def rank_step(graph: WeightedGraph, ranks: DataFrame, damping: float = DAMPING,
         (F.lit(base) + F.lit(damping) * F.sum("contribution")).alias("rank"))
 
 
-def adjacency(graph: WeightedGraph, max_targets: int | None = None) -> DataFrame:
+# rows of one adjacency list entry at most (a source with more distinct
+# targets is split over several rows)
+MAX_LIST_TARGETS = 100_000
+
+
+def adjacency(graph: WeightedGraph, max_targets: int = MAX_LIST_TARGETS) -> DataFrame:
     """Adjacency lists ``(src, part, out_degree, targets)``.
 
     ``targets`` is a sorted array of ``struct(dst, m)`` (target and number of
-    copies). A source with more than ``max_targets`` distinct targets
-    (default: the hot threshold) is split over several ``part`` rows by a
-    hash of the target, so no single row or task holds an unbounded list.
+    copies). A source with more than ``max_targets`` distinct targets is
+    split over ``ceil(n / max_targets)`` rows by a hash of the target, so no
+    single row or task holds an unbounded list.
     """
-    limit = max_targets or graph.hot_keys.threshold
+    limit = max_targets
     src_stats = graph.sources.select(
         "src", "out_degree",
         F.greatest(F.lit(1), F.ceil(F.col("n_targets") / F.lit(limit))).cast("int")
         .alias("_nparts"))
-    e = graph.edges().join(src_stats, "src") \
+    # normal edges meet their stats co-partitioned by src; hot edges meet a
+    # broadcast of the hot sources' stats (bounded by the hot-key count)
+    e = graph.normal.join(src_stats, "src")
+    if graph.hot is not None:
+        hot_stats = F.broadcast(src_stats.join(graph.hot_keys.broadcast(), "src", "left_semi"))
+        e = e.unionByName(graph.hot.join(hot_stats, "src"))
+    e = e \
         .withColumn("m", F.round(F.col("w") * F.col("out_degree")).cast("long")) \
         .withColumn("part", F.when(F.col("_nparts") > 1,
                                    F.pmod(F.xxhash64("dst"), F.col("_nparts")))

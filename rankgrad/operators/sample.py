@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import reliable_checkpoint
 
 # fixed values of the repeatable "shuffle" order used in the fixtures
 ORDER_MULTIPLIER = 7919
@@ -38,13 +38,11 @@ def with_positions(df: DataFrame, order_by: list[Column], name: str = "pos",
     ``order_by`` should be a total order (end with a unique key) for the
     positions to be repeatable.
     """
-    spark = df.sparkSession
     tagged = df.orderBy(*order_by) \
         .withColumn("_pid", F.spark_partition_id()) \
         .withColumn("_mid", F.monotonically_increasing_id())
     if checkpoint:
-        ensure_checkpoint_dir(spark)
-        tagged = tagged.checkpoint(eager=True)
+        tagged = reliable_checkpoint(tagged)
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # one row per partition: a single-partition window here is bounded
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.graph import BASE, DAMPING, WeightedGraph, rank_step, weight_edges
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, reliable_checkpoint
 
 _ITER_DIR = re.compile(r"iter=(\d+)$")
 
@@ -89,12 +89,7 @@ def pagerank(edges: DataFrame, iterations: int = 10, damping: float = DAMPING,
 def _save(ranks: DataFrame, i: int, save_dir: str | None) -> DataFrame:
     """Cut the lineage: reliable checkpoint, or a Parquet save for resume."""
     if save_dir is None:
-        # persist first: the eager count fills the cache and the checkpoint
-        # write reads it, instead of computing the iterations twice
-        cached = ranks.persist(StorageLevel.MEMORY_AND_DISK)
-        saved = cached.checkpoint(eager=True)
-        cached.unpersist()
-        return saved
+        return reliable_checkpoint(ranks)
     path = f"{save_dir.rstrip('/')}/iter={i}"
     ranks.write.mode("overwrite").parquet(path)
     return ranks.sparkSession.read.parquet(path)

@@ -78,3 +78,19 @@ def scratch_path(spark: SparkSession, name: str, fallback: str | None = None) ->
 
 def read_table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def reliable_checkpoint(df, fallback: str | None = None):
+    """Checkpoint ``df`` into the shared folder and return the cut frame.
+
+    The frame is persisted first so the eager count fills the cache and the
+    checkpoint write reads it, rather than computing the plan a second time;
+    the cache is dropped once the files are written.
+    """
+    from pyspark import StorageLevel
+
+    ensure_checkpoint_dir(df.sparkSession, fallback)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    saved = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return saved
