@@ -97,9 +97,11 @@ def weight_edges(edges: DataFrame, parts: int | None = None,
     if parts is None:
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     pairs = edge_multiplicity(edges.select("src", "dst"))
+    sources = source_stats(pairs)
     if storage_level is not None:
         pairs = pairs.persist(StorageLevel.MEMORY_AND_DISK)
-    sources = source_stats(pairs)
+        # filled by the hot-key job below, then reused by the joins and the loop
+        sources = source_stats(pairs).persist(StorageLevel.MEMORY_AND_DISK)
     hot = find_hot_keys(sources, "src", "n_targets", parts, threshold=hot_threshold)
 
     normal_pairs = pairs if hot.count == 0 else \
@@ -125,9 +127,7 @@ def weight_edges(edges: DataFrame, parts: int | None = None,
             hot_edges = hot_edges.persist(storage_level)
             persisted.append(hot_edges)
             hot_edges.count()
-        sources = sources.persist(StorageLevel.MEMORY_AND_DISK)
         persisted.append(sources)
-        sources.count()
         pairs.unpersist()
     return WeightedGraph(normal, hot_edges, hot, sources, parts, persisted)
 
