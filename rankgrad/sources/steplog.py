@@ -21,10 +21,16 @@ STEP_SCHEMA = T.StructType([
 REFERENCE_HEADER = "Epoch, Iteration, Elpased_time"
 
 
-def write_step_log(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Write the step log as CSV with a header row (one file per task)."""
-    df.select("epoch", "iteration", "elapsed").write.mode(mode) \
-        .option("header", True).csv(path)
+def write_step_log(df: DataFrame, path: str, mode: str = "errorifexists",
+                   header: str = REFERENCE_HEADER) -> None:
+    """Write the step log as CSV with a header row (one file per task).
+
+    The header line defaults to the reference's, spaces and spelling kept;
+    the rows are ``epoch,iteration,elapsed``.
+    """
+    names = header.split(",")
+    df.select("epoch", "iteration", "elapsed").toDF(*names).write.mode(mode) \
+        .option("header", True).option("ignoreLeadingWhiteSpace", False).csv(path)
 
 
 def read_step_log(spark: SparkSession, path: str) -> DataFrame:

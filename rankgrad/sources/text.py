@@ -7,6 +7,10 @@ are hidden and never read.
 
 from __future__ import annotations
 
+import ast
+import functools
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,10 +52,29 @@ def edges_from_lines(lines: DataFrame, comment_mode: str = "prefix",
     return parse_edges(drop_comments(lines, comment_mode), parse_mode)
 
 
+def _print_pairs(node: pd.Series, rank: pd.Series) -> pd.Series:
+    # the reference's text sink prints each (node, rank) tuple with Python's
+    # str(); a tiny per-value helper reproduces quoting and float digits exactly
+    return pd.Series([str((n, r)) for n, r in zip(node, rank)], dtype=object)
+
+
+def _parse_pairs(line: pd.Series) -> pd.DataFrame:
+    pairs = [ast.literal_eval(v) for v in line]
+    return pd.DataFrame({"node": [p[0] for p in pairs], "rank": [float(p[1]) for p in pairs]})
+
+
+@functools.cache
+def _udfs():
+    # built on first use: a pandas UDF needs an active session to be created
+    return (F.pandas_udf(_print_pairs, "string"),
+            F.pandas_udf(_parse_pairs, "node string, rank double"))
+
+
 def rank_lines(ranks: DataFrame) -> DataFrame:
-    """Ranks as text lines shaped like a printed pair: ``('node', rank)``."""
-    return ranks.select(F.format_string("('%s', %s)", F.col("node").cast("string"),
-                                        F.col("rank").cast("string")).alias("value"))
+    """Ranks as text lines, printed the way the reference's sink prints them:
+    ``('node', rank)`` (node keys as strings, Python float digits)."""
+    printed = _udfs()[0]
+    return ranks.select(printed(F.col("node").cast("string"), F.col("rank")).alias("value"))
 
 
 def write_ranks(ranks: DataFrame, path: str, single_file: bool = False,
@@ -72,7 +95,5 @@ def write_ranks(ranks: DataFrame, path: str, single_file: bool = False,
 
 def read_rank_lines(spark: SparkSession, path: str) -> DataFrame:
     """Parse ``('node', rank)`` lines back into ``(node STRING, rank DOUBLE)``."""
-    pat = r"^\('(.*)', (.*)\)$"
-    lines = spark.read.text(path)
-    return lines.select(F.regexp_extract("value", pat, 1).alias("node"),
-                        F.regexp_extract("value", pat, 2).cast("double").alias("rank"))
+    parse = _udfs()[1]
+    return spark.read.text(path).select(parse("value").alias("p")).select("p.*")

@@ -90,13 +90,16 @@ def test_edges_from_text_file(spark, tmp_dir):
 
 
 def test_rank_text_sink_roundtrip(spark, tmp_dir):
-    ranks = spark.createDataFrame([("n1", 0.15), ("n2", 1.2345678)], "node string, rank double")
+    ranks = spark.createDataFrame([("n1", 0.15), ("n2", 1.2345678), ("o'neil", 12345678.5),
+                                   ("back\\slash", 0.1 + 0.2)], "node string, rank double")
     path = os.path.join(tmp_dir, "out")
     text.write_ranks(ranks, path, single_file=True, fmt="text")
     assert len([f for f in os.listdir(path) if f.startswith("part-")]) == 1
     raw = sorted(r.value for r in spark.read.text(path).collect())
-    assert raw == ["('n1', 0.15)", "('n2', 1.2345678)"]
+    want = sorted(str((r.node, r.rank)) for r in ranks.collect())
+    assert raw == want
+    assert "(\"o'neil\", 12345678.5)" in raw and "('n1', 0.15)" in raw
     back = sorted(tuple(r) for r in text.read_rank_lines(spark, path).collect())
-    assert back == [("n1", 0.15), ("n2", 1.2345678)]
+    assert back == sorted(tuple(r) for r in ranks.collect())
     with pytest.raises(Exception):
         text.write_ranks(ranks, path, fmt="text")  # target exists

@@ -118,6 +118,10 @@ def test_step_log_roundtrip_with_reference_header(spark, tmp_dir):
     assert abs(s.mean_mid - 1.125) < 1e-12 and abs(s.median - 1.125) < 1e-12
     out = os.path.join(tmp_dir, "out")
     steplog.write_step_log(log, out)
+    for name in os.listdir(out):
+        if name.startswith("part-"):
+            with open(os.path.join(out, name)) as fh:
+                assert fh.readline().rstrip("\n") == steplog.REFERENCE_HEADER
     assert sorted(map(tuple, steplog.read_step_log(spark, out).collect())) == \
         sorted(map(tuple, log.collect()))
 
