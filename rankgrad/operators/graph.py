@@ -9,6 +9,7 @@ distinct pair instead of one per raw edge.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -86,12 +87,16 @@ class WeightedGraph:
 
 def weight_edges(edges: DataFrame, parts: int | None = None,
                  storage_level: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
-                 hot_threshold: int | None = None) -> WeightedGraph:
+                 hot_threshold: int | None = None, store_dir: str | None = None) -> WeightedGraph:
     """Fold multiplicity into weights and lay the edges out for the loop.
 
     With ``storage_level=None`` nothing is persisted (each use recomputes);
     otherwise the weighted edges are persisted at that level and
-    materialised here, once.
+    materialised here, once. With ``store_dir`` (a folder under the shared
+    checkpoint folder) the layout is written there instead, bucketed by
+    ``src`` into ``parts``: reading it back keeps the co-partitioning, a lost
+    executor costs a file re-read instead of a recomputed fold, and a later
+    run can reopen it with ``open_weighted``.
     """
     spark = edges.sparkSession
     if parts is None:
@@ -118,6 +123,13 @@ def weight_edges(edges: DataFrame, parts: int | None = None,
             .join(hot_sources, "src") \
             .select("src", "dst", (F.col("m") / F.col("out_degree")).alias("w"))
 
+    if store_dir is not None:
+        graph = _store(WeightedGraph(normal, hot_edges, hot, sources, parts), store_dir)
+        if storage_level is not None:
+            sources.unpersist()
+            pairs.unpersist()
+        return graph
+
     persisted = []
     if storage_level is not None:
         normal = normal.persist(storage_level)
@@ -132,6 +144,54 @@ def weight_edges(edges: DataFrame, parts: int | None = None,
     return WeightedGraph(normal, hot_edges, hot, sources, parts, persisted)
 
 
+def _bucketed_table(spark, path: str, schema, parts: int) -> DataFrame:
+    """Register the Parquet files at ``path`` as a table bucketed by ``src``."""
+    name = f"rankgrad_{uuid.uuid4().hex[:16]}"
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY (src) "
+              f"INTO {parts} BUCKETS LOCATION '{path}'")
+    return spark.table(name)
+
+
+def _store(graph: WeightedGraph, store_dir: str) -> WeightedGraph:
+    spark = graph.normal.sparkSession
+    root = store_dir.rstrip("/")
+    # bucket files carry their bucket id in the name; the bucket spec itself
+    # is re-declared when the files are opened (open_weighted)
+    for df, sub in ((graph.normal, "normal"), (graph.sources, "sources")):
+        df.write.mode("overwrite").bucketBy(graph.parts, "src") \
+            .option("path", f"{root}/{sub}").saveAsTable(f"rankgrad_{uuid.uuid4().hex[:16]}")
+    if graph.hot is not None:
+        graph.hot.write.mode("overwrite").parquet(f"{root}/hot")
+        graph.hot_keys.frame.write.mode("overwrite").parquet(f"{root}/hot_keys")
+    spark.createDataFrame([(graph.parts, graph.hot_keys.threshold, graph.hot_keys.count)],
+                          "parts int, threshold long, hot long") \
+        .write.mode("overwrite").parquet(f"{root}/layout")
+    graph.unpersist()
+    return open_weighted(spark, root)
+
+
+def open_weighted(spark, store_dir: str) -> WeightedGraph:
+    """Reopen a layout written by ``weight_edges(store_dir=...)``."""
+    root = store_dir.rstrip("/")
+    meta = spark.read.parquet(f"{root}/layout").first()
+    normal = _bucketed_table(spark, f"{root}/normal",
+                             spark.read.parquet(f"{root}/normal").schema, meta.parts)
+    sources = _bucketed_table(spark, f"{root}/sources",
+                              spark.read.parquet(f"{root}/sources").schema, meta.parts)
+    hot, keys = None, HotKeys(None, meta.threshold, 0)
+    if meta.hot:
+        hot = spark.read.parquet(f"{root}/hot")
+        keys = HotKeys(spark.read.parquet(f"{root}/hot_keys"), meta.threshold, meta.hot)
+    return WeightedGraph(normal, hot, keys, sources, meta.parts)
+
+
+def layout_exists(spark, store_dir: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{store_dir.rstrip('/')}/layout/_SUCCESS")
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def contributions(graph: WeightedGraph, ranks: DataFrame) -> DataFrame:
     """``(src, dst, contribution)``: ``rank(src) * w`` per distinct pair.
 

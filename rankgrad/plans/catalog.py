@@ -561,6 +561,21 @@ def pagerank_resumed_q(spark, sf):
                                    save_dir=save, resume_from=save))
 
 
+@register("pagerank_bucketed", Q.pagerank_sql(Q.G_PART, 10))
+def pagerank_bucketed_q(spark, sf):
+    """Edge layout written as a table bucketed by source in the shared folder."""
+    return _rounded_ranks(pagerank(fx.g_part(spark, sf), 10, edge_store="table"))
+
+
+@register("pagerank_resumed_stored", Q.pagerank_sql(Q.G_PART, 10))
+def pagerank_resumed_stored_q(spark, sf):
+    """Resume that reopens the stored edge layout instead of rebuilding it."""
+    save = scratch_path(spark, "ranks-saves")
+    pagerank(fx.g_part(spark, sf), 6, checkpoint_every=3, save_dir=save, edge_store="table")
+    return _rounded_ranks(pagerank(fx.g_part(spark, sf), 10, checkpoint_every=3,
+                                   save_dir=save, resume_from=save, edge_store="table"))
+
+
 def _params_long(spark, p: model.Params) -> DataFrame:
     return p.long_form(spark).select("k", "j", r6("w").alias("w"))
 

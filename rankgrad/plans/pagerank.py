@@ -19,8 +19,9 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.graph import BASE, DAMPING, WeightedGraph, rank_step, weight_edges
-from ..session import ensure_checkpoint_dir, reliable_checkpoint
+from ..operators.graph import (BASE, DAMPING, WeightedGraph, layout_exists, open_weighted,
+                               rank_step, weight_edges)
+from ..session import ensure_checkpoint_dir, reliable_checkpoint, scratch_path
 
 _ITER_DIR = re.compile(r"iter=(\d+)$")
 
@@ -50,18 +51,32 @@ def pagerank(edges: DataFrame, iterations: int = 10, damping: float = DAMPING,
              storage_level: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
              checkpoint_every: int | None = 3, save_dir: str | None = None,
              resume_from: str | None = None, hot_threshold: int | None = None,
-             materialize: bool = True) -> DataFrame:
+             materialize: bool = True, edge_store: str = "cache") -> DataFrame:
     """Ranks ``(node, rank)`` after ``iterations`` steps over ``edges(src, dst)``.
 
     ``partitions``: hash parts of the edge layout (default: the session's
     shuffle partitions, which co-locates edges with each iteration's ranks).
     ``storage_level``: level of the persisted weighted edges, ``None`` for
-    no persistence. ``materialize``: save the final ranks reliably and drop
-    the persisted edges before returning.
+    no persistence. ``edge_store="table"``: write the edge layout bucketed
+    by source under ``save_dir/edges`` (or a fresh folder of the shared
+    checkpoint folder) instead of caching it; a resumed run reopens it
+    rather than rebuilding it. ``materialize``: save the final ranks
+    reliably and drop the persisted edges before returning.
     """
     spark = edges.sparkSession
-    graph = weight_edges(edges, parts=partitions, storage_level=storage_level,
-                         hot_threshold=hot_threshold)
+    store_dir = None
+    if edge_store == "table":
+        store_dir = f"{save_dir.rstrip('/')}/edges" if save_dir else scratch_path(spark, "edges")
+    elif edge_store != "cache":
+        raise ValueError(f"unknown edge store {edge_store!r}")
+    reuse = None
+    if resume_from is not None and layout_exists(spark, f"{resume_from.rstrip('/')}/edges"):
+        reuse = f"{resume_from.rstrip('/')}/edges"
+    if reuse is not None:
+        graph = open_weighted(spark, reuse)
+    else:
+        graph = weight_edges(edges, parts=partitions, storage_level=storage_level,
+                             hot_threshold=hot_threshold, store_dir=store_dir)
     try:
         start, ranks = 0, None
         if resume_from is not None:
@@ -78,7 +93,7 @@ def pagerank(edges: DataFrame, iterations: int = 10, damping: float = DAMPING,
             ranks = rank_step(graph, ranks, damping=damping, base=base)
             if checkpoint_every and i % checkpoint_every == 0 and i < iterations:
                 ranks = _save(ranks, i, save_dir)
-        if materialize and graph.persisted:
+        if materialize and (graph.persisted or store_dir or reuse):
             ranks = _save(ranks, iterations, save_dir)
     finally:
         if materialize:

@@ -56,11 +56,21 @@ def test_acyclic_graph_empties_with_schema(spark):
     {"storage_level": None, "checkpoint_every": None},
     {"hot_threshold": 20},
     {"checkpoint_every": 1},
+    {"edge_store": "table"},
 ])
 def test_layout_variants_agree(spark, part_ranks, kw):
     assert close(as_dict(pagerank(fx.g_part(spark, SF01), 10, **kw)), part_ranks)
 
 
+def test_resume_reopens_stored_edges(spark, part_ranks):
+    save = scratch_path(spark, "test-saves")
+    pagerank(fx.g_part(spark, SF01), 6, save_dir=save, edge_store="table")
+    # resumed from the stored layout: the input edges are not read again
+    empty = fx.g_part(spark, SF01).limit(0)
+    resumed = pagerank(empty, 10, save_dir=save, resume_from=save, edge_store="table")
+    assert close(as_dict(resumed), part_ranks)
+
+
 def test_resume_equals_straight_run(spark, part_ranks):
     save = scratch_path(spark, "test-saves")
     pagerank(fx.g_part(spark, SF01), 6, checkpoint_every=3, save_dir=save)
@@ -110,7 +120,7 @@ def _name(node):
 
 def _reaches_scan_without_exchange(node):
     name = _name(node)
-    if name == "InMemoryTableScanExec":
+    if name in ("InMemoryTableScanExec", "FileSourceScanExec"):
         return True
     if "Exchange" in name:
         return False
@@ -124,10 +134,12 @@ def _joins(node):
     return out
 
 
-def test_loop_does_not_shuffle_edges(spark):
+@pytest.mark.parametrize("store", [False, True])
+def test_loop_does_not_shuffle_edges(spark, store):
     # the plan used at scale: no side small enough to broadcast
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    g = graph.weight_edges(fx.g_part(spark, SF01))
+    g = graph.weight_edges(fx.g_part(spark, SF01),
+                           store_dir=scratch_path(spark, "edges") if store else None)
     try:
         r0 = g.sources.select(F.col("src").alias("node"), F.lit(1.0).alias("rank"))
         r2 = graph.rank_step(g, graph.rank_step(g, r0))
