@@ -98,3 +98,18 @@ def random_flip(df: DataFrame, col: str = "embedding", id_col: str = "vec_id",
         return F.element_at(x, (src + 1).cast("int")).cast("double")
 
     return df.withColumn(out or col, F.transform(F.sequence(F.lit(0), F.lit(side * side - 1)), pick))
+
+
+def train_transform(df: DataFrame, epoch: int, col: str = "embedding", id_col: str = "vec_id",
+                    side: int = 8, pad: int = 4, mean: Sequence[float] = CHANNEL_MEAN,
+                    std: Sequence[float] = CHANNEL_STD) -> DataFrame:
+    """The training pipeline of the reference: crop, flip, then normalise."""
+    out = random_crop(df, col, id_col, side, pad, epoch)
+    out = random_flip(out, col, id_col, side, epoch)
+    return normalize(out, col, mean, std)
+
+
+def test_transform(df: DataFrame, col: str = "embedding", mean: Sequence[float] = CHANNEL_MEAN,
+                   std: Sequence[float] = CHANNEL_STD) -> DataFrame:
+    """The test pipeline of the reference: normalise only."""
+    return normalize(df, col, mean, std)

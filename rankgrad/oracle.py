@@ -81,11 +81,12 @@ VEC_LONG = (
     "FROM embeddings))")
 
 
-def layout_sql(shards: int, batch: int) -> str:
-    """CTEs ``ord``, ``padded``, ``lay``: positions, padding, shard, batch."""
+def layout_sql(shards: int, batch: int, where: str = "TRUE") -> str:
+    """CTEs ``ord``, ``padded``, ``lay``: positions, padding, shard, batch
+    over the embedding rows matching ``where``."""
     return (
         f"ord AS (SELECT vec_id, label, row_number() OVER (ORDER BY {ORDER_KEY}) - 1 AS pos "
-        "FROM embeddings),\n"
+        f"FROM embeddings WHERE {where}),\n"
         "cnt AS (SELECT COUNT(*) AS n FROM ord),\n"
         "padded AS (SELECT vec_id, label, pos FROM ord UNION ALL "
         "SELECT vec_id, label, pos + (SELECT n FROM cnt) FROM ord "
@@ -94,15 +95,20 @@ def layout_sql(shards: int, batch: int) -> str:
         f"pos // {shards} AS shard_pos, (pos // {shards}) // {batch} AS batch_id FROM padded)")
 
 
-def sgd_sql(steps: int, shards: int, batch: int, lr: float = 0.1, mu: float = 0.9,
-            wd: float = 0.0001, classes: int = 10) -> str:
-    """``steps`` SGD steps from zero parameters, unrolled; final ``(k, j, w)``.
+def sgd_ctes(steps: int, shards: int, batch: int, lr: float = 0.1, mu: float = 0.9,
+             wd: float = 0.0001, classes: int = 10, where: str = "TRUE",
+             extra: tuple[str, ...] = (), feat: str = "xl") -> list[str]:
+    """CTEs of ``steps`` SGD steps from zero parameters, unrolled; the final
+    parameters are ``p{steps}(k, j, w)`` with ``j = d`` the bias, and ``x1``
+    holds every row's features plus the constant bias input.
 
-    ``j = d`` is the bias. Gradient per step: each shard's mean over its
-    batch rows, divided by the shard count and summed (all-reduce mean).
+    Gradient per step: each shard's mean over its batch rows, divided by the
+    shard count and summed (all-reduce mean). Training rows: ``where``;
+    features: the long table ``feat(vec_id, j, v)``, defined by ``extra``
+    CTEs (which may use ``xl``, the raw features) when not ``xl`` itself.
     """
-    ctes = [layout_sql(shards, batch), VEC_LONG,
-            "x1 AS (SELECT vec_id, j, v FROM xl UNION ALL "
+    ctes = [layout_sql(shards, batch, where), VEC_LONG, *extra,
+            f"x1 AS (SELECT vec_id, j, v FROM {feat} UNION ALL "
             "SELECT vec_id, len(embedding) AS j, CAST(1.0 AS DOUBLE) AS v FROM embeddings)",
             "dim AS (SELECT MAX(j) AS dj FROM x1)",
             "p0 AS (SELECT k, UNNEST(range(dj + 1)) AS j, CAST(0.0 AS DOUBLE) AS w FROM "
@@ -133,11 +139,45 @@ def sgd_sql(steps: int, shards: int, batch: int, lr: float = 0.1, mu: float = 0.
                         f"JOIN v{t} v ON p.k = v.k AND p.j = v.j)")
         ctes.append(f"p{t + 1} AS (SELECT p.k, p.j, p.w - {lr} * v.v AS w FROM p{t} p "
                     f"JOIN v{t + 1} v ON p.k = v.k AND p.j = v.j)")
-    return ("WITH " + ",\n".join(ctes) +
+    return ctes
+
+
+def sgd_sql(steps: int, shards: int, batch: int, **kw) -> str:
+    """Final parameters ``(k, j, w)`` after ``steps`` unrolled SGD steps."""
+    return ("WITH " + ",\n".join(sgd_ctes(steps, shards, batch, **kw)) +
             f"\nSELECT CAST(k AS INTEGER) AS k, CAST(j AS INTEGER) AS j, ROUND(w, 6) AS w "
             f"FROM p{steps}")
 
 
+def train_eval_sql(steps: int, shards: int, batch: int, train_where: str, test_where: str,
+                   eval_batch: int, extra: tuple[str, ...] = (), train_feat: str = "xl",
+                   test_feat: str = "xl") -> str:
+    """Train ``steps`` steps on ``train_where`` rows, then evaluate on
+    ``test_where`` rows: mean of batch-mean losses (batches in id order),
+    correct count, row count, accuracy in percent."""
+    ctes = sgd_ctes(steps, shards, batch, where=train_where, extra=extra, feat=train_feat)
+    ctes += [
+        f"xt AS (SELECT vec_id, j, v FROM {test_feat} UNION ALL SELECT vec_id, len(embedding) "
+        "AS j, CAST(1.0 AS DOUBLE) AS v FROM embeddings)",
+        f"tsc AS (SELECT x.vec_id, e.label, p.k, SUM(x.v * p.w) AS z FROM xt x "
+        f"JOIN embeddings e ON e.vec_id = x.vec_id JOIN p{steps} p ON p.j = x.j "
+        f"WHERE {test_where.replace('vec_id', 'x.vec_id')} GROUP BY x.vec_id, e.label, p.k)",
+        "tmx AS (SELECT vec_id, MAX(z) AS m FROM tsc GROUP BY vec_id)",
+        "tce AS (SELECT s.vec_id, s.label, LN(SUM(EXP(s.z - m.m))) - "
+        "(MAX(CASE WHEN s.k = s.label THEN s.z END) - MAX(m.m)) AS loss, "
+        "MIN(CASE WHEN s.z = m.m THEN s.k END) AS pred FROM tsc s JOIN tmx m "
+        "ON s.vec_id = m.vec_id GROUP BY s.vec_id, s.label)",
+        "tb AS (SELECT loss, pred = label AS hit, (row_number() OVER (ORDER BY vec_id) - 1) "
+        f"// {eval_batch} AS batch FROM tce)",
+        "tbm AS (SELECT batch, AVG(loss) AS l, SUM(CAST(hit AS BIGINT)) AS c, COUNT(*) AS n "
+        "FROM tb GROUP BY batch)",
+    ]
+    return ("WITH " + ",\n".join(ctes) +
+            "\nSELECT ROUND(AVG(l), 6) AS test_loss, CAST(SUM(c) AS BIGINT) AS correct, "
+            "CAST(SUM(n) AS BIGINT) AS total, "
+            "ROUND(100.0 * CAST(SUM(c) AS DOUBLE) / CAST(SUM(n) AS DOUBLE), 6) AS accuracy FROM tbm")
+
+
 def centroid_ctes(where: str = "TRUE") -> str:
     """CTEs ``xl``, ``cen`` (class means fitted on rows matching ``where``), ``bias``."""
     return (VEC_LONG + ",\n"
@@ -183,3 +223,28 @@ def positive_zero(sql: str) -> str:
             k += 1
         out.append(f"{sql[i:j]}({sql[j:k + 1]} + 0.0)")
         i = k + 1
+
+
+def transform_ctes(mean, std, epoch: int = 0, side: int = 8, pad: int = 4) -> tuple[str, ...]:
+    """CTEs ``cr`` (crop), ``fl`` (flip), ``tr`` (normalised ``fl``: training
+    features) and ``te`` (normalised ``xl``: test features), long form."""
+    m = ", ".join(f"CAST({v!r} AS DOUBLE)" for v in mean)
+    s = ", ".join(f"CAST({v!r} AS DOUBLE)" for v in std)
+    c = len(mean)
+    span = 2 * pad + 1
+    last = side - 1
+    norm = (f"(v - list_extract([{m}], (j % {c}) + 1)) / list_extract([{s}], (j % {c}) + 1)")
+    return (
+        f"o AS (SELECT vec_id, (vec_id * 7 + {epoch}) % {span} - {pad} AS dx, "
+        f"(vec_id * 5 + {epoch}) % {span} - {pad} AS dy FROM embeddings)",
+        f"ct AS (SELECT x.vec_id, x.j, x.j // {side} + o.dy AS r, x.j % {side} + o.dx AS c "
+        "FROM xl x JOIN o ON x.vec_id = o.vec_id)",
+        "cr AS (SELECT t.vec_id, t.j, COALESCE(s.v, 0.0) AS v FROM ct t LEFT JOIN xl s "
+        f"ON s.vec_id = t.vec_id AND t.r BETWEEN 0 AND {last} AND t.c BETWEEN 0 AND {last} "
+        f"AND s.j = t.r * {side} + t.c)",
+        "fl AS (SELECT x.vec_id, x.j, s.v FROM cr x JOIN cr s ON s.vec_id = x.vec_id AND "
+        f"s.j = CASE WHEN (x.vec_id + {epoch}) % 2 = 1 THEN (x.j // {side}) * {side} + "
+        f"({last} - x.j % {side}) ELSE x.j END)",
+        f"tr AS (SELECT vec_id, j, {norm} AS v FROM fl)",
+        f"te AS (SELECT vec_id, j, {norm} AS v FROM xl)",
+    )

@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.features import as_double
+from ..functions.features import as_double, test_transform, train_transform
 from ..functions.model import (Params, argmax_expr, cross_entropy_expr, scores_expr)
 from ..operators.gradients import collect_step
 from ..operators.sample import (assign_batches, assign_shards, hash_order_key,
@@ -158,8 +158,16 @@ def evaluate(df: DataFrame, params: Params, batch_size: int = BATCH_SIZE,
 
 
 def train_and_evaluate(df: DataFrame, shards: int = 1, batch_size: int = BATCH_SIZE,
-                       epochs: int = 1, **kw) -> tuple[TrainResult, DataFrame]:
-    """Split, train for ``epochs``, evaluate on the held-out part."""
+                       epochs: int = 1, transforms: bool = False,
+                       **kw) -> tuple[TrainResult, DataFrame]:
+    """Split, train for ``epochs``, evaluate on the held-out part.
+
+    ``transforms``: the reference's pipelines, crop + flip + normalise per
+    epoch for training and normalise for testing.
+    """
     train, test = split(df)
+    if transforms:
+        kw["augment"] = lambda d, epoch: train_transform(d, epoch)
+        test = test_transform(test)
     res = train_softmax(train, shards=shards, batch_size=batch_size, epochs=epochs, **kw)
     return res, evaluate(test, res.params, batch_size=batch_size)
