@@ -61,6 +61,7 @@ def main() -> None:
         times[name] = round(time.time() - t0, 3)
 
     vec = vectors.read_vectors(spark, f"{sf_dir}/embeddings.parquet")
+    rows = vec.count()
     extra = {}
     for name, shards, batch in (("sgd_single", 1, 256), ("sgd_sharded", 4, 64)):
         t0 = time.time()
@@ -70,6 +71,8 @@ def main() -> None:
         steps = [r.elapsed for r in res.steps.collect()]
         extra[f"{name}_steps"] = len(steps)
         extra[f"{name}_step_mean_sec"] = round(sum(steps) / len(steps), 4)
+        # rows per second over the step loop (the baseline's throughput unit)
+        extra[f"{name}_rows_per_sec"] = round(rows / sum(steps), 1)
     sf = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "headline_total",

@@ -30,7 +30,7 @@ ORACLE: dict[str, str] = {}
 def _prepare(spark: SparkSession) -> None:
     # the driver contract runs on a local session; only when the session names
     # no shared checkpoint folder do we fall back to a fresh local one
-    ensure_checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="rankgrad-ck-"))
+    ensure_checkpoint_dir(spark, fallback=lambda: tempfile.mkdtemp(prefix="rankgrad-ck-"))
 
 
 def register(name: str, sql: str | None = None):

@@ -45,12 +45,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
+def ensure_checkpoint_dir(spark: SparkSession, fallback=None) -> str:
     """Return the shared checkpoint folder, registering it on the context.
 
     Order: folder already set on the SparkContext, then the session setting
-    ``spark.checkpoint.dir``, then ``fallback`` (tests only). Raises if none
-    is known, rather than writing to a machine-local folder.
+    ``spark.checkpoint.dir``, then ``fallback`` (a path, or a callable giving
+    one; tests only). Raises if none is known, rather than writing to a
+    machine-local folder.
     """
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
@@ -62,7 +63,7 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
             configured = spark.conf.get("spark.checkpoint.dir")
         except Exception:  # noqa: BLE001 - unset key
             configured = None
-    folder = configured or fallback
+    folder = configured or (fallback() if callable(fallback) else fallback)
     if not folder:
         raise RuntimeError(
             "no checkpoint folder: set spark.checkpoint.dir to a shared path")
