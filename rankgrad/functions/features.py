@@ -67,46 +67,75 @@ def crop_offsets(id_col: str, epoch: int | Column, pad: int) -> tuple[Column, Co
     return dx, dy
 
 
-def random_crop(df: DataFrame, col: str = "embedding", id_col: str = "vec_id",
-                side: int = 8, pad: int = 4, epoch: int = 0, out: str | None = None) -> DataFrame:
-    """Zero-pad by ``pad`` and cut a ``side x side`` window at offset (dx, dy).
+# An augmentation is an index map: output cell i reads input cell src(i), or
+# 0 when src(i) falls outside the grid. Maps compose by substitution, so a
+# chain of augmentations reads the input array once per output cell; chaining
+# separate array columns instead would let the optimizer inline one array
+# expression into the next one's lambda and rebuild it for every cell.
 
-    ``out[r][c] = in[r + dy][c + dx]`` when inside the grid, else 0.
-    """
+def _crop_map(id_col: str, side: int, pad: int, epoch: int):
     dx, dy = crop_offsets(id_col, epoch, pad)
-    x = F.col(col)
 
-    def pick(i):
+    def src(i):
         r = F.floor(i / side) + dy
         c = i % side + dx
         inside = (r >= 0) & (r < side) & (c >= 0) & (c < side)
-        return F.when(inside, F.element_at(x, (r * side + c + 1).cast("int")).cast("double")) \
-            .otherwise(F.lit(0.0))
+        return r * side + c, inside
+    return src
 
-    return df.withColumn(out or col, F.transform(F.sequence(F.lit(0), F.lit(side * side - 1)), pick))
 
-
-def random_flip(df: DataFrame, col: str = "embedding", id_col: str = "vec_id",
-                side: int = 8, epoch: int = 0, out: str | None = None) -> DataFrame:
-    """Mirror each grid row when ``(id + epoch) % 2 = 1``."""
-    x = F.col(col)
+def _flip_map(id_col: str, side: int, epoch: int):
     flip = (F.col(id_col) + F.lit(epoch)) % 2 == 1
 
-    def pick(i):
+    def src(i):
         mirrored = F.floor(i / side) * side + (side - 1 - i % side)
-        src = F.when(flip, mirrored).otherwise(i)
-        return F.element_at(x, (src + 1).cast("int")).cast("double")
+        return F.when(flip, mirrored).otherwise(i), F.lit(True)
+    return src
+
+
+def _gather(col: str, side: int, *maps) -> Column:
+    """``out[i] = in[m_last(...m_first(i))]``, 0 where any map leaves the grid.
+
+    ``maps`` are applied output-first: the last augmentation applied to the
+    data is the first map here.
+    """
+    x = F.col(col)
 
-    return df.withColumn(out or col, F.transform(F.sequence(F.lit(0), F.lit(side * side - 1)), pick))
+    def cell(i):
+        idx, ok = i, F.lit(True)
+        for m in maps:
+            idx, inside = m(idx)
+            ok = ok & inside
+        return F.when(ok, F.element_at(x, (idx + 1).cast("int")).cast("double")).otherwise(F.lit(0.0))
+
+    return F.transform(F.sequence(F.lit(0), F.lit(side * side - 1)), cell)
+
+
+def random_crop(df: DataFrame, col: str = "embedding", id_col: str = "vec_id",
+                side: int = 8, pad: int = 4, epoch: int = 0, out: str | None = None) -> DataFrame:
+    """Zero-pad by ``pad`` and cut a ``side x side`` window at offset (dx, dy).
+
+    ``out[r][c] = in[r + dy][c + dx]`` when inside the grid, else 0.
+    """
+    return df.withColumn(out or col, _gather(col, side, _crop_map(id_col, side, pad, epoch)))
+
+
+def random_flip(df: DataFrame, col: str = "embedding", id_col: str = "vec_id",
+                side: int = 8, epoch: int = 0, out: str | None = None) -> DataFrame:
+    """Mirror each grid row when ``(id + epoch) % 2 = 1``."""
+    return df.withColumn(out or col, _gather(col, side, _flip_map(id_col, side, epoch)))
 
 
 def train_transform(df: DataFrame, epoch: int, col: str = "embedding", id_col: str = "vec_id",
                     side: int = 8, pad: int = 4, mean: Sequence[float] = CHANNEL_MEAN,
                     std: Sequence[float] = CHANNEL_STD) -> DataFrame:
-    """The training pipeline of the reference: crop, flip, then normalise."""
-    out = random_crop(df, col, id_col, side, pad, epoch)
-    out = random_flip(out, col, id_col, side, epoch)
-    return normalize(out, col, mean, std)
+    """The training pipeline of the reference: crop, flip, then normalise.
+
+    Crop and flip are fused into one gather (flip's map first, as it is
+    applied last), then ``normalize`` reads that array once.
+    """
+    aug = _gather(col, side, _flip_map(id_col, side, epoch), _crop_map(id_col, side, pad, epoch))
+    return normalize(df.withColumn(col, aug), col, mean, std)
 
 
 def test_transform(df: DataFrame, col: str = "embedding", mean: Sequence[float] = CHANNEL_MEAN,

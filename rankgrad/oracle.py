@@ -225,26 +225,39 @@ def positive_zero(sql: str) -> str:
         i = k + 1
 
 
+def crop_ctes(src: str = "xl", out: str = "cr", epoch: int = 0, side: int = 8,
+              pad: int = 4) -> tuple[str, ...]:
+    """Zero-filled window of ``src(vec_id, j, v)`` at the repeatable offsets."""
+    span, last = 2 * pad + 1, side - 1
+    return (
+        f"{out}_o AS (SELECT vec_id, (vec_id * 7 + {epoch}) % {span} - {pad} AS dx, "
+        f"(vec_id * 5 + {epoch}) % {span} - {pad} AS dy FROM embeddings)",
+        f"{out}_t AS (SELECT x.vec_id, x.j, x.j // {side} + o.dy AS r, x.j % {side} + o.dx AS c "
+        f"FROM {src} x JOIN {out}_o o ON x.vec_id = o.vec_id)",
+        f"{out} AS (SELECT t.vec_id, t.j, COALESCE(s.v, 0.0) AS v FROM {out}_t t LEFT JOIN {src} s "
+        f"ON s.vec_id = t.vec_id AND t.r BETWEEN 0 AND {last} AND t.c BETWEEN 0 AND {last} "
+        f"AND s.j = t.r * {side} + t.c)",
+    )
+
+
+def flip_cte(src: str = "xl", out: str = "fl", epoch: int = 0, side: int = 8) -> str:
+    """Mirrored grid rows of ``src`` where ``(vec_id + epoch) % 2 = 1``."""
+    last = side - 1
+    return (f"{out} AS (SELECT x.vec_id, x.j, s.v FROM {src} x JOIN {src} s ON s.vec_id = x.vec_id "
+            f"AND s.j = CASE WHEN (x.vec_id + {epoch}) % 2 = 1 THEN (x.j // {side}) * {side} + "
+            f"({last} - x.j % {side}) ELSE x.j END)")
+
+
 def transform_ctes(mean, std, epoch: int = 0, side: int = 8, pad: int = 4) -> tuple[str, ...]:
     """CTEs ``cr`` (crop), ``fl`` (flip), ``tr`` (normalised ``fl``: training
     features) and ``te`` (normalised ``xl``: test features), long form."""
     m = ", ".join(f"CAST({v!r} AS DOUBLE)" for v in mean)
     s = ", ".join(f"CAST({v!r} AS DOUBLE)" for v in std)
     c = len(mean)
-    span = 2 * pad + 1
-    last = side - 1
     norm = (f"(v - list_extract([{m}], (j % {c}) + 1)) / list_extract([{s}], (j % {c}) + 1)")
     return (
-        f"o AS (SELECT vec_id, (vec_id * 7 + {epoch}) % {span} - {pad} AS dx, "
-        f"(vec_id * 5 + {epoch}) % {span} - {pad} AS dy FROM embeddings)",
-        f"ct AS (SELECT x.vec_id, x.j, x.j // {side} + o.dy AS r, x.j % {side} + o.dx AS c "
-        "FROM xl x JOIN o ON x.vec_id = o.vec_id)",
-        "cr AS (SELECT t.vec_id, t.j, COALESCE(s.v, 0.0) AS v FROM ct t LEFT JOIN xl s "
-        f"ON s.vec_id = t.vec_id AND t.r BETWEEN 0 AND {last} AND t.c BETWEEN 0 AND {last} "
-        f"AND s.j = t.r * {side} + t.c)",
-        "fl AS (SELECT x.vec_id, x.j, s.v FROM cr x JOIN cr s ON s.vec_id = x.vec_id AND "
-        f"s.j = CASE WHEN (x.vec_id + {epoch}) % 2 = 1 THEN (x.j // {side}) * {side} + "
-        f"({last} - x.j % {side}) ELSE x.j END)",
+        *crop_ctes("xl", "cr", epoch, side, pad),
+        flip_cte("cr", "fl", epoch, side),
         f"tr AS (SELECT vec_id, j, {norm} AS v FROM fl)",
         f"te AS (SELECT vec_id, j, {norm} AS v FROM xl)",
     )

@@ -229,15 +229,10 @@ def normalize_fitted_q(spark, sf):
     return _long(features.normalize(df, mean=mu, std=sd), "embedding")
 
 
-_CROP_SQL = (
-    "WITH " + Q.VEC_LONG + ",\n"
-    "o AS (SELECT vec_id, (vec_id * 7 + 0) % 9 - 4 AS dx, (vec_id * 5 + 0) % 9 - 4 AS dy "
-    "FROM embeddings),\n"
-    "t AS (SELECT x.vec_id, x.j, x.j // 8 + o.dy AS r, x.j % 8 + o.dx AS c FROM xl x "
-    "JOIN o ON x.vec_id = o.vec_id)\n"
-    "SELECT t.vec_id, CAST(t.j AS INTEGER) AS j, ROUND(COALESCE(s.v, 0.0), 6) AS v FROM t "
-    "LEFT JOIN xl s ON s.vec_id = t.vec_id AND t.r BETWEEN 0 AND 7 AND t.c BETWEEN 0 AND 7 "
-    "AND s.j = t.r * 8 + t.c")
+_CROP_SQL = ("WITH " + ",\n".join((Q.VEC_LONG, *Q.crop_ctes("xl", "cr"))) +
+             "\nSELECT vec_id, CAST(j AS INTEGER) AS j, ROUND(v, 6) AS v FROM cr")
+_FLIP_SQL = ("WITH " + ",\n".join((Q.VEC_LONG, Q.flip_cte("xl", "fl"))) +
+             "\nSELECT vec_id, CAST(j AS INTEGER) AS j, ROUND(v, 6) AS v FROM fl")
 
 
 @register("augment_crop", _CROP_SQL)
@@ -246,10 +241,7 @@ def augment_crop_q(spark, sf):
     return _long(features.random_crop(_vectors(spark, sf), epoch=0), "embedding")
 
 
-@register("augment_flip",
-          "WITH " + Q.VEC_LONG + "\nSELECT x.vec_id, CAST(x.j AS INTEGER) AS j, ROUND(s.v, 6) AS v "
-          "FROM xl x JOIN xl s ON s.vec_id = x.vec_id AND s.j = CASE WHEN (x.vec_id + 0) % 2 = 1 "
-          "THEN (x.j // 8) * 8 + (7 - x.j % 8) ELSE x.j END")
+@register("augment_flip", _FLIP_SQL)
 def augment_flip_q(spark, sf):
     """Repeatable random horizontal flip (epoch 0)."""
     return _long(features.random_flip(_vectors(spark, sf), epoch=0), "embedding")
@@ -300,7 +292,8 @@ def loss_trace_sampled_q(spark, sf):
 # ---- 2.3 / 2.4 joins and aggregations -----------------------------------------
 
 def _weighted(spark, sf, g=fx.g_part, **kw) -> graph.WeightedGraph:
-    return graph.weight_edges(g(spark, sf), **kw)
+    # one pass over the layout: nothing to persist (and nothing left cached)
+    return graph.weight_edges(g(spark, sf), storage_level=None, **kw)
 
 
 @register("contributions",
