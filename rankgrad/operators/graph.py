@@ -216,7 +216,9 @@ def rank_step(graph: WeightedGraph, ranks: DataFrame, damping: float = DAMPING,
 
     Only nodes that receive a contribution appear in the result; nodes
     without in-edges drop out, dangling targets keep a rank but pass on
-    nothing. The sum runs as partial + final aggregate.
+    nothing. The sum runs as partial + final aggregate. With hot sources the
+    ranks are read twice, so a caller chaining lazy steps should cut the
+    lineage after each one (``pagerank`` checkpoints every iteration then).
     """
     c = contributions(graph, ranks)
     return c.groupBy(F.col("dst").alias("node")).agg(

@@ -8,6 +8,8 @@ out-degree) rather than the folded weights the Spark plans use.
 from __future__ import annotations
 
 G_PART = "SELECT l_partkey AS src, l_suppkey AS dst FROM lineitem"
+G_SKEW = ("SELECT CASE WHEN l_linenumber <= 3 THEN CAST(0 AS BIGINT) ELSE l_partkey END AS src, "
+          "l_orderkey AS dst FROM lineitem")
 G_NATION = (
     "SELECT c_nationkey AS src, s_nationkey AS dst FROM lineitem "
     "JOIN orders ON l_orderkey = o_orderkey "

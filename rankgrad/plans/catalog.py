@@ -545,6 +545,13 @@ def pagerank_hot_split_q(spark, sf):
     return _rounded_ranks(pagerank(fx.g_part(spark, sf), 10, hot_threshold=25))
 
 
+@register("pagerank_skewed", Q.pagerank_sql(Q.G_SKEW, 10))
+def pagerank_skewed_q(spark, sf):
+    """One source owns ~3/7 of the edges: the default threshold routes it to
+    the broadcast side (from sf0.01 on)."""
+    return _rounded_ranks(pagerank(fx.g_skew(spark, sf), 10))
+
+
 @register("pagerank_resumed", Q.pagerank_sql(Q.G_PART, 10))
 def pagerank_resumed_q(spark, sf):
     """6 iterations saved every 3, then a new run resumes from the last save to 10."""

@@ -18,6 +18,15 @@ def g_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select(F.col("l_partkey").alias("src"), F.col("l_suppkey").alias("dst"))
 
 
+def g_skew(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A hot source: line items 1-3 of every order (about 3/7 of all rows)
+    leave node 0, the rest their part; targets are orders."""
+    li = read_table(spark, sf_dir, "lineitem")
+    return li.select(F.when(F.col("l_linenumber") <= 3, F.lit(0).cast("bigint"))
+                     .otherwise(F.col("l_partkey")).alias("src"),
+                     F.col("l_orderkey").alias("dst"))
+
+
 def g_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customer nation -> supplier nation per line item (dense, multi-edges)."""
     li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")

@@ -89,11 +89,16 @@ def pagerank(edges: DataFrame, iterations: int = 10, damping: float = DAMPING,
                                          F.lit(1.0).alias("rank"))
         if checkpoint_every and save_dir is None:
             ensure_checkpoint_dir(spark)
+        # with a hot set, each iteration reads the previous ranks twice (the
+        # co-partitioned join and the broadcast of the hot sources' ranks);
+        # a lazy chain of such steps re-runs earlier iterations, so the
+        # lineage is cut after every iteration (a node-sized write)
+        every = 1 if graph.hot is not None else checkpoint_every
         for i in range(start + 1, iterations + 1):
             ranks = rank_step(graph, ranks, damping=damping, base=base)
-            if checkpoint_every and i % checkpoint_every == 0 and i < iterations:
+            if every and i % every == 0 and i < iterations:
                 ranks = _save(ranks, i, save_dir)
-        if materialize and (graph.persisted or store_dir or reuse):
+        if materialize and (graph.persisted or store_dir or reuse or graph.hot is not None):
             ranks = _save(ranks, iterations, save_dir)
     finally:
         if materialize:
@@ -101,6 +106,7 @@ def pagerank(edges: DataFrame, iterations: int = 10, damping: float = DAMPING,
     return ranks
 
 
+
 def _save(ranks: DataFrame, i: int, save_dir: str | None) -> DataFrame:
     """Cut the lineage: reliable checkpoint, or a Parquet save for resume."""
     if save_dir is None:
@@ -112,8 +118,11 @@ def _save(ranks: DataFrame, i: int, save_dir: str | None) -> DataFrame:
 
 def pagerank_graph(graph: WeightedGraph, iterations: int = 10,
                    damping: float = DAMPING, base: float = BASE) -> DataFrame:
-    """Lazy loop over an already laid-out graph (no saves): for tests/plans."""
+    """Loop over an already laid-out graph, lazy unless it has hot sources
+    (then each iteration is checkpointed, as in ``pagerank``)."""
     ranks = graph.sources.select(F.col("src").alias("node"), F.lit(1.0).alias("rank"))
-    for _ in range(iterations):
+    for i in range(iterations):
         ranks = rank_step(graph, ranks, damping=damping, base=base)
+        if graph.hot is not None and i < iterations - 1:
+            ranks = reliable_checkpoint(ranks)
     return ranks

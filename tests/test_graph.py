@@ -165,3 +165,18 @@ def test_partition_profile(spark):
     prof = graph.partition_profile(fx.g_part(spark, SF01), 30, "src").collect()
     assert sum(r.rows for r in prof) == 60000
     assert len(prof) <= 30
+
+
+def test_default_threshold_finds_the_hot_source(spark):
+    g = graph.weight_edges(fx.g_skew(spark, SF01))
+    try:
+        assert g.hot_keys.count == 1
+        assert [r.src for r in g.hot_keys.frame.collect()] == [0]
+        # the hot source's edges are all on the broadcast side
+        assert g.normal.filter(F.col("src") == 0).count() == 0
+        assert g.hot.select("src").distinct().count() == 1
+        # normal partitions stay bounded by the threshold (no third of the data in one)
+        sizes = [r["count"] for r in g.normal.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) < g.hot_keys.threshold
+    finally:
+        g.unpersist()
