@@ -27,6 +27,7 @@ HEADLINE = [
     "pagerank_wiki_10",
     "pagerank_nation",
     "pagerank_resumed",
+    "pagerank_skewed",
     "wiki_clean",
     "contributions",
     "step_log_summary",
