@@ -27,13 +27,16 @@ class HotKeys:
 
 
 def find_hot_keys(counts: DataFrame, key: str, count_col: str, parts: int,
-                  threshold: int | None = None, min_threshold: int = 10_000) -> HotKeys:
+                  threshold: int | None = None, min_threshold: int = 10_000,
+                  max_broadcast_rows: int = 1_000_000) -> HotKeys:
     """Keys whose ``count_col`` exceeds ``threshold``.
 
     ``counts`` holds one row per key (already aggregated, so small per key).
-    The default threshold is ``max(ceil(total / parts), min_threshold)``,
-    which bounds the hot set by ``parts`` rows. An explicit ``threshold``
-    (tests) must still keep the set below ``max_rows``.
+    The default threshold is ``max(ceil(total / parts), min_threshold)``:
+    fewer than ``parts`` keys can exceed it. An explicit ``threshold`` (to
+    force the skew path, e.g. in tests) has no such guarantee, so the set
+    is counted and refused above ``max_broadcast_rows`` before any
+    broadcast.
     """
     if threshold is None:
         row = counts.agg(F.sum(count_col).alias("t"), F.max(count_col).alias("m")).first()
@@ -45,8 +48,8 @@ def find_hot_keys(counts: DataFrame, key: str, count_col: str, parts: int,
     n = hot.count()
     if n == 0:
         return HotKeys(None, threshold, 0)
-    bound = max(parts, 1) * 4 if threshold >= min_threshold else 1_000_000
-    if n > bound:
-        raise RuntimeError(f"hot key set of {n} rows exceeds its bound {bound}")
-    # the set is bounded: keep it on the driver-built side of broadcasts
+    if n > max_broadcast_rows:
+        raise RuntimeError(f"hot key set of {n} rows exceeds max_broadcast_rows "
+                           f"({max_broadcast_rows}); raise the threshold")
+    # bounded and counted: safe to broadcast
     return HotKeys(hot.cache(), threshold, n)
