@@ -39,6 +39,9 @@ SEED = 123
 LOG_EVERY = 20
 TEST_MOD = 5
 
+# row-group size of a staged epoch: what one step reads at least
+STEP_ROW_GROUP_BYTES = 4 * 1024 * 1024
+
 
 def split(df: DataFrame, test_mod: int = TEST_MOD, id_col: str = "vec_id") -> tuple[DataFrame, DataFrame]:
     """Train / test parts: ``id % test_mod <> 0`` / ``= 0``."""
@@ -101,9 +104,13 @@ def train_softmax(df: DataFrame, shards: int = 1, batch_size: int = BATCH_SIZE,
         laid = layout_epoch(data.select(id_col, label_col, "x"), shards, batch_size, order(epoch))
         laid = laid.withColumn("block", F.floor(F.col("batch_id") / batches_per_block).cast("long"))
         path = scratch_path(spark, f"epoch{epoch}")
+        # sorted by batch within each block folder, in small row groups: a
+        # step's filter prunes to one folder, then to the few row groups whose
+        # batch_id range holds it (footer statistics), not the whole block
         laid.select("block", "batch_id", "shard", label_col, "x") \
             .repartition("block").sortWithinPartitions("batch_id") \
-            .write.partitionBy("block").parquet(path)
+            .write.option("parquet.block.size", STEP_ROW_GROUP_BYTES) \
+            .partitionBy("block").parquet(path)
         staged = spark.read.parquet(path)
         n_batches = staged.agg(F.max("batch_id")).first()[0] + 1
         clock = time.time()
