@@ -230,14 +230,17 @@ def rank_step(graph: WeightedGraph, ranks: DataFrame, damping: float = DAMPING,
 MAX_LIST_TARGETS = 100_000
 
 
-def adjacency(graph: WeightedGraph, max_targets: int = MAX_LIST_TARGETS) -> DataFrame:
-    """Adjacency lists ``(src, part, out_degree, targets)``.
+def adjacency(graph: WeightedGraph | DataFrame, max_targets: int = MAX_LIST_TARGETS) -> DataFrame:
+    """Adjacency lists ``(src, part, out_degree, targets)`` of a laid-out
+    graph or of raw ``(src, dst)`` edges.
 
     ``targets`` is a sorted array of ``struct(dst, m)`` (target and number of
     copies). A source with more than ``max_targets`` distinct targets is
     split over ``ceil(n / max_targets)`` rows by a hash of the target, so no
     single row or task holds an unbounded list.
     """
+    if isinstance(graph, DataFrame):
+        graph = weight_edges(graph, storage_level=None)
     limit = max_targets
     src_stats = graph.sources.select(
         "src", "out_degree",
