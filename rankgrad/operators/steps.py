@@ -35,12 +35,16 @@ def exact_median(df: DataFrame, value: str, by: list[str] | None = None,
 
 
 def summarise_steps(df: DataFrame, value: str = "elapsed", order: str = "iteration",
-                    by: list[str] | None = None, median: bool = True) -> DataFrame:
+                    by: list[str] | None = None, median: str | None = "exact") -> DataFrame:
     """count, total, mean, sd, min, max, first, last, mean without first and
-    last (by ``order``), and the exact median, per group."""
+    last (by ``order``), and the median, per group.
+
+    ``median``: ``"exact"`` (global sort, see ``exact_median``), ``"approx"``
+    (``percentile_approx``: a bounded sketch per group, one pass), or ``None``.
+    """
     by = by or []
     v = F.col(value)
-    stats = df.groupBy(*by).agg(
+    aggs = [
         F.count(F.lit(1)).alias("n"),
         F.sum(v).alias("total"),
         F.avg(v).alias("mean"),
@@ -49,9 +53,15 @@ def summarise_steps(df: DataFrame, value: str = "elapsed", order: str = "iterati
         F.max(v).alias("max"),
         F.min_by(v, F.col(order)).alias("first"),
         F.max_by(v, F.col(order)).alias("last"),
-    ).withColumn("mean_mid", F.when(F.col("n") > 2, (F.col("total") - F.col("first") - F.col("last"))
-                                    / (F.col("n") - 2)))
-    if not median:
+    ]
+    if median == "approx":
+        aggs.append(F.percentile_approx(v, 0.5).cast("double").alias("median"))
+    elif median not in ("exact", None):
+        raise ValueError(f"unknown median mode {median!r}")
+    stats = df.groupBy(*by).agg(*aggs).withColumn(
+        "mean_mid", F.when(F.col("n") > 2, (F.col("total") - F.col("first") - F.col("last"))
+                           / (F.col("n") - 2)))
+    if median != "exact":
         return stats
     med = exact_median(df, value, by)
     if by:

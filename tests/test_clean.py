@@ -103,3 +103,13 @@ def test_rank_text_sink_roundtrip(spark, tmp_dir):
     assert back == sorted(tuple(r) for r in ranks.collect())
     with pytest.raises(Exception):
         text.write_ranks(ranks, path, fmt="text")  # target exists
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_rank_table_sinks(spark, tmp_dir, fmt):
+    ranks = spark.createDataFrame([("n1", 0.15), ("n2", 2.5)], "node string, rank double")
+    path = os.path.join(tmp_dir, fmt)
+    text.write_ranks(ranks, path, fmt=fmt)
+    reader = spark.read.schema("node string, rank double")
+    back = reader.option("header", True).csv(path) if fmt == "csv" else reader.parquet(path)
+    assert sorted(map(tuple, back.collect())) == [("n1", 0.15), ("n2", 2.5)]

@@ -49,3 +49,24 @@ def test_exact_median_matches_numpy(spark):
     glob = steps.summarise_steps(ev, value="value", order="event_id").first()
     assert abs(glob.median - float(np.median(pdf["value"]))) < 1e-12
     assert glob.n == 10000
+
+
+def test_approx_median_is_close(spark):
+    ev = read_table(spark, SF01, "events")
+    exact = {r.event_type: r.median for r in
+             steps.summarise_steps(ev, "value", "event_id", ["event_type"]).collect()}
+    approx = {r.event_type: r.median for r in
+              steps.summarise_steps(ev, "value", "event_id", ["event_type"], "approx").collect()}
+    assert exact.keys() == approx.keys()
+    for k in exact:
+        assert abs(exact[k] - approx[k]) <= 0.05 * abs(exact[k]) + 1.0
+
+
+def test_seeded_order_changes_per_epoch(spark):
+    from rankgrad.plans import train
+    emb = read_table(spark, SF01, "embeddings").select("vec_id")
+    order = train.seeded_order()
+    e0 = {r.vec_id: r.pos for r in sample.with_positions(emb, order(0)).collect()}
+    e1 = {r.vec_id: r.pos for r in sample.with_positions(emb, order(1)).collect()}
+    again = {r.vec_id: r.pos for r in sample.with_positions(emb, order(0)).collect()}
+    assert sorted(e0.values()) == list(range(500)) and e0 == again and e0 != e1
