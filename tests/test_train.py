@@ -109,7 +109,7 @@ def test_train_and_evaluate_runs_epochs(spark):
 
 
 def test_step_log_roundtrip_with_reference_header(spark, tmp_dir):
-    path = os.path.join(tmp_dir, "timelog.csv")
+    path = os.path.join(tmp_dir, "steps.csv")
     with open(path, "w") as fh:
         fh.write(steplog.REFERENCE_HEADER + "\n0,1,1.5\n0,2,1.25\n0,3,1.0\n0,4,0.5\n")
     log = steplog.read_step_log(spark, path)
