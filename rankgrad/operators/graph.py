@@ -72,6 +72,7 @@ class WeightedGraph:
     sources: DataFrame
     parts: int
     persisted: list = field(default_factory=list)
+    tables: list = field(default_factory=list)  # catalog names of a stored layout
 
     def edges(self) -> DataFrame:
         """All weighted edges as one frame ``(src, dst, w)``."""
@@ -83,6 +84,10 @@ class WeightedGraph:
         self.persisted.clear()
         if self.hot_keys.frame is not None:
             self.hot_keys.frame.unpersist()
+        for name in self.tables:
+            # external tables: only the catalog entry goes, the files stay
+            self.normal.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+        self.tables.clear()
 
 
 def weight_edges(edges: DataFrame, parts: int | None = None,
@@ -144,9 +149,10 @@ def weight_edges(edges: DataFrame, parts: int | None = None,
     return WeightedGraph(normal, hot_edges, hot, sources, parts, persisted)
 
 
-def _bucketed_table(spark, path: str, schema, parts: int) -> DataFrame:
+def _bucketed_table(spark, path: str, schema, parts: int, names: list) -> DataFrame:
     """Register the Parquet files at ``path`` as a table bucketed by ``src``."""
     name = f"rankgrad_{uuid.uuid4().hex[:16]}"
+    names.append(name)
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY (src) "
               f"INTO {parts} BUCKETS LOCATION '{path}'")
@@ -159,8 +165,10 @@ def _store(graph: WeightedGraph, store_dir: str) -> WeightedGraph:
     # bucket files carry their bucket id in the name; the bucket spec itself
     # is re-declared when the files are opened (open_weighted)
     for df, sub in ((graph.normal, "normal"), (graph.sources, "sources")):
+        name = f"rankgrad_{uuid.uuid4().hex[:16]}"
         df.write.mode("overwrite").bucketBy(graph.parts, "src") \
-            .option("path", f"{root}/{sub}").saveAsTable(f"rankgrad_{uuid.uuid4().hex[:16]}")
+            .option("path", f"{root}/{sub}").saveAsTable(name)
+        spark.sql(f"DROP TABLE IF EXISTS {name}")  # reopened below under fresh names
     if graph.hot is not None:
         graph.hot.write.mode("overwrite").parquet(f"{root}/hot")
         graph.hot_keys.frame.write.mode("overwrite").parquet(f"{root}/hot_keys")
@@ -175,15 +183,16 @@ def open_weighted(spark, store_dir: str) -> WeightedGraph:
     """Reopen a layout written by ``weight_edges(store_dir=...)``."""
     root = store_dir.rstrip("/")
     meta = spark.read.parquet(f"{root}/layout").first()
+    tables: list[str] = []
     normal = _bucketed_table(spark, f"{root}/normal",
-                             spark.read.parquet(f"{root}/normal").schema, meta.parts)
+                             spark.read.parquet(f"{root}/normal").schema, meta.parts, tables)
     sources = _bucketed_table(spark, f"{root}/sources",
-                              spark.read.parquet(f"{root}/sources").schema, meta.parts)
+                              spark.read.parquet(f"{root}/sources").schema, meta.parts, tables)
     hot, keys = None, HotKeys(None, meta.threshold, 0)
     if meta.hot:
         hot = spark.read.parquet(f"{root}/hot")
         keys = HotKeys(spark.read.parquet(f"{root}/hot_keys"), meta.threshold, meta.hot)
-    return WeightedGraph(normal, hot, keys, sources, meta.parts)
+    return WeightedGraph(normal, hot, keys, sources, meta.parts, tables=tables)
 
 
 def layout_exists(spark, store_dir: str) -> bool:
