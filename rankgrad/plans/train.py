@@ -65,6 +65,27 @@ def layout_epoch(df: DataFrame, shards: int, batch_size: int, order: list[Column
     return assign_batches(assign_shards(pos, shards, "pos", pad=True), batch_size, "shard_pos")
 
 
+def stage_epoch(laid: DataFrame, path: str, batches_per_block: int) -> DataFrame:
+    """Write a laid-out epoch once and return it read back.
+
+    Rows go to ``block = batch_id // batches_per_block`` folders, sorted by
+    batch within each folder and written in small row groups: a step's
+    filter prunes to one folder, then to the few row groups whose batch_id
+    range holds it (footer statistics), not the whole block.
+    """
+    laid.withColumn("block", F.floor(F.col("batch_id") / batches_per_block).cast("long")) \
+        .repartition("block").sortWithinPartitions("batch_id") \
+        .write.option("parquet.block.size", STEP_ROW_GROUP_BYTES) \
+        .partitionBy("block").parquet(path)
+    return laid.sparkSession.read.parquet(path)
+
+
+def step_rows(staged: DataFrame, step: int, batches_per_block: int) -> DataFrame:
+    """The rows of one step: a folder prune plus a pushed ``batch_id`` filter."""
+    return staged.filter((F.col("block") == step // batches_per_block)
+                         & (F.col("batch_id") == step))
+
+
 @dataclass
 class TrainResult:
     params: Params
@@ -102,21 +123,12 @@ def train_softmax(df: DataFrame, shards: int = 1, batch_size: int = BATCH_SIZE,
         data = augment(base, epoch) if augment else base
         data = data.withColumn("x", as_double(feature_col))
         laid = layout_epoch(data.select(id_col, label_col, "x"), shards, batch_size, order(epoch))
-        laid = laid.withColumn("block", F.floor(F.col("batch_id") / batches_per_block).cast("long"))
-        path = scratch_path(spark, f"epoch{epoch}")
-        # sorted by batch within each block folder, in small row groups: a
-        # step's filter prunes to one folder, then to the few row groups whose
-        # batch_id range holds it (footer statistics), not the whole block
-        laid.select("block", "batch_id", "shard", label_col, "x") \
-            .repartition("block").sortWithinPartitions("batch_id") \
-            .write.option("parquet.block.size", STEP_ROW_GROUP_BYTES) \
-            .partitionBy("block").parquet(path)
-        staged = spark.read.parquet(path)
+        staged = stage_epoch(laid.select("batch_id", "shard", label_col, "x"),
+                             scratch_path(spark, f"epoch{epoch}"), batches_per_block)
         n_batches = staged.agg(F.max("batch_id")).first()[0] + 1
         clock = time.time()
         for step in range(n_batches):
-            rows = staged.filter((F.col("block") == step // batches_per_block)
-                                 & (F.col("batch_id") == step))
+            rows = step_rows(staged, step, batches_per_block)
             grad, loss = collect_step(rows, params, shards, "x", label_col, "shard")
             params, velocity = sgd_update(params, grad, velocity, lr, momentum, weight_decay)
             now = time.time()

@@ -130,3 +130,17 @@ def test_every_nth(spark):
     df = spark.range(0, 100).withColumnRenamed("id", "step")
     assert [r.step for r in sample.every_nth(df, "step", 20).orderBy("step").collect()] == \
         [0, 20, 40, 60, 80]
+
+
+def test_step_reads_are_pruned(spark, tmp_dir):
+    laid = train.layout_epoch(vec(spark).withColumn("x", features.as_double("embedding"))
+                              .select("vec_id", "label", "x"), 1, 64,
+                              train.fixture_order()(0))
+    staged = train.stage_epoch(laid.select("batch_id", "shard", "label", "x"),
+                               os.path.join(tmp_dir, "epoch"), 2)
+    rows = train.step_rows(staged, 5, 2)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(block" in plan and "= 2)]" in plan
+    assert "EqualTo(batch_id,5)" in plan
+    assert rows.count() == 64
+    assert staged.count() == 500
