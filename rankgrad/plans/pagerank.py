@@ -98,7 +98,9 @@ def pagerank(edges: DataFrame, iterations: int = 10, damping: float = DAMPING,
             ranks = rank_step(graph, ranks, damping=damping, base=base)
             if every and i % every == 0 and i < iterations:
                 ranks = _save(ranks, i, save_dir)
-        if materialize and (graph.persisted or store_dir or reuse or graph.hot is not None):
+        done = start == iterations  # resumed at the target: the save is the answer
+        if materialize and not done and (graph.persisted or store_dir or reuse
+                                         or graph.hot is not None):
             ranks = _save(ranks, iterations, save_dir)
     finally:
         if materialize:
