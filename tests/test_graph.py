@@ -180,3 +180,14 @@ def test_default_threshold_finds_the_hot_source(spark):
         assert max(sizes) < g.hot_keys.threshold
     finally:
         g.unpersist()
+
+
+def test_forced_hot_set_is_refused_above_bound(spark):
+    from rankgrad.operators.skew import find_hot_keys
+    stats = graph.source_stats(graph.edge_multiplicity(fx.g_part(spark, SF01)))
+    ok = find_hot_keys(stats, "src", "n_targets", 8, threshold=1, max_broadcast_rows=5000)
+    assert ok.count == 2000
+    with pytest.raises(RuntimeError):
+        find_hot_keys(stats, "src", "n_targets", 8, threshold=1, max_broadcast_rows=100)
+    default = find_hot_keys(stats, "src", "n_targets", 8)
+    assert default.count == 0 and default.threshold >= 10_000
