@@ -5,8 +5,10 @@ keeps only nodes that receive a contribution, ``rank = 0.15 + 0.85 * sum``,
 no normalisation and no dangling redistribution, fixed iteration count.
 
 Fault tolerance: every ``checkpoint_every`` iterations the ranks are saved
-reliably, either with ``DataFrame.checkpoint`` into the shared checkpoint
-folder or, with ``save_dir``, as Parquet under ``save_dir/iter=K``. A later
+reliably, either as a table bucketed by node in the shared checkpoint
+folder (which keeps them co-partitioned with the edges) or, with
+``save_dir``, as Parquet under ``save_dir/iter=K``; the final ranks are
+checkpointed. A later
 call with ``resume_from`` continues from the last complete save instead of
 iteration 0; edges are rebuilt from their source, which is deterministic.
 """
@@ -14,6 +16,7 @@ iteration 0; edges are rebuilt from their source, which is deterministic.
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -94,14 +97,17 @@ def pagerank(edges: DataFrame, iterations: int = 10, damping: float = DAMPING,
         # a lazy chain of such steps re-runs earlier iterations, so the
         # lineage is cut after every iteration (a node-sized write)
         every = 1 if graph.hot is not None else checkpoint_every
+        cuts: list[str] = []
         for i in range(start + 1, iterations + 1):
             ranks = rank_step(graph, ranks, damping=damping, base=base)
             if every and i % every == 0 and i < iterations:
-                ranks = _save(ranks, i, save_dir)
+                ranks = _save(ranks, i, save_dir) if save_dir else \
+                    _cut(ranks, graph.parts, cuts)
         done = start == iterations  # resumed at the target: the save is the answer
         if materialize and not done and (graph.persisted or store_dir or reuse
-                                         or graph.hot is not None):
+                                         or graph.hot is not None or cuts):
             ranks = _save(ranks, iterations, save_dir)
+            _drop(spark, cuts)
     finally:
         if materialize:
             graph.unpersist()
@@ -109,6 +115,30 @@ def pagerank(edges: DataFrame, iterations: int = 10, damping: float = DAMPING,
 
 
 
+def _cut(ranks: DataFrame, parts: int, cuts: list[str]) -> DataFrame:
+    """Cut the lineage by writing the ranks as a table bucketed by ``node``
+    into the shared checkpoint folder (one write job).
+
+    A bucketed scan reports the same hash partitioning the edges have, so
+    the next iteration's join reads the ranks without a shuffle; a plain
+    checkpoint under adaptive execution would lose it. Earlier cuts are no
+    longer referenced and leave the catalog (their files stay).
+    """
+    spark = ranks.sparkSession
+    name = f"rankgrad_{uuid.uuid4().hex[:16]}"
+    ranks.write.bucketBy(parts, "node").option("path", scratch_path(spark, "ranks")) \
+        .saveAsTable(name)
+    _drop(spark, cuts)
+    cuts.append(name)
+    return spark.table(name)
+
+
+def _drop(spark, cuts: list[str]) -> None:
+    for name in cuts:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    cuts.clear()
+
+
 def _save(ranks: DataFrame, i: int, save_dir: str | None) -> DataFrame:
     """Cut the lineage: reliable checkpoint, or a Parquet save for resume."""
     if save_dir is None:

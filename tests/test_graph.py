@@ -191,3 +191,24 @@ def test_forced_hot_set_is_refused_above_bound(spark):
         find_hot_keys(stats, "src", "n_targets", 8, threshold=1, max_broadcast_rows=100)
     default = find_hot_keys(stats, "src", "n_targets", 8)
     assert default.count == 0 and default.threshold >= 10_000
+
+
+def test_lineage_cut_keeps_ranks_co_partitioned(spark):
+    from rankgrad.plans.pagerank import _cut, _drop
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    g = graph.weight_edges(fx.g_part(spark, SF01))
+    cuts = []
+    try:
+        r0 = g.sources.select(F.col("src").alias("node"), F.lit(1.0).alias("rank"))
+        r1 = _cut(graph.rank_step(g, r0), g.parts, cuts)
+        r2 = graph.rank_step(g, r1)
+        joins = _joins(r2._jdf.queryExecution().executedPlan().inputPlan())
+        assert len(joins) == 1
+        # edges and the cut ranks both reach the join without an Exchange
+        assert _reaches_scan_without_exchange(joins[0].left())
+        assert _reaches_scan_without_exchange(joins[0].right())
+        assert close(as_dict(r2), as_dict(pagerank_graph(g, 2)))
+    finally:
+        _drop(spark, cuts)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        g.unpersist()
