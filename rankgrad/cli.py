@@ -21,6 +21,7 @@ from pyspark.sql import SparkSession
 from .functions.clean import clean_links
 from .plans.pagerank import pagerank
 from .plans.train import train_and_evaluate
+from .session import ensure_checkpoint_dir
 from .sources.steplog import write_step_log
 from .sources.text import edges_from_text, read_link_files, write_ranks
 from .sources.vectors import read_vectors
@@ -47,6 +48,9 @@ def _rank_args(p: argparse.ArgumentParser, iterations: int) -> None:
 
 def parser() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="rankgrad")
+    ap.add_argument("--checkpoint-dir", default=None,
+                    help="shared folder for lineage cuts, used when the session "
+                         "sets no spark.checkpoint.dir")
     sub = ap.add_subparsers(dest="job", required=True)
     e = sub.add_parser("pagerank-edges", help="rank an edge-list text file")
     _rank_args(e, 10)
@@ -66,6 +70,8 @@ def parser() -> argparse.ArgumentParser:
 
 
 def run(args: argparse.Namespace, spark: SparkSession) -> None:
+    if getattr(args, "checkpoint_dir", None):
+        ensure_checkpoint_dir(spark, fallback=args.checkpoint_dir)
     if args.job in ("pagerank-edges", "pagerank-links"):
         if args.job == "pagerank-edges":
             edges = edges_from_text(spark, args.input, args.comments, args.split)
