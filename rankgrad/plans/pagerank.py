@@ -114,7 +114,6 @@ def pagerank(edges: DataFrame, iterations: int = 10, damping: float = DAMPING,
     return ranks
 
 
-
 def _cut(ranks: DataFrame, parts: int, cuts: list[str]) -> DataFrame:
     """Cut the lineage by writing the ranks as a table bucketed by ``node``
     into the shared checkpoint folder (one write job).
