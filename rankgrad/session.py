@@ -3,12 +3,15 @@ resolving the shared checkpoint folder the cluster names.
 
 Library code never invents a storage location of its own: lineage is cut
 and state is saved under ``spark.checkpoint.dir`` (or the folder already
-set on the SparkContext). Only tests and the local driver contract pass a
-``fallback`` folder, and only when the session names none.
+set on the SparkContext). A session that names none gets a fresh folder only
+if its master runs in one process (``local`` or ``local[...]``); on any
+cluster the job stops with an error.
 """
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -50,8 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback=None) -> str:
 
     Order: folder already set on the SparkContext, then the session setting
     ``spark.checkpoint.dir``, then ``fallback`` (a path, or a callable giving
-    one; tests only). Raises if none is known, rather than writing to a
-    machine-local folder.
+    one; tests only), then a fresh folder of a one-process session. Raises on
+    a cluster that names none, rather than writing to a machine-local folder.
     """
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
@@ -64,6 +67,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback=None) -> str:
         except Exception:  # noqa: BLE001 - unset key
             configured = None
     folder = configured or (fallback() if callable(fallback) else fallback)
+    if not folder and one_process(sc.master):
+        folder = tempfile.mkdtemp(prefix="rankgrad-ck-")
     if not folder:
         raise RuntimeError(
             "no checkpoint folder: set spark.checkpoint.dir to a shared path")
@@ -71,6 +76,19 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback=None) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+def one_process(master: str) -> bool:
+    """True for ``local``, ``local[4]``, ``local[*,2]``; not ``local-cluster``."""
+    return re.fullmatch(r"local(\[[^\]]*\])?", master) is not None
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared store through Spark's own file system."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(target, True)
+
+
 def scratch_path(spark: SparkSession, name: str, fallback: str | None = None) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written state."""
     base = ensure_checkpoint_dir(spark, fallback).rstrip("/")
