@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import quality_rules
+from . import licenses, quality_rules, sharding
 
 QUERIES = {f.__name__: f for f in (
     quality_rules.op2_quality_rules,
+    sharding.op6_sharding,
+    licenses.op8_license_scan,
 )}
 ORACLE: dict[str, str] = {}
