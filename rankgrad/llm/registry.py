@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import licenses, quality_rules, quotes, sharding
+from . import html_blocks, licenses, quality_rules, quotes, sharding
 
 QUERIES = {f.__name__: f for f in (
     quality_rules.op2_quality_rules,
     quotes.op3_quotation_linking,
+    html_blocks.op5_html_extraction,
     sharding.op6_sharding,
     licenses.op8_license_scan,
 )}
