@@ -158,14 +158,14 @@ def training_pages() -> list[tuple[str, set[str]]]:
     sides = ("<nav><ul>{l}</ul></nav>", "<div class='ad'>{t}</div>", "<aside><p>{t}</p></aside>", "<footer>{t}</footer>",
              "<div class='cookie-notice'><p>{t}</p></div>", "<section id='comments'><p>{t}</p></section>",
              "<div class='comment-list'><article><p>{t}</p></article></div>", "<form><p>{t}</p></form>", "<div class='sidebar'><ul>{l}</ul></div>", "<header><p>{t}</p></header>")
-    for k in range(30):
+    for k in range(48):
         text = lambda n, salt, k=k: f"{prose(k, n)} z{k}{salt}"
         before, after, between = (sides[(k + i) % len(sides)].format(l=links(k, 2 + k % 5), t=text((4, 14, 45)[(k + i) % 3], f"s{i}")) for i in (0, 3, 5))
         main = [text(2 + k % 7, "h"), *[text((1, 3, 60, 2, 30)[(k + i) % 5], f"m{i}") for i in range(1 + k % 4)]]
         inside = sides[(k + 7) % len(sides)].format(l=links(k, 4), t=text((40, 9)[k % 2], "i")) if k % 2 else ""
         body = f"<h1>{main[0]}</h1>" + inside + "".join(f"<p>{t}</p>" for t in main[1:])
         # with an element that names the article, or a plain one
-        if k % 3:
+        if k % 6:
             pages.append((f"{before}<article>{body}</article>{between}{after}", set(main)))
         else:
             long = [text(25 + 9 * i + (k * 7) % 60, f"p{i}") for i in range(3)]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import html_blocks, licenses, quality_rules, quotes, sharding
+from . import html_blocks, licenses, packing, quality_rules, quotes, sharding
 
 QUERIES = {f.__name__: f for f in (
     quality_rules.op2_quality_rules,
@@ -10,5 +10,6 @@ QUERIES = {f.__name__: f for f in (
     html_blocks.op5_html_extraction,
     sharding.op6_sharding,
     licenses.op8_license_scan,
+    packing.op9_best_fit_packing,
 )}
 ORACLE = {"op3_quotation_linking": quotes.SQL}
