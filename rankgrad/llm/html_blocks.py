@@ -161,7 +161,7 @@ def training_pages() -> list[tuple[str, set[str]]]:
     for k in range(48):
         text = lambda n, salt, k=k: f"{prose(k, n)} z{k}{salt}"
         before, after, between = (sides[(k + i) % len(sides)].format(l=links(k, 2 + k % 5), t=text((4, 14, 45)[(k + i) % 3], f"s{i}")) for i in (0, 3, 5))
-        main = [text(2 + k % 7, "h"), *[text((1, 3, 60, 2, 30)[(k + i) % 5], f"m{i}") for i in range(1 + k % 4)]]
+        main = [text(2 + k % 7, "h"), *[text((1, 60, 3, 2, 80, 1, 30)[(k + i * (1 + k % 3)) % 7], f"m{i}") for i in range(1 + k % 6)]]
         inside = sides[(k + 7) % len(sides)].format(l=links(k, 4), t=text((40, 9)[k % 2], "i")) if k % 2 else ""
         body = f"<h1>{main[0]}</h1>" + inside + "".join(f"<p>{t}</p>" for t in main[1:])
         # with an element that names the article, or a plain one
