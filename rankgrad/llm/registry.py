@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import html_blocks, licenses, packing, quality_rules, quotes, sharding
+from . import html_blocks, licenses, packing, quality_rules, quotes, sharding, warc
 
 QUERIES = {f.__name__: f for f in (
+    warc.op1_warc,
     quality_rules.op2_quality_rules,
     quotes.op3_quotation_linking,
     html_blocks.op5_html_extraction,
@@ -12,4 +13,4 @@ QUERIES = {f.__name__: f for f in (
     licenses.op8_license_scan,
     packing.op9_best_fit_packing,
 )}
-ORACLE = {"op3_quotation_linking": quotes.SQL}
+ORACLE = {"op1_warc": warc.SQL, "op3_quotation_linking": quotes.SQL}
