@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import html_blocks, licenses, packing, quality_rules, quotes, sharding, warc
+from . import html_blocks, language_id, licenses, packing, quality_rules, quotes, sharding, warc
 
 QUERIES = {f.__name__: f for f in (
     warc.op1_warc,
@@ -10,6 +10,7 @@ QUERIES = {f.__name__: f for f in (
     quotes.op3_quotation_linking,
     html_blocks.op5_html_extraction,
     sharding.op6_sharding,
+    language_id.op7_language_id,
     licenses.op8_license_scan,
     packing.op9_best_fit_packing,
 )}
