@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from . import html_blocks, language_id, licenses, packing, quality_rules, quotes, sharding, warc
+from . import html_blocks, language_id, licenses, packing, positional_index, quality_rules, quotes, sharding, warc
 
 QUERIES = {f.__name__: f for f in (
     warc.op1_warc,
     quality_rules.op2_quality_rules,
     quotes.op3_quotation_linking,
+    positional_index.op4_decontamination,
     html_blocks.op5_html_extraction,
     sharding.op6_sharding,
     language_id.op7_language_id,
     licenses.op8_license_scan,
     packing.op9_best_fit_packing,
 )}
-ORACLE = {"op1_warc": warc.SQL, "op3_quotation_linking": quotes.SQL}
+ORACLE = {
+    "op1_warc": warc.SQL,
+    "op3_quotation_linking": quotes.SQL,
+    "op4_decontamination": positional_index.SQL,
+}
