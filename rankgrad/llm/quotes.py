@@ -116,16 +116,16 @@ def thread_heads(replies: DataFrame) -> DataFrame:
     nodes = (replies.where(F.col("conv_id").isNotNull() & F.col("turn").isNotNull())
              .groupBy("conv_id", "turn").agg(F.min("parent_turn").alias("up")))
     state = saved(nodes.select("conv_id", "turn", F.coalesce("up", "turn").alias("head"),
-                               F.when(F.col("up").isNull(), 0).otherwise(1).alias("steps")), "quote-heads")
-    while True:
+                               F.when(F.col("up").isNull(), 0).otherwise(1).alias("steps"),
+                               F.col("up").isNotNull().alias("open")), "quote-heads")
+    while state.where("open").limit(1).count():
         up = state.select(F.col("conv_id").alias("c"), F.col("turn").alias("t"), F.col("head").alias("next"), F.col("steps").alias("more"))
         # a head is at its end once it points to itself; only the others go on
-        moved = saved(state.join(up, (F.col("conv_id") == F.col("c")) & (F.col("head") == F.col("t"))).select(
+        moved = state.where("open").join(up, (F.col("conv_id") == F.col("c")) & (F.col("head") == F.col("t"))).select(
             "conv_id", "turn", F.col("next").alias("head"), (F.col("steps") + F.col("more")).alias("steps"),
-            (F.col("more") > 0).alias("open")), "quote-heads")
-        if not moved.where("open").limit(1).count():
-            return moved.drop("open")
-        state = moved.drop("open")
+            (F.col("more") > 0).alias("open"))
+        state = saved(state.where("not open").unionByName(moved), "quote-heads")
+    return state.drop("open")
 
 
 def with_reply_quotes(conversations: DataFrame) -> DataFrame:
