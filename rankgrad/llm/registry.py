@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import html_blocks, language_id, licenses, packing, positional_index, quality_rules, quotes, sharding, warc
+from . import html_blocks, language_id, licenses, minmax_dedup, packing, positional_index, quality_rules, quotes, sharding, warc
 
 QUERIES = {f.__name__: f for f in (
     warc.op1_warc,
@@ -14,6 +14,7 @@ QUERIES = {f.__name__: f for f in (
     language_id.op7_language_id,
     licenses.op8_license_scan,
     packing.op9_best_fit_packing,
+    minmax_dedup.op10_minmax_dedup,
 )}
 ORACLE = {
     "op1_warc": warc.SQL,
