@@ -2,9 +2,12 @@
 
 The reference normalises images per channel with fixed constants and
 augments them with a random crop (pad 4) and a random horizontal flip. Here
-a row's feature vector is viewed as a ``side x side`` grid (row-major); the
-"random" choices come from integer arithmetic on ``(id, epoch)`` so that
-runs repeat and SQL can check them.
+a row's feature vector is viewed as a ``side x side`` grid (row-major) of
+``channels`` values per cell, interleaved as ``normalize`` takes them; the
+grid follows from the vector's length, and all channels of a row share one
+offset. A length that makes no square grid fails the job. The "random"
+choices come from integer arithmetic on ``(id, epoch)`` so that runs repeat
+and SQL can check them.
 """
 
 from __future__ import annotations
@@ -73,7 +76,7 @@ def crop_offsets(id_col: str, epoch: int | Column, pad: int) -> tuple[Column, Co
 # separate array columns instead would let the optimizer inline one array
 # expression into the next one's lambda and rebuild it for every cell.
 
-def _crop_map(id_col: str, side: int, pad: int, epoch: int):
+def _crop_map(id_col: str, side: Column, pad: int, epoch: int):
     dx, dy = crop_offsets(id_col, epoch, pad)
 
     def src(i):
@@ -84,7 +87,7 @@ def _crop_map(id_col: str, side: int, pad: int, epoch: int):
     return src
 
 
-def _flip_map(id_col: str, side: int, epoch: int):
+def _flip_map(id_col: str, side: Column, epoch: int):
     flip = (F.col(id_col) + F.lit(epoch)) % 2 == 1
 
     def src(i):
@@ -93,48 +96,63 @@ def _flip_map(id_col: str, side: int, epoch: int):
     return src
 
 
-def _gather(col: str, side: int, *maps) -> Column:
+def _side(col: str, side: int | None, channels: int) -> Column:
+    """Cells per grid row: given, or the root of the vector's cells."""
+    if side is not None:
+        return F.lit(side)
+    return F.round(F.sqrt(F.size(col) / F.lit(channels))).cast("int")
+
+
+def _gather(col: str, side: Column, channels: int, *maps) -> Column:
     """``out[i] = in[m_last(...m_first(i))]``, 0 where any map leaves the grid.
 
     ``maps`` are applied output-first: the last augmentation applied to the
-    data is the first map here.
+    data is the first map here. They map cells; a cell's channels move together.
     """
-    x = F.col(col)
+    x, n = F.col(col), F.size(col)
 
-    def cell(i):
-        idx, ok = i, F.lit(True)
+    def value(i):
+        idx, ok = F.floor(i / channels), F.lit(True)
         for m in maps:
             idx, inside = m(idx)
             ok = ok & inside
-        return F.when(ok, F.element_at(x, (idx + 1).cast("int")).cast("double")).otherwise(F.lit(0.0))
+        return F.when(ok, F.element_at(x, (idx * channels + i % channels + 1).cast("int")).cast("double")).otherwise(F.lit(0.0))
 
-    return F.transform(F.sequence(F.lit(0), F.lit(side * side - 1)), cell)
+    whole = F.transform(F.sequence(F.lit(0), n - 1), value)
+    wrong = F.concat(F.lit(f"no square grid of {channels} channels in a vector of length "), n.cast("string"))
+    return F.when(x.isNull(), F.lit(None)).when(n == side * side * channels, whole) \
+        .otherwise(F.raise_error(wrong).cast("array<double>"))
 
 
 def random_crop(df: DataFrame, col: str = "embedding", id_col: str = "vec_id",
-                side: int = 8, pad: int = 4, epoch: int = 0, out: str | None = None) -> DataFrame:
+                side: int | None = None, pad: int = 4, epoch: int = 0, out: str | None = None,
+                channels: int = 1) -> DataFrame:
     """Zero-pad by ``pad`` and cut a ``side x side`` window at offset (dx, dy).
 
     ``out[r][c] = in[r + dy][c + dx]`` when inside the grid, else 0.
     """
-    return df.withColumn(out or col, _gather(col, side, _crop_map(id_col, side, pad, epoch)))
+    s = _side(col, side, channels)
+    return df.withColumn(out or col, _gather(col, s, channels, _crop_map(id_col, s, pad, epoch)))
 
 
 def random_flip(df: DataFrame, col: str = "embedding", id_col: str = "vec_id",
-                side: int = 8, epoch: int = 0, out: str | None = None) -> DataFrame:
+                side: int | None = None, epoch: int = 0, out: str | None = None,
+                channels: int = 1) -> DataFrame:
     """Mirror each grid row when ``(id + epoch) % 2 = 1``."""
-    return df.withColumn(out or col, _gather(col, side, _flip_map(id_col, side, epoch)))
+    s = _side(col, side, channels)
+    return df.withColumn(out or col, _gather(col, s, channels, _flip_map(id_col, s, epoch)))
 
 
 def train_transform(df: DataFrame, epoch: int, col: str = "embedding", id_col: str = "vec_id",
-                    side: int = 8, pad: int = 4, mean: Sequence[float] = CHANNEL_MEAN,
-                    std: Sequence[float] = CHANNEL_STD) -> DataFrame:
+                    side: int | None = None, pad: int = 4, mean: Sequence[float] = CHANNEL_MEAN,
+                    std: Sequence[float] = CHANNEL_STD, channels: int = 1) -> DataFrame:
     """The training pipeline of the reference: crop, flip, then normalise.
 
     Crop and flip are fused into one gather (flip's map first, as it is
     applied last), then ``normalize`` reads that array once.
     """
-    aug = _gather(col, side, _flip_map(id_col, side, epoch), _crop_map(id_col, side, pad, epoch))
+    s = _side(col, side, channels)
+    aug = _gather(col, s, channels, _flip_map(id_col, s, epoch), _crop_map(id_col, s, pad, epoch))
     return normalize(df.withColumn(col, aug), col, mean, std)
 
 

@@ -80,6 +80,14 @@ def with_prediction(df: DataFrame, z: str = "scores", out: str = "pred") -> Data
     return df.withColumn(out, argmax_expr(F.col(z)))
 
 
+def label_range(df: DataFrame, label: str, classes: int) -> None:
+    """Raises unless all labels are whole numbers from 0 to ``classes - 1``."""
+    row = df.agg(F.min(label).alias("lo"), F.max(label).alias("hi"),
+                 F.count(F.when(F.col(label).isNull(), 1)).alias("nulls")).first()
+    if row.nulls or (row.lo is not None and (row.lo < 0 or row.hi >= classes)):
+        raise ValueError(f"labels must lie in 0..{classes - 1}: found {row.lo}..{row.hi}, {row.nulls} nulls")
+
+
 def fit_centroids(df: DataFrame, col: str = "embedding", label: str = "label",
                   classes: int = 10) -> Params:
     """Nearest-centroid parameters fitted from the table.
@@ -88,6 +96,7 @@ def fit_centroids(df: DataFrame, col: str = "embedding", label: str = "label",
     arg-max of the scores is the nearest class mean. One aggregate keyed by
     (class, element); ``K * d`` numbers reach the driver.
     """
+    label_range(df, label, classes)
     rows = df.select(label, F.posexplode(col).alias("j", "x")) \
         .groupBy(label, "j").agg(F.avg(F.col("x").cast("double")).alias("mu")).collect()
     d = max(r.j for r in rows) + 1

@@ -87,17 +87,13 @@ def collect_step(df: DataFrame, params: Params, n_shards: int, feat: str = "embe
                  label: str = "label", shard: str = "shard") -> tuple[np.ndarray, float]:
     """One step's averaged gradient (flat ``K*(d+1)``) and mean shard loss.
 
-    Each task returns one fixed-size row per shard; those partial rows (at
-    most tasks x shards, independent of the rows per task) are summed on
-    the driver, as a tree-aggregate's last level would be.
+    The tasks' partial sums are added by a Spark aggregate; the driver gets
+    ``n_shards`` rows of the model's size, however many tasks there are.
     """
     k, d = params.w.shape
-    width = k * (d + 1) + 2
-    mat = np.zeros((n_shards, width))
-    fold = _kernel(params.w, params.b, feat, label, shard)
-    partial = df.select(feat, label, shard).mapInPandas(fold, "shard int, stats array<double>")
-    for r in partial.collect():
-        mat[r.shard] += np.asarray(r.stats)
+    mat = np.zeros((n_shards, k * (d + 1) + 2))
+    sums = shard_stats(df, params, feat, label, shard).toPandas()
+    mat[sums["shard"], sums["slot"]] = sums["v"]
     present = mat[:, 0] > 0
     per_shard = mat[present, 2:] / mat[present, :1]
     losses = mat[present, 1] / mat[present, 0]

@@ -32,11 +32,12 @@ def random_order_key(cols: list[str], seed: int = 123) -> Column:
 
 
 def with_positions(df: DataFrame, order_by: list[Column], name: str = "pos",
-                   checkpoint: bool = True) -> DataFrame:
-    """Add a 0-based global position in ``order_by`` order.
+                   checkpoint: bool = True, total: str | None = None) -> DataFrame:
+    """Add a 0-based global position in ``order_by`` order, and with ``total``
+    the row count as a column of that name.
 
     ``order_by`` should be a total order (end with a unique key) for the
-    positions to be repeatable.
+    positions to be repeatable, and for rows that repeat to be dealt evenly.
     """
     tagged = df.orderBy(*order_by) \
         .withColumn("_pid", F.spark_partition_id()) \
@@ -46,11 +47,13 @@ def with_positions(df: DataFrame, order_by: list[Column], name: str = "pos",
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # one row per partition: a single-partition window here is bounded
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"),
+                            F.sum("_n").over(Window.partitionBy()).alias("_total"))
     local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
     return tagged.join(F.broadcast(offsets), "_pid") \
         .withColumn(name, (F.col("_off") + local).cast("long")) \
-        .drop("_pid", "_mid", "_off")
+        .withColumnRenamed("_total", total or "_total") \
+        .drop("_pid", "_mid", "_off", *([] if total else ["_total"]))
 
 
 def balanced_split(df: DataFrame, n: int, order_by: list[Column],
@@ -61,16 +64,20 @@ def balanced_split(df: DataFrame, n: int, order_by: list[Column],
     ``N % n`` leftover rows go one each to slices ``0, 1, ...``. Sizes differ
     by at most one.
     """
-    total = df.count()
-    q = total // n
-    pos = with_positions(df, order_by, "_pos")
-    p = F.col("_pos")
-    if q == 0:
-        slice_col = p
-    else:
-        slice_col = F.when(p < F.lit(n * q), F.floor(p / F.lit(q))) \
-            .otherwise(p - F.lit(n * q))
-    return pos.withColumn(name, slice_col.cast("int")).drop("_pos")
+    pos = with_positions(df, order_by, "_pos", total="_rows")
+    p, q = F.col("_pos"), F.floor(F.col("_rows") / F.lit(n))
+    slice_col = F.when(p < q * n, F.floor(p / q)).otherwise(p - q * n)
+    return pos.withColumn(name, slice_col.cast("int")).drop("_pos", "_rows")
+
+
+def random_split(df: DataFrame, n: int, seed: int = 123, name: str = "slice") -> DataFrame:
+    """``balanced_split`` in a seeded random order.
+
+    Every row gets its own key, so copies of one row are dealt like others.
+    """
+    tagged = df.withColumn("_row", F.monotonically_increasing_id())
+    key = random_order_key([*df.columns, "_row"], seed)
+    return balanced_split(tagged, n, [key, F.col("_row")], name).drop("_row")
 
 
 def assign_shards(positioned: DataFrame, n: int, pos: str = "pos",
@@ -82,7 +89,7 @@ def assign_shards(positioned: DataFrame, n: int, pos: str = "pos",
     """
     out = positioned
     if pad and n > 1:
-        total = positioned.count()
+        total = (positioned.agg(F.max(pos)).first()[0] or 0) + 1
         extra = (-total) % n
         if extra:
             repeat = positioned.filter(F.col(pos) < F.lit(extra)) \

@@ -67,10 +67,17 @@ def _long(df: DataFrame, col: str, id_col: str = "vec_id") -> DataFrame:
 
 # ---- 2.1 sources and sinks --------------------------------------------------
 
+def _edge_file(spark, sf) -> str:
+    """The edge lines as text files; the folder's path."""
+    path = scratch_path(spark, "edge-lines")
+    fx.edge_lines(spark, sf).write.text(path)
+    return path
+
+
 @register("edges_from_text", Q.edges_from_edge_lines_sql())
 def edges_from_text_q(spark, sf):
-    """Edge-list text (prefix comments, first two fields)."""
-    return text.edges_from_lines(fx.edge_lines(spark, sf), "prefix", "first_two")
+    """Edge-list text files (prefix comments, first two fields), read by path."""
+    return text.edges_from_text(spark, _edge_file(spark, sf), "prefix", "first_two")
 
 
 @register("link_files", f"SELECT value FROM ({Q.LINK_LINES})")
@@ -107,13 +114,27 @@ def rank_sink_roundtrip_q(spark, sf):
     return back.select("node", r6("rank").alias("rank"))
 
 
-@register("step_log_roundtrip")
+@register("rank_sink_single_file",
+          Q.rank_ctes(Q.G_PART, 10) + "\nSELECT CAST(node AS VARCHAR) AS node, "
+          "ROUND(rank, 6) AS rank, CAST(1 AS BIGINT) AS files FROM r10")
+def rank_sink_single_file_q(spark, sf):
+    """The same text sink with one output file."""
+    path = scratch_path(spark, "ranks-text")
+    text.write_ranks(pagerank(fx.g_part(spark, sf), 10), path, fmt="text", single_file=True)
+    files = spark.read.text(path).agg(F.countDistinct(F.input_file_name()).alias("files"))
+    return text.read_rank_lines(spark, path).select("node", r6("rank").alias("rank")).crossJoin(files)
+
+
+@register("step_log_roundtrip",
+          "SELECT CAST(0 AS INTEGER) AS epoch, CAST(i AS INTEGER) AS iteration, true AS timed FROM "
+          "(SELECT unnest(range(1, CAST(ceil(count(*) / 256.0) AS BIGINT) + 1)) AS i FROM embeddings)")
 def step_log_roundtrip_q(spark, sf):
-    """Step log of one training epoch, written as CSV and read back."""
+    """Step log of one training epoch, written as CSV and read back: its steps, and
+    whether each took time."""
     res = train.train_softmax(_vectors(spark, sf), order=train.fixture_order())
     path = scratch_path(spark, "steplog")
     steplog.write_step_log(res.steps, path)
-    return steplog.read_step_log(spark, path)
+    return steplog.read_step_log(spark, path).select("epoch", "iteration", (F.col("elapsed") > 0).alias("timed"))
 
 
 _SUMMARY_SQL = (
@@ -158,15 +179,10 @@ def split_strict_q(spark, sf):
     return clean.parse_edges(clean.drop_comments(fx.edge_lines(spark, sf), "anywhere"), "strict")
 
 
-@register("split_first_two",
-          "SELECT f[1] AS src, f[2] AS dst FROM (SELECT string_split(value, chr(9)) AS f "
-          f"FROM ({Q.LINK_LINES}) WHERE NOT starts_with(value, '#')) WHERE len(f) >= 2")
+@register("split_first_two", Q.edges_from_edge_lines_sql())
 def split_first_two_q(spark, sf):
-    """Prefix filter, then the first two fields. Lines with one field fail this
-    parser by design, so they are set aside by content first."""
-    lines = clean.drop_comments(fx.link_lines(spark, sf), "prefix")
-    lines = lines.filter(F.size(F.split("value", "\t", -1)) >= 2)
-    return clean.parse_edges(lines, "first_two")
+    """Prefix filter, then the first two fields; a line with one would fail."""
+    return clean.parse_edges(clean.drop_comments(fx.edge_lines(spark, sf), "prefix"), "first_two")
 
 
 @register("filter_two_fields",
@@ -305,16 +321,12 @@ def contributions_q(spark, sf):
 
 
 @register("adjacency",
-          f"WITH e AS ({Q.G_PART}), p AS (SELECT src, dst, COUNT(*) AS m FROM e GROUP BY src, dst)\n"
-          "SELECT src, 0 AS part, CAST(SUM(m) AS BIGINT) AS out_degree, "
-          "string_agg(CAST(dst AS VARCHAR) || '*' || CAST(m AS VARCHAR), ',' ORDER BY dst) "
-          "AS targets FROM p GROUP BY src")
+          f"WITH e AS ({Q.G_PART}), d AS (SELECT src, COUNT(*) AS out_degree FROM e GROUP BY src)\n"
+          "SELECT e.src, e.dst, COUNT(*) AS m, MAX(d.out_degree) AS out_degree FROM e JOIN d "
+          "ON e.src = d.src GROUP BY e.src, e.dst")
 def adjacency_q(spark, sf):
-    """Adjacency lists with multiplicities, rendered as text."""
-    adj = graph.adjacency(_weighted(spark, sf))
-    return adj.select("src", "part", "out_degree", F.array_join(F.transform(
-        "targets", lambda t: F.concat(t.dst.cast("string"), F.lit("*"), t.m.cast("string"))),
-        ",").alias("targets"))
+    """Adjacency in flat form, with multiplicities."""
+    return graph.adjacency(_weighted(spark, sf))
 
 
 @register("out_degree",
@@ -332,11 +344,7 @@ def contributions_from_adjacency_q(spark, sf):
     g = _weighted(spark, sf, fx.g_user)
     r0 = g.sources.select(F.col("src").alias("node"), F.lit(1.0).alias("rank"))
     r1 = graph.rank_step(g, r0)
-    adj = graph.adjacency(g)
-    c = adj.join(r1.select(F.col("node").alias("src"), "rank"), "src") \
-        .select("src", "rank", "out_degree", F.explode("targets").alias("t")) \
-        .select("src", F.col("t.dst").alias("dst"),
-                (F.col("rank") * F.col("t.m") / F.col("out_degree")).alias("contribution"))
+    c = graph.contributions_from_adjacency(graph.adjacency_lists(g, max_targets=100), r1)
     return c.select("src", "dst", r6("contribution").alias("contribution"))
 
 
@@ -445,12 +453,15 @@ def balanced_split_ordered_q(spark, sf):
     return sample.balanced_split(li, 30, [key, F.col("l_orderkey"), F.col("l_linenumber")])
 
 
-@register("balanced_random_split")
+@register("balanced_random_split",
+          f"WITH n AS (SELECT COUNT(*) AS n FROM ({Q.clean_links_sql('Category:')}))\n"
+          "SELECT CAST(i AS INTEGER) AS slice, n // 30 + CASE WHEN i < n % 30 THEN 1 ELSE 0 END AS rows "
+          "FROM n, range(30) t(i) WHERE n // 30 > 0 OR i < n % 30")
 def balanced_random_split_q(spark, sf):
-    """Equal-size split of the cleaned link pairs into 30 slices, seeded order."""
+    """Equal-size split of the cleaned link pairs into 30 slices, seeded order:
+    the rows of each slice."""
     e = clean.clean_links(fx.link_lines(spark, sf))
-    return sample.balanced_split(e, 30, [sample.random_order_key(["src", "dst"]),
-                                         F.col("src"), F.col("dst")])
+    return sample.random_split(e, 30).groupBy("slice").agg(F.count(F.lit(1)).alias("rows"))
 
 
 @register("shard_assign",
@@ -515,8 +526,15 @@ def pagerank_wiki_10_q(spark, sf):
 
 @register("pagerank_text", Q.pagerank_sql(Q.edges_from_edge_lines_sql(), 10))
 def pagerank_text_q(spark, sf):
-    """Rank job from edge-list text (string node keys)."""
-    return _rounded_ranks(pagerank(text.edges_from_lines(fx.edge_lines(spark, sf)), 10))
+    """Rank job from edge-list text files (string node keys), read by path."""
+    return _rounded_ranks(pagerank(text.edges_from_text(spark, _edge_file(spark, sf)), 10))
+
+
+@register("pagerank_wiki_partitioned_disk", Q.pagerank_sql(_WIKI_EDGES, 10))
+def pagerank_wiki_partitioned_disk_q(spark, sf):
+    """Links job with edges and ranks in 30 parts and the edges on disk."""
+    return _rounded_ranks(pagerank(clean.clean_links(fx.link_lines(spark, sf)), 10, partitions=30,
+                                   storage_level=StorageLevel.DISK_ONLY))
 
 
 @register("pagerank_partitioned", Q.pagerank_sql(Q.G_PART, 10))
@@ -538,14 +556,14 @@ def pagerank_memory_q(spark, sf):
 
 @register("pagerank_hot_split", Q.pagerank_sql(Q.G_PART, 10))
 def pagerank_hot_split_q(spark, sf):
-    """Skew path forced: sources above a low threshold take the broadcast side."""
+    """Skew path forced: sources above a low threshold are split over salts."""
     return _rounded_ranks(pagerank(fx.g_part(spark, sf), 10, hot_threshold=25))
 
 
 @register("pagerank_skewed", Q.pagerank_sql(Q.G_SKEW, 10))
 def pagerank_skewed_q(spark, sf):
-    """One source owns ~3/7 of the edges: the default threshold routes it to
-    the broadcast side (from sf0.01 on)."""
+    """One source owns ~3/7 of the edges: above the default threshold its edges
+    are split over several parts."""
     return _rounded_ranks(pagerank(fx.g_skew(spark, sf), 10))
 
 
@@ -620,7 +638,16 @@ def train_and_evaluate_transformed_q(spark, sf):
 
 # ---- 2.8 layout ------------------------------------------------------------------
 
-@register("partition_profile")
+@register("partition_profile",
+          f"SELECT COUNT(*) AS rows, COUNT(DISTINCT src) AS keys, CAST(0 AS BIGINT) AS torn_keys, true AS as_dealt FROM ({Q.G_PART})")
 def partition_profile_q(spark, sf):
-    """Rows per part of the edges hash-partitioned by source into 30."""
-    return graph.partition_profile(fx.g_part(spark, sf), 30, "src")
+    """The edges hash-partitioned by source into 30: all rows, keys, keys in several
+    parts, and whether the profile's parts are those of a real repartition."""
+    e = fx.g_part(spark, sf)
+    profile = graph.partition_profile(e, 30, "src")
+    dealt = e.repartition(30, "src").groupBy(F.spark_partition_id().alias("part"), "src").agg(F.count(F.lit(1)).alias("n"))
+    real = dealt.groupBy("part").agg(F.sum("n").alias("n"))
+    keys = dealt.groupBy("src").agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n")).agg(
+        F.sum("n").alias("rows"), F.count(F.lit(1)).alias("keys"), F.count(F.when(F.col("parts") > 1, 1)).alias("torn_keys"))
+    same = profile.join(real, "part", "full").agg(F.bool_and(F.col("rows").eqNullSafe(F.col("n"))).alias("as_dealt"))
+    return keys.crossJoin(same)  # one row each

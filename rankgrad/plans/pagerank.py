@@ -5,16 +5,16 @@ keeps only nodes that receive a contribution, ``rank = 0.15 + 0.85 * sum``,
 no normalisation and no dangling redistribution, fixed iteration count.
 
 Fault tolerance: every ``checkpoint_every`` iterations the ranks are saved
-reliably, either as a table bucketed by node in the shared checkpoint
-folder (which keeps them co-partitioned with the edges) or, with
-``save_dir``, as Parquet under ``save_dir/iter=K``; the final ranks are
-checkpointed. A later
-call with ``resume_from`` continues from the last complete save instead of
-iteration 0; edges are rebuilt from their source, which is deterministic.
+reliably, bucketed by node (which keeps them co-partitioned with the edges),
+in the shared checkpoint folder or, with ``save_dir``, under
+``save_dir/iter=K``; the final ranks are checkpointed. A later call with
+``resume_from`` continues from the last complete save instead of iteration 0,
+after comparing the folder's run record with its own edges and parameters.
 """
 
 from __future__ import annotations
 
+import contextlib
 import re
 import uuid
 
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..operators.graph import (BASE, DAMPING, WeightedGraph, layout_exists, open_weighted,
                                rank_step, weight_edges)
-from ..session import ensure_checkpoint_dir, reliable_checkpoint, scratch_path
+from ..session import drop_path, ensure_checkpoint_dir, reliable_checkpoint, scratch_path
 
 _ITER_DIR = re.compile(r"iter=(\d+)$")
 
@@ -49,6 +49,49 @@ def completed_saves(spark, save_dir: str) -> list[int]:
     return sorted(done)
 
 
+def edge_fingerprint(edges: DataFrame) -> str:
+    """Count and hash sum of the edges: equal for equal bags, in any order."""
+    row = edges.agg(F.count(F.lit(1)).alias("n"),
+                    F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)")).alias("h")).first()
+    return f"{row.n}:{row.h}"
+
+
+def read_record(spark, save_dir: str):
+    """The run record of a save folder, or None."""
+    fs, p = _hadoop_fs(spark, f"{save_dir.rstrip('/')}/run/_SUCCESS")
+    return spark.read.parquet(f"{save_dir.rstrip('/')}/run").first() if fs.exists(p) else None
+
+
+def _new_record(spark, save_dir: str, record: dict) -> None:
+    fs, p = _hadoop_fs(spark, save_dir)
+    if fs.exists(p) and len(fs.listStatus(p)):
+        raise ValueError(f"{save_dir} holds another run's saves: resume from it, or give an empty folder")
+    spark.createDataFrame([tuple(record.values())], "edges string, damping double, base double") \
+        .coalesce(1).write.parquet(f"{save_dir.rstrip('/')}/run")
+
+
+def _check_record(spark, save_dir: str, record: dict) -> None:
+    found = read_record(spark, save_dir)
+    if found is None:
+        raise ValueError(f"{save_dir} has no run record to resume from")
+    for name, value in record.items():
+        if found[name] != value:
+            raise ValueError(f"cannot resume from {save_dir}: its {name} is {found[name]!r}, not {value!r}")
+
+
+@contextlib.contextmanager
+def _shuffle_parts(spark, parts: int | None):
+    """Shuffles in ``parts`` while the loop runs, so that ranks are laid out like the edges."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    if parts:
+        spark.conf.set(key, str(parts))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def pagerank(edges: DataFrame, iterations: int = 10, damping: float = DAMPING,
              base: float = BASE, partitions: int | None = None,
              storage_level: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
@@ -57,103 +100,111 @@ def pagerank(edges: DataFrame, iterations: int = 10, damping: float = DAMPING,
              materialize: bool = True, edge_store: str = "cache") -> DataFrame:
     """Ranks ``(node, rank)`` after ``iterations`` steps over ``edges(src, dst)``.
 
-    ``partitions``: hash parts of the edge layout (default: the session's
-    shuffle partitions, which co-locates edges with each iteration's ranks).
-    ``storage_level``: level of the persisted weighted edges, ``None`` for
-    no persistence. ``edge_store="table"``: write the edge layout bucketed
-    by source under ``save_dir/edges`` (or a fresh folder of the shared
-    checkpoint folder) instead of caching it; a resumed run reopens it
-    rather than rebuilding it. ``materialize``: save the final ranks
-    reliably and drop the persisted edges before returning.
+    ``partitions``: hash parts of the edge layout and of the loop's shuffles
+    (default: the session's shuffle partitions). ``storage_level``: level of
+    the persisted weighted edges, ``None`` for no persistence.
+    ``edge_store="table"``: write the edge layout bucketed by source under
+    ``save_dir/edges`` (or a fresh scratch folder, freed at the end) instead of
+    caching it; a resumed run reopens it rather than rebuilding it.
+    ``materialize``: save the final ranks reliably and drop the persisted
+    edges before returning.
+
+    ``save_dir`` must be empty or, with ``resume_from``, hold saves of the same
+    edges, damping and base: its run record is compared, and a mismatch raises.
     """
     spark = edges.sparkSession
-    store_dir = None
-    if edge_store == "table":
-        store_dir = f"{save_dir.rstrip('/')}/edges" if save_dir else scratch_path(spark, "edges")
-    elif edge_store != "cache":
+    if edge_store not in ("cache", "table"):
         raise ValueError(f"unknown edge store {edge_store!r}")
-    reuse = None
-    if resume_from is not None and layout_exists(spark, f"{resume_from.rstrip('/')}/edges"):
-        reuse = f"{resume_from.rstrip('/')}/edges"
-    if reuse is not None:
-        graph = open_weighted(spark, reuse)
+    save_dir, resume_from = (d and d.rstrip("/") for d in (save_dir, resume_from))
+    if save_dir or resume_from:
+        record = {"edges": edge_fingerprint(edges), "damping": float(damping), "base": float(base)}
+        if resume_from:
+            _check_record(spark, resume_from, record)
+        if save_dir and save_dir != resume_from:
+            _new_record(spark, save_dir, record)
+    stored = f"{resume_from}/edges" if resume_from and layout_exists(spark, f"{resume_from}/edges") else None
+    if stored:
+        graph = open_weighted(spark, stored)
+        if partitions not in (None, graph.parts) or hot_threshold not in (None, graph.hot_keys.threshold):
+            asked = (partitions, hot_threshold)
+            had = (graph.parts, graph.hot_keys.threshold)
+            graph.unpersist()
+            raise ValueError(f"the stored layout has parts and threshold {had}, not {asked}")
     else:
-        graph = weight_edges(edges, parts=partitions, storage_level=storage_level,
-                             hot_threshold=hot_threshold, store_dir=store_dir)
+        own = scratch_path(spark, "edges") if edge_store == "table" and not save_dir else None
+        store_dir = own or (f"{save_dir}/edges" if edge_store == "table" else None)
+        with _shuffle_parts(spark, partitions):
+            graph = weight_edges(edges, parts=partitions, storage_level=storage_level,
+                                 hot_threshold=hot_threshold, store_dir=store_dir)
+        graph.folder = own
+    cuts = Cuts(spark, graph.parts)
     try:
-        start, ranks = 0, None
-        if resume_from is not None:
-            saves = [k for k in completed_saves(spark, resume_from) if k <= iterations]
-            if saves:
-                start = saves[-1]
-                ranks = spark.read.parquet(f"{resume_from.rstrip('/')}/iter={start}")
-        if ranks is None:
-            ranks = graph.sources.select(F.col("src").alias("node"),
-                                         F.lit(1.0).alias("rank"))
-        if checkpoint_every and save_dir is None:
-            ensure_checkpoint_dir(spark)
-        # with a hot set, each iteration reads the previous ranks twice (the
-        # co-partitioned join and the broadcast of the hot sources' ranks);
-        # a lazy chain of such steps re-runs earlier iterations, so the
-        # lineage is cut after every iteration (a node-sized write)
-        every = 1 if graph.hot is not None else checkpoint_every
-        cuts: list[str] = []
-        for i in range(start + 1, iterations + 1):
-            ranks = rank_step(graph, ranks, damping=damping, base=base)
-            if every and i % every == 0 and i < iterations:
-                ranks = _save(ranks, i, save_dir) if save_dir else \
-                    _cut(ranks, graph.parts, cuts)
-        done = start == iterations  # resumed at the target: the save is the answer
-        if materialize and not done and (graph.persisted or store_dir or reuse
-                                         or graph.hot is not None or cuts):
-            ranks = _save(ranks, iterations, save_dir)
-            _drop(spark, cuts)
+        with _shuffle_parts(spark, partitions):
+            start, ranks = 0, None
+            if resume_from:
+                saves = [k for k in completed_saves(spark, resume_from) if k <= iterations]
+                if saves:
+                    start = saves[-1]
+                    ranks = spark.read.parquet(f"{resume_from}/iter={start}")
+            if ranks is None:
+                ranks = graph.sources.select(F.col("src").alias("node"), F.lit(1.0).alias("rank"))
+            if checkpoint_every and not save_dir:
+                ensure_checkpoint_dir(spark)
+            for i in range(start + 1, iterations + 1):
+                ranks = rank_step(graph, ranks, damping=damping, base=base)
+                if checkpoint_every and i % checkpoint_every == 0 and i < iterations:
+                    ranks = cuts.cut(ranks, f"{save_dir}/iter={i}" if save_dir else None)
+            done = start == iterations  # resumed at the target: the save is the answer
+            if materialize and not done and (graph.persisted or graph.tables or cuts.name):
+                if save_dir:
+                    ranks.write.mode("overwrite").parquet(f"{save_dir}/iter={iterations}")
+                    ranks = spark.read.parquet(f"{save_dir}/iter={iterations}")
+                else:
+                    ranks = reliable_checkpoint(ranks)
     finally:
         if materialize:
+            cuts.close()
             graph.unpersist()
     return ranks
 
 
-def _cut(ranks: DataFrame, parts: int, cuts: list[str]) -> DataFrame:
-    """Cut the lineage by writing the ranks as a table bucketed by ``node``
-    into the shared checkpoint folder (one write job).
+class Cuts:
+    """Lineage cuts of a rank loop: the last one is live, earlier ones are freed.
 
-    A bucketed scan reports the same hash partitioning the edges have, so
-    the next iteration's join reads the ranks without a shuffle; a plain
-    checkpoint under adaptive execution would lose it. Earlier cuts are no
-    longer referenced and leave the catalog (their files stay).
+    A cut writes the ranks as a table bucketed by ``node``. A bucketed scan
+    reports the same hash partitioning the edges have, so the next iteration's
+    join reads the ranks without a shuffle; a plain checkpoint under adaptive
+    execution would lose it. Cuts at a given path are a run's saves and stay;
+    the others lie in scratch folders that go once the next cut is committed.
     """
-    spark = ranks.sparkSession
-    name = f"rankgrad_{uuid.uuid4().hex[:16]}"
-    ranks.write.bucketBy(parts, "node").option("path", scratch_path(spark, "ranks")) \
-        .saveAsTable(name)
-    _drop(spark, cuts)
-    cuts.append(name)
-    return spark.table(name)
-
-
-def _drop(spark, cuts: list[str]) -> None:
-    for name in cuts:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-    cuts.clear()
-
 
-def _save(ranks: DataFrame, i: int, save_dir: str | None) -> DataFrame:
-    """Cut the lineage: reliable checkpoint, or a Parquet save for resume."""
-    if save_dir is None:
-        return reliable_checkpoint(ranks)
-    path = f"{save_dir.rstrip('/')}/iter={i}"
-    ranks.write.mode("overwrite").parquet(path)
-    return ranks.sparkSession.read.parquet(path)
+    def __init__(self, spark, parts: int):
+        self.spark, self.parts, self.name, self.scratch = spark, parts, None, None
+
+    def cut(self, ranks: DataFrame, path: str | None = None) -> DataFrame:
+        scratch = None if path else scratch_path(self.spark, "ranks")
+        name = f"rankgrad_{uuid.uuid4().hex[:16]}"
+        try:
+            ranks.write.mode("overwrite").bucketBy(self.parts, "node").option("path", path or scratch).saveAsTable(name)
+        except BaseException:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            raise
+        self.close()
+        self.name, self.scratch = name, scratch
+        return self.spark.table(name)
+
+    def close(self) -> None:
+        if self.name:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        if self.scratch:
+            drop_path(self.spark, self.scratch)
+        self.name = self.scratch = None
 
 
 def pagerank_graph(graph: WeightedGraph, iterations: int = 10,
                    damping: float = DAMPING, base: float = BASE) -> DataFrame:
-    """Loop over an already laid-out graph, lazy unless it has hot sources
-    (then each iteration is checkpointed, as in ``pagerank``)."""
+    """Loop over an already laid-out graph, lazy: nothing runs before an action."""
     ranks = graph.sources.select(F.col("src").alias("node"), F.lit(1.0).alias("rank"))
-    for i in range(iterations):
+    for _ in range(iterations):
         ranks = rank_step(graph, ranks, damping=damping, base=base)
-        if graph.hot is not None and i < iterations - 1:
-            ranks = reliable_checkpoint(ranks)
     return ranks

@@ -7,8 +7,8 @@ partitioned by ``block`` (a run of consecutive batches), so each step's
 read is pruned to one block's files instead of scanning the epoch.
 
 Per step, one Spark job computes the shard gradients on executors
-(``mapInPandas`` kernel), the driver averages ``n_shards`` small vectors and
-applies the SGD update (momentum, weight decay), and the new parameters
+(``mapInPandas`` kernel) and adds them up; the driver averages ``n_shards``
+vectors of the model's size and applies the SGD update (momentum, weight decay), and the new parameters
 travel in the next step's closure.
 """
 
@@ -23,12 +23,12 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.features import as_double, test_transform, train_transform
-from ..functions.model import (Params, argmax_expr, cross_entropy_expr, scores_expr)
+from ..functions.features import test_transform, train_transform
+from ..functions.model import (Params, argmax_expr, cross_entropy_expr, label_range, scores_expr)
 from ..operators.gradients import collect_step
 from ..operators.sample import (assign_batches, assign_shards, hash_order_key,
                                 random_order_key, with_positions)
-from ..session import scratch_path
+from ..session import drop_path, scratch_path
 
 # fixed values of the reference's optimiser and loaders
 LEARNING_RATE = 0.1
@@ -40,7 +40,9 @@ LOG_EVERY = 20
 TEST_MOD = 5
 
 # row-group size of a staged epoch: what one step reads at least
-STEP_ROW_GROUP_BYTES = 4 * 1024 * 1024
+STEP_ROW_GROUP_BYTES = 512 * 1024
+# rows of a block that one task writes, about
+WRITER_ROWS = 125_000
 
 
 def split(df: DataFrame, test_mod: int = TEST_MOD, id_col: str = "vec_id") -> tuple[DataFrame, DataFrame]:
@@ -65,16 +67,20 @@ def layout_epoch(df: DataFrame, shards: int, batch_size: int, order: list[Column
     return assign_batches(assign_shards(pos, shards, "pos", pad=True), batch_size, "shard_pos")
 
 
-def stage_epoch(laid: DataFrame, path: str, batches_per_block: int) -> DataFrame:
+def stage_epoch(laid: DataFrame, path: str, batches_per_block: int, writers: int = 1) -> DataFrame:
     """Write a laid-out epoch once and return it read back.
 
-    Rows go to ``block = batch_id // batches_per_block`` folders, sorted by
-    batch within each folder and written in small row groups: a step's
-    filter prunes to one folder, then to the few row groups whose batch_id
-    range holds it (footer statistics), not the whole block.
+    Rows go to ``block = batch_id // batches_per_block`` folders, dealt over
+    ``writers`` files each, sorted by batch within a file and written in small
+    row groups: a step's filter prunes to one folder, then to the few row
+    groups whose batch_id range holds it (footer statistics).
     """
-    laid.withColumn("block", F.floor(F.col("batch_id") / batches_per_block).cast("long")) \
-        .repartition("block").sortWithinPartitions("batch_id") \
+    blocked = laid.withColumn("block", F.floor(F.col("batch_id") / batches_per_block).cast("long"))
+    if writers > 1:
+        blocked = blocked.repartition("block", F.pmod(F.xxhash64("batch_id", "shard", "x"), F.lit(writers)))
+    else:
+        blocked = blocked.repartition("block")
+    blocked.sortWithinPartitions("block", "batch_id") \
         .write.option("parquet.block.size", STEP_ROW_GROUP_BYTES) \
         .partitionBy("block").parquet(path)
     return laid.sparkSession.read.parquet(path)
@@ -115,16 +121,18 @@ def train_softmax(df: DataFrame, shards: int = 1, batch_size: int = BATCH_SIZE,
     order = order or seeded_order(id_col)
     base = df.select(id_col, label_col, feature_col)
     d = base.select(F.size(feature_col)).first()[0]
+    label_range(base, label_col, classes)
     params = params or Params.zeros(classes, d)
     velocity = None
     log_rows, loss_rows = [], []
     batches_per_block = max(1, block_rows // (batch_size * shards))
+    writers = max(1, -(-max(block_rows, batch_size * shards) // WRITER_ROWS))
     for epoch in range(epochs):
         data = augment(base, epoch) if augment else base
-        data = data.withColumn("x", as_double(feature_col))
+        data = data.withColumn("x", F.col(feature_col))  # its own type: floats stay floats on disk
         laid = layout_epoch(data.select(id_col, label_col, "x"), shards, batch_size, order(epoch))
         staged = stage_epoch(laid.select("batch_id", "shard", label_col, "x"),
-                             scratch_path(spark, f"epoch{epoch}"), batches_per_block)
+                             folder := scratch_path(spark, f"epoch{epoch}"), batches_per_block, writers)
         n_batches = staged.agg(F.max("batch_id")).first()[0] + 1
         clock = time.time()
         for step in range(n_batches):
@@ -135,6 +143,7 @@ def train_softmax(df: DataFrame, shards: int = 1, batch_size: int = BATCH_SIZE,
             log_rows.append((epoch, step + 1, now - clock))
             loss_rows.append((epoch, step, loss))
             clock = now
+        drop_path(spark, folder)
     steps = spark.createDataFrame(log_rows, "epoch int, iteration int, elapsed double")
     losses = spark.createDataFrame(loss_rows, "epoch int, step int, loss double")
     return TrainResult(params, steps, losses)

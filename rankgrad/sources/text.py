@@ -7,11 +7,7 @@ are hidden and never read.
 
 from __future__ import annotations
 
-import ast
-import functools
-
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.clean import drop_comments, parse_edges
@@ -52,29 +48,36 @@ def edges_from_lines(lines: DataFrame, comment_mode: str = "prefix",
     return parse_edges(drop_comments(lines, comment_mode), parse_mode)
 
 
-def _print_pairs(node: pd.Series, rank: pd.Series) -> pd.Series:
-    # the reference's text sink prints each (node, rank) tuple with Python's
-    # str(); a tiny per-value helper reproduces quoting and float digits exactly
-    return pd.Series([str((n, r)) for n, r in zip(node, rank)], dtype=object)
-
-
-def _parse_pairs(line: pd.Series) -> pd.DataFrame:
-    pairs = [ast.literal_eval(v) for v in line]
-    return pd.DataFrame({"node": [p[0] for p in pairs], "rank": [float(p[1]) for p in pairs]})
+def _python_string(c: Column) -> Column:
+    """A string as Python prints it in a tuple: quotes chosen, escapes written."""
+    q, d, back = "'", '"', "\\"
+    text = F.replace(c, F.lit(back), F.lit(back * 2))
+    for raw, shown in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        text = F.replace(text, F.lit(raw), F.lit(shown))
+    single = c.contains(q)
+    return F.when(single & ~c.contains(d), F.concat(F.lit(d), text, F.lit(d))) \
+        .otherwise(F.concat(F.lit(q), F.replace(text, F.lit(q), F.lit(back + q)), F.lit(q)))
 
 
-@functools.cache
-def _udfs():
-    # built on first use: a pandas UDF needs an active session to be created
-    return (F.pandas_udf(_print_pairs, "string"),
-            F.pandas_udf(_parse_pairs, "node string, rank double"))
+def _python_float(c: Column) -> Column:
+    """A double as Python prints it: plain digits for exponents from -4 to 15."""
+    shown = c.cast("string")
+    digits, power = F.split(shown, "E").getItem(0), F.split(shown, "E")
+    exponent = F.get(power, F.lit(1)).cast("int")
+    plain = F.regexp_replace(F.regexp_replace(c.try_cast("decimal(38,20)").cast("string"), "0+$", ""), r"\.$", ".0")
+    tail = F.concat(F.when(exponent < 0, "-").otherwise("+"), F.lpad(F.abs(exponent).cast("string"), 2, "0"))
+    long_tail = F.when(F.abs(exponent) > 99, F.concat(F.when(exponent < 0, "-").otherwise("+"), F.abs(exponent).cast("string"))).otherwise(tail)
+    return F.when(F.isnan(c), "nan").when(F.abs(c) == float("inf"), F.when(c > 0, "inf").otherwise("-inf")) \
+        .when(exponent.isNull(), shown) \
+        .when((exponent >= -4) & (exponent < 16), plain) \
+        .otherwise(F.concat(F.regexp_replace(digits, r"\.0$", ""), F.lit("e"), long_tail))
 
 
 def rank_lines(ranks: DataFrame) -> DataFrame:
     """Ranks as text lines, printed the way the reference's sink prints them:
     ``('node', rank)`` (node keys as strings, Python float digits)."""
-    printed = _udfs()[0]
-    return ranks.select(printed(F.col("node").cast("string"), F.col("rank")).alias("value"))
+    return ranks.select(F.concat(F.lit("("), _python_string(F.col("node").cast("string")), F.lit(", "),
+                                 _python_float(F.col("rank")), F.lit(")")).alias("value"))
 
 
 def write_ranks(ranks: DataFrame, path: str, single_file: bool = False,
@@ -95,5 +98,8 @@ def write_ranks(ranks: DataFrame, path: str, single_file: bool = False,
 
 def read_rank_lines(spark: SparkSession, path: str) -> DataFrame:
     """Parse ``('node', rank)`` lines back into ``(node STRING, rank DOUBLE)``."""
-    parse = _udfs()[1]
-    return spark.read.text(path).select(parse("value").alias("p")).select("p.*")
+    line, pattern, mark = F.col("value"), r"""(?s)^\((['"])(.*)\1, ([^,']+)\)$""", "\0"
+    node = F.replace(F.regexp_extract(line, pattern, 2), F.lit("\\\\"), F.lit(mark))
+    for raw, shown in (("'", "\\'"), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"), ("\\", mark)):
+        node = F.replace(node, F.lit(shown), F.lit(raw))
+    return spark.read.text(path).select(node.alias("node"), F.regexp_extract(line, pattern, 3).cast("double").alias("rank"))

@@ -64,11 +64,81 @@ def test_layout_variants_agree(spark, part_ranks, kw):
 
 def test_resume_reopens_stored_edges(spark, part_ranks):
     save = scratch_path(spark, "test-saves")
-    pagerank(fx.g_part(spark, SF01), 6, save_dir=save, edge_store="table")
-    # resumed from the stored layout: the input edges are not read again
-    empty = fx.g_part(spark, SF01).limit(0)
-    resumed = pagerank(empty, 10, save_dir=save, resume_from=save, edge_store="table")
+    e = fx.g_part(spark, SF01)
+    pagerank(e, 6, save_dir=save, edge_store="table")
+    resumed = pagerank(e, 10, save_dir=save, resume_from=save, edge_store="table")
     assert close(as_dict(resumed), part_ranks)
+    for other in (e.limit(0), e.union(e.limit(1)), graph.reverse_edges(e)):
+        with pytest.raises(ValueError, match="its edges"):
+            pagerank(other, 10, save_dir=save, resume_from=save, edge_store="table")
+    with pytest.raises(ValueError, match="stored layout"):
+        pagerank(e, 10, resume_from=save, partitions=5, edge_store="table")
+
+
+def test_saves_of_another_run_are_refused(spark):
+    save = scratch_path(spark, "test-saves")
+    a = spark.createDataFrame([("a", "b"), ("a", "c"), ("b", "a"), ("c", "a"), ("c", "b")], "src string, dst string")
+    b = spark.createDataFrame([("a", "b"), ("b", "a")], "src string, dst string")
+    pagerank(a, 10, save_dir=save)
+    with pytest.raises(ValueError, match="another run"):
+        pagerank(b, 4, save_dir=save)
+    with pytest.raises(ValueError, match="its edges"):
+        pagerank(b, 10, save_dir=save, resume_from=save)
+    for changed in ({"damping": 0.5}, {"base": 0.2}):
+        with pytest.raises(ValueError, match="cannot resume"):
+            pagerank(a, 12, save_dir=save, resume_from=save, **changed)
+    with pytest.raises(ValueError, match="no run record"):
+        pagerank(a, 4, resume_from=scratch_path(spark, "none"))
+    fresh = scratch_path(spark, "test-saves")
+    pagerank(b, 4, save_dir=fresh)
+    assert as_dict(pagerank(b, 10, save_dir=fresh, resume_from=fresh)) == pytest.approx({"a": 1.0, "b": 1.0})
+
+
+def test_saves_follow_the_cadence_with_hot_sources(spark):
+    e = fx.g_part(spark, SF01)
+    for cadence, want in ((None, [6]), (2, [2, 4, 6])):
+        for threshold in (None, 20):
+            save = scratch_path(spark, "test-saves")
+            pagerank(e, 6, save_dir=save, checkpoint_every=cadence, hot_threshold=threshold)
+            assert completed_saves(spark, save) == want
+
+
+def test_null_keys_are_rejected(spark):
+    for rows in ([("a", None)], [(None, "a")]):
+        with pytest.raises(Exception, match="null node key"):
+            pagerank(spark.createDataFrame([("a", "b"), *rows], "src string, dst string"), 1)
+
+
+@pytest.mark.parametrize("threshold", [None, 20])
+def test_part_count_holds_without_broadcast(spark, threshold):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    g = graph.weight_edges(fx.g_part(spark, SF01), parts=30, hot_threshold=threshold)
+    try:
+        assert g.laid.rdd.getNumPartitions() == 30
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        g.unpersist()
+
+
+def test_scratch_holds_only_live_state(spark):
+    from rankgrad.session import ensure_checkpoint_dir
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(ensure_checkpoint_dir(spark))
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def folders():
+        return {s.getPath().getName() for s in fs.listStatus(root) if not s.getPath().getName().startswith("rdd-")}
+
+    before, tables = folders(), {t.name for t in spark.catalog.listTables()}
+    out = pagerank(fx.g_part(spark, SF01), 7, checkpoint_every=2, edge_store="table")
+    assert out.count() == 100
+    assert folders() == before and {t.name for t in spark.catalog.listTables()} == tables
+
+
+def test_cluster_without_a_shared_folder_is_refused():
+    from rankgrad.session import one_process
+    assert all(map(one_process, ("local", "local[4]", "local[*]", "local[2,3]")))
+    assert not any(map(one_process, ("local-cluster[3,2,1024]", "yarn", "spark://h:7077", "k8s://x")))
 
 
 def test_resume_equals_straight_run(spark, part_ranks):
@@ -89,19 +159,21 @@ def test_reverse_twice_is_identity(spark):
 def test_hot_sources_split_and_adjacency_parts(spark):
     g = graph.weight_edges(fx.g_user(spark, SF01), hot_threshold=50)
     try:
-        assert g.hot is not None and g.hot_keys.count > 0
+        assert g.hot_keys.count > 0 and g.keys == ["src", "salt"]
         plain = graph.weight_edges(fx.g_user(spark, SF01))
-        assert plain.hot is None
+        assert plain.keys == ["src"]
         assert close(as_dict(pagerank_graph(g, 5)), as_dict(pagerank_graph(plain, 5)))
-        adj = graph.adjacency(g, max_targets=10)
-        assert adj.agg(F.max("part")).first()[0] > 0
+        flat = sorted(map(tuple, graph.adjacency(g).collect()))
+        assert flat == sorted(map(tuple, graph.adjacency(plain).collect()))
+        lists = graph.adjacency_lists(g, max_targets=10)
+        assert lists.agg(F.max("part")).first()[0] > 0
         # parts of one source together hold its whole out-degree
-        per_src = adj.select("src", "out_degree", F.aggregate(
+        per_src = lists.select("src", "out_degree", F.aggregate(
             "targets", F.lit(0).cast("long"), lambda a, t: a + t.m).alias("s")) \
             .groupBy("src", "out_degree").agg(F.sum("s").alias("s"))
         assert per_src.filter(F.col("s") != F.col("out_degree")).count() == 0
         r0 = g.sources.select(F.col("src").alias("node"), F.lit(1.0).alias("rank"))
-        a = graph.contributions_from_adjacency(adj, r0).groupBy("dst").agg(F.sum("contribution"))
+        a = graph.contributions_from_adjacency(lists, r0).groupBy("dst").agg(F.sum("contribution"))
         b = graph.contributions(g, r0).groupBy("dst").agg(F.sum("contribution"))
         assert close({r[0]: r[1] for r in a.collect()}, {r[0]: r[1] for r in b.collect()})
         plain.unpersist()
@@ -167,40 +239,42 @@ def test_partition_profile(spark):
     assert len(prof) <= 30
 
 
-def test_default_threshold_finds_the_hot_source(spark):
+def test_default_threshold_splits_the_hot_source(spark):
     g = graph.weight_edges(fx.g_skew(spark, SF01))
     try:
         assert g.hot_keys.count == 1
-        assert [r.src for r in g.hot_keys.frame.collect()] == [0]
-        # the hot source's edges are all on the broadcast side
-        assert g.normal.filter(F.col("src") == 0).count() == 0
-        assert g.hot.select("src").distinct().count() == 1
-        # normal partitions stay bounded by the threshold (no third of the data in one)
-        sizes = [r["count"] for r in g.normal.groupBy(F.spark_partition_id()).count().collect()]
-        assert max(sizes) < g.hot_keys.threshold
+        assert [(r.src, r.salts > 1) for r in g.hot_keys.frame.collect()] == [(0, True)]
+        assert g.laid.filter("src = 0").select("salt").distinct().count() == g.hot_keys.frame.first().salts
+        # no source or salt holds more than about the threshold
+        sizes = [r["count"] for r in g.laid.groupBy("src", "salt").count().collect()]
+        assert max(sizes) < 1.2 * g.hot_keys.threshold
     finally:
         g.unpersist()
 
 
-def test_forced_hot_set_is_refused_above_bound(spark):
-    from rankgrad.operators.skew import find_hot_keys
+def test_forced_hot_set_above_the_bound_is_not_broadcast(spark, part_ranks):
+    from rankgrad.operators import skew
     stats = graph.source_stats(graph.edge_multiplicity(fx.g_part(spark, SF01)))
-    ok = find_hot_keys(stats, "src", "n_targets", 8, threshold=1, max_broadcast_rows=5000)
-    assert ok.count == 2000
-    with pytest.raises(RuntimeError):
-        find_hot_keys(stats, "src", "n_targets", 8, threshold=1, max_broadcast_rows=100)
-    default = find_hot_keys(stats, "src", "n_targets", 8)
+    ok = skew.find_hot_keys(stats, "src", "n_targets", 8, threshold=1, max_broadcast_rows=5000)
+    assert ok.count == 2000 and ok.small
+    big = skew.find_hot_keys(stats, "src", "n_targets", 8, threshold=1, max_broadcast_rows=100)
+    assert big.count == 2000 and not big.small
+    default = skew.find_hot_keys(stats, "src", "n_targets", 8)
     assert default.count == 0 and default.threshold >= 10_000
+    g = graph.weight_edges(fx.g_part(spark, SF01), hot_threshold=20)
+    g.hot_keys.small = False
+    assert close(as_dict(pagerank_graph(g, 10)), part_ranks)
+    g.unpersist()
 
 
 def test_lineage_cut_keeps_ranks_co_partitioned(spark):
-    from rankgrad.plans.pagerank import _cut, _drop
+    from rankgrad.plans.pagerank import Cuts
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     g = graph.weight_edges(fx.g_part(spark, SF01))
-    cuts = []
+    cuts = Cuts(spark, g.parts)
     try:
         r0 = g.sources.select(F.col("src").alias("node"), F.lit(1.0).alias("rank"))
-        r1 = _cut(graph.rank_step(g, r0), g.parts, cuts)
+        r1 = cuts.cut(graph.rank_step(g, r0))
         r2 = graph.rank_step(g, r1)
         joins = _joins(r2._jdf.queryExecution().executedPlan().inputPlan())
         assert len(joins) == 1
@@ -209,6 +283,6 @@ def test_lineage_cut_keeps_ranks_co_partitioned(spark):
         assert _reaches_scan_without_exchange(joins[0].right())
         assert close(as_dict(r2), as_dict(pagerank_graph(g, 2)))
     finally:
-        _drop(spark, cuts)
+        cuts.close()
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         g.unpersist()
