@@ -121,7 +121,7 @@ def rank_sink_single_file_q(spark, sf):
     """The same text sink with one output file."""
     path = scratch_path(spark, "ranks-text")
     text.write_ranks(pagerank(fx.g_part(spark, sf), 10), path, fmt="text", single_file=True)
-    files = spark.read.text(path).agg(F.countDistinct(F.input_file_name()).alias("files"))
+    files = spark.read.text(path).select("_metadata.file_path").agg(F.countDistinct("file_path").alias("files"))
     return text.read_rank_lines(spark, path).select("node", r6("rank").alias("rank")).crossJoin(files)
 
 

@@ -29,6 +29,18 @@ def test_balanced_split_sizes(spark):
         assert sizes == sorted(sizes, reverse=True)  # the extra rows go to the first slices
 
 
+def test_random_split_deals_copies_evenly(spark):
+    hot = spark.range(0, 20_000, 1, 6).select(F.when(F.col("id") % 10 > 0, "a").otherwise(F.col("id").cast("string")).alias("src"), F.lit("b").alias("dst"))
+    split = sample.random_split(hot, 30)
+    assert split.columns == ["src", "dst", "slice"]
+    sizes = [r["count"] for r in split.groupBy("slice").count().orderBy("slice").collect()]
+    assert sum(sizes) == 20_000 and max(sizes) - min(sizes) <= 1 and sizes == sorted(sizes, reverse=True)
+    parts = [len(p) for p in split.rdd.glom().collect() if p]
+    assert max(parts) <= 2 * sum(parts) / len(parts)  # no partition holds more than twice its share
+    assert sample.random_split(hot.limit(0), 3).count() == 0
+    assert sorted(r.slice for r in sample.random_split(hot.limit(2), 3).collect()) == [0, 1]
+
+
 def test_shards_padded(spark):
     emb = read_table(spark, SF01, "embeddings").select("vec_id")
     pos = sample.with_positions(emb, [sample.hash_order_key("vec_id"), F.col("vec_id")])

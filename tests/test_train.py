@@ -4,6 +4,7 @@ import math
 import os
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF01
@@ -76,6 +77,51 @@ def test_sgd_matches_numpy_and_one_shard_equals_four(spark):
     assert [r.iteration for r in one.steps.orderBy("iteration").collect()] == [1, 2]
 
 
+def test_eight_steps_match_numpy(spark):
+    big = vectors.read_vectors(spark, f"{SF01.replace('0.01', '0.1')}/embeddings.parquet")
+    rows = sample.with_positions(big, [sample.hash_order_key("vec_id"), F.col("vec_id")]).orderBy("pos").collect()
+    want_w, want_loss = numpy_sgd(np.array([r.embedding for r in rows], dtype=np.float64), np.array([r.label for r in rows]), 256)
+    got = train.train_softmax(big, shards=1, batch_size=256, order=train.fixture_order(), block_rows=500)
+    assert len(want_loss) == 8
+    assert np.allclose(np.concatenate([got.params.w, got.params.b[:, None]], axis=1), want_w, atol=1e-12)
+    assert np.allclose([r.loss for r in got.losses.orderBy("step").collect()], want_loss, atol=1e-12)
+
+
+def test_step_collects_rows_of_the_model_only(spark):
+    p = model.Params.zeros(10, 64)
+    for tasks in (2, 16):
+        df = vec(spark).withColumn("shard", (F.col("vec_id") % 4).cast("int")).repartition(tasks)
+        assert gradients.shard_stats(df, p).count() == 4 * (10 * 65 + 2)
+
+
+def test_labels_are_range_checked(spark):
+    for bad in (-1, 10, None):
+        df = vec(spark).withColumn("label", F.when(F.col("vec_id") == 3, F.lit(bad)).otherwise(F.col("label")).cast("int"))
+        with pytest.raises(ValueError, match="labels must lie"):
+            train.train_softmax(df)
+        with pytest.raises(ValueError, match="labels must lie"):
+            model.fit_centroids(df)
+    assert model.fit_centroids(vec(spark).withColumn("label", F.col("label") + 5), classes=15).w.shape == (15, 64)
+
+
+def test_planes_keep_every_value(spark):
+    side, channels = 32, 3
+    x = np.arange(1.0, side * side * channels + 1)
+    df = spark.createDataFrame([(i, x.tolist()) for i in range(1, 12)], "vec_id long, embedding array<double>")
+    grid = x.reshape(side, side, channels)
+    padded = np.pad(grid, ((4, 4), (4, 4), (0, 0)))
+    for r in features.random_crop(df, channels=channels).collect():
+        dx, dy = (r.vec_id * 7) % 9 - 4, (r.vec_id * 5) % 9 - 4
+        assert np.array_equal(np.array(r.embedding).reshape(grid.shape), padded[4 + dy:36 + dy, 4 + dx:36 + dx])
+    for r in features.random_flip(df, channels=channels).collect():
+        assert np.array_equal(np.array(r.embedding).reshape(grid.shape), grid[:, ::-1] if r.vec_id % 2 else grid)
+    assert {len(r.embedding) for r in features.train_transform(df, 0, channels=channels).collect()} == {3072}
+    with pytest.raises(Exception, match="no square grid"):
+        features.random_flip(df).collect()  # 3072 is no square
+    none = spark.createDataFrame([(1, None)], "vec_id long, embedding array<double>")
+    assert features.random_crop(none).first().embedding is None
+
+
 def test_gather_equals_allreduce(spark):
     df = vec(spark)
     laid = sample.assign_shards(sample.with_positions(
