@@ -327,3 +327,25 @@ def test_pipeline_stages(spark):
             assert not any(r[5] for r in brute_contamination([(r.doc_id, r.text) for r in docs.collect()], items))
     assert kept == sorted(kept, reverse=True)
     assert docs.select("doc_id").distinct().count() == kept[-1]
+
+
+def test_pipeline_stages_on_odd_rows(spark, tmp_path):
+    """Nulls, empty and long texts, repeated rows, extra columns with clashing names, empty tables."""
+    sf = str(tmp_path)
+    prose = lambda k: " ".join(f"word{k}x{i} und" for i in range(60))
+    rows = [(1, prose(1), "en", None, 1, "a"), (1, prose(1), "en", None, 1, "a"), (2, None, None, None, None, None), (3, "", "en", "s", 0, "a"),
+            (None, prose(4), "de", "s", None, "a"), (5, prose(5) + " long" * 30_000, None, "s", 5, "b"), (6, "42 " * 80, "en", "s", 6, "b"),
+            (7, prose(7), "de", "s", 7, "b"), (8, prose(7), "de", "s", 8, "b"), (9, "taken from the test set", "en", "s", 9, "b"),
+            (10, prose(10)[:300] + " this very passage of the test set has thirteen words or even more of them", "en", "s", 10, "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, kept string") \
+        .withColumnRenamed("kept", "n_words")
+    spark.createDataFrame([(1, 1, 0), (None, 0, 0), (2, None, 0), (77, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{sf}/labels.parquet")
+    spark.createDataFrame([(1, "this very passage of the test set has thirteen words or even more of them"), (None, None), (2, "")],
+                          "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
+    for some in (docs, docs.limit(0)):
+        left = some
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            left = stage(spark, left, sf)
+            assert left.columns == docs.columns, name
+        assert sorted(str(r.doc_id) for r in left.collect()) == (["1", "7", "None"] if some is docs else [])
+        assert corpus_pipeline.STAGES[-1][1](spark, left, sf).count() == (3 if some is docs else 0)
