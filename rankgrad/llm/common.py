@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,3 +84,52 @@ def add_columns(df: DataFrame, inputs: list[str], fields: list[tuple[str, T.Data
 
     out = src.mapInArrow(run, schema)
     return out.toDF(*names, *[n for n, _ in fields])
+
+
+def per_group(df: DataFrame, keys: tuple[str, str], schema: T.StructType,
+              make: Callable[[], Callable[..., list[tuple]]]) -> DataFrame:
+    """Rows that a function gives for each group of ``df`` by two long ``keys``.
+
+    For many small groups: they are sorted within partitions and streamed, so a
+    group costs no call of its own between the JVM and Python. ``make`` is a
+    factory called once per task; its function takes the group's columns as Arrow
+    arrays and returns rows. A group must fit in memory.
+    """
+    first, second = (df.columns.index(k) for k in keys)
+
+    def run(batches):
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        kinds, compute, rows, held = to_arrow_schema(schema), make(), [], None
+
+        def closed(group: list[pa.RecordBatch]):
+            columns = [pa.concat_arrays([b.column(i) for b in group]) if len(group) > 1 else group[0].column(i)
+                       for i in range(group[0].num_columns)]
+            rows.extend(compute(*columns))
+
+        def batch():
+            return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows), kinds)], names=kinds.names)
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            a, c = b.column(first).to_numpy(), b.column(second).to_numpy()
+            starts = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (c[1:] != c[:-1])])
+            for lo, hi in zip(starts, [*starts[1:], b.num_rows]):
+                key = (a[lo], c[lo])
+                if held and held[0] != key:
+                    closed(held[1])
+                    held = None
+                if held:
+                    held[1].append(b.slice(lo, hi - lo))
+                else:
+                    held = (key, [b.slice(lo, hi - lo)])
+                if len(rows) >= 10_000:
+                    yield batch()
+                    rows.clear()
+        if held:
+            closed(held[1])
+        if rows:
+            yield batch()
+
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)

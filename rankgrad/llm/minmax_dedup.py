@@ -25,12 +25,11 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LOWER, add_columns, saved, utf8
+from .common import LOWER, add_columns, per_group, saved, utf8
 
 WORDS = 5
 BANDS, ROWS = 40, 6
@@ -104,6 +103,9 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
     return _mix(by_band.sum(axis=2, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
 
 
+LINK = T.StructType([T.StructField(n, T.LongType()) for n in ("a", "b")])
+ASK = T.StructType([T.StructField(n, T.LongType()) for n in ("g1", "g2", "doc", "label")]
+                   + [T.StructField("partners", T.ArrayType(T.LongType()))])
 FIELDS = [("n_shingles", T.LongType()), ("same", T.BinaryType()), ("bands", T.ArrayType(T.LongType())), ("sketch", T.BinaryType())]
 
 
@@ -149,25 +151,37 @@ def confirmed(asks: DataFrame, texts: DataFrame, num: int, den: int) -> DataFram
     ``asks``: block columns g1, g2, then doc, label and partners (docs that have a row
     in the same block). Pairs whose labels are already joined in the block are skipped.
     """
-    def check(pdf: pd.DataFrame) -> pd.DataFrame:
-        shingles, sets, labels = Shingler(), {}, {}
-        for doc, label, text in zip(pdf["doc"], pdf["label"], pdf["text"]):
-            sets.setdefault(doc, []).append(shingles(text.encode("utf-8", "surrogatepass") if text is not None else None))
-            labels[doc] = label
-        joined, out = Joined(), []
-        for doc, partners in zip(pdf["doc"], pdf["partners"]):
-            for other in partners if partners is not None else ():
-                if joined.find(labels[doc]) == joined.find(labels[other]):
-                    continue
-                for a in sets[doc]:
-                    if any(den * (both := len(np.intersect1d(a, b, assume_unique=True))) >= num * (len(a) + len(b) - both)
-                           for b in sets[other] if len(a) and len(b)):
-                        joined.join(labels[doc], labels[other])
+    def make():
+        shingles = Shingler()
+
+        def check(g1, g2, docs, labels, partners, texts):
+            sets, label_of, asked = {}, {}, {}
+            for doc, label, others, text in zip(docs.to_pylist(), labels.to_pylist(), partners.to_pylist(), utf8(texts)):
+                sets.setdefault(doc, []).append(shingles(text))
+                label_of[doc] = label
+                asked.setdefault(doc, others or ())
+            joined, out = Joined(), []
+            for doc, others in asked.items():
+                for other in others:
+                    if joined.find(label_of[doc]) != joined.find(label_of[other]) and any(
+                            similar(x, y, num, den) for x in sets[doc] for y in sets[other]):
+                        joined.join(label_of[doc], label_of[other])
                         out.append((doc, other))
-                        break
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+            return out
 
-    return asks.join(texts, "doc").groupBy("g1", "g2").applyInPandas(check, "a long, b long")
+        return check
+
+    rows = asks.join(texts, "doc").select("g1", "g2", "doc", "label", "partners", "text")
+    return per_group(rows, ("g1", "g2"), LINK, make)
+
+
+def similar(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
+    """``den * intersection >= num * union`` of two sorted sets; empty ones are like nothing."""
+    small, large = sorted((len(a), len(b)))
+    if not small or den * small < num * large:
+        return False
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return den * both >= num * (small + large - both)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -224,36 +238,37 @@ def _rest(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, least: float)
         F.transform(F.sequence(zero, F.col("small") - 1), lambda k: meet(0, F.least(k, F.col("mine")), F.greatest(k, F.col("mine")))),
         F.transform(F.sequence(zero, F.col("big") - 1), lambda k: meet(1, F.col("mine"), k)))).otherwise(
         F.transform(F.sequence(zero, F.col("small") - 1), lambda k: meet(1, k, F.col("mine"))))
+    g2 = (F.shiftleft(F.col("at.i"), 31).bitwiseOR(F.col("at.j"))) * 2 + F.col("at.kind")
     dealt = (rows.withColumn("mine", mine).select("key", "band", "doc", "label", other.alias("other"), "mine", F.explode(places).alias("at"))
-             .join(nodes.select("doc", "bands", "sketch"), "doc"))
-
-    def likely(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates("doc").sort_values("doc").reset_index(drop=True)
-        sketch = np.frombuffer(b"".join(pdf["sketch"]), np.uint8).reshape(len(pdf), VALUES)
-        bands = np.stack(pdf["bands"].to_numpy())
-        label, doc, band = pdf["label"].to_numpy(), pdf["doc"].to_numpy(), int(pdf["band"].iloc[0])
-        kind, i, j = (pdf["at"].iloc[0][k] for k in ("kind", "i", "j"))
-        outside, block = pdf["other"].to_numpy(), pdf["mine"].to_numpy()
-        wanted, needed = [[] for _ in doc], np.zeros(len(doc), bool)
-        left = np.flatnonzero(outside & (block == i)) if kind == 0 else np.flatnonzero(outside)
-        right = np.flatnonzero(outside & (block == j)) if kind == 0 else np.flatnonzero(~outside)
-        for a in left:
-            with_ = right[label[right] != label[a]]
-            if kind == 0 and i == j:
-                with_ = with_[with_ > a]
-            with_ = with_[(sketch[with_] == sketch[a]).mean(axis=1) >= least]
-            # a pair belongs to the first band that it shares
-            with_ = with_[(bands[with_] == bands[a]).argmax(axis=1) == band]
-            if len(with_):
-                wanted[a] = doc[with_].tolist()
-                needed[a] = True
-                needed[with_] = True
-        out = pdf.loc[needed, ["doc", "label"]]
-        return pd.DataFrame({"g1": pdf["key"].iloc[0], "g2": (int(i) << 31 | int(j)) * 2 + int(kind), "doc": out["doc"], "label": out["label"],
-                             "partners": pd.Series([wanted[k] for k in np.flatnonzero(needed)], index=out.index, dtype=object)})
-
-    return saved(dealt.groupBy("key", "at.kind", "at.i", "at.j").applyInPandas(
-        likely, "g1 long, g2 long, doc long, label long, partners array<long>"), "dedup-asks")
+             .join(nodes.select("doc", "bands", "sketch"), "doc")
+             .select(F.col("key").alias("g1"), g2.alias("g2"), "band", "doc", "label", "other", "mine", "bands", "sketch"))
+    return saved(per_group(dealt, ("g1", "g2"), ASK, lambda: lambda *columns: likely(least, *columns)), "dedup-asks")
+
+
+def likely(least: float, g1, g2, band, docs, labels, other, mine, bands, sketch) -> list[tuple]:
+    """Rows of one block that have a pair to confirm, each with its partners."""
+    key, code = g1[0].as_py(), g2[0].as_py()
+    kind, i, j, t = code & 1, code >> 32, (code >> 1) & 0x7FFFFFFF, band[0].as_py()
+    doc, label, block = docs.to_numpy(), labels.to_numpy(), mine.to_numpy()
+    outside = other.to_numpy(zero_copy_only=False)
+    marks = np.frombuffer(b"".join(sketch.to_pylist()), np.uint8).reshape(len(doc), VALUES)
+    keys = bands.flatten().to_numpy().reshape(len(doc), BANDS)
+    left = np.flatnonzero(outside & (block == i)) if kind == 0 else np.flatnonzero(outside)
+    right = np.flatnonzero(outside & (block == j)) if kind == 0 else np.flatnonzero(~outside)
+    wanted: dict[int, list[int]] = {}
+    for a in left:
+        with_ = right[label[right] != label[a]]
+        if kind == 0 and i == j:
+            with_ = with_[with_ > a]
+        if len(with_):
+            with_ = with_[(marks[with_] == marks[a]).mean(axis=1) >= least]
+        if len(with_):  # a pair belongs to the first band that it shares
+            with_ = with_[(keys[with_] == keys[a]).argmax(axis=1) == t]
+        if len(with_):
+            wanted.setdefault(int(a), []).extend(doc[with_].tolist())
+            for b in with_.tolist():
+                wanted.setdefault(b, [])
+    return [(key, code, int(doc[a]), int(label[a]), partners) for a, partners in wanted.items()]
 
 
 def near_duplicates(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
@@ -262,14 +277,16 @@ def near_duplicates(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame
     Linked are documents whose sets have ``den * intersection >= num * union``.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text")
-    rows = saved(add_columns(texts, ["text"], FIELDS, _set_columns).drop("text"), "dedup-sets")
+    rows = saved(add_columns(texts, ["text"], FIELDS, _set_columns).drop("text")
+                 .withColumn("row_id", F.monotonically_increasing_id()), "dedup-sets")
     linkable = rows.where("doc is not null and n_shingles > 0")
-    reps = saved(linkable.groupBy("same").agg(F.min("doc").alias("rep")), "dedup-reps")
-    members = saved(linkable.select("doc", "n_shingles", "same").join(reps, "same").select("doc", "n_shingles", "rep"), "dedup-members")
+    reps = saved(linkable.groupBy("same").agg(F.min(F.struct("doc", "row_id")).alias("least"))
+                 .select("same", F.col("least.doc").alias("rep"), "least.row_id"), "dedup-reps")
+    members = saved(linkable.select("doc", "n_shingles", "same").join(reps.select("same", "rep"), "same").select("doc", "n_shingles", "rep"), "dedup-members")
     # rows of one id with different sets are one document: an edge between their nodes
     split = members.groupBy("doc").agg(F.min("rep").alias("a"), F.max("rep").alias("top")).where("a < top").select("doc", "a")
     same_id = members.join(split, "doc").where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
-    nodes = linkable.join(reps.select(F.col("rep").alias("doc"), "same"), ["doc", "same"], "left_semi")
+    nodes = linkable.join(reps, "row_id", "left_semi")  # one row per set
 
     spread = nodes.select("doc", F.posexplode("bands").alias("band", "key"))
     shared = spread.groupBy("key").agg(F.min("doc").alias("pivot"), F.max("doc").alias("other")).where("pivot < other").drop("other")
