@@ -78,7 +78,7 @@ def link(messages: DataFrame) -> DataFrame:
                  F.array(normalised("text")), F.transform(F.split("text", "\n"), normalised)))))
              .select("conv_id", "turn", _key(F.col("each")).alias("key")).where("key is not null"))
     here = keyed.groupBy("key", "conv_id").agg(F.min("turn").alias("first_turn"))
-    anywhere = keyed.groupBy("key").agg(F.min(F.struct("conv_id", "turn")).alias("first"))
+    anywhere = keyed.groupBy("key").agg(F.min("conv_id").alias("first_conv"))
 
     quoted = rows.select("row_id", "conv_id", "turn", F.posexplode("passages").alias("place", "p")).where("p.level > 0")
     whole = normalised(F.col("p.body"))
@@ -91,7 +91,7 @@ def link(messages: DataFrame) -> DataFrame:
              .join(anywhere.withColumnRenamed("key", "k"), F.col("key") == F.col("k"), "left").drop("k")
              .withColumn("to_turn", F.when(near, F.col("first_turn")))
              .withColumn("to_conv", F.when(near, F.col("conv_id")).when(
-                 ~F.col("first.conv_id").eqNullSafe(F.col("conv_id")), F.col("first.conv_id"))))
+                 ~F.col("first_conv").eqNullSafe(F.col("conv_id")), F.col("first_conv"))))
     linked = F.col("to_conv").isNotNull()
     by_passage = found.groupBy("row_id", "place", "level").agg(
         F.min(F.when(linked, F.struct("try", "to_conv", "to_turn"))).alias("hit"))
