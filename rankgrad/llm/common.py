@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import scratch_path
+from ..session import drop_path, scratch_path
 
 #: Characters that separate words once A-Z are lower-cased, and before that.
 FOLDED_SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -30,6 +30,36 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables of one operator's run in the shared folder, deleted when the run ends.
+
+    What is to outlive the run is written with ``saved``.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.root, self.count = spark, scratch_path(spark, name), 0
+
+    def __enter__(self) -> "Scratch":
+        return self
+
+    def __exit__(self, *_) -> None:
+        drop_path(self.spark, self.root)
+
+    def save(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` as a written table (cuts the lineage)."""
+        self.count += 1
+        path = f"{self.root}/{self.count}-{name}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def replace(self, old: DataFrame, df: DataFrame, name: str) -> DataFrame:
+        """Like ``save``, then deletes the table ``old`` that ``df`` was made from."""
+        new, files = self.save(df, name), old.inputFiles()
+        if files:
+            drop_path(self.spark, files[0].rsplit("/", 1)[0])
+        return new
+
+
 def spread(df: DataFrame, spark: SparkSession) -> int:
     """Partitions for a shuffle by key: the session's setting."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LOWER, add_columns, per_group, saved, utf8
+from .common import LOWER, Scratch, add_columns, per_group, saved, utf8
 
 WORDS = 5
 BANDS, ROWS = 40, 6
@@ -184,25 +184,24 @@ def similar(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
     return den * both >= num * (small + large - both)
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, label): the smallest node that each node of ``edges`` (a, b) is connected with.
 
     Takes the least label among the neighbours, then the label's own label, until
     nothing changes; all by partial aggregates, so a hub isn't gathered anywhere.
     """
-    both = saved(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "dedup-edges")
-    state = saved(both.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("label")), "dedup-labels")
+    both = scratch.save(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
+    state = scratch.save(both.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("label")), "labels")
     while True:
         heard = (both.join(state.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node"))
                  .agg(F.min("label").alias("least")))
-        lower = state.join(heard, "node").select("node", F.col("label").alias("old"), F.least("label", "least").alias("label"))
+        lower = state.select("node", "label").join(heard, "node").select("node", F.col("label").alias("old"), F.least("label", "least").alias("label"))
         # a label is a node too; what it had before is never above itself
         own = state.select(F.col("node").alias("label"), F.col("label").alias("next"))
-        new = saved(lower.join(own, "label", "left").select(
-            "node", "old", F.least("label", F.coalesce("next", "label")).alias("label")), "dedup-labels")
-        if not new.where("old <> label").limit(1).count():
-            return new.select("node", "label")
-        state = new.select("node", "label")
+        state = scratch.replace(state, lower.join(own, "label", "left").select(
+            "node", "old", F.least("label", F.coalesce("next", "label")).alias("label")), "labels")
+        if not state.where("old <> label").limit(1).count():
+            return state.select("node", "label")
 
 
 def _star(buckets: DataFrame) -> DataFrame:
@@ -217,15 +216,15 @@ def _star(buckets: DataFrame) -> DataFrame:
     return asked.unionByName(own)
 
 
-def _rest(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, least: float) -> DataFrame | None:
+def _rest(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, least: float, scratch: Scratch) -> DataFrame | None:
     """Asks for pairs of one bucket and several labels that the signatures don't rule out."""
     named = buckets.select("key", "band", "doc").join(labels.withColumnRenamed("node", "doc"), "doc", "left").select(
         "key", "band", "doc", F.coalesce("label", "doc").alias("label"))
     by_label = named.groupBy("key", "label").agg(F.count("*").alias("n"))
-    open_ = saved(by_label.groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("all"), F.count("*").alias("labels"))
+    open_ = scratch.save(by_label.groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("all"), F.count("*").alias("labels"))
                   .where("labels > 1").select(
         "key", F.col("top.label").alias("most"),
-        F.ceil(F.col("top.n") / F.lit(BLOCK)).alias("big"), F.ceil((F.col("all") - F.col("top.n")) / F.lit(BLOCK)).alias("small")), "dedup-open")
+        F.ceil(F.col("top.n") / F.lit(BLOCK)).alias("big"), F.ceil((F.col("all") - F.col("top.n")) / F.lit(BLOCK)).alias("small")), "open")
     if not open_.limit(1).count():
         return None
     rows = named.join(open_, "key")
@@ -242,7 +241,7 @@ def _rest(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, least: float)
     dealt = (rows.withColumn("mine", mine).select("key", "band", "doc", "label", other.alias("other"), "mine", F.explode(places).alias("at"))
              .join(nodes.select("doc", "bands", "sketch"), "doc")
              .select(F.col("key").alias("g1"), g2.alias("g2"), "band", "doc", "label", "other", "mine", "bands", "sketch"))
-    return saved(per_group(dealt, ("g1", "g2"), ASK, lambda: lambda *columns: likely(least, *columns)), "dedup-asks")
+    return scratch.save(per_group(dealt, ("g1", "g2"), ASK, lambda: lambda *columns: likely(least, *columns)), "asks")
 
 
 def likely(least: float, g1, g2, band, docs, labels, other, mine, bands, sketch) -> list[tuple]:
@@ -276,13 +275,18 @@ def near_duplicates(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame
 
     Linked are documents whose sets have ``den * intersection >= num * union``.
     """
+    with Scratch(docs.sparkSession, "dedup") as scratch:
+        return saved(_near_duplicates(docs, num, den, scratch), "dedup-components")
+
+
+def _near_duplicates(docs: DataFrame, num: int, den: int, scratch: Scratch) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text")
-    rows = saved(add_columns(texts, ["text"], FIELDS, _set_columns).drop("text")
-                 .withColumn("row_id", F.monotonically_increasing_id()), "dedup-sets")
+    rows = scratch.save(add_columns(texts, ["text"], FIELDS, _set_columns).drop("text")
+                 .withColumn("row_id", F.monotonically_increasing_id()), "sets")
     linkable = rows.where("doc is not null and n_shingles > 0")
-    reps = saved(linkable.groupBy("same").agg(F.min(F.struct("doc", "row_id")).alias("least"))
-                 .select("same", F.col("least.doc").alias("rep"), "least.row_id"), "dedup-reps")
-    members = saved(linkable.select("doc", "n_shingles", "same").join(reps.select("same", "rep"), "same").select("doc", "n_shingles", "rep"), "dedup-members")
+    reps = scratch.save(linkable.groupBy("same").agg(F.min(F.struct("doc", "row_id")).alias("least"))
+                 .select("same", F.col("least.doc").alias("rep"), "least.row_id"), "reps")
+    members = scratch.save(linkable.select("doc", "n_shingles", "same").join(reps.select("same", "rep"), "same").select("doc", "n_shingles", "rep"), "members")
     # rows of one id with different sets are one document: an edge between their nodes
     split = members.groupBy("doc").agg(F.min("rep").alias("a"), F.max("rep").alias("top")).where("a < top").select("doc", "a")
     same_id = members.join(split, "doc").where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
@@ -290,16 +294,16 @@ def near_duplicates(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame
 
     spread = nodes.select("doc", F.posexplode("bands").alias("band", "key"))
     shared = spread.groupBy("key").agg(F.min("doc").alias("pivot"), F.max("doc").alias("other")).where("pivot < other").drop("other")
-    buckets = saved(spread.join(shared, "key"), "dedup-buckets")
+    buckets = scratch.save(spread.join(shared, "key"), "buckets")
     asked = buckets.select("doc").distinct()
-    wanted = saved(texts.join(asked, "doc", "left_semi"), "dedup-texts")
-    links = saved(confirmed(_star(buckets), wanted, num, den).unionByName(same_id), "dedup-links")
-    labels = components(links)
+    wanted = scratch.save(texts.join(asked, "doc", "left_semi"), "texts")
+    links = scratch.save(confirmed(_star(buckets), wanted, num, den).unionByName(same_id), "links")
+    labels = components(links, scratch)
     t = num / den
-    rest = _rest(buckets, labels, nodes, t - 5 * (t * (1 - t) / VALUES) ** 0.5)
+    rest = _rest(buckets, labels, nodes, t - 5 * (t * (1 - t) / VALUES) ** 0.5, scratch)
     if rest is not None:
-        more = saved(confirmed(rest, wanted, num, den), "dedup-links")
-        labels = components(links.unionByName(more))
+        more = scratch.save(confirmed(rest, wanted, num, den), "links")
+        labels = components(links.unionByName(more), scratch)
     found = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         "doc", "n_shingles", F.coalesce("label", "rep").alias("component_id"))
     alone = rows.where("doc is null or n_shingles = 0").select("doc", "n_shingles", F.col("doc").alias("component_id"))
@@ -318,7 +322,7 @@ def dedup_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Of rows that repeat an id and a text, one stays.
     """
-    verdicts = saved(near_duplicates(docs, 80, 100), "dedup-verdicts")
+    verdicts = near_duplicates(docs, 80, 100)
     gone = verdicts.where("not kept").select("doc_id").distinct()
     left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
     again = verdicts.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")

@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fold_case, raw_words, saved
+from .common import Scratch, fold_case, raw_words, saved
 
 WINDOW = 13
 LISTS = 3
@@ -37,31 +37,32 @@ class Index:
     postings: DataFrame
     tokens: DataFrame  # item, item_id, n, off, term
     small: bool  # whether the test set's tables may be broadcast
+    scratch: Scratch
 
     def hint(self, df: DataFrame) -> DataFrame:
         return F.broadcast(df) if self.small else df
 
 
-def build_index(docs: DataFrame, items: DataFrame) -> Index:
-    """Postings of the terms of ``items`` (item_id, text) in ``docs`` (doc_id, text), stored in the shared folder."""
-    worded = saved(items.select("item_id", F.transform(raw_words(F.col("text")), fold_case).alias("words"))
-                   .withColumn("item", F.monotonically_increasing_id()), "index-items")
+def build_index(docs: DataFrame, items: DataFrame, scratch: Scratch) -> Index:
+    """Postings of the terms of ``items`` (item_id, text) in ``docs`` (doc_id, text), stored in ``scratch``."""
+    worded = scratch.save(items.select("item_id", F.transform(raw_words(F.col("text")), fold_case).alias("words"))
+                   .withColumn("item", F.monotonically_increasing_id()), "items")
     spelt = worded.select("item", "item_id", F.size("words").alias("n"), F.posexplode("words").alias("off", "word"))
     small = (worded.agg(F.coalesce(F.sum(F.size("words")), F.lit(0))).first()[0]) <= MAX_BROADCAST_TERMS
-    vocabulary = saved(spelt.select("word").distinct().select("word", (F.monotonically_increasing_id() + 1).alias("term")), "index-terms")
+    vocabulary = scratch.save(spelt.select("word").distinct().select("word", (F.monotonically_increasing_id() + 1).alias("term")), "terms")
     near = F.broadcast if small else (lambda df: df)
-    tokens = saved(spelt.join(near(vocabulary), "word").drop("word"), "index-tokens")
+    tokens = scratch.save(spelt.join(near(vocabulary), "word").drop("word"), "tokens")
     # an empty word, term 0, leads every document; its posting carries the number of words
     lead = vocabulary.sparkSession.createDataFrame([("", 0)], "word string, term long")
     rows = (docs.select("doc_id", F.concat(F.array(F.lit("")), raw_words(F.col("text"))).alias("words"))
             .withColumn("row_id", F.monotonically_increasing_id())
             .select("row_id", "doc_id", F.size("words").alias("size"), F.posexplode("words").alias("at", "word")))
     folded = rows.withColumn("word", fold_case(F.col("word")))
-    stored = saved(folded.join(near(vocabulary.union(lead)), "word").select(
+    stored = scratch.save(folded.join(near(vocabulary.union(lead)), "word").select(
         "row_id", F.when(F.col("term") == 0, F.col("doc_id")).alias("doc_id"), "term",
-        F.when(F.col("term") == 0, F.col("size") - 1).otherwise(F.col("at") - 1).alias("pos")), "index-postings")
+        F.when(F.col("term") == 0, F.col("size") - 1).otherwise(F.col("at") - 1).alias("pos")), "postings")
     return Index(stored.where("term = 0").select("row_id", "doc_id", F.col("pos").alias("n_words")),
-                 stored.where("term > 0").select("row_id", "pos", "term"), tokens, small)
+                 stored.where("term > 0").select("row_id", "pos", "term"), tokens, small, scratch)
 
 
 def rarest(index: Index, window: int = WINDOW, lists: int = LISTS) -> DataFrame:
@@ -81,7 +82,7 @@ def phrase_matches(index: Index, window: int = WINDOW, lists: int = LISTS) -> Da
 
     A run has at least ``window`` words, or is the whole of a shorter item.
     """
-    windows = saved(rarest(index, window, lists), "index-windows")
+    windows = index.scratch.save(rarest(index, window, lists), "windows")
     rare = windows.select("item", "start", F.posexplode("rare").alias("nth", "r")).select("item", "start", "nth", "r.off", "r.term")
     listed = index.postings.join(index.hint(rare.select("term").distinct()), "term", "left_semi")
 
@@ -98,7 +99,7 @@ def phrase_matches(index: Index, window: int = WINDOW, lists: int = LISTS) -> Da
             theirs, (F.col("row_id") == F.col("r")) & (F.col("shift") + F.col("off") == F.col("p")) & (F.col("term") == F.col("t")), "left_semi")
         short = asked.where("term is null")
         found = ask.unionByName(short).select("row_id", "item", "start", "shift")
-    aligned = saved(found.select("row_id", "item", "shift").distinct(), "index-aligned")
+    aligned = index.scratch.save(found.select("row_id", "item", "shift").distinct(), "aligned")
     every = index.tokens.select("item", "item_id", "n", "off", "term")
     asked = aligned.join(index.hint(every), "item").withColumn("pos", F.col("shift") + F.col("off"))
     same = asked.join(index.postings, ["row_id", "pos", "term"], "left_semi")
@@ -113,7 +114,7 @@ def phrase_matches(index: Index, window: int = WINDOW, lists: int = LISTS) -> Da
 def proximity_matches(index: Index, slop: int) -> DataFrame:
     """Places of an item's rarest term with all its other terms within ``slop`` words: row_id, item, item_id, pos."""
     counts = index.postings.groupBy("term").agg(F.count("*").alias("rows"))
-    terms = saved(index.tokens.groupBy("item", "term").agg(F.first("item_id").alias("item_id")).join(counts, "term", "left").fillna(0, ["rows"]), "index-near")
+    terms = index.scratch.save(index.tokens.groupBy("item", "term").agg(F.first("item_id").alias("item_id")).join(counts, "term", "left").fillna(0, ["rows"]), "near")
     lead = terms.groupBy("item", "item_id").agg(F.min(F.struct("rows", "term")).alias("least"), F.count("*").alias("terms")).where("least.rows > 0")
     anchors = index.postings.join(index.hint(lead.select("item", "item_id", "terms", F.col("least.term").alias("term"))), "term")
     reach = slop + 1
@@ -127,8 +128,12 @@ def proximity_matches(index: Index, slop: int) -> DataFrame:
 
 def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Per document: doc_id, n_words, n_hit, n_items, items_sha256 and contaminated."""
-    index = build_index(docs, items)
-    runs = saved(phrase_matches(index), "index-runs")
+    with Scratch(docs.sparkSession, "index") as scratch:
+        return saved(_verdicts(build_index(docs, items, scratch)), "index-verdicts")
+
+
+def _verdicts(index: Index) -> DataFrame:
+    runs = index.scratch.save(phrase_matches(index), "runs")
     before = Window.partitionBy("row_id").orderBy("first", "last").rowsBetween(Window.unboundedPreceding, -1)
     new = F.greatest(F.col("first"), F.coalesce(F.max("last").over(before) + 1, F.col("first")))
     hit = (runs.select("row_id", "first", "last").distinct()
@@ -152,7 +157,10 @@ def op4_decontamination(spark, sf_dir: str) -> DataFrame:
 
 
 def decontamination_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: drops contaminated documents; columns unchanged. Rows of a null id stay."""
+    """Pipeline stage: drops contaminated documents; columns unchanged.
+
+    Rows of one id go together; rows of a null id stay.
+    """
     verdicts = decontaminate(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text"))
     bad = verdicts.where("contaminated").select("doc_id").distinct()
     return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)

@@ -23,7 +23,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import Scratch, saved
 
 MARKS = r"^(?: {0,3}> ?)+"
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -69,8 +69,13 @@ def link(messages: DataFrame) -> DataFrame:
     Adds ``n_quotes``, ``n_linked``, ``parent_turn`` (same conversation),
     ``source_conv`` (of the first linked passage), ``thread_turn`` and ``depth``.
     """
-    rows = saved(passages(messages.select("conv_id", "turn", "role", "text"))
-                 .withColumn("row_id", F.monotonically_increasing_id()), "quote-rows")
+    with Scratch(messages.sparkSession, "quotes") as scratch:
+        return saved(_linked(messages, scratch), "quote-threads")
+
+
+def _linked(messages: DataFrame, scratch: Scratch) -> DataFrame:
+    rows = scratch.save(passages(messages.select("conv_id", "turn", "role", "text"))
+                 .withColumn("row_id", F.monotonically_increasing_id()), "rows")
     own = F.array_join(F.transform(F.filter("passages", lambda p: p["level"] == 0), lambda p: p["body"]), "\n")
     plain = rows.select("row_id", "conv_id", "turn", "role", own_text(own).alias("text"))
     keyed = (plain.where(F.col("conv_id").isNotNull() & F.col("turn").isNotNull())
@@ -100,31 +105,31 @@ def link(messages: DataFrame) -> DataFrame:
         F.min(F.when((F.col("level") == 1) & F.col("hit.to_turn").isNotNull(),
                      F.struct("place", "hit.to_turn"))).alias("reply"),
         F.min(F.when(F.col("hit").isNotNull(), F.struct("place", "hit.to_conv"))).alias("source"))
-    replies = saved(plain.join(by_row, "row_id", "left").select(
+    replies = scratch.save(plain.join(by_row, "row_id", "left").select(
         "conv_id", "turn", "role", "text",
         F.coalesce("n_quotes", F.lit(0)).alias("n_quotes"), F.coalesce("n_linked", F.lit(0)).alias("n_linked"),
-        F.col("reply.to_turn").alias("parent_turn"), F.col("source.to_conv").alias("source_conv")), "quote-replies")
-    heads = thread_heads(replies).select(F.col("conv_id").alias("c"), F.col("turn").alias("t"), "head", "steps")
+        F.col("reply.to_turn").alias("parent_turn"), F.col("source.to_conv").alias("source_conv")), "replies")
+    heads = thread_heads(replies, scratch).select(F.col("conv_id").alias("c"), F.col("turn").alias("t"), "head", "steps")
     above = replies.join(heads, (F.col("conv_id") == F.col("c")) & (F.col("parent_turn") == F.col("t")), "left")
     return above.select(*replies.columns,
                         F.coalesce("head", "parent_turn", "turn").alias("thread_turn"),
                         F.when(F.col("parent_turn").isNull(), 0).otherwise(F.coalesce("steps", F.lit(0)) + 1).cast("long").alias("depth"))
 
 
-def thread_heads(replies: DataFrame) -> DataFrame:
+def thread_heads(replies: DataFrame, scratch: Scratch) -> DataFrame:
     """(conv_id, turn, head, steps): the first message of each one's thread, by pointer doubling."""
     nodes = (replies.where(F.col("conv_id").isNotNull() & F.col("turn").isNotNull())
              .groupBy("conv_id", "turn").agg(F.min("parent_turn").alias("up")))
-    state = saved(nodes.select("conv_id", "turn", F.coalesce("up", "turn").alias("head"),
+    state = scratch.save(nodes.select("conv_id", "turn", F.coalesce("up", "turn").alias("head"),
                                F.when(F.col("up").isNull(), 0).otherwise(1).alias("steps"),
-                               F.col("up").isNotNull().alias("open")), "quote-heads")
+                               F.col("up").isNotNull().alias("open")), "heads")
     while state.where("open").limit(1).count():
         up = state.select(F.col("conv_id").alias("c"), F.col("turn").alias("t"), F.col("head").alias("next"), F.col("steps").alias("more"))
         # a head is at its end once it points to itself; only the others go on
         moved = state.where("open").join(up, (F.col("conv_id") == F.col("c")) & (F.col("head") == F.col("t"))).select(
             "conv_id", "turn", F.col("next").alias("head"), (F.col("steps") + F.col("more")).alias("steps"),
             (F.col("more") > 0).alias("open"))
-        state = saved(state.where("not open").unionByName(moved), "quote-heads")
+        state = scratch.replace(state, state.where("not open").unionByName(moved), "heads")
     return state.drop("open")
 
 

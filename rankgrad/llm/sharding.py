@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import saved, spread
+from .common import Scratch, saved, spread
 
 SHARDS = 16
 
@@ -116,16 +116,21 @@ def with_slots(rows: DataFrame, by: str, order: list[str], slot: str = "slot", b
 def shard_documents(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: id, size, text_crc32, shard and slot."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = saved(docs.select(
+    with Scratch(docs.sparkSession, "shards") as scratch:
+        placed = _placed(docs, shards, id_col, text, scratch)
+    return with_slots(placed, "shard", ["doc_id"]).drop("row_id")
+
+
+def _placed(docs: DataFrame, shards: int, id_col: str, text, scratch: Scratch) -> DataFrame:
+    rows = scratch.save(docs.select(
         F.col(id_col).alias("doc_id"),
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"),
-        F.unhex(F.substring(F.sha2(text, 256), 1, 40)).alias("key")), "shard-rows")
-    groups = saved(rows.groupBy("key").agg(F.sum("size").alias("bytes")), "shard-groups")
+        F.unhex(F.substring(F.sha2(text, 256), 1, 40)).alias("key")), "rows")
+    groups = scratch.save(rows.groupBy("key").agg(F.sum("size").alias("bytes")), "groups")
     # a text's rows may be a third of all: the join on its key is one that AQE splits
-    placed = saved(rows.join(assign_groups(groups, shards), "key")
-                   .select("doc_id", "size", "text_crc32", "shard", F.monotonically_increasing_id().alias("row_id")), "shard-placed")
-    return with_slots(placed, "shard", ["doc_id"]).drop("row_id")
+    return saved(rows.join(assign_groups(groups, shards), "key")
+                 .select("doc_id", "size", "text_crc32", "shard", F.monotonically_increasing_id().alias("row_id")), "shard-placed")
 
 
 def op6_sharding(spark, sf_dir: str) -> DataFrame:

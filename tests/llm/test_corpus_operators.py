@@ -11,6 +11,7 @@ import pytest
 
 import corpus_pipeline
 from rankgrad.llm import minmax_dedup, packing, positional_index, quotes, sharding, warc
+from rankgrad.llm.common import Scratch
 from rankgrad.session import scratch_path
 
 FOLDED = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -136,7 +137,8 @@ def test_proximity_matches_brute_force(spark):
     rng = random.Random(6)
     docs = [(k, " ".join(rng.choice("abcdefgh") for _ in range(30))) for k in range(12)]
     items = [(1, "a b"), (2, "c d e"), (3, "h h"), (4, "a zz")]
-    index = positional_index.build_index(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    index = positional_index.build_index(spark.createDataFrame(docs, "doc_id long, text string"),
+                                         spark.createDataFrame(items, "item_id long, text string"), Scratch(spark, "test-index"))
     ids = {r.row_id: r.doc_id for r in index.documents.collect()}
     total = defaultdict(int)
     for _, t in docs:
