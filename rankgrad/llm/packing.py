@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import FOLD, add_columns, saved, utf8
+from .common import FOLD, Scratch, add_columns, saved, utf8
 
 CAPACITY = 2048
 
@@ -134,10 +134,11 @@ def pack(items: DataFrame, capacity: int = CAPACITY, pack_rows: int = 4000) -> D
 
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Bins for the whole texts of ``docs`` (doc_id, text, source)."""
-    items = saved(measured(docs.select("doc_id", "source", "text")).select(
-        F.col("doc_id").cast("long").alias("doc_id"), "source", "cluster", "n_words",
-        F.monotonically_increasing_id().alias("row_id")), "pack-items")
-    return pack(items, capacity)
+    with Scratch(docs.sparkSession, "pack") as scratch:
+        items = scratch.save(measured(docs.select("doc_id", "source", "text")).select(
+            F.col("doc_id").cast("long").alias("doc_id"), "source", "cluster", "n_words",
+            F.monotonically_increasing_id().alias("row_id")), "items")
+        return saved(pack(items, capacity), "packed")
 
 
 def op9_best_fit_packing(spark, sf_dir: str) -> DataFrame:

@@ -25,8 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import scratch_path
-from .common import saved
+from .common import Scratch, saved
 
 EOL = "\r\n"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
@@ -53,14 +52,19 @@ def _header(name: str, value) -> F.Column:
 def write_archive(pages: DataFrame, path: str, *, revisit_bytes: int = 1000, segment_bytes: int = 32768,
                   chunk_bytes: int = 8192, records_per_file: int = 5000) -> None:
     """Writes a record per row of ``pages`` (page_id, url, html) as gzip files under ``path``."""
+    with Scratch(pages.sparkSession, "warc") as scratch:
+        _write(pages, path, revisit_bytes, segment_bytes, chunk_bytes, records_per_file, scratch)
+
+
+def _write(pages, path, revisit_bytes, segment_bytes, chunk_bytes, records_per_file, scratch) -> None:
     payload = F.coalesce("html", F.lit("")).cast("binary")
     rows = pages.select("page_id", "url", payload.alias("payload")).withColumns(
         {"digest": F.sha1("payload"), "size": F.octet_length("payload")})
     # only payloads that stand in several records: written first, so that its size decides on a broadcast
-    kept = saved(rows.where(F.col("size") >= revisit_bytes).groupBy("digest", "size")
+    kept = scratch.save(rows.where(F.col("size") >= revisit_bytes).groupBy("digest", "size")
                  .agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n"))
                  .where("n > 1 and refers_to is not null")
-                 .select(F.concat("digest", F.lit(":"), "size").alias("same"), "refers_to"), "warc-kept")
+                 .select(F.concat("digest", F.lit(":"), "size").alias("same"), "refers_to"), "kept")
     # small payloads have no partner; their own key spreads them
     same = F.when(F.col("size") >= revisit_bytes, F.concat("digest", F.lit(":"), "size")).otherwise(
         F.concat(F.lit("own "), F.coalesce(F.col("page_id").cast("string"), F.lit(""))))
@@ -223,11 +227,12 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
 def op1_warc(spark, sf_dir: str) -> DataFrame:
     """Every page written to WARC files and read back."""
-    path = scratch_path(spark, "warc")
-    write_archive(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"), path)
-    read = saved(read_archive(spark, path).select(
-        "page_id", "record_type", "refers_to", "complete", "header_digest", F.octet_length("payload").cast("long").alias("bytes"),
-        F.sha1("payload").alias("digest")), "warc-read")
+    with Scratch(spark, "warc") as scratch:
+        path = f"{scratch.root}/archive"
+        write_archive(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"), path)
+        read = saved(read_archive(spark, path).select(
+            "page_id", "record_type", "refers_to", "complete", "header_digest", F.octet_length("payload").cast("long").alias("bytes"),
+            F.sha1("payload").alias("digest")), "warc-read")
     responses = (read.where("record_type = 'response' and page_id is not null")
                  .groupBy(F.col("page_id").alias("target"), F.col("digest").alias("same")).agg(F.max("bytes").alias("target_bytes")))
     both = read.join(responses, (F.col("refers_to") == F.col("target")) & (F.col("header_digest") == F.col("same")), "left")
