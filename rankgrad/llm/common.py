@@ -12,8 +12,7 @@ from pyspark.sql import types as T
 
 from ..session import drop_path, scratch_path
 
-#: Characters that separate words once A-Z are lower-cased, and before that.
-FOLDED_SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Characters that separate words in texts as written (ASCII, neither letters nor digits).
 RAW_SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: bytes.translate table: lower-cases A-Z, maps every other ASCII separator to a blank.
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32
@@ -60,8 +59,8 @@ class Scratch:
         return new
 
 
-def spread(df: DataFrame, spark: SparkSession) -> int:
-    """Partitions for a shuffle by key: the session's setting."""
+def shuffle_parts(spark: SparkSession) -> int:
+    """The session's partitions for a shuffle by key."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 

@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, saved, spread
+from .common import Scratch, saved, shuffle_parts
 
 SHARDS = 16
 
@@ -101,7 +101,7 @@ def with_slots(rows: DataFrame, by: str, order: list[str], slot: str = "slot", b
     are numbered apart and then shifted by the buckets before.
     """
     n = rows.count()
-    buckets = max(1, -(-n // bucket_rows), spread(rows, rows.sparkSession) // 4)
+    buckets = max(1, -(-n // bucket_rows), shuffle_parts(rows.sparkSession) // 4)
     dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("row_id"), F.lit(buckets)))
     counts = dealt.groupBy(by, "bucket").agg(F.count("*").alias("rows"))
     before = Window.partitionBy(by).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
