@@ -2,9 +2,11 @@
 
 ``Automaton`` holds every run of tokens of all templates. ``scan`` streams a
 file's tokens through it: at each token the length of the longest run that ends
-there and stands in a template (the matching statistics). Runs that can't be
-extended and are long enough are chained, in template order, into spans; a span
-that covers enough of its template gives the template's label.
+there and stands in a template (the matching statistics), and by the suffix links
+the longest run of every other place of a template that ends there. Runs that are
+long enough and that their own template doesn't extend are chained, in template
+order, into spans; a span that covers enough of its template gives the template's
+label, also where another template goes on.
 
 Defined results: null and empty texts have no words, labels are "" and the
 score is 0; null ids and repeated rows give a row each.
@@ -12,7 +14,9 @@ score is 0; null ids and repeated rows give a row each.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections import defaultdict
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -57,6 +61,7 @@ class Automaton:
     """
 
     def __init__(self, sequences: list[list]):
+        self.sequences = sequences
         self.step: list[dict] = [{}]
         self.link = [-1]
         self.length = [0]
@@ -103,25 +108,39 @@ class Automaton:
             self.link[new] = self._split(p, t, self.step[p][t])
         return new
 
-    def matches(self, tokens: list, least: int) -> list[tuple[int, int, int]]:
-        """Runs of at least ``least`` tokens that can't be extended: (end, length, state)."""
-        out, state, n = [], 0, 0
+    def longest(self, tokens: list, least: int) -> Iterator[tuple[int, int, int]]:
+        """Per token the longest run that ends there, if it has ``least`` tokens: (end, length, state)."""
+        state, n = 0, 0
         step, link, length = self.step, self.link, self.length
         root = step[0]
         for i, t in enumerate(tokens):
             to = step[state].get(t) if state else root.get(t)
-            if to is not None:
-                state, n = to, n + 1
-                continue
-            if n >= least:
-                out.append((i, n, state))
-            while state and t not in step[state]:
-                state = link[state]
-                n = length[state]
-            to = step[state].get(t)
+            if to is None:
+                while state and t not in step[state]:
+                    state = link[state]
+                    n = length[state]
+                to = step[state].get(t)
             state, n = (to, n + 1) if to is not None else (0, 0)
-        if n >= least:
-            out.append((len(tokens), n, state))
+            if n >= least:
+                yield i + 1, n, state
+
+    def matches(self, tokens: list, least: int) -> list[tuple[int, int, int]]:
+        """Runs of at least ``least`` tokens that no template extends: (end, length, state)."""
+        out = list(self.longest(tokens, least))
+        return [a for a, b in zip(out, [*out[1:], (0, 0, 0)]) if (a[0] + 1, a[1] + 1) != b[:2]]
+
+    def runs(self, tokens: list, least: int) -> list[tuple[int, int, int, int]]:
+        """Runs of at least ``least`` tokens that their own template doesn't extend: (end, length, template, tokens up to there)."""
+        out = []
+        for end, n, state in self.longest(tokens, least):
+            after, known = tokens[end:end + 1], set()
+            while n >= least:  # a suffix link's ends hold the state's own
+                for template, at in self.ends[state] - known:
+                    own = self.sequences[template][at:at + 1]
+                    if not own or own != after:
+                        out.append((end, n, template, at))
+                known, state = self.ends[state], self.link[state]
+                n = self.length[state]
         return out
 
 
@@ -134,12 +153,10 @@ def chain(found: list[tuple[int, int, int]], tokens_of: int, max_gap: int) -> li
     found = sorted(found)
     best: list[tuple[int, int]] = []  # covered tokens, start in the file
     follows: set[int] = set()
-    low = 0
+    ends = [end for end, _, _ in found]
     for j, (end, n, at) in enumerate(found):
         cover, start, before = n, end - n, -1
-        while found[low][0] < end - n - max_gap:
-            low += 1
-        for i in range(low, j):
+        for i in range(bisect_left(ends, end - n - max_gap), j):
             pend, _, pat = found[i]
             if pend < end and pat < at:
                 new = min(n, end - pend, at - pat)
@@ -162,9 +179,8 @@ class Scanner:
     def scan(self, words: list[bytes]) -> tuple[list[tuple[str, int, int, float]], float]:
         """Spans (label, first word, end, share of the template) and the best share of any template."""
         by_template = defaultdict(list)
-        for end, n, state in self.automaton.matches(words, self.least):
-            for template, at in self.automaton.ends[state]:
-                by_template[template].append((end, n, at))
+        for end, n, template, at in self.automaton.runs(words, self.least):
+            by_template[template].append((end, n, at))
         spans, best = [], 0.0
         for template, found in sorted(by_template.items()):
             label, tokens = self.templates[template]

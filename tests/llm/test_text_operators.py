@@ -112,6 +112,43 @@ def test_phrases_overlap_and_chain():
     assert scanner.scan(tokens[:10])[0] == [] and 0 < scanner.scan(tokens[:10])[1] < 0.3
 
 
+def test_runs_of_every_template_match_brute_force():
+    rng = random.Random(11)
+    for _ in range(60):
+        seqs = [[rng.choice("abc") for _ in range(rng.randint(1, 9))] for _ in range(4)]
+        text, want = [rng.choice("abcd") for _ in range(25)], set()
+        for end in range(1, len(text) + 1):
+            for k, s in enumerate(seqs):
+                for at in range(1, len(s) + 1):
+                    n = 0
+                    while n < min(end, at) and text[end - 1 - n] == s[at - 1 - n]:
+                        n += 1
+                    if n >= 2 and (at == len(s) or end == len(text) or s[at] != text[end]):
+                        want.add((end, n, k, at))
+        got = licenses.Automaton(seqs).runs(text, 2)
+        assert set(got) == want and len(got) == len(want)
+
+
+def test_license_is_found_where_another_template_goes_on():
+    scanner = licenses.Scanner()
+    spans, score = scanner.scan(licenses.words_of(b"Licensed under the Apache License, Version 2.0. The authors"))
+    assert spans == [("apache-2.0", 0, 8, 1.0)] and score == 1.0
+    all_words = sorted({w for _, words in scanner.templates for w in words})
+    for label, words in scanner.templates:
+        for after in all_words:
+            spans, score = scanner.scan([*words, after])
+            assert (label, 0, len(words), 1.0) in spans and score == 1.0, (label, after)
+    # a torn template whose first part another one goes on, and one that ends in another's middle
+    scanner = licenses.Scanner([("a", "p q r s t u v w"), ("b", "p q r s x y z y"), ("c", "k l m n o t u v w")])
+    assert ("a", 0, 9, 1.0) in scanner.scan(licenses.words_of(b"p q r s x t u v w"))[0]
+    assert ("b", 0, 12, 1.0) in scanner.scan(licenses.words_of(b"p q r s t u v w x y z y"))[0]
+
+
+def test_chain_looks_back_from_a_long_run_after_a_short_one():
+    # the short run, which starts late, must not hide what stands before the long one
+    assert licenses.chain([(4, 4, 4), (60, 4, 50), (101, 90, 94)], 200, 12) == [(56, 60, 4), (0, 101, 94)]
+
+
 def test_license_on_odd_rows(spark, odd):
     got = licenses.scan_documents(odd)
     assert got.columns.count("n_words") == 1
