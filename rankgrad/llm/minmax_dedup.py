@@ -4,7 +4,7 @@ A document's set is its distinct five-word shingles. Every permutation of the
 shingle hashes gives two signature values, its minimum and its maximum, so half the
 evaluations of plain minhash; bands of minima and bands of maxima propose pairs.
 
-1. Documents of equal sets become one node, the smallest id (``rep``).
+1. Rows of equal sets become one node, the row id of the row with the smallest id.
 2. Nodes that share a band key form a bucket; each is compared with the bucket's
    smallest node, its pivot (a star, not all pairs), on full sets.
 3. What the links connect gets one label. In buckets that still hold several labels,
@@ -16,7 +16,8 @@ A hot bucket, pivot or group of copies is split over blocks; nothing is capped.
 
 Defined results: null and empty texts, and texts of blanks, have no shingles and link
 with nothing; a null id links with nothing, has a null component and is kept; rows of
-one repeated id are one node (linked if any of their texts is). A pair of similarity
+one repeated id are linked with each other. The pipeline's stage judges rows, not ids:
+rows of a null id link like others, rows of one id only by their texts. A pair of similarity
 0.85 shares no band with probability 5e-9, one of 0.8 with 5e-6.
 """
 
@@ -276,40 +277,60 @@ def near_duplicates(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame
     Linked are documents whose sets have ``den * intersection >= num * union``.
     """
     with Scratch(docs.sparkSession, "dedup") as scratch:
-        return saved(_near_duplicates(docs, num, den, scratch), "dedup-components")
+        texts = scratch.save(docs.select(F.col("doc_id").cast("long").alias("doc"), "text",
+                                         F.monotonically_increasing_id().alias("row_id")), "rows")
+        return saved(_near_duplicates(texts, num, den, scratch), "dedup-components")
 
 
-def _near_duplicates(docs: DataFrame, num: int, den: int, scratch: Scratch) -> DataFrame:
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text")
-    rows = scratch.save(add_columns(texts, ["text"], FIELDS, _set_columns).drop("text")
-                 .withColumn("row_id", F.monotonically_increasing_id()), "sets")
+def _near_duplicates(texts: DataFrame, num: int, den: int, scratch: Scratch) -> DataFrame:
+    rows = _sets(texts, scratch)
     linkable = rows.where("doc is not null and n_shingles > 0")
-    reps = scratch.save(linkable.groupBy("same").agg(F.min(F.struct("doc", "row_id")).alias("least"))
-                 .select("same", F.col("least.doc").alias("rep"), "least.row_id"), "reps")
-    members = scratch.save(linkable.select("doc", "n_shingles", "same").join(reps.select("same", "rep"), "same").select("doc", "n_shingles", "rep"), "members")
+    reps = _reps(linkable, scratch)
+    members = scratch.save(linkable.select("doc", "n_shingles", "same").join(
+        reps.select("same", "node", F.col("named.doc").alias("rep")), "same").drop("same"), "members")
     # rows of one id with different sets are one document: an edge between their nodes
-    split = members.groupBy("doc").agg(F.min("rep").alias("a"), F.max("rep").alias("top")).where("a < top").select("doc", "a")
-    same_id = members.join(split, "doc").where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
-    nodes = linkable.join(reps, "row_id", "left_semi")  # one row per set
+    split = members.groupBy("doc").agg(F.min("node").alias("a"), F.max("node").alias("top")).where("a < top").select("doc", "a")
+    same_id = members.join(split, "doc").where("node <> a").select("a", F.col("node").alias("b")).distinct()
+    labels = _labels(linkable.join(reps.select(F.col("node").alias("row_id")), "row_id", "left_semi"), texts, same_id, num, den, scratch)
+    named = labels.join(reps.select("node", "named.doc"), "node")
+    least = labels.join(named.groupBy("label").agg(F.min("doc").alias("least")), "label").select("node", "least")
+    found = members.join(least, "node", "left").select("doc", "n_shingles", F.coalesce("least", "rep").alias("component_id"))
+    alone = rows.where("doc is null or n_shingles = 0").select("doc", "n_shingles", F.col("doc").alias("component_id"))
+    return found.unionByName(alone).select(
+        F.col("doc").alias("doc_id"), "n_shingles", "component_id",
+        F.coalesce(F.col("doc") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+def _sets(texts: DataFrame, scratch: Scratch) -> DataFrame:
+    """Row ids, docs and the columns of ``FIELDS`` of ``texts`` (doc, text, row_id), a stored table."""
+    return scratch.save(add_columns(texts, ["text"], FIELDS, _set_columns).drop("text"), "sets")
+
 
+def _reps(linkable: DataFrame, scratch: Scratch) -> DataFrame:
+    """Per set: its first row with an id (``named``: doc, row_id) and without (``unnamed``), and its node, the first of them."""
+    first = linkable.groupBy("same").agg(
+        F.min(F.when(F.col("doc").isNotNull(), F.struct("doc", "row_id"))).alias("named"),
+        F.min(F.when(F.col("doc").isNull(), F.col("row_id"))).alias("unnamed"))
+    return scratch.save(first.withColumn("node", F.coalesce("named.row_id", "unnamed")), "reps")
+
+
+def _labels(nodes: DataFrame, texts: DataFrame, links: DataFrame | None, num: int, den: int, scratch: Scratch) -> DataFrame:
+    """(node, label) of the nodes that have links, for ``nodes`` (one row per set) and further ``links`` (a, b)."""
+    nodes = nodes.select(F.col("row_id").alias("doc"), "bands", "sketch")
     spread = nodes.select("doc", F.posexplode("bands").alias("band", "key"))
     shared = spread.groupBy("key").agg(F.min("doc").alias("pivot"), F.max("doc").alias("other")).where("pivot < other").drop("other")
     buckets = scratch.save(spread.join(shared, "key"), "buckets")
     asked = buckets.select("doc").distinct()
-    wanted = scratch.save(texts.join(asked, "doc", "left_semi"), "texts")
-    links = scratch.save(confirmed(_star(buckets), wanted, num, den).unionByName(same_id), "links")
+    wanted = scratch.save(texts.select(F.col("row_id").alias("doc"), "text").join(asked, "doc", "left_semi"), "texts")
+    found = confirmed(_star(buckets), wanted, num, den)
+    links = scratch.save(found if links is None else found.unionByName(links), "links")
     labels = components(links, scratch)
     t = num / den
     rest = _rest(buckets, labels, nodes, t - 5 * (t * (1 - t) / VALUES) ** 0.5, scratch)
-    if rest is not None:
-        more = scratch.save(confirmed(rest, wanted, num, den), "links")
-        labels = components(links.unionByName(more), scratch)
-    found = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "doc", "n_shingles", F.coalesce("label", "rep").alias("component_id"))
-    alone = rows.where("doc is null or n_shingles = 0").select("doc", "n_shingles", F.col("doc").alias("component_id"))
-    return found.unionByName(alone).select(
-        F.col("doc").alias("doc_id"), "n_shingles", "component_id",
-        F.coalesce(F.col("doc") == F.col("component_id"), F.lit(True)).alias("kept"))
+    if rest is None:
+        return labels
+    more = scratch.save(confirmed(rest, wanted, num, den), "links")
+    return components(links.unionByName(more), scratch)
 
 
 def op10_minmax_dedup(spark, sf_dir: str) -> DataFrame:
@@ -318,15 +339,24 @@ def op10_minmax_dedup(spark, sf_dir: str) -> DataFrame:
 
 
 def dedup_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: one document of each group at 80 per cent; columns unchanged.
+    """Pipeline stage: one row of each group of rows at 80 per cent; columns unchanged.
 
-    Of rows that repeat an id and a text, one stays.
+    The row of the smallest id stays; of a group's rows without an id one stays
+    beside it, as they may be documents of their own.
     """
-    verdicts = near_duplicates(docs, 80, 100)
-    gone = verdicts.where("not kept").select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    again = verdicts.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    if not again.limit(1).count():
-        return left
-    repeated = left.join(again, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"])
-    return left.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(repeated)
+    tagged = saved(docs.select(F.struct(*docs.columns).alias("row"), F.monotonically_increasing_id().alias("row_id")), "dedup-rows")
+    texts = tagged.select(F.col("row.doc_id").cast("long").alias("doc"), "row.text", "row_id")
+    with Scratch(spark, "dedup") as scratch:
+        gone = saved(_repeats(texts, 80, 100, scratch), "dedup-gone")
+    return tagged.join(gone, "row_id", "left_anti").select("row.*")
+
+
+def _repeats(texts: DataFrame, num: int, den: int, scratch: Scratch) -> DataFrame:
+    """Row ids of all rows of ``texts`` but the first with an id and the first without of each group."""
+    linkable = _sets(texts, scratch).where("n_shingles > 0")
+    reps = _reps(linkable, scratch)
+    labels = _labels(linkable.join(reps.select(F.col("node").alias("row_id")), "row_id", "left_semi"), texts, None, num, den, scratch)
+    first = scratch.save(reps.join(labels, "node", "left").groupBy(F.coalesce("label", "node").alias("label"))
+                         .agg(F.min("named").alias("named"), F.min("unnamed").alias("unnamed")), "first")
+    stay = first.select(F.explode(F.array("named.row_id", "unnamed")).alias("row_id")).where("row_id is not null")
+    return linkable.select("row_id").join(stay, "row_id", "left_anti")

@@ -157,13 +157,16 @@ def op4_decontamination(spark, sf_dir: str) -> DataFrame:
 
 
 def decontamination_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: drops contaminated documents; columns unchanged.
+    """Pipeline stage: drops contaminated rows; columns unchanged.
 
-    Rows of one id go together; rows of a null id stay.
+    A verdict depends on the text alone, so rows go by their text's digest,
+    whatever their ids.
     """
-    verdicts = decontaminate(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text"))
-    bad = verdicts.where("contaminated").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    digest = F.unhex(F.sha2("text", 256))
+    verdicts = decontaminate(docs.select(digest.alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text"))
+    bad = verdicts.where("contaminated").select(F.col("doc_id").alias("digest")).distinct()
+    row = docs.select(F.struct(*docs.columns).alias("row"), digest.alias("digest"))
+    return row.join(bad, "digest", "left_anti").select("row.*")
 
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"

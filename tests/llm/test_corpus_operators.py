@@ -295,6 +295,35 @@ def test_dedup_of_nothing(spark):
     assert sorted(map(tuple, left), key=str) == [(1, "a b"), (1, "c d"), (None, "a b")]
 
 
+def test_dedup_stage_judges_rows_not_ids(spark):
+    words = lambda k, n=60: [f"w{k}x{i}" for i in range(n)]
+    near = lambda k: " ".join([*words(k)[:-1], "changed"])
+    text = lambda k: " ".join(words(k))
+    rows = [(1, text(1)), (2, near(1)), (2, text(2)),  # the second text of 2 is unique
+            (None, text(3)), (None, text(3)), (None, near(3)), (None, text(4)),  # copies without ids
+            (None, near(5)), (5, text(5)), (6, text(5)), (None, None), (None, ""), (None, None)]
+    schema = "doc_id long, text string, row_id long, row string"
+    docs = spark.createDataFrame([(*r, 7, "x") for r in rows], schema).repartition(5)
+    left = minmax_dedup.dedup_stage(spark, docs, "")
+    assert left.columns == docs.columns
+    got = [(r.doc_id, r.text) for r in left.collect()]
+    third = [r for r in got if r[1] in (text(3), near(3))]
+    assert len(third) == 1 and third[0][0] is None
+    rest = [(1, text(1)), (2, text(2)), (None, text(4)), (None, near(5)), (5, text(5)), (None, None), (None, ""), (None, None)]
+    assert sorted((r for r in got if r not in third), key=str) == sorted(rest, key=str)
+
+
+def test_decontamination_stage_judges_rows_not_ids(spark, tmp_path):
+    passage = "this very passage of the test set has thirteen words or even more of them"
+    spark.createDataFrame([(1, passage)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, f"x {passage}"), (None, "clean"), (None, None), (4, passage), (4, "clean too"), (5, "clean"), (4, passage)]
+    docs = spark.createDataFrame([(*r, "x", "y") for r in rows], "doc_id long, text string, digest string, row string")
+    left = positional_index.decontamination_stage(spark, docs, str(tmp_path))
+    assert left.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == sorted(
+        [(None, "clean"), (None, None), (4, "clean too"), (5, "clean")], key=str)
+
+
 def test_minmax_estimates_similarity():
     rng = np.random.default_rng(3)
     a = rng.integers(0, 2 ** 63, 4000, dtype=np.uint64)
