@@ -160,7 +160,7 @@ def confirmed(asks: DataFrame, texts: DataFrame, num: int, den: int) -> DataFram
             for doc, label, others, text in zip(docs.to_pylist(), labels.to_pylist(), partners.to_pylist(), utf8(texts)):
                 sets.setdefault(doc, []).append(shingles(text))
                 label_of[doc] = label
-                asked.setdefault(doc, others or ())
+                asked.setdefault(doc, set()).update(others or ())
             joined, out = Joined(), []
             for doc, others in asked.items():
                 for other in others:

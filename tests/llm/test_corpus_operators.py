@@ -324,6 +324,13 @@ def test_decontamination_stage_judges_rows_not_ids(spark, tmp_path):
         [(None, "clean"), (None, None), (4, "clean too"), (5, "clean")], key=str)
 
 
+def test_partners_of_all_rows_of_a_node_are_confirmed(spark):
+    texts = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f"), (3, "u v w x y z"), (1, "u v w x y z")], "doc long, text string")
+    asks = spark.createDataFrame([(0, 0, 1, 1, [2]), (0, 0, 1, 1, [3]), (0, 0, 2, 2, []), (0, 0, 3, 3, [])], minmax_dedup.ASK)
+    got = {tuple(r) for r in minmax_dedup.confirmed(asks, texts, 80, 100).collect()}
+    assert got == {(1, 2), (1, 3)}
+
+
 def test_minmax_estimates_similarity():
     rng = np.random.default_rng(3)
     a = rng.integers(0, 2 ** 63, 4000, dtype=np.uint64)
