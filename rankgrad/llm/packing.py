@@ -20,7 +20,7 @@ ids are rows like others, and copies conflict by their cluster.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -94,6 +94,11 @@ def measured(docs: DataFrame, text_col: str = "text") -> DataFrame:
 OUT = "doc_id long, source string, cluster long, n_words long, piece long, start long, length long, bin long, bin_offset long"
 
 
+def _codes(column: pa.ChunkedArray) -> np.ndarray:
+    """Dense codes of a column's values, -1 for nulls."""
+    return column.combine_chunks().dictionary_encode().indices.fill_null(-1).to_numpy()
+
+
 def pack(items: DataFrame, capacity: int = CAPACITY, pack_rows: int = 4000) -> DataFrame:
     """Pieces with their bins, for ``items`` (doc_id, source, cluster, n_words), a stored table.
 
@@ -104,32 +109,33 @@ def pack(items: DataFrame, capacity: int = CAPACITY, pack_rows: int = 4000) -> D
     # a hash of the whole row, and of its place, deals repeated ids evenly too
     dealt = items.withColumn("pack", F.pmod(F.xxhash64("doc_id", "cluster", "row_id"), F.lit(packs)))
 
-    def place(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["doc_id", "row_id"], kind="stable").reset_index(drop=True)
-        words = pdf["n_words"].to_numpy(np.int64)
+    def place(table: pa.Table) -> pa.Table:
+        # ids and clusters stay Arrow columns: as floats beside nulls they would be rounded
+        table = table.sort_by([("doc_id", "ascending"), ("row_id", "ascending")]).combine_chunks()
+        words = table["n_words"].to_numpy()
         full, rest = words // capacity, words % capacity
-        base = int(pdf["pack"].iloc[0]) << 32
-        source = pd.factorize(pdf["source"])[0]
-        cluster = pd.factorize(pdf["cluster"])[0]
-        order = np.lexsort((np.arange(len(pdf)), -rest))
+        base = table["pack"][0].as_py() << 32
+        source, cluster = _codes(table["source"]), _codes(table["cluster"])
+        order = np.lexsort((np.arange(len(words)), -rest))
         order = order[rest[order] > 0]
         bins, offsets = best_fit(rest[order].tolist(), source[order].tolist(), cluster[order].tolist(), capacity)
-        tail = pdf.iloc[order].assign(piece=full[order], start=full[order] * capacity, length=rest[order], bin=bins, bin_offset=offsets)
-        many = pdf.index.repeat(full)
+        many = np.repeat(np.arange(len(words)), full)
         number = np.arange(len(many)) - np.repeat(np.cumsum(full) - full, full)
-        whole = pdf.loc[many].assign(piece=number, start=number * capacity, length=capacity,
-                                     bin=np.arange(len(many)) + (max(bins) + 1 if bins else 0), bin_offset=0)
-        none = pdf[words == 0].assign(piece=0, start=0, length=0, bin=-1, bin_offset=-1)
-        out = pd.concat([tail, whole, none])
-        for name in ("bin", "bin_offset"):
-            out[name] = out[name].astype("Int64")
-            out.loc[out["length"] == 0, name] = pd.NA
-        out["bin"] += base
-        for name in ("doc_id", "cluster"):
-            out[name] = out[name].astype("Int64")
-        return out[["doc_id", "source", "cluster", "n_words", "piece", "start", "length", "bin", "bin_offset"]]
-
-    return dealt.groupBy("pack").applyInPandas(place, OUT)
+        none = np.flatnonzero(words == 0)
+        zero = np.zeros(len(none), np.int64)
+        row = np.r_[order, many, none]
+        piece = np.r_[full[order], number, zero]
+        in_bin = np.r_[np.array(bins, np.int64), np.arange(len(many)) + (max(bins) + 1 if bins else 0), zero]
+        offset = np.r_[np.array(offsets, np.int64), np.zeros(len(many), np.int64), zero]
+        length = np.r_[rest[order], np.full(len(many), capacity), zero]
+        kept = table.select(["doc_id", "source", "cluster", "n_words"]).take(pa.array(row))
+        for name, values in (("piece", piece), ("start", piece * capacity), ("length", length)):
+            kept = kept.append_column(name, pa.array(values, pa.int64()))
+        empty = length == 0
+        return (kept.append_column("bin", pa.array(in_bin + base, pa.int64(), mask=empty))
+                .append_column("bin_offset", pa.array(offset, pa.int64(), mask=empty)))
+
+    return dealt.groupBy("pack").applyInArrow(place, OUT)
 
 
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:

@@ -8,6 +8,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from rankgrad.llm import minmax_dedup, packing, positional_index, quotes, sharding, warc
@@ -240,6 +241,20 @@ def test_packs_hold_every_word_once(spark):
     assert packing.pack_documents(df.limit(0)).count() == 0
 
 
+def test_ids_and_clusters_come_back_exactly(spark):
+    big = [2 ** 60 + 1, 2 ** 60 + 3, -(2 ** 62) - 5]
+    rows = [(i, f"s{k}", t) for k, (i, t) in enumerate([(big[0], "same words here"), (big[1], "same words here"), (big[2], ""), (None, "no id"), (None, None), (7, "same words here")])]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    with Scratch(spark, "test-pack") as scratch:
+        items = scratch.save(packing.measured(df).select("doc_id", "source", "cluster", "n_words", F.monotonically_increasing_id().alias("row_id")), "items")
+        want = sorted((r.doc_id, r.cluster, r.source) for r in items.collect() if r.doc_id is not None)
+        for pack_rows in (1, 4000):  # alone and with the others in one pack
+            got = packing.pack(items, pack_rows=pack_rows).collect()
+            assert sorted((r.doc_id, r.cluster, r.source) for r in got if r.doc_id is not None) == want
+            assert len({r.cluster for r in got if r.n_words == 3}) == 1 and sum(r.doc_id is None for r in got) == 2
+            assert all((r.bin is None) == (r.bin_offset is None) == (r.n_words == 0) for r in got)
+
+
 # ---- near-duplicates
 
 def shingles(text):
