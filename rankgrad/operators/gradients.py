@@ -3,7 +3,9 @@
 The kernel is NumPy inside ``mapInPandas``: each task folds its Arrow
 batches into one fixed-size row per shard (count, loss sum, gradient sums),
 so what leaves a task is bounded by the model size, never by the data.
-Those rows are summed by a Spark aggregate keyed by (shard, slot).
+Those rows are summed by a Spark aggregate keyed by (shard, slot), and a second
+one, keyed by slot, averages over the shards: the driver gets one model, however
+many shards and tasks there are.
 """
 
 from __future__ import annotations
@@ -49,27 +51,36 @@ def _kernel(w: np.ndarray, b: np.ndarray, feat: str, label: str, shard: str):
 
 def shard_stats(df: DataFrame, params: Params, feat: str = "embedding", label: str = "label",
                 shard: str = "shard") -> DataFrame:
-    """``(shard, slot, v)`` sums: slot 0 = rows, 1 = loss sum, 2.. = gradient sums
-    of the ``K x (d+1)`` matrix ``[W | b]`` (row-major)."""
+    """``(shard, slot, v, n)`` sums: slot 0 = rows, 1 = loss sum, 2.. = gradient sums
+    of the ``K x (d+1)`` matrix ``[W | b]`` (row-major); ``n`` = rows of the shard."""
     fold = _kernel(params.w, params.b, feat, label, shard)
     partial = df.select(feat, label, shard).mapInPandas(fold, "shard int, stats array<double>")
-    return partial.select("shard", F.posexplode("stats").alias("slot", "v")) \
-        .groupBy("shard", "slot").agg(F.sum("v").alias("v"))
+    return partial.select("shard", F.col("stats")[0].alias("n"), F.posexplode("stats").alias("slot", "v")) \
+        .groupBy("shard", "slot").agg(F.sum("v").alias("v"), F.sum("n").alias("n"))
 
 
 def shard_gradients(df: DataFrame, params: Params, feat: str = "embedding",
                     label: str = "label", shard: str = "shard") -> DataFrame:
     """Long form ``(shard, k, j, g)``: each shard's mean gradient (``j = d`` is the bias)."""
     k, d = params.w.shape
-    st = shard_stats(df, params, feat, label, shard)
-    n = st.filter(F.col("slot") == 0).select("shard", F.col("v").alias("n"))
-    g = st.filter(F.col("slot") >= 2).join(F.broadcast(n), "shard")
+    g = shard_stats(df, params, feat, label, shard).filter(F.col("slot") >= 2)
     idx = F.col("slot") - 2
     return g.select("shard", (F.floor(idx / (d + 1))).cast("int").alias("k"),
                     (idx % (d + 1)).cast("int").alias("j"),
                     (F.col("v") / F.col("n")).alias("g"))
 
 
+def step_sums(df: DataFrame, params: Params, feat: str = "embedding", label: str = "label",
+              shard: str = "shard") -> DataFrame:
+    """``(slot, total, shards)``: per slot the sum of the shards' means, and how many there are.
+
+    Two levels: sums by (shard, slot), then means by slot. ``K*(d+1) + 1`` rows (slot 1
+    is the loss), whatever the number of shards; none for a step without rows.
+    """
+    return shard_stats(df, params, feat, label, shard).filter(F.col("slot") >= 1) \
+        .groupBy("slot").agg(F.sum(F.col("v") / F.col("n")).alias("total"), F.count(F.lit(1)).alias("shards"))
+
+
 def mean_gradients(shard_grads: DataFrame, how: str = "allreduce",
                    n_shards: int | None = None) -> DataFrame:
     """Average shard gradients: ``gather`` = mean at one place, ``allreduce``
@@ -87,16 +98,13 @@ def collect_step(df: DataFrame, params: Params, n_shards: int, feat: str = "embe
                  label: str = "label", shard: str = "shard") -> tuple[np.ndarray, float]:
     """One step's averaged gradient (flat ``K*(d+1)``) and mean shard loss.
 
-    The tasks' partial sums are added by a Spark aggregate; the driver gets
-    ``n_shards`` rows of the model's size, however many tasks there are.
+    The average over shards is taken on the cluster (``step_sums``); the driver gets
+    one row per model parameter and one for the loss. A shard without rows counts as a
+    gradient of zero and has no loss; a step without rows has the loss NaN.
     """
     k, d = params.w.shape
-    mat = np.zeros((n_shards, k * (d + 1) + 2))
-    sums = shard_stats(df, params, feat, label, shard).toPandas()
-    mat[sums["shard"], sums["slot"]] = sums["v"]
-    present = mat[:, 0] > 0
-    per_shard = mat[present, 2:] / mat[present, :1]
-    losses = mat[present, 1] / mat[present, 0]
+    total, shards = np.zeros(k * (d + 1) + 2), 0
+    for slot, value, found in step_sums(df, params, feat, label, shard).collect():
+        total[slot], shards = value, found
     # all-reduce mean: divide by the shard count, then sum
-    grad = (per_shard / n_shards).sum(axis=0)
-    return grad, float(losses.mean())
+    return total[2:] / n_shards, float(total[1] / shards) if shards else float("nan")

@@ -82,6 +82,7 @@ class WeightedGraph:
     persisted: list = field(default_factory=list)
     tables: list = field(default_factory=list)  # catalog names of a stored layout
     folder: str | None = None  # scratch folder that goes with the graph
+    exact: bool = False  # ``parts`` holds for the ranks too, whatever the session's setting is when the plan runs
 
     @property
     def keys(self) -> list[str]:
@@ -98,6 +99,10 @@ class WeightedGraph:
         return by_source.join(self.hot_keys.table(), "src", "left") \
             .withColumn("salt", every_salt()).drop("salts")
 
+    def dealt(self, rows: DataFrame, *keys: str) -> DataFrame:
+        """``rows`` in the graph's parts by ``keys``, as an exchange of the plan, if the graph is ``exact``."""
+        return rows.repartition(self.parts, *keys) if self.exact else rows
+
     def unpersist(self) -> None:
         for df in self.persisted:
             df.unpersist()
@@ -116,9 +121,12 @@ class WeightedGraph:
 
 def weight_edges(edges: DataFrame, parts: int | None = None,
                  storage_level: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
-                 hot_threshold: int | None = None, store_dir: str | None = None) -> WeightedGraph:
+                 hot_threshold: int | None = None, store_dir: str | None = None,
+                 folded: bool = False) -> WeightedGraph:
     """Fold multiplicity into weights and lay the edges out for the loop.
 
+    ``folded``: the edges are one row per pair already, with their number in ``m``.
+
     Both sides of the weight join are dealt into ``parts`` explicitly, so the
     part count holds whether the planner broadcasts a side or sorts and
     merges. With ``storage_level=None`` nothing is persisted (each use
@@ -132,7 +140,7 @@ def weight_edges(edges: DataFrame, parts: int | None = None,
     spark = edges.sparkSession
     if parts is None:
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    pairs = edge_multiplicity(checked_edges(edges))
+    pairs = edges.select("src", "dst", "m") if folded else edge_multiplicity(checked_edges(edges))
     sources = source_stats(pairs)
     if storage_level is not None:
         pairs = pairs.persist(StorageLevel.MEMORY_AND_DISK)
@@ -220,6 +228,8 @@ def contributions(graph: WeightedGraph, ranks: DataFrame) -> DataFrame:
     once, with or without hot sources.
     """
     r = graph.spread(ranks.select(F.col("node").alias("src"), "rank"))
+    if graph.hot_keys.count:
+        r = graph.dealt(r, *graph.keys)
     return graph.laid.join(r, graph.keys) \
         .select("src", "dst", (F.col("rank") * F.col("w")).alias("contribution"))
 
@@ -230,11 +240,12 @@ def rank_step(graph: WeightedGraph, ranks: DataFrame, damping: float = DAMPING,
 
     Only nodes that receive a contribution appear in the result; nodes
     without in-edges drop out, dangling targets keep a rank but pass on
-    nothing. The sum runs as partial + final aggregate.
+    nothing. The sum runs as partial + final aggregate. An ``exact`` graph's ranks
+    are then dealt into its parts.
     """
     c = contributions(graph, ranks)
-    return c.groupBy(F.col("dst").alias("node")).agg(
-        (F.lit(base) + F.lit(damping) * F.sum("contribution")).alias("rank"))
+    return graph.dealt(c.groupBy(F.col("dst").alias("node")).agg(
+        (F.lit(base) + F.lit(damping) * F.sum("contribution")).alias("rank")), "node")
 
 
 def adjacency(graph: WeightedGraph | DataFrame) -> DataFrame:

@@ -4,9 +4,11 @@ Global positions never go through one task: the rows are range-partitioned
 by the sort key (ties broken by the caller's extra keys), each partition
 numbers its own rows, per-partition counts (one row per partition) give
 offsets, and the offsets reach the rows through a broadcast whose size is
-the partition count. The numbered frame is checkpointed first, so every
-later job sees the same partitioning and row order even if executors are
-lost and stages recompute.
+the partition count. The sorted rows are first written as a table with their
+partition and row number as columns, so every later job sees the same numbers
+even if executors are lost and stages recompute. The table has an owner: the
+``Scratch`` that the caller gives, or else the frame's user, who frees it with
+``session.release``.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import reliable_checkpoint
+from ..session import Scratch, live_table
 
 # fixed values of the repeatable "shuffle" order used in the fixtures
 ORDER_MULTIPLIER = 7919
@@ -32,52 +34,51 @@ def random_order_key(cols: list[str], seed: int = 123) -> Column:
 
 
 def with_positions(df: DataFrame, order_by: list[Column], name: str = "pos",
-                   checkpoint: bool = True, total: str | None = None) -> DataFrame:
+                   total: str | None = None, scratch: Scratch | None = None) -> DataFrame:
     """Add a 0-based global position in ``order_by`` order, and with ``total``
     the row count as a column of that name.
 
     ``order_by`` should be a total order (end with a unique key) for the
     positions to be repeatable, and for rows that repeat to be dealt evenly.
     """
-    tagged = df.orderBy(*order_by) \
-        .withColumn("_pid", F.spark_partition_id()) \
-        .withColumn("_mid", F.monotonically_increasing_id())
-    if checkpoint:
-        tagged = reliable_checkpoint(tagged)
+    part = F.spark_partition_id()
+    tagged = df.orderBy(*order_by).withColumn("_pid", part) \
+        .withColumn("_row", F.monotonically_increasing_id() - F.shiftleft(part.cast("long"), 33))
+    tagged = scratch.save(tagged, "positions") if scratch else live_table(tagged, "positions")
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # one row per partition: a single-partition window here is bounded
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"),
                             F.sum("_n").over(Window.partitionBy()).alias("_total"))
-    local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
     return tagged.join(F.broadcast(offsets), "_pid") \
-        .withColumn(name, (F.col("_off") + local).cast("long")) \
+        .withColumn(name, F.col("_off") + F.col("_row")) \
         .withColumnRenamed("_total", total or "_total") \
-        .drop("_pid", "_mid", "_off", *([] if total else ["_total"]))
+        .drop("_pid", "_row", "_off", *([] if total else ["_total"]))
 
 
 def balanced_split(df: DataFrame, n: int, order_by: list[Column],
-                   name: str = "slice") -> DataFrame:
+                   name: str = "slice", scratch: Scratch | None = None) -> DataFrame:
     """Split rows in ``order_by`` order into ``n`` slices of equal size.
 
     Slice ``i`` takes positions ``[i*q, (i+1)*q)`` with ``q = N // n``; the
     ``N % n`` leftover rows go one each to slices ``0, 1, ...``. Sizes differ
-    by at most one.
+    by at most one. The slices are read from one table (see ``with_positions``).
     """
-    pos = with_positions(df, order_by, "_pos", total="_rows")
+    pos = with_positions(df, order_by, "_pos", total="_rows", scratch=scratch)
     p, q = F.col("_pos"), F.floor(F.col("_rows") / F.lit(n))
     slice_col = F.when(p < q * n, F.floor(p / q)).otherwise(p - q * n)
     return pos.withColumn(name, slice_col.cast("int")).drop("_pos", "_rows")
 
 
-def random_split(df: DataFrame, n: int, seed: int = 123, name: str = "slice") -> DataFrame:
+def random_split(df: DataFrame, n: int, seed: int = 123, name: str = "slice",
+                 scratch: Scratch | None = None) -> DataFrame:
     """``balanced_split`` in a seeded random order.
 
     Every row gets its own key, so copies of one row are dealt like others.
     """
-    tagged = df.withColumn("_row", F.monotonically_increasing_id())
-    key = random_order_key([*df.columns, "_row"], seed)
-    return balanced_split(tagged, n, [key, F.col("_row")], name).drop("_row")
+    tagged = df.withColumn("_copy", F.monotonically_increasing_id())
+    key = random_order_key([*df.columns, "_copy"], seed)
+    return balanced_split(tagged, n, [key, F.col("_copy")], name, scratch).drop("_copy")
 
 
 def assign_shards(positioned: DataFrame, n: int, pos: str = "pos",

@@ -20,7 +20,7 @@ from ..session import ensure_checkpoint_dir, read_table, scratch_path
 from ..sources import steplog, text, vectors
 from . import fixtures as fx
 from . import train
-from .pagerank import pagerank
+from .pagerank import pagerank, pagerank_grid, pagerank_numbered
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -524,6 +524,30 @@ def pagerank_wiki_10_q(spark, sf):
     return _rounded_ranks(pagerank(clean.clean_links(fx.link_lines(spark, sf)), 10))
 
 
+@register("pagerank_wiki_numbered", Q.pagerank_sql(_WIKI_EDGES, 10))
+def pagerank_wiki_numbered_q(spark, sf):
+    """Links job on node numbers: titles leave before the loop and come back after it."""
+    return _rounded_ranks(pagerank_numbered(clean.clean_links(fx.link_lines(spark, sf)), 10))
+
+
+@register("pagerank_grid", Q.pagerank_sql(Q.G_PART, 10))
+def pagerank_grid_q(spark, sf):
+    """Edges in 4 x 4 cells: partial sums meet within a cell before they are shuffled."""
+    return _rounded_ranks(pagerank_grid(fx.g_part(spark, sf), 10))
+
+
+@register("pagerank_wiki_grid", Q.pagerank_sql(_WIKI_EDGES, 10))
+def pagerank_wiki_grid_q(spark, sf):
+    """Links job in cells so small that most are cut further."""
+    return _rounded_ranks(pagerank_grid(clean.clean_links(fx.link_lines(spark, sf)), 10, blocks=2, max_cell=50))
+
+
+@register("pagerank_page_1", Q.pagerank_sql(Q.G_PAGE, 1))
+def pagerank_page_1_q(spark, sf):
+    """The acyclic graph after one iteration, before its ranks are gone."""
+    return _rounded_ranks(pagerank(fx.g_page(spark, sf), 1))
+
+
 @register("pagerank_text", Q.pagerank_sql(Q.edges_from_edge_lines_sql(), 10))
 def pagerank_text_q(spark, sf):
     """Rank job from edge-list text files (string node keys), read by path."""

@@ -14,17 +14,19 @@ after comparing the folder's run record with its own edges and parameters.
 
 from __future__ import annotations
 
-import contextlib
 import re
 import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..operators.graph import (BASE, DAMPING, WeightedGraph, layout_exists, open_weighted,
-                               rank_step, weight_edges)
-from ..session import drop_path, ensure_checkpoint_dir, reliable_checkpoint, scratch_path
+from ..operators.graph import (BASE, DAMPING, WeightedGraph, checked_edges, edge_multiplicity,
+                               layout_exists, open_weighted, rank_step, weight_edges)
+from ..operators.grid import grid_edges, grid_step
+from ..operators.numbers import name_nodes, node_numbers, number_edges
+from ..session import Scratch, drop_path, ensure_checkpoint_dir, live_table, release, scratch_path
 
 _ITER_DIR = re.compile(r"iter=(\d+)$")
 
@@ -49,10 +51,10 @@ def completed_saves(spark, save_dir: str) -> list[int]:
     return sorted(done)
 
 
-def edge_fingerprint(edges: DataFrame) -> str:
+def edge_fingerprint(edges: DataFrame, folded: bool = False) -> str:
     """Count and hash sum of the edges: equal for equal bags, in any order."""
     row = edges.agg(F.count(F.lit(1)).alias("n"),
-                    F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)")).alias("h")).first()
+                    F.sum(F.xxhash64("src", "dst", *["m"] * folded).cast("decimal(38,0)")).alias("h")).first()
     return f"{row.n}:{row.h}"
 
 
@@ -79,35 +81,26 @@ def _check_record(spark, save_dir: str, record: dict) -> None:
             raise ValueError(f"cannot resume from {save_dir}: its {name} is {found[name]!r}, not {value!r}")
 
 
-@contextlib.contextmanager
-def _shuffle_parts(spark, parts: int | None):
-    """Shuffles in ``parts`` while the loop runs, so that ranks are laid out like the edges."""
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    if parts:
-        spark.conf.set(key, str(parts))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def pagerank(edges: DataFrame, iterations: int = 10, damping: float = DAMPING,
              base: float = BASE, partitions: int | None = None,
              storage_level: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
              checkpoint_every: int | None = 3, save_dir: str | None = None,
              resume_from: str | None = None, hot_threshold: int | None = None,
-             materialize: bool = True, edge_store: str = "cache") -> DataFrame:
+             materialize: bool = True, edge_store: str = "cache", folded: bool = False) -> DataFrame:
     """Ranks ``(node, rank)`` after ``iterations`` steps over ``edges(src, dst)``.
 
-    ``partitions``: hash parts of the edge layout and of the loop's shuffles
-    (default: the session's shuffle partitions). ``storage_level``: level of
+    ``partitions``: hash parts of the edge layout, of the ranks in every iteration
+    and of the result (default: the session's shuffle partitions). They are exchanges
+    of the plan itself, so they hold whenever it runs; the partial sums still meet in
+    the session's partitions first, so a given count costs one more shuffle of
+    node-sized data per iteration. ``storage_level``: level of
     the persisted weighted edges, ``None`` for no persistence.
     ``edge_store="table"``: write the edge layout bucketed by source under
     ``save_dir/edges`` (or a fresh scratch folder, freed at the end) instead of
     caching it; a resumed run reopens it rather than rebuilding it.
     ``materialize``: save the final ranks reliably and drop the persisted
-    edges before returning.
+    edges before returning; without ``save_dir`` the caller frees the saved ranks
+    with ``session.release``. ``folded``: ``edges(src, dst, m)`` has one row per pair.
 
     ``save_dir`` must be empty or, with ``resume_from``, hold saves of the same
     edges, damping and base: its run record is compared, and a mismatch raises.
@@ -117,7 +110,7 @@ def pagerank(edges: DataFrame, iterations: int = 10, damping: float = DAMPING,
         raise ValueError(f"unknown edge store {edge_store!r}")
     save_dir, resume_from = (d and d.rstrip("/") for d in (save_dir, resume_from))
     if save_dir or resume_from:
-        record = {"edges": edge_fingerprint(edges), "damping": float(damping), "base": float(base)}
+        record = {"edges": edge_fingerprint(edges, folded), "damping": float(damping), "base": float(base)}
         if resume_from:
             _check_record(spark, resume_from, record)
         if save_dir and save_dir != resume_from:
@@ -133,34 +126,33 @@ def pagerank(edges: DataFrame, iterations: int = 10, damping: float = DAMPING,
     else:
         own = scratch_path(spark, "edges") if edge_store == "table" and not save_dir else None
         store_dir = own or (f"{save_dir}/edges" if edge_store == "table" else None)
-        with _shuffle_parts(spark, partitions):
-            graph = weight_edges(edges, parts=partitions, storage_level=storage_level,
-                                 hot_threshold=hot_threshold, store_dir=store_dir)
+        graph = weight_edges(edges, parts=partitions, storage_level=storage_level,
+                             hot_threshold=hot_threshold, store_dir=store_dir, folded=folded)
         graph.folder = own
+    graph.exact = partitions is not None
     cuts = Cuts(spark, graph.parts)
     try:
-        with _shuffle_parts(spark, partitions):
-            start, ranks = 0, None
-            if resume_from:
-                saves = [k for k in completed_saves(spark, resume_from) if k <= iterations]
-                if saves:
-                    start = saves[-1]
-                    ranks = spark.read.parquet(f"{resume_from}/iter={start}")
-            if ranks is None:
-                ranks = graph.sources.select(F.col("src").alias("node"), F.lit(1.0).alias("rank"))
-            if checkpoint_every and not save_dir:
-                ensure_checkpoint_dir(spark)
-            for i in range(start + 1, iterations + 1):
-                ranks = rank_step(graph, ranks, damping=damping, base=base)
-                if checkpoint_every and i % checkpoint_every == 0 and i < iterations:
-                    ranks = cuts.cut(ranks, f"{save_dir}/iter={i}" if save_dir else None)
-            done = start == iterations  # resumed at the target: the save is the answer
-            if materialize and not done and (graph.persisted or graph.tables or cuts.name):
-                if save_dir:
-                    ranks.write.mode("overwrite").parquet(f"{save_dir}/iter={iterations}")
-                    ranks = spark.read.parquet(f"{save_dir}/iter={iterations}")
-                else:
-                    ranks = reliable_checkpoint(ranks)
+        start, ranks = 0, None
+        if resume_from:
+            saves = [k for k in completed_saves(spark, resume_from) if k <= iterations]
+            if saves:
+                start = saves[-1]
+                ranks = graph.dealt(spark.read.parquet(f"{resume_from}/iter={start}"), "node")
+        if ranks is None:
+            ranks = graph.dealt(graph.sources.select(F.col("src").alias("node"), F.lit(1.0).alias("rank")), "node")
+        if checkpoint_every and not save_dir:
+            ensure_checkpoint_dir(spark)
+        for i in range(start + 1, iterations + 1):
+            ranks = rank_step(graph, ranks, damping=damping, base=base)
+            if checkpoint_every and i % checkpoint_every == 0 and i < iterations:
+                ranks = cuts.cut(ranks, f"{save_dir}/iter={i}" if save_dir else None)
+        done = start == iterations  # resumed at the target: the save is the answer
+        if materialize and not done and (graph.persisted or graph.tables or cuts.name):
+            if save_dir:
+                ranks.write.mode("overwrite").parquet(f"{save_dir}/iter={iterations}")
+                ranks = graph.dealt(spark.read.parquet(f"{save_dir}/iter={iterations}"), "node")
+            else:
+                ranks = graph.dealt(live_table(ranks, "ranks"), "node")
     finally:
         if materialize:
             cuts.close()
@@ -168,6 +160,52 @@ def pagerank(edges: DataFrame, iterations: int = 10, damping: float = DAMPING,
     return ranks
 
 
+def pagerank_numbered(edges: DataFrame, iterations: int = 10, **options) -> DataFrame:
+    """``pagerank`` with titles numbered before the loop and joined back once after it.
+
+    No title passes through the loop's joins and shuffles. ``options`` as for
+    ``pagerank``, without ``materialize``; saves hold numbers, which are the same for
+    the same edges.
+    """
+    spark = edges.sparkSession
+    with Scratch(spark, "numbers") as scratch:
+        pairs = scratch.save(edge_multiplicity(checked_edges(edges)), "pairs")
+        ids = node_numbers(pairs, scratch)
+        ranks = pagerank(scratch.save(number_edges(pairs, ids), "coded"), iterations, folded=True, **options)
+        named = live_table(name_nodes(ranks, ids), "ranks")
+        release(ranks)
+    return named
+
+
+def pagerank_grid(edges: DataFrame, iterations: int = 10, damping: float = DAMPING, base: float = BASE,
+                  blocks: int = 4, max_cell: int = 1_000_000, checkpoint_every: int = 3) -> DataFrame:
+    """``pagerank`` over edges in a grid of cells (``operators.grid``).
+
+    Node keys that aren't whole numbers are numbered first.
+    """
+    spark = edges.sparkSession
+    whole = all(isinstance(edges.schema[c].dataType, T.IntegralType) for c in ("src", "dst"))
+    with Scratch(spark, "grid") as scratch:
+        pairs = scratch.save(edge_multiplicity(checked_edges(edges)), "pairs")
+        ids = None if whole else node_numbers(pairs, scratch)
+        coded = number_edges(pairs, ids) if ids else pairs.select(F.col("src").cast("long"), F.col("dst").cast("long"), "m")
+        grid = grid_edges(coded, scratch, blocks, max_cell, folded=True)
+        try:
+            ranks = grid.routes.select(F.col("src").alias("node"), F.lit(1.0).alias("rank"))
+            for i in range(1, iterations + 1):
+                ranks = grid_step(grid, ranks, damping, base)
+                if i % checkpoint_every == 0 and i < iterations:
+                    ranks = scratch.save(ranks, f"ranks-{i}")
+            if ids:
+                ranks = name_nodes(ranks, ids)
+            elif iterations:
+                kind = edges.schema["dst"].dataType
+                ranks = ranks.select(F.col("node").cast(kind).alias("node"), "rank")
+            return live_table(ranks, "ranks")
+        finally:
+            grid.unpersist()
+
+
 class Cuts:
     """Lineage cuts of a rank loop: the last one is live, earlier ones are freed.
 
@@ -204,7 +242,7 @@ class Cuts:
 def pagerank_graph(graph: WeightedGraph, iterations: int = 10,
                    damping: float = DAMPING, base: float = BASE) -> DataFrame:
     """Loop over an already laid-out graph, lazy: nothing runs before an action."""
-    ranks = graph.sources.select(F.col("src").alias("node"), F.lit(1.0).alias("rank"))
+    ranks = graph.dealt(graph.sources.select(F.col("src").alias("node"), F.lit(1.0).alias("rank")), "node")
     for _ in range(iterations):
         ranks = rank_step(graph, ranks, damping=damping, base=base)
     return ranks

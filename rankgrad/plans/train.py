@@ -7,14 +7,21 @@ partitioned by ``block`` (a run of consecutive batches), so each step's
 read is pruned to one block's files instead of scanning the epoch.
 
 Per step, one Spark job computes the shard gradients on executors
-(``mapInPandas`` kernel) and adds them up; the driver averages ``n_shards``
-vectors of the model's size and applies the SGD update (momentum, weight decay), and the new parameters
-travel in the next step's closure.
+(``mapInPandas`` kernel), adds them up and averages them over the shards; the
+driver gets one gradient, applies the SGD update (momentum, weight decay), and the
+new parameters travel in the next step's closure.
+
+The step log is written block by block as the run goes. With ``save_dir``, every
+block also saves parameters, velocity, epoch and step there; a later call with
+``resume`` goes on from the last complete save, after comparing the folder's run
+record with its own data and settings.
 """
 
 from __future__ import annotations
 
+import json
 import math
+import re
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -28,7 +35,9 @@ from ..functions.model import (Params, argmax_expr, cross_entropy_expr, label_ra
 from ..operators.gradients import collect_step
 from ..operators.sample import (assign_batches, assign_shards, hash_order_key,
                                 random_order_key, with_positions)
-from ..session import drop_path, scratch_path
+from ..session import LIVE, Scratch, drop_path
+from ..sources.steplog import StepLog
+from .pagerank import _hadoop_fs
 
 # fixed values of the reference's optimiser and loaders
 LEARNING_RATE = 0.1
@@ -61,9 +70,10 @@ def seeded_order(id_col: str = "vec_id", seed: int = SEED) -> Callable[[int], li
     return lambda epoch: [random_order_key([id_col], seed + epoch), F.col(id_col)]
 
 
-def layout_epoch(df: DataFrame, shards: int, batch_size: int, order: list[Column]) -> DataFrame:
+def layout_epoch(df: DataFrame, shards: int, batch_size: int, order: list[Column],
+                 scratch: Scratch | None = None) -> DataFrame:
     """Positions, padding, shard and batch columns for one epoch."""
-    pos = with_positions(df, order, "pos")
+    pos = with_positions(df, order, "pos", scratch=scratch)
     return assign_batches(assign_shards(pos, shards, "pos", pad=True), batch_size, "shard_pos")
 
 
@@ -109,43 +119,126 @@ def sgd_update(params: Params, grad: np.ndarray, velocity: np.ndarray | None,
     return Params.from_flat(w - lr * v, k, d), v
 
 
+class TrainRun:
+    """A training run's folder: its record, its step log and its last saved state.
+
+    Without a folder the log is a live table (``session.release``) and nothing is saved.
+    """
+
+    _STATE = re.compile(r"state=(\d+)-(\d+)$")
+
+    def __init__(self, spark, folder: str | None, record: dict, resume: bool, csv_path: str | None):
+        self.spark, self.folder = spark, folder.rstrip("/") if folder else None
+        self.params = self.velocity = None
+        self.epoch = self.step = 0  # steps of this epoch that are done
+        if self.folder:
+            self._open(record, resume)
+        elif resume:
+            raise ValueError("resume needs save_dir")
+        self.log = StepLog(spark, f"{self.folder}/log" if self.folder else Scratch(spark, f"{LIVE}-steps").path("log"), csv_path)
+
+    def _open(self, record: dict, resume: bool) -> None:
+        fs, root = _hadoop_fs(self.spark, self.folder)
+        found = [st.getPath().getName() for st in fs.listStatus(root)] if fs.exists(root) else []
+        if not resume:
+            if found:
+                raise ValueError(f"{self.folder} holds another run: resume it, or give an empty folder")
+            self.spark.createDataFrame([(json.dumps(record),)], "record string").coalesce(1).write.parquet(f"{self.folder}/run")
+            return
+        if "run" not in found:
+            raise ValueError(f"{self.folder} has no run record to resume from")
+        known = json.loads(self.spark.read.parquet(f"{self.folder}/run").first()[0])
+        for name, value in record.items():
+            if known.get(name) != value:
+                raise ValueError(f"cannot resume {self.folder}: its {name} is {known.get(name)!r}, not {value!r}")
+        done = self._states()
+        if done:
+            self.epoch, self.step = done[-1]
+            saved = self.spark.read.parquet(self._state(*done[-1])).first()
+            self.params = Params.from_flat(np.array(saved.params), saved.k, saved.d)
+            self.velocity = np.array(saved.velocity)
+
+    def _state(self, epoch: int, step: int) -> str:
+        return f"{self.folder}/state={epoch}-{step}"
+
+    def _states(self) -> list[tuple[int, int]]:
+        """(epoch, step) of the complete saves, in order."""
+        fs, root = _hadoop_fs(self.spark, self.folder)
+        marker = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        found = []
+        for st in fs.listStatus(root):
+            if (m := self._STATE.search(st.getPath().getName())) and fs.exists(marker(st.getPath(), "_SUCCESS")):
+                found.append((int(m[1]), int(m[2])))
+        return sorted(found)
+
+    def commit(self, epoch: int, step: int, params: Params, velocity: np.ndarray) -> None:
+        """Write the block of the log, then the state after ``step`` steps of ``epoch``; earlier states go."""
+        self.log.commit()
+        if not self.folder:
+            return
+        k, d = params.w.shape
+        state = [(k, d, params.flat().tolist(), velocity.tolist())]
+        self.spark.createDataFrame(state, "k int, d int, params array<double>, velocity array<double>") \
+            .coalesce(1).write.mode("overwrite").parquet(self._state(epoch, step))
+        for old in self._states():
+            if old < (epoch, step):
+                drop_path(self.spark, self._state(*old))
+
+
 def train_softmax(df: DataFrame, shards: int = 1, batch_size: int = BATCH_SIZE,
                   lr: float = LEARNING_RATE, momentum: float = MOMENTUM,
                   weight_decay: float = WEIGHT_DECAY, epochs: int = 1, classes: int = 10,
                   feature_col: str = "embedding", label_col: str = "label",
                   id_col: str = "vec_id", order: Callable[[int], list[Column]] | None = None,
                   augment: Callable[[DataFrame, int], DataFrame] | None = None,
-                  block_rows: int = 1_000_000, params: Params | None = None) -> TrainResult:
-    """One or more epochs of synchronous SGD over ``shards`` x ``batch_size`` rows per step."""
+                  block_rows: int = 1_000_000, params: Params | None = None,
+                  save_dir: str | None = None, resume: bool = False, log_path: str | None = None,
+                  log_every: int = LOG_EVERY) -> TrainResult:
+    """One or more epochs of synchronous SGD over ``shards`` x ``batch_size`` rows per step.
+
+    Every ``log_every`` steps and at an epoch's end the step log grows by a block
+    (``log_path``: also as CSV there) and, with ``save_dir``, the state is saved.
+    ``resume`` goes on from the last save; it needs the data, settings and order of
+    the run that is resumed, but may ask for more epochs.
+    """
     spark = df.sparkSession
     order = order or seeded_order(id_col)
     base = df.select(id_col, label_col, feature_col)
     d = base.select(F.size(feature_col)).first()[0]
     label_range(base, label_col, classes)
-    params = params or Params.zeros(classes, d)
-    velocity = None
-    log_rows, loss_rows = [], []
+    record = {}
+    if save_dir:
+        rows = base.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*base.columns).cast("decimal(38,0)"))).first()
+        record = {"data": f"{rows[0]}:{rows[1]}", "shards": shards, "batch_size": batch_size, "lr": lr, "momentum": momentum,
+                  "weight_decay": weight_decay, "classes": classes, "order": [str(c) for c in order(0)],
+                  "start": None if params is None else params.flat().tolist(),
+                  "augment": None if augment is None else augment.__qualname__}
+    run = TrainRun(spark, save_dir, record, resume, log_path)
+    params = run.params or params or Params.zeros(classes, d)
+    velocity = run.velocity
     batches_per_block = max(1, block_rows // (batch_size * shards))
     writers = max(1, -(-max(block_rows, batch_size * shards) // WRITER_ROWS))
-    for epoch in range(epochs):
-        data = augment(base, epoch) if augment else base
-        data = data.withColumn("x", F.col(feature_col))  # its own type: floats stay floats on disk
-        laid = layout_epoch(data.select(id_col, label_col, "x"), shards, batch_size, order(epoch))
-        staged = stage_epoch(laid.select("batch_id", "shard", label_col, "x"),
-                             folder := scratch_path(spark, f"epoch{epoch}"), batches_per_block, writers)
-        n_batches = staged.agg(F.max("batch_id")).first()[0] + 1
-        clock = time.time()
-        for step in range(n_batches):
-            rows = step_rows(staged, step, batches_per_block)
-            grad, loss = collect_step(rows, params, shards, "x", label_col, "shard")
-            params, velocity = sgd_update(params, grad, velocity, lr, momentum, weight_decay)
-            now = time.time()
-            log_rows.append((epoch, step + 1, now - clock))
-            loss_rows.append((epoch, step, loss))
-            clock = now
-        drop_path(spark, folder)
-    steps = spark.createDataFrame(log_rows, "epoch int, iteration int, elapsed double")
-    losses = spark.createDataFrame(loss_rows, "epoch int, step int, loss double")
+    for epoch in range(run.epoch, epochs):
+        with Scratch(spark, f"epoch{epoch}") as scratch:
+            data = augment(base, epoch) if augment else base
+            data = data.withColumn("x", F.col(feature_col))  # its own type: floats stay floats on disk
+            with Scratch(spark, "positions") as positions:
+                laid = layout_epoch(data.select(id_col, label_col, "x"), shards, batch_size, order(epoch), positions)
+                staged = stage_epoch(laid.select("batch_id", "shard", label_col, "x"), scratch.path("staged"), batches_per_block, writers)
+            n_batches = staged.agg(F.max("batch_id")).first()[0] + 1
+            clock = time.time()
+            for step in range(run.step if epoch == run.epoch else 0, n_batches):
+                rows = step_rows(staged, step, batches_per_block)
+                grad, loss = collect_step(rows, params, shards, "x", label_col, "shard")
+                params, velocity = sgd_update(params, grad, velocity, lr, momentum, weight_decay)
+                now = time.time()
+                run.log.add(epoch, step + 1, now - clock, loss)
+                clock = now
+                if (step + 1) % log_every == 0 or step + 1 == n_batches:
+                    run.commit(epoch, step + 1, params, velocity)
+    log = run.log.read()
+    steps = log.select("epoch", "iteration", "elapsed")
+    losses = log.select("epoch", (F.col("iteration") - 1).alias("step"), "loss")
     return TrainResult(params, steps, losses)
 
 

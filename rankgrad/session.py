@@ -99,17 +99,51 @@ def read_table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def reliable_checkpoint(df, fallback: str | None = None):
-    """Checkpoint ``df`` into the shared folder and return the cut frame.
+class Scratch:
+    """Written tables of the shared folder that have an owner, who frees them.
 
-    The frame is persisted first so the eager count fills the cache and the
-    checkpoint write reads it, rather than computing the plan a second time;
-    the cache is dropped once the files are written.
+    As a context, all of them go when it ends; otherwise ``close`` or, for the one
+    that a returned frame reads, ``release``.
     """
-    from pyspark import StorageLevel
 
-    ensure_checkpoint_dir(df.sparkSession, fallback)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    saved = cached.checkpoint(eager=True)
-    cached.unpersist()
-    return saved
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.root, self.count = spark, scratch_path(spark, name), 0
+
+    def __enter__(self) -> "Scratch":
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
+    def path(self, name: str) -> str:
+        """A fresh sub-folder."""
+        self.count += 1
+        return f"{self.root}/{self.count}-{name}"
+
+    def save(self, df, name: str):
+        """``df`` as a committed table (cuts the lineage)."""
+        path = self.path(name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def close(self) -> None:
+        drop_path(self.spark, self.root)
+
+
+#: Name that marks tables which live as long as the frame that reads them.
+LIVE = "live"
+
+
+def live_table(df, name: str):
+    """``df`` as a committed table of its own, which the frame's user frees with ``release``."""
+    return Scratch(df.sparkSession, f"{LIVE}-{name}").save(df, "table")
+
+
+def release(df) -> int:
+    """Delete the live tables that ``df`` reads; how many. ``df`` can't be read afterwards."""
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/").split(":", 1)[-1].lstrip("/")
+    roots = {m[1] for f in df.inputFiles() if (m := re.match(rf"(.*?{re.escape(base)}/{LIVE}-[^/]+)/", f))}
+    for root in roots:
+        drop_path(spark, root)
+    return len(roots)

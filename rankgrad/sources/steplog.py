@@ -3,7 +3,8 @@
 The reference writes a header line (``Epoch, Iteration, Elpased_time``,
 spaces and spelling as is) and one line per step. Files are read with an
 explicit schema and the header skipped, so either spelling of the header
-reads the same.
+reads the same. A log that grows is a folder of blocks, each committed by its
+own write (``StepLog``), so a run that fails leaves all blocks before.
 """
 
 from __future__ import annotations
@@ -34,5 +35,39 @@ def write_step_log(df: DataFrame, path: str, mode: str = "errorifexists",
 
 
 def read_step_log(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a log written at once or block by block."""
     return spark.read.schema(STEP_SCHEMA).option("header", True) \
-        .option("ignoreLeadingWhiteSpace", True).csv(path)
+        .option("ignoreLeadingWhiteSpace", True).csv(path).select(*STEP_SCHEMA.names)
+
+
+class StepLog:
+    """A step log that grows: rows are held for one block, then written and committed.
+
+    A block's folder is named by its epoch and first step, so a step that is run
+    again after a failure replaces its block instead of doubling it. ``path`` gets
+    Parquet with the losses; ``csv_path``, if given, the reference's CSV lines.
+    """
+
+    SCHEMA = T.StructType([*STEP_SCHEMA.fields, T.StructField("loss", T.DoubleType())])
+
+    def __init__(self, spark: SparkSession, path: str, csv_path: str | None = None):
+        self.spark, self.path, self.csv_path, self.rows = spark, path.rstrip("/"), csv_path, []
+
+    def add(self, epoch: int, iteration: int, elapsed: float, loss: float) -> None:
+        """One step; ``iteration`` counts from 1 within its epoch."""
+        self.rows.append((epoch, iteration, elapsed, loss))
+
+    def commit(self) -> None:
+        """Write the held rows, all of one epoch, as a block."""
+        if not self.rows:
+            return
+        block = f"block={self.rows[0][0]:06d}-{self.rows[0][1]:012d}"
+        rows = self.spark.createDataFrame(self.rows, self.SCHEMA).coalesce(1)
+        rows.write.mode("overwrite").parquet(f"{self.path}/{block}")
+        if self.csv_path:
+            write_step_log(rows, f"{self.csv_path.rstrip('/')}/{block}", mode="overwrite")
+        self.rows = []
+
+    def read(self) -> DataFrame:
+        """``(epoch, iteration, elapsed, loss)`` of all committed blocks."""
+        return self.spark.read.schema(self.SCHEMA).parquet(self.path).select(*self.SCHEMA.names)

@@ -121,17 +121,20 @@ def test_part_count_holds_without_broadcast(spark, threshold):
 
 
 def test_scratch_holds_only_live_state(spark):
-    from rankgrad.session import ensure_checkpoint_dir
+    from rankgrad.session import ensure_checkpoint_dir, release
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(ensure_checkpoint_dir(spark))
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
     def folders():
-        return {s.getPath().getName() for s in fs.listStatus(root) if not s.getPath().getName().startswith("rdd-")}
+        return {s.getPath().getName() for s in fs.listStatus(root) }
 
     before, tables = folders(), {t.name for t in spark.catalog.listTables()}
     out = pagerank(fx.g_part(spark, SF01), 7, checkpoint_every=2, edge_store="table")
     assert out.count() == 100
+    kept = folders() - before
+    assert len(kept) == 1 and kept.pop().startswith("live-ranks-")  # the result itself, until it is freed
+    assert release(out) == 1
     assert folders() == before and {t.name for t in spark.catalog.listTables()} == tables
 
 

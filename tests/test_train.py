@@ -190,3 +190,102 @@ def test_step_reads_are_pruned(spark, tmp_dir):
     assert "EqualTo(batch_id,5)" in plan
     assert rows.count() == 64
     assert staged.count() == 500
+
+
+@pytest.mark.parametrize("n_shards", [1, 64])
+def test_the_driver_gets_one_model(spark, n_shards):
+    df = vec(spark).withColumn("shard", (F.col("vec_id") % n_shards).cast("int"))
+    p = model.Params(np.full((10, 64), 0.01), np.zeros(10))
+    assert gradients.step_sums(df, p).count() == 10 * 65 + 1
+    grad, loss = gradients.collect_step(df, p, n_shards)
+    rows = df.collect()
+    means, losses = np.zeros(650), []
+    for s in range(n_shards):
+        own = [r for r in rows if r.shard == s]
+        x, y = np.array([r.embedding for r in own], float), np.array([r.label for r in own])
+        z = np.exp(x @ p.w.T + p.b)
+        z /= z.sum(axis=1, keepdims=True)
+        losses.append(-np.log(z[np.arange(len(y)), y]).mean())
+        z[np.arange(len(y)), y] -= 1
+        means += (z.T @ np.c_[x, np.ones(len(x))] / len(y)).ravel() / n_shards
+    assert np.allclose(grad, means, atol=1e-12) and abs(loss - np.mean(losses)) < 1e-12
+    _, none = gradients.collect_step(df.limit(0), p, n_shards)
+    assert math.isnan(none)
+
+
+def scratch_folders(spark):
+    from rankgrad.session import ensure_checkpoint_dir
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(ensure_checkpoint_dir(spark))
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return {s.getPath().getName() for s in fs.listStatus(root)}
+
+
+def test_training_and_splits_leave_only_live_tables(spark):
+    from rankgrad.session import release
+    before = scratch_folders(spark)
+    res = train.train_softmax(vec(spark), batch_size=256)
+    assert {n.rsplit("-", 1)[0] for n in scratch_folders(spark) - before} == {"live-steps"}
+    assert res.steps.count() == 2 and release(res.losses) == 1
+    split = sample.balanced_split(vec(spark).select("vec_id"), 3, [F.col("vec_id")])
+    assert {n.rsplit("-", 1)[0] for n in scratch_folders(spark) - before} == {"live-positions"}
+    assert split.count() == 500 and release(split) == 1
+    assert scratch_folders(spark) == before
+
+
+class Stop(Exception):
+    pass
+
+
+def broken_at(monkeypatch, step):
+    """Training that dies in its ``step``-th gradient."""
+    real, seen = train.collect_step, []
+
+    def failing(*args, **kw):
+        seen.append(1)
+        if len(seen) == step:
+            raise Stop
+        return real(*args, **kw)
+
+    monkeypatch.setattr(train, "collect_step", failing)
+    return real
+
+
+def test_a_failed_run_keeps_its_log_and_goes_on(spark, tmp_dir, monkeypatch):
+    how = dict(batch_size=50, epochs=2, order=train.seeded_order("vec_id", 5), log_every=4)  # 10 steps an epoch
+    want = train.train_softmax(vec(spark), **how)
+    real = broken_at(monkeypatch, 17)  # in the second block of the second epoch
+    with pytest.raises(Stop):
+        train.train_softmax(vec(spark), save_dir=f"{tmp_dir}/run", log_path=f"{tmp_dir}/log", **how)
+    kept = steplog.read_step_log(spark, f"{tmp_dir}/log")
+    assert sorted((r.epoch, r.iteration) for r in kept.collect()) == [(0, k) for k in range(1, 11)] + [(1, k) for k in range(1, 5)]
+    monkeypatch.setattr(train, "collect_step", calls := lambda *a, **kw: (done.append(1), real(*a, **kw))[1])
+    done = []
+    got = train.train_softmax(vec(spark), save_dir=f"{tmp_dir}/run", log_path=f"{tmp_dir}/log", resume=True, **how)
+    assert calls and len(done) == 6  # steps 5 to 10 of the second epoch
+    assert np.allclose(got.params.flat(), want.params.flat(), atol=1e-12)
+    key = ["epoch", "step"]
+    a, b = ([(r.epoch, r.step, round(r.loss, 12)) for r in x.losses.orderBy(*key).collect()] for x in (got, want))
+    assert a == b and len(a) == 20
+    assert steplog.read_step_log(spark, f"{tmp_dir}/log").count() == 20
+    # a finished run gives its answer again, and goes on for more epochs
+    done.clear()
+    again = train.train_softmax(vec(spark), save_dir=f"{tmp_dir}/run", resume=True, **how)
+    assert not done and np.array_equal(again.params.flat(), got.params.flat())
+    more = train.train_softmax(vec(spark), save_dir=f"{tmp_dir}/run", resume=True, **(how | {"epochs": 3}))
+    assert len(done) == 10 and more.steps.count() == 30
+
+
+def test_resume_compares_the_run(spark, tmp_dir):
+    run = f"{tmp_dir}/run"
+    train.train_softmax(vec(spark), save_dir=run)
+    with pytest.raises(ValueError, match="another run"):
+        train.train_softmax(vec(spark), save_dir=run)
+    for other in ({"lr": 0.2}, {"shards": 2}, {"order": train.seeded_order("vec_id", 9)}):
+        with pytest.raises(ValueError, match="cannot resume"):
+            train.train_softmax(vec(spark), save_dir=run, resume=True, **other)
+    with pytest.raises(ValueError, match="data"):
+        train.train_softmax(vec(spark).limit(300), save_dir=run, resume=True)
+    with pytest.raises(ValueError, match="needs save_dir"):
+        train.train_softmax(vec(spark), resume=True)
+    with pytest.raises(ValueError, match="no run record"):
+        train.train_softmax(vec(spark), save_dir=f"{tmp_dir}/none", resume=True)
