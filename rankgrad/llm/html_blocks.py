@@ -5,17 +5,25 @@ link density, those of its neighbours, and marks of the elements around it. A
 decision tree, trained on a small table of labelled blocks, says which blocks
 are main text; those are joined in page order.
 
-The labelled blocks come from ``TRAINING``: short pages written by rule, in which
-the element that holds the article is known.
+The labelled blocks come from ``training_pages``: short pages written by rule, with
+and without elements that name the article. Where a page marks its article, the
+marks lead and the neighbours tell a menu in it from a line with a link; where it
+does not, words and links of a block and its neighbours decide: a short line between
+long paragraphs or on top of one is main, one behind the last is not.
+
+Reading a page takes time in proportion to its length, whatever its markup.
 
 Defined results: a null or empty page, or one without main blocks, gives an empty
 text; null ids and urls pass through; repeated rows give a row each. Elements left
-open end where an enclosing one closes; unknown character references stay as they are.
+open end where an enclosing one closes; a mark without an end, in a page without any
+``>`` behind it, is text; an attribute's quote without an end is an ordinary letter;
+unknown character references stay as they are.
 """
 
 from __future__ import annotations
 
 import html
+import random
 import re
 
 import numpy as np
@@ -32,23 +40,49 @@ INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code"
           "i", "img", "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike",
           "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-ASIDE = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "address", "fieldset", "figcaption"}
+ASIDE = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "address", "fieldset"}
 MAIN = {"article", "main"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
-# Words in class and id that name parts which aren't the article, and parts that are.
+ITEMS = {"li", "dt", "dd", "td", "th"}
+# Words in class and id that name parts which aren't the article, and parts that are; words for a
+# container, which leave the naming to the word before; first words of a name that says what is beside or missing.
 SIDE_WORDS = set("ad ads advert advertisement banner breadcrumb breadcrumbs byline comment comments cookie cookies consent "
                  "copyright disqus footer form header links login masthead menu meta nav navbar navigation newsletter "
                  "notice pager pagination popup promo related reply replies rss share sharing sidebar signup social "
                  "sponsor sponsored subscribe tags teaser toolbar widget".split())
 MAIN_WORDS = set("article content entry main post story text body".split())
+CONTAINERS = set("area articles bar block box button buttons container group inner item items list links panel posts row "
+                 "section stories widget wrap wrapper".split())
+BESIDE = set("has no with without is in hide show".split())
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+ATTRIBUTE = re.compile(r"[\s/]*([^\s/>=][^\s/>=]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?|[\s/=]+")
+NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+STYLED = re.compile(r"display\s*:\s*none", re.I)
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F\s]+")
 SPACE = re.compile(r"\s+")
 
 
+def part_named(value: str) -> int:
+    """1 if a class, id or role names the article, -1 if it names another part, else 0.
+
+    Of a compound name the last word counts, or the one before a container's; a name
+    of the article wins over others beside it.
+    """
+    found = 0
+    for token in value.lower().split():
+        words = [w for w in re.split(r"[^a-z]+", token) if w]
+        if not words or words[0] in BESIDE:
+            continue
+        if len(words) > 1 and words[-1] == "header" and words[-2] in MAIN_WORDS:
+            continue  # the title's own part of the article
+        while len(words) > 1 and words[-1] in CONTAINERS:
+            words.pop()
+        if words[-1] in MAIN_WORDS:
+            return 1
+        found = -1 if words[-1] in SIDE_WORDS else found
+    return found
+
+
 class Block:
     __slots__ = ("text", "words", "linked", "side", "main", "heading", "item")
 
@@ -57,96 +91,165 @@ class Block:
         self.side, self.main, self.heading, self.item = side, main, heading, item
 
 
+class _Open:
+    """An open element: its name, kind of part, and whether it is a link or hidden."""
+
+    __slots__ = ("name", "kind", "link", "skipped")
+
+    def __init__(self, name, kind, link, skipped):
+        self.name, self.kind, self.link, self.skipped = name, kind, link, skipped
+
+
+class _Reader:
+    """Collects a page's blocks. Counts of what is open stand beside the stack, so no step walks it."""
+
+    def __init__(self):
+        self.out, self.parts, self.linked = [], [], 0
+        self.stack: list[_Open] = []
+        self.at: dict[str, list[int]] = {}  # depths at which elements of a name are open
+        self.blocks: list[int] = []  # depths of the elements that aren't inline
+        self.side = self.main = self.link = self.skipped = self.heading = self.item = 0
+
+    def count(self, e: _Open, by: int) -> None:
+        self.side += by * (e.kind == -1)
+        self.main += by * (e.kind == 1)
+        self.link += by * e.link
+        self.skipped += by * e.skipped
+        self.heading += by * (e.name in HEADINGS)
+        self.item += by * (e.name in ITEMS)
+
+    def push(self, e: _Open) -> None:
+        self.at.setdefault(e.name, []).append(len(self.stack))
+        if e.name not in INLINE:
+            self.blocks.append(len(self.stack))
+        self.stack.append(e)
+        self.count(e, 1)
+
+    def pop(self) -> None:
+        e = self.stack.pop()
+        self.at[e.name].pop()
+        if e.name not in INLINE:
+            self.blocks.pop()
+        self.count(e, -1)
+
+    def flush(self) -> None:
+        if self.parts:
+            text = SPACE.sub(" ", html.unescape("".join(self.parts))).strip()
+            if text:
+                self.out.append(Block(text, len(WORD.findall(text)), self.linked, self.side > 0, self.main > 0, self.heading > 0, self.item > 0))
+        self.parts, self.linked = [], 0
+
+    def text(self, text: str) -> None:
+        if text and not self.skipped:
+            self.parts.append(text)
+            if self.link:
+                self.linked += len(WORD.findall(html.unescape(text)))
+
+    def end(self, name: str) -> None:
+        depths = self.at.get(name)
+        # an inline end mark doesn't close the blocks around what it names
+        if depths and (name not in INLINE or not self.blocks or self.blocks[-1] < depths[-1]):
+            depth = depths[-1]
+            while len(self.stack) > depth:
+                self.pop()
+
+    def start(self, name: str, attributes: list[tuple[str, str]]) -> None:
+        if name not in INLINE:  # a new block ends inline elements, and a paragraph or item its like
+            while self.stack and ((last := self.stack[-1].name) in INLINE or last == "p" or last == name and name in ITEMS | {"tr", "option"}):
+                self.pop()
+        kind = 1 if name in MAIN else -1 if name in ASIDE else 0
+        skipped = name in SKIPPED
+        if name not in ("html", "body"):
+            names = " ".join(v for a, v in attributes if a in ("class", "id", "role"))
+            named = part_named(names)
+            # an element of the article stays one; its own header, if nothing else is said, is part of it
+            kind = kind if kind == 1 else named or kind
+            if name == "header" and self.main and not names:
+                kind = 0
+            skipped = skipped or any(a == "hidden" or a == "aria-hidden" and v.strip().lower() == "true" or a == "style" and STYLED.search(v)
+                                     for a, v in attributes)
+        self.push(_Open(name, kind, name == "a", skipped))
+
+
 def blocks_of(page: str | None) -> list[Block]:
     """The flat text blocks of a whole page, in page order."""
-    out: list[Block] = []
     if not page:
-        return out
-    open_: list[tuple[str, int, int, bool]] = []  # name, kind of part, link, skipped
-    parts: list[str] = []
-    linked = 0
-
-    def flush():
-        nonlocal parts, linked
-        if parts:
-            text = SPACE.sub(" ", html.unescape("".join(parts))).strip()
-            if text:
-                out.append(Block(text, len(WORD.findall(text)), linked, any(k == -1 for _, k, _, _ in open_),
-                                 any(k == 1 for _, k, _, _ in open_), any(n in HEADINGS for n, *_ in open_),
-                                 any(n in ("li", "dt", "dd", "td", "th") for n, *_ in open_)))
-        parts, linked = [], 0
-
-    def add(text):
-        nonlocal linked
-        if not any(x[3] for x in open_):
-            parts.append(text)
-            if any(x[2] for x in open_):
-                linked += len(WORD.findall(html.unescape(text)))
-
-    at, n = 0, len(page)
+        return []
+    read, at, n = _Reader(), 0, len(page)
+    last_end = page.rfind(">")  # behind it no mark ends
     while at < n:
-        m = TOKEN.search(page, at)
-        if not m:
-            add(page[at:])
+        mark = page.find("<", at)
+        if mark < 0 or mark > last_end:
+            read.text(page[at:])
             break
-        if m.start() > at:
-            add(page[at:m.start()])
-        at = m.end()
-        if m[1] is not None:
-            add(html.escape(m[1]))
-        if not m[3]:
+        read.text(page[at:mark])
+        at = mark + 1
+        if page.startswith("!--", at):
+            end = page.find("-->", at + 3)
+            at = end + 3 if end >= 0 else n
             continue
-        name, attributes = m[3].lower(), m[4]
-        if name not in INLINE:
-            flush()
-        elif name in ("br", "img", "wbr"):
-            parts.append(" " if name == "br" else "")
-        if m[2]:
-            depth = next((i for i in range(len(open_) - 1, -1, -1) if open_[i][0] == name), None)
-            # an inline end mark doesn't close the blocks around what it names
-            if depth is not None and (name not in INLINE or all(x[0] in INLINE for x in open_[depth:])):
-                del open_[depth:]
+        if page.startswith("![CDATA[", at):
+            end = page.find("]]>", at)
+            read.text(html.escape(page[at + 8:end if end >= 0 else n]))
+            at = end + 3 if end >= 0 else n
             continue
-        if name in RAW and not attributes.endswith("/"):
-            end = re.compile(f"</{name}\\s*>", re.I).search(page, at)
-            at = end.end() if end else n
+        if page[at] in "!?":
+            at = page.find(">", at) + 1
             continue
-        if name in VOID or attributes.endswith("/"):
+        closing = page[at] == "/"
+        found = NAME.match(page, at + closing)
+        if not found:
+            read.text("<")
             continue
-        if name not in INLINE:  # a new block ends inline elements, and a paragraph or item its like
-            while open_ and (open_[-1][0] in INLINE or open_[-1][0] == "p" or open_[-1][0] == name and name in ("li", "dt", "dd", "tr", "td", "th", "option")):
-                open_.pop()
-        kind = -1 if name in ASIDE else 1 if name in MAIN else 0
-        skipped = name in SKIPPED
-        if attributes and name not in ("html", "body"):
-            for value in NAMES.findall(attributes):
-                named = set(re.split(r"[^a-z]+", "".join(value).lower()))
-                if named & MAIN_WORDS:
-                    named.discard("header")  # the title's own part of the article
-                kind = -1 if named & SIDE_WORDS else kind or (1 if named & MAIN_WORDS else 0)
-            skipped = skipped or bool(HIDDEN.search(attributes))
-        # an article's own header is part of it
-        if name == "header" and any(k == 1 for _, k, _, _ in open_) and kind == -1 and not attributes:
-            kind = 0
-        open_.append((name, kind, name == "a", skipped))
-    flush()
-    return out
+        name, attributes, at, last = found[0].lower(), [], found.end(), ""
+        while at < n and page[at] != ">":
+            a = ATTRIBUTE.match(page, at)
+            at, last = a.end(), a[0][-1]
+            if a[1]:
+                attributes.append((a[1].lower(), a[2] or a[3] or a[4] or ""))
+        at += 1
+        if name not in INLINE:
+            read.flush()
+        elif name == "br":
+            read.text(" ")
+        if closing:
+            read.end(name)
+        elif name in RAW and last != "/":
+            end = re.compile(f"</{re.escape(name)}\\s*>", re.I).search(page, at)
+            at = end.end() if end else n
+        elif name not in VOID and last != "/":
+            read.start(name, attributes)
+    read.flush()
+    return read.out
 
 
-FEATURES = ["words", "density", "words_before", "density_before", "words_after", "density_after", "side", "main", "heading", "item"]
+FEATURES = ["words", "density", "words_before", "density_before", "words_after", "density_after", "prose_before", "prose_after",
+            "side", "main", "marked", "heading", "item"]
+#: Blocks on either side among which the longest prose is looked for.
+NEAR = 4
 
 
 def features_of(blocks: list[Block]) -> np.ndarray:
-    """One row per block: word count and link density of it and its neighbours, and its place."""
+    """One row per block: words and link density of it and its neighbours, the longest prose near it, and its place.
+
+    ``prose_before`` and ``prose_after``: most words without links of ``NEAR`` blocks before and after;
+    ``marked``: some block of the page lies in an element that names the article.
+    """
     n = len(blocks)
     out = np.zeros((n, len(FEATURES)))
     if n:
         words = np.array([b.words for b in blocks], float)
-        density = np.array([b.linked for b in blocks], float) / np.maximum(words, 1)
+        linked = np.array([b.linked for b in blocks], float)
+        density = linked / np.maximum(words, 1)
+        prose = np.where([b.side for b in blocks], 0, words - linked)
         out[:, 0], out[:, 1] = words, density
         out[1:, 2], out[1:, 3] = words[:-1], density[:-1]
         out[:-1, 4], out[:-1, 5] = words[1:], density[1:]
-        out[:, 6:] = [[b.side, b.main, b.heading, b.item] for b in blocks]
+        for k in range(1, min(NEAR, n - 1) + 1):
+            out[k:, 6] = np.maximum(out[k:, 6], prose[:-k])
+            out[:-k, 7] = np.maximum(out[:-k, 7], prose[k:])
+        out[:, 8:] = [[b.side, b.main, False, b.heading, b.item] for b in blocks]
+        out[:, 10] = any(b.main and not b.side for b in blocks)
     return out
 
 
@@ -155,24 +258,42 @@ def training_pages() -> list[tuple[str, set[str]]]:
     pages = []
     prose = lambda k, n: " ".join(f"{'abcdefgh'[k % 8]}{i}" for i in range(n))
     links = lambda k, n: "".join(f"<li><a href='/{i}'>{prose(k, 1 + i % 3)}x{i}</a></li>" for i in range(n))
+    row = lambda k: "<div>" + " | ".join(f"<a href='/{i}'>{prose(k, 1 + (k + i) % 2)}r{i}</a>" for i in range(1 + k % 5)) + "</div>"
     sides = ("<nav><ul>{l}</ul></nav>", "<div class='ad'>{t}</div>", "<aside><p>{t}</p></aside>", "<footer>{t}</footer>",
              "<div class='cookie-notice'><p>{t}</p></div>", "<section id='comments'><p>{t}</p></section>",
              "<div class='comment-list'><article><p>{t}</p></article></div>", "<form><p>{t}</p></form>", "<div class='sidebar'><ul>{l}</ul></div>", "<header><p>{t}</p></header>")
-    for k in range(48):
-        text = lambda n, salt, k=k: f"{prose(k, n)} z{k}{salt}"
-        before, after, between = (sides[(k + i) % len(sides)].format(l=links(k, 2 + k % 5), t=text((4, 14, 45)[(k + i) % 3], f"s{i}")) for i in (0, 3, 5))
-        main = [text(2 + k % 7, "h"), *[text((1, 60, 3, 2, 80, 1, 30)[(k + i * (1 + k % 3)) % 7], f"m{i}") for i in range(1 + k % 6)]]
-        inside = sides[(k + 7) % len(sides)].format(l=links(k, 4), t=text((40, 9)[k % 2], "i")) if k % 2 else ""
-        body = f"<h1>{main[0]}</h1>" + inside + "".join(f"<p>{t}</p>" for t in main[1:])
-        # with an element that names the article, or a plain one
-        if k % 6:
-            pages.append((f"{before}<article>{body}</article>{between}{after}", set(main)))
-        else:
-            long = [text(25 + 9 * i + (k * 7) % 60, f"p{i}") for i in range(3)]
-            title = text(2 + k % 8, "t")
-            plain = f"<h1>{title}</h1>" + "".join(f"<p>{t}</p>" for t in long)
-            long.append(title)
-            pages.append((f"{before}<div>{plain}</div><div><ul>{links(k, 6)}</ul></div>{between}<div>{text(1 + k % 6, "f")}</div>{after}", set(long)))
+    holders = ("<article>{}</article>", "<main>{}</main>", "<div class='entry-content'>{}</div>", "<article class='post share'>{}</article>")
+    for k in range(150):  # pages that name the article
+        rng = random.Random(k)
+        size = lambda rng=rng: rng.choice((rng.randint(1, 8), rng.randint(1, 30), rng.randint(20, 160)))
+        text = lambda n, salt, k=k: f"{prose(k, n - 1)} z{k}{salt}".strip()
+        before, after, between = (sides[(k + i) % len(sides)].format(l=links(k, 2 + k % 5), t=text(size(), f"s{i}")) for i in (0, 3, 5))
+        main = [text(1 + k % 9, "h"), *[text(size(), f"m{i}") for i in range(1 + k % 7)]]
+        inside = sides[(k + 7) % len(sides)].format(l=links(k, 4), t=text(size(), "i")) if k % 2 else ""
+        if k % 4 == 0:
+            main.insert(1 + k % len(main), "* * *")
+        body = [f"<p>{t}</p>" for t in main[1:]]
+        if k % 5 == 0:  # a line that is a link, and a menu without a name
+            main += [text(1 + k % 4, "k"), text(size(), "e")]
+            body += [f"<p><a href='#'>{main[-2]}</a></p>", f"<p>{main[-1]}</p>", f"<ul>{links(k, 5)}</ul>"]
+        stray = f"<p>{text(size(), 'o')}</p>" if k % 3 == 0 else ""
+        pages.append((f"{before}{stray}{holders[k % 4].format(f'<h1>{main[0]}</h1>' + inside + ''.join(body))}{between}{stray}{after}{row(k) if k % 3 else ''}", set(main)))
+    shorts = (2, 1, 6, 3, 9, 4)
+    for k in range(90):  # pages of plain elements
+        text = lambda n, salt, k=k: f"{prose(k, n - 1)} y{k}{salt}".strip()
+        wrap = ("<div>{}</div>", "<p>{}</p>", "<td>{}</td>")[k % 3]
+        title = text(shorts[k % 6] + 1, "t")
+        body, main = [], {title}
+        for i in range(2 + k % 4):  # long paragraphs, with up to two short ones between
+            body.append(text(18 + (k * 13 + i * 29) % 70, f"p{i}"))
+            if i < 1 + k % 4:
+                body += [text(shorts[(k + i + j) % 6], f"q{i}{j}") for j in range((k + i) % 3)]
+        main |= set(body)
+        top = ("", f"<ul>{links(k, 3 + k % 5)}</ul>", row(k), row(k) + f"<ul>{links(k, 4)}</ul>")[k % 4]
+        heading = f"<h1>{title}</h1>" if k % 2 else wrap.format(title)
+        tail = [text((6, 5, 3, 8, 2)[(k + i) % 5], f"f{i}") for i in range(k % 4)]
+        middle = f"<ul>{links(k, 4)}</ul>" if k % 3 == 0 else ""
+        pages.append((f"<body>{top}{heading}{''.join(map(wrap.format, body))}{middle}{''.join(map(wrap.format, tail))}</body>", main))
     return pages
 
 
@@ -188,7 +309,7 @@ def labelled_table() -> tuple[np.ndarray, np.ndarray]:
 class Tree:
     """Binary decision tree by Gini impurity; ``predict`` walks all rows at once."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, depth: int = 6, least: int = 2):
+    def __init__(self, x: np.ndarray, y: np.ndarray, depth: int = 9, least: int = 2):
         self.left = self.right = None
         self.value = bool(2 * y.sum() > len(y))
         if depth == 0 or y.all() or not y.any():

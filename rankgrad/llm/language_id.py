@@ -13,7 +13,7 @@ labelled documents to learn from, every document is ``und``.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -157,17 +157,57 @@ def held_out(id_col: str = "doc_id") -> F.Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
 
 
+def spread_sample(known: DataFrame, columns: dict[str, F.Column], total: int, max_languages: int = 1000) -> DataFrame:
+    """(lang, doc_id, columns) of about ``total`` ids of ``known`` (doc_id, lang, text), as many of each language.
+
+    One row per id and language, whatever number of rows an id has: at most ``total`` or
+    30 per language. The lowest hashes of each language are taken, so every one of the
+    ``max_languages`` most frequent is there at every size; ids that are far too many to
+    be among them are left out before the texts are looked at.
+    """
+    counts = (known.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("ids"))
+              .orderBy(F.desc("ids"), "lang").limit(max_languages).collect())
+    if not counts:
+        return known.select("lang", "doc_id", *[c.alias(n) for n, c in columns.items()]).limit(0)
+    each = max(30, total // len(counts))
+    share = known.sparkSession.createDataFrame([(r.lang, min(1.0, 4 * each / r.ids)) for r in counts], "lang string, share double")
+    h = F.xxhash64("doc_id")
+    some = known.join(F.broadcast(share), "lang").where(F.pmod(h, F.lit(1 << 30)) < F.col("share") * (1 << 30))
+    one = some.groupBy("lang", "doc_id").agg(F.min(F.struct(F.xxhash64("text"), *[c.alias(n) for n, c in columns.items()])).alias("row"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(h, "doc_id"))
+    return one.withColumn("nth", rank).where(F.col("nth") <= each).select("lang", "doc_id", *[f"row.{n}" for n in columns])
+
+
+def _known(docs: DataFrame) -> DataFrame:
+    """Rows whose language can be learned from or checked."""
+    return docs.select("doc_id", F.col("lang").cast("string").alias("lang"), "text").where(
+        F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & (F.length("text") > 0))
+
+
 def fit(docs: DataFrame, *, max_documents: int = 3000, windows_per_document: int = 4) -> Network | None:
-    """A network from windows of the ``max_documents`` learnable documents of lowest hash."""
-    known = docs.where(~held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & (F.length("text") > 0))
-    ids = known.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).orderBy("h", "doc_id", "lang").limit(max_documents)
-    picked = known.select("doc_id", "lang", "text").join(F.broadcast(ids.select("doc_id").distinct()), "doc_id")  # bounded
+    """A network from windows of at most ``max_documents`` learnable documents, equally many of each language."""
     start = lambda k: F.pmod(F.xxhash64("doc_id", F.lit(k)), F.length("text")).cast("int") + 1
-    rows = picked.select("doc_id", "lang", *[F.substring(F.col("text"), start(k), F.lit(WINDOW)).alias(f"w{k}") for k in range(windows_per_document)])
-    samples = sorted((str(r[1]), w.encode()) for r in rows.collect() for w in r[2:])
+    windows = {f"w{k}": F.substring(F.col("text"), start(k), F.lit(WINDOW)) for k in range(windows_per_document)}
+    rows = spread_sample(_known(docs).where(~held_out()), windows, max_documents)
+    samples = sorted((str(r[0]), w.encode()) for r in rows.collect() for w in r[2:])
     return train(samples)
 
 
+def least_score(docs: DataFrame, net: Network | None, keep: float = 0.995, max_documents: int = 3000) -> float:
+    """The score below which a text is in no learned language.
+
+    Of held-out documents whose language is told right, the share ``keep`` scores as much or
+    more; a bounded sample of them, as in ``fit``, is scored over whole texts. 0 without a
+    network or without held-out documents.
+    """
+    if net is None:
+        return 0.0
+    sample = spread_sample(_known(docs).where(held_out()), {"text": F.col("text")}, max_documents)
+    told = identify(sample, net).where("lang_pred = lang")
+    found = told.agg(F.percentile("score", 1 - keep)).first()[0]
+    return found if found is not None else 0.0
+
+
 def _has_letter(text: bytes | None) -> bool:
     if not text:
         return False
@@ -200,8 +240,14 @@ def op7_language_id(spark, sf_dir: str) -> DataFrame:
 
 
 def language_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: drops documents in no learned language (``und``); columns unchanged."""
+    """Pipeline stage: drops documents in no learned language; columns unchanged.
+
+    Those are texts without a letter (``und``) and texts on which the network is less
+    sure than on nearly all held-out documents (``least_score``).
+    """
     net = fit(docs)
+    least = least_score(docs, net)
     passed = docs.toDF(*[f"passed_{i}" for i in range(len(docs.columns))])
     text = f"passed_{docs.columns.index('text')}"
-    return identify(passed, net, text).where("lang_pred <> 'und'").select(*passed.columns).toDF(*docs.columns)
+    return (identify(passed, net, text).where((F.col("lang_pred") != "und") & (F.col("score") >= least))
+            .select(*passed.columns).toDF(*docs.columns))

@@ -210,8 +210,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, max_labelled: int = 8000, id_col:
         text_col: str = "text", label_col: str = "quality", **options) -> list[tuple[Test, ...]]:
     """Rules from the statistics of a bounded sample of labelled documents.
 
-    The sample is the ``max_labelled`` ids of lowest hash. Only its numbers
-    come to the driver: one row of statistics per sampled document.
+    The sample is the ``max_labelled`` ids of lowest hash. Only its numbers come to
+    the driver: one row of statistics per sampled id, the least one where an id has
+    several rows.
     """
     known = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
              .groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).alias("label")))
@@ -220,8 +221,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, max_labelled: int = 8000, id_col:
     picked = texts.join(F.broadcast(sample), "id")  # bounded by max_labelled
     wanted = features()
     got = (with_statistics(picked).where(~base_failed())
-           .select("id", "label", *[c.alias(k) for k, c in wanted.items()]).toPandas()
-           .drop_duplicates().sort_values(["id", *wanted], kind="stable"))
+           .groupBy("id").agg(F.min(F.struct(*[c.alias(k) for k, c in wanted.items()], "label")).alias("row"))
+           .select("id", "row.*").toPandas().sort_values(["id", *wanted], kind="stable"))
     rng = np.random.default_rng(7)
     got = got.iloc[rng.permutation(len(got))]
     return learn_rules({k: got[k].to_numpy(float) for k in wanted}, (got["label"] == 0).to_numpy(), **options)

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from rankgrad.llm import html_blocks, language_id, licenses, quality_rules
 from rankgrad.llm.common import add_columns
@@ -185,6 +186,45 @@ def test_language_held_out_accuracy(spark):
     assert all(0 <= r.score <= 1 for r in got)
 
 
+FOREIGN = ("Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu järki ja omatunto ja heidän on toimittava toisiaan kohtaan veljeyden hengessä ",
+           "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa ",
+           "Все люди рождаются свободными и равными в своем достоинстве и правах они наделены разумом и совестью и должны поступать в отношении друг друга в духе братства ",
+           "qx zvk jjwq xkcd zzyx wvq kqj xzw vvk qqz jxk zqw kvx wzj qkv xjz wqk vzx jqw kzx ")
+
+
+def test_stage_drops_languages_it_has_not_learned(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where(F.length("text") > 300)
+    planted = spark.createDataFrame([(10 ** 9 + k, t * 5, None, "planted", 0) for k, t in enumerate(FOREIGN)], "doc_id long, text string, lang string, source string, n_chars long")
+    both = docs.unionByName(planted.select([F.col(f.name).cast(f.dataType) for f in docs.schema]))
+    kept = {r.doc_id for r in language_id.language_stage(spark, both, "").select("doc_id").collect()}
+    assert not kept & {10 ** 9 + k for k in range(len(FOREIGN))}
+    labelled = [r.doc_id for r in docs.where("lang is not null").select("doc_id").collect()]
+    assert sum(d in kept for d in labelled) >= 0.99 * len(labelled)
+
+
+def test_a_hot_id_and_a_rare_language(spark):
+    rows = [(8, f"the hot row number {k}", "en") for k in range(4000)] + [(100 + k, "und der die das ist", "de") for k in range(4000)]
+    rows += [(9000 + k, "el que los las por", "es") for k in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    sample = language_id.spread_sample(language_id._known(docs), {"t": F.col("text")}, 300).collect()
+    by = {name: [r for r in sample if r.lang == name] for name in ("en", "de", "es")}
+    assert len(by["en"]) == 1 and len(by["de"]) == 100 and len(by["es"]) == 3
+    assert len({(r.lang, r.doc_id) for r in sample}) == len(sample)
+    assert language_id.fit(docs, max_documents=90).languages == ["de", "en", "es"]
+
+
+def test_rules_are_fitted_on_one_row_per_id(spark, monkeypatch):
+    rows = [(7, f"{'word ' * 60}{k}") for k in range(2000)] + [(k, "other words " * 40 + " ".join(map(str, range(60)))) for k in range(100, 160)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in sorted({r[0] for r in rows})], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality_rules, "base_failed", lambda: F.lit(False))
+    monkeypatch.setattr(quality_rules, "learn_rules", lambda x, bad, **kw: seen.append(len(bad)) or [])
+    quality_rules.fit(docs, labels)
+    quality_rules.fit(docs, labels, max_labelled=10)
+    assert seen == [61, 10]
+
+
 def test_language_on_odd_rows(spark, odd):
     net = language_id.train([("en", b"the words of this"), ("de", b"und der die das")], steps=5)
     rows = {(r.doc_id, r.lang_pred == "und", r.score == 0) for r in language_id.identify(odd, net).collect()}
@@ -217,6 +257,45 @@ def test_blocks_of_other_pages():
     assert html_blocks.main_text(None, tree) == html_blocks.main_text("", tree) == ""
 
 
+BODY = " ".join(f"w{i}" for i in range(60))
+
+
+@pytest.mark.parametrize("page, want", [
+    (f"<article class='post share'><p>{BODY}</p></article>", [BODY]),
+    (f"<div class='content has-sidebar'><p>{BODY}</p></div><div class='sidebar'><p>{BODY} x</p></div>", [BODY]),
+    (f"<article><p>{BODY}</p><div class='related-work'><p>Some related work</p></div><div class='related-posts'><p>Read this too</p></div>"
+     f"<figure><img src=x><figcaption>A caption</figcaption></figure><p>{BODY}</p></article>", [BODY, "Some related work", "A caption", BODY]),
+    (f"<div><a href=/>Home</a> <a href=/b>About us</a></div><div>Two words</div><div>{BODY}</div><div>Short one</div><div>{BODY}</div>"
+     "<div>Share this page with friends today</div><div>Copyright 2024 Some Company</div>", ["Two words", BODY, "Short one", BODY]),
+    (f"<article><p title=it's>{BODY}</p><p data-x=\"a>b\" hidden>no</p><p>yes</p></article>", [BODY, "yes"]),
+    (f"<main><p>{BODY}</p><p><a href=x>One link</a></p><p>{BODY}</p></main>", [BODY, "One link", BODY]),
+    (f"<article><p>{BODY}</p><p>a < b and <3 <- c</p></article>", [BODY, "a < b and <3 <- c"])])
+def test_neighbours_and_marks_decide(page, want):
+    assert html_blocks.main_text(page, html_blocks.train_tree()).split("\n") == want
+
+
+def test_the_tree_looks_at_neighbours():
+    used, nodes = set(), [html_blocks.train_tree()]
+    while nodes:
+        node = nodes.pop()
+        if node.left is not None:
+            used.add(html_blocks.FEATURES[node.feature])
+            nodes += [node.left, node.right]
+    assert {"words", "density", "words_after", "density_before", "prose_before", "prose_after"} <= used
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<a b=\"", "<a b='", "<div>x", "<b><i>x", "<i>x</b>", "<div></p>", "<!--", "<script>", "<p title=it's>", "</", "<![CDATA[", "&amp", "<b><div></b>"])
+def test_reading_takes_linear_time(piece):
+    import time
+    took = []
+    for n in (20_000, 160_000):
+        page = piece * n + ">"
+        began = time.process_time()
+        html_blocks.blocks_of(page)
+        took.append(time.process_time() - began)
+    assert took[1] < 24 * took[0] + 0.5  # eight times the page
+
+
 def test_pages_on_odd_rows(spark):
     pages = spark.createDataFrame([(1, None, None, 5), (None, "u", "", 5), (2, "u", "<article><p>x &copy;" + " y" * 50_000, 5),
                                    (2, "u", "<article><p>x</p></article>", 5), (2, "u", "<article><p>x</p></article>", 5)],
