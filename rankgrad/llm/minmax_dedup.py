@@ -7,12 +7,19 @@ evaluations of plain minhash; bands of minima and bands of maxima propose pairs.
 1. Rows of equal sets become one node, the row id of the row with the smallest id.
 2. Nodes that share a band key form a bucket; each is compared with the bucket's
    smallest node, its pivot (a star, not all pairs), on full sets.
-3. What the links connect gets one label. In buckets that still hold several labels,
-   nodes outside the most frequent one are compared with all others by signature,
-   in blocks of bounded size, and each pair of likely enough signatures, once, on full
-   sets. So every pair that shares a band is connected or compared.
-
-A hot bucket, pivot or group of copies is split over blocks; nothing is capped.
+3. What the links connect gets one label. Nodes of buckets that still hold several
+   labels are open. Two sets that are similar enough share one of the rarest shingles
+   of each (of n shingles, the first n - ceil(t n) + 1 in any one order), so open nodes
+   meet by these alone: boilerplate that very many documents have in common, which
+   fills a bucket, is in nobody's rarest part. Where nodes of several labels share a
+   rare shingle, those outside the most frequent label are compared with the others by
+   signature, in blocks, and each pair of likely enough signatures, once, on full sets.
+   So every pair that shares a band is connected or compared.
+
+The order of shingles is by a sketch of their frequency among the open nodes (a table of
+fixed size that goes to every task), then by hash. Any order gives the same links; this
+one keeps the groups small. A hot bucket, shingle, pivot or group of copies is split over
+blocks, bounded in nodes and in shingles; nothing is capped.
 
 Defined results: null and empty texts, and texts of blanks, have no shingles and link
 with nothing; a null id links with nothing, has a null component and is kept; rows of
@@ -26,6 +33,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,6 +44,8 @@ WORDS = 5
 BANDS, ROWS = 40, 6
 VALUES = BANDS * ROWS  # half of them minima, half maxima
 BLOCK = 256  # nodes of a bucket that one task compares at a time
+BLOCK_SHINGLES = 1 << 21  # and their shingles, about
+SLOTS = 1 << 18  # counters of the frequency sketch
 _RNG = np.random.default_rng(20240229)
 _ODD = lambda n: _RNG.integers(0, 2 ** 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 PLACE, TIMES, PLUS, BAND = _ODD(WORDS), _ODD(VALUES // 2), _ODD(VALUES // 2), _ODD(ROWS)
@@ -105,6 +115,7 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
 
 
 LINK = T.StructType([T.StructField(n, T.LongType()) for n in ("a", "b")])
+PAIR = T.StructType([T.StructField(n, T.LongType()) for n in ("doc", "pivot")])
 ASK = T.StructType([T.StructField(n, T.LongType()) for n in ("g1", "g2", "doc", "label")]
                    + [T.StructField("partners", T.ArrayType(T.LongType()))])
 FIELDS = [("n_shingles", T.LongType()), ("same", T.BinaryType()), ("bands", T.ArrayType(T.LongType())), ("sketch", T.BinaryType())]
@@ -205,10 +216,9 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
             return state.select("node", "label")
 
 
-def _star(buckets: DataFrame) -> DataFrame:
-    """Asks of every node to its buckets' pivots; a pivot's nodes are dealt into blocks."""
-    pairs = buckets.where("doc <> pivot").select("doc", "pivot").distinct()
-    blocks = pairs.groupBy("pivot").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("blocks"))
+def _star(pairs: DataFrame) -> DataFrame:
+    """Asks of every node to its pivots (``pairs``: doc, n, pivot, distinct); a pivot's nodes are dealt into blocks."""
+    blocks = pairs.groupBy("pivot").agg(F.greatest(F.ceil(F.count("*") / F.lit(BLOCK)), F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES))).alias("blocks"))
     asked = pairs.join(blocks, "pivot").select(
         F.col("pivot").alias("g1"), F.pmod(F.xxhash64("doc"), F.col("blocks")).alias("g2"), "doc",
         F.col("doc").alias("label"), F.array("pivot").alias("partners"))
@@ -217,18 +227,62 @@ def _star(buckets: DataFrame) -> DataFrame:
     return asked.unionByName(own)
 
 
-def _rest(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, least: float, scratch: Scratch) -> DataFrame | None:
-    """Asks for pairs of one bucket and several labels that the signatures don't rule out."""
-    named = buckets.select("key", "band", "doc").join(labels.withColumnRenamed("node", "doc"), "doc", "left").select(
-        "key", "band", "doc", F.coalesce("label", "doc").alias("label"))
-    by_label = named.groupBy("key", "label").agg(F.count("*").alias("n"))
-    open_ = scratch.save(by_label.groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("all"), F.count("*").alias("labels"))
-                  .where("labels > 1").select(
-        "key", F.col("top.label").alias("most"),
-        F.ceil(F.col("top.n") / F.lit(BLOCK)).alias("big"), F.ceil((F.col("all") - F.col("top.n")) / F.lit(BLOCK)).alias("small")), "open")
+def _slots(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(64 - SLOTS.bit_length() + 1)).astype(np.int64)
+
+
+def frequent(texts: DataFrame) -> np.ndarray:
+    """Sketch of the shingles' frequency in ``texts`` (text): counts by slot, 0 where a task saw no more than usual."""
+    def run(batches):
+        shingles, counts = Shingler(), np.zeros(SLOTS, np.int64)
+        for b in batches:
+            for text in utf8(b.column(0)):
+                counts += np.bincount(_slots(shingles(text)), minlength=SLOTS) if text else 0
+        heavy = np.flatnonzero(counts > 2 * counts.mean() + 4)
+        yield pa.RecordBatch.from_arrays([pa.array(heavy), pa.array(counts[heavy])], names=["slot", "n"])
+
+    found = texts.select("text").mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    table = np.zeros(SLOTS, np.int64)
+    table[found["slot"].to_numpy()] = found["n"].to_numpy()
+    return table
+
+
+def rare_part(shingles: np.ndarray, counts: np.ndarray, num: int, den: int) -> np.ndarray:
+    """The rarest shingles of a sorted set, of which similar sets share one."""
+    n = len(shingles)
+    take = n - -(-num * n // den) + 1
+    return shingles[np.lexsort((shingles, counts[_slots(shingles)]))[:take]]
+
+
+def _rest(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, texts: DataFrame, num: int, den: int, scratch: Scratch) -> DataFrame | None:
+    """Asks for pairs of open nodes that share a rare shingle and that the signatures don't rule out."""
+    named = buckets.select("key", "doc").join(labels.withColumnRenamed("node", "doc"), "doc", "left").select(
+        "key", "doc", F.coalesce("label", "doc").alias("label"))
+    several = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
+    open_ = named.join(several, "key", "left_semi").groupBy("doc").agg(F.min("label").alias("label"))
+    open_ = scratch.save(open_.join(texts, "doc"), "open")
     if not open_.limit(1).count():
         return None
-    rows = named.join(open_, "key")
+    counts = frequent(open_)
+
+    def spell(batches):
+        shingles = Shingler()
+        for b in batches:
+            for lo in range(0, b.num_rows, 200):
+                some = b.slice(lo, 200)
+                parts = [rare_part(shingles(t), counts, num, den) for t in utf8(some.column(2))]
+                owner = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts).view(np.int64)), some.column(0).take(pa.array(owner)),
+                                                  some.column(1).take(pa.array(owner))], names=["key", "doc", "label"])
+
+    rare = open_.select("doc", "label", "text").mapInArrow(spell, "key long, doc long, label long")
+    shared = rare.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
+    rare = scratch.save(rare.join(shared, "key", "left_semi"), "rare")
+    by_label = rare.groupBy("key", "label").agg(F.count("*").alias("n"))
+    sizes = by_label.groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("all")).select(
+        "key", F.col("top.label").alias("most"),
+        F.ceil(F.col("top.n") / F.lit(BLOCK)).alias("big"), F.ceil((F.col("all") - F.col("top.n")) / F.lit(BLOCK)).alias("small"))
+    rows = rare.join(sizes, "key")
     other = F.col("label") != F.col("most")
     mine = F.when(other, F.pmod(F.xxhash64("doc"), F.col("small"))).otherwise(F.pmod(F.xxhash64("doc"), F.col("big")))
     zero = F.lit(0).cast("long")
@@ -239,36 +293,34 @@ def _rest(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, least: float,
         F.transform(F.sequence(zero, F.col("big") - 1), lambda k: meet(1, F.col("mine"), k)))).otherwise(
         F.transform(F.sequence(zero, F.col("small") - 1), lambda k: meet(1, k, F.col("mine"))))
     g2 = (F.shiftleft(F.col("at.i"), 31).bitwiseOR(F.col("at.j"))) * 2 + F.col("at.kind")
-    dealt = (rows.withColumn("mine", mine).select("key", "band", "doc", "label", other.alias("other"), "mine", F.explode(places).alias("at"))
-             .join(nodes.select("doc", "bands", "sketch"), "doc")
-             .select(F.col("key").alias("g1"), g2.alias("g2"), "band", "doc", "label", "other", "mine", "bands", "sketch"))
-    return scratch.save(per_group(dealt, ("g1", "g2"), ASK, lambda: lambda *columns: likely(least, *columns)), "asks")
+    dealt = (rows.withColumn("mine", mine).select("key", "doc", "label", other.alias("other"), "mine", F.explode(places).alias("at"))
+             .join(nodes.select("doc", "sketch"), "doc")
+             .select(F.col("key").alias("g1"), g2.alias("g2"), "doc", "label", "other", "mine", "sketch"))
+    t = num / den
+    least = t - 5 * (t * (1 - t) / VALUES) ** 0.5
+    pairs = per_group(dealt, ("g1", "g2"), PAIR, lambda: lambda *columns: likely(least, *columns)).distinct()
+    pairs = scratch.save(pairs.join(nodes.select("doc", F.col("n_shingles").alias("n")), "doc"), "pairs")
+    return _star(pairs)
 
 
-def likely(least: float, g1, g2, band, docs, labels, other, mine, bands, sketch) -> list[tuple]:
-    """Rows of one block that have a pair to confirm, each with its partners."""
-    key, code = g1[0].as_py(), g2[0].as_py()
-    kind, i, j, t = code & 1, code >> 32, (code >> 1) & 0x7FFFFFFF, band[0].as_py()
+def likely(least: float, g1, g2, docs, labels, other, mine, sketch) -> list[tuple]:
+    """Pairs (doc, pivot) of one block to confirm: of different labels, with signatures that agree well enough."""
+    code = g2[0].as_py()
+    kind, i, j = code & 1, code >> 32, (code >> 1) & 0x7FFFFFFF
     doc, label, block = docs.to_numpy(), labels.to_numpy(), mine.to_numpy()
     outside = other.to_numpy(zero_copy_only=False)
     marks = np.frombuffer(b"".join(sketch.to_pylist()), np.uint8).reshape(len(doc), VALUES)
-    keys = bands.flatten().to_numpy().reshape(len(doc), BANDS)
     left = np.flatnonzero(outside & (block == i)) if kind == 0 else np.flatnonzero(outside)
     right = np.flatnonzero(outside & (block == j)) if kind == 0 else np.flatnonzero(~outside)
-    wanted: dict[int, list[int]] = {}
+    found = []
     for a in left:
         with_ = right[label[right] != label[a]]
         if kind == 0 and i == j:
             with_ = with_[with_ > a]
         if len(with_):
             with_ = with_[(marks[with_] == marks[a]).mean(axis=1) >= least]
-        if len(with_):  # a pair belongs to the first band that it shares
-            with_ = with_[(keys[with_] == keys[a]).argmax(axis=1) == t]
-        if len(with_):
-            wanted.setdefault(int(a), []).extend(doc[with_].tolist())
-            for b in with_.tolist():
-                wanted.setdefault(b, [])
-    return [(key, code, int(doc[a]), int(label[a]), partners) for a, partners in wanted.items()]
+            found += [(int(max(doc[a], b)), int(min(doc[a], b))) for b in doc[with_].tolist()]
+    return found
 
 
 def near_duplicates(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
@@ -316,17 +368,16 @@ def _reps(linkable: DataFrame, scratch: Scratch) -> DataFrame:
 
 def _labels(nodes: DataFrame, texts: DataFrame, links: DataFrame | None, num: int, den: int, scratch: Scratch) -> DataFrame:
     """(node, label) of the nodes that have links, for ``nodes`` (one row per set) and further ``links`` (a, b)."""
-    nodes = nodes.select(F.col("row_id").alias("doc"), "bands", "sketch")
-    spread = nodes.select("doc", F.posexplode("bands").alias("band", "key"))
+    nodes = nodes.select(F.col("row_id").alias("doc"), "n_shingles", "bands", "sketch")
+    spread = nodes.select("doc", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
     shared = spread.groupBy("key").agg(F.min("doc").alias("pivot"), F.max("doc").alias("other")).where("pivot < other").drop("other")
     buckets = scratch.save(spread.join(shared, "key"), "buckets")
     asked = buckets.select("doc").distinct()
     wanted = scratch.save(texts.select(F.col("row_id").alias("doc"), "text").join(asked, "doc", "left_semi"), "texts")
-    found = confirmed(_star(buckets), wanted, num, den)
+    found = confirmed(_star(buckets.where("doc <> pivot").select("doc", "n", "pivot").distinct()), wanted, num, den)
     links = scratch.save(found if links is None else found.unionByName(links), "links")
     labels = components(links, scratch)
-    t = num / den
-    rest = _rest(buckets, labels, nodes, t - 5 * (t * (1 - t) / VALUES) ** 0.5, scratch)
+    rest = _rest(buckets, labels, nodes, wanted, num, den, scratch)
     if rest is None:
         return labels
     more = scratch.save(confirmed(rest, wanted, num, den), "links")
@@ -360,3 +411,30 @@ def _repeats(texts: DataFrame, num: int, den: int, scratch: Scratch) -> DataFram
                          .agg(F.min("named").alias("named"), F.min("unnamed").alias("unnamed")), "first")
     stay = first.select(F.explode(F.array("named.row_id", "unnamed")).alias("row_id")).where("row_id is not null")
     return linkable.select("row_id").join(stay, "row_id", "left_anti")
+
+
+SQL = r"""
+WITH RECURSIVE spelt AS (
+    SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents),
+shingles AS (
+    SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END)) AS s
+    FROM spelt WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+    SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+    WHERE 100 * k >= 85 * (p.n + q.n - k)),
+edges AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+reached AS (
+    SELECT x, x AS y FROM edges
+    UNION
+    SELECT r.x, e.y FROM reached r JOIN edges e ON e.x = r.y),
+components AS (SELECT x, min(y) AS component_id FROM reached GROUP BY x)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, d.doc_id) AS component_id,
+       d.doc_id = coalesce(component_id, d.doc_id) AS kept
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN components c ON c.x = d.doc_id
+"""

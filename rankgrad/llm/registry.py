@@ -23,6 +23,7 @@ ORACLE = {
     "op1_warc": warc.SQL,
     "op3_quotation_linking": quotes.SQL,
     "op4_decontamination": positional_index.SQL,
+    "op10_minmax_dedup": minmax_dedup.SQL,
     "op11_conversation_repair": conversation_repair.SQL,
     "op13_spelling_variants": spelling_variants.SQL,
 }

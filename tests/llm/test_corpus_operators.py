@@ -302,6 +302,38 @@ def test_components_match_brute_force(spark, num, monkeypatch):
     assert sorted(map(tuple, got), key=str) == brute_components(rows, num, 100)
 
 
+@pytest.mark.parametrize("num", [85, 80])
+def test_rare_parts_of_similar_sets_meet(num):
+    rng = np.random.default_rng(num)
+    counts = rng.integers(0, 9, minmax_dedup.SLOTS)
+    for _ in range(300):
+        base = rng.integers(0, 1 << 63, rng.integers(1, 300)).astype(np.uint64) * np.uint64(2)
+        a = np.unique(base[rng.random(len(base)) > 0.1])
+        b = np.unique(np.r_[base[rng.random(len(base)) > 0.1], rng.integers(0, 1 << 63, 5).astype(np.uint64)])
+        if minmax_dedup.similar(a, b, num, 100):
+            assert len(np.intersect1d(minmax_dedup.rare_part(a, counts, num, 100), minmax_dedup.rare_part(b, counts, num, 100)))
+
+
+def test_boilerplate_makes_no_pairs(spark, monkeypatch):
+    # every document has the same 165 words and 35 of its own: similar to all others, below the threshold
+    monkeypatch.setattr(minmax_dedup, "BLOCK", 64)
+    common = " ".join(f"c{i}" for i in range(165))
+    texts = [f"{common} {' '.join(f'o{k}x{i}' for i in range(35))}" for k in range(600)]
+    texts += [texts[5] + " more", texts[7] + " more words", texts[5] + " other"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    compared = spark.sparkContext.accumulator(0)
+    real = minmax_dedup.likely
+
+    def counted(least, g1, g2, docs, *rest):
+        compared.add(len(docs) ** 2)
+        return real(least, g1, g2, docs, *rest)
+
+    monkeypatch.setattr(minmax_dedup, "likely", counted)
+    got = {r.doc_id: r.component_id for r in minmax_dedup.near_duplicates(df).collect()}
+    assert {k: c for k, c in got.items() if k != c} == {600: 5, 601: 7, 602: 5}
+    assert compared.value < 50 * len(texts)
+
+
 def test_dedup_of_nothing(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
     assert minmax_dedup.near_duplicates(empty).count() == 0
