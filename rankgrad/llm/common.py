@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import drop_path, scratch_path
+from .. import session
+from ..session import drop_path, live_table
 
 #: Characters that separate words in texts as written (ASCII, neither letters nor digits).
 RAW_SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -22,35 +23,16 @@ LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a written table in the shared folder (cuts the lineage)."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """``df`` as a written table in the shared folder (cuts the lineage), freed by ``session.release``."""
+    return live_table(df, name)
 
 
-class Scratch:
+class Scratch(session.Scratch):
     """Tables of one operator's run in the shared folder, deleted when the run ends.
 
     What is to outlive the run is written with ``saved``.
     """
 
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.root, self.count = spark, scratch_path(spark, name), 0
-
-    def __enter__(self) -> "Scratch":
-        return self
-
-    def __exit__(self, *_) -> None:
-        drop_path(self.spark, self.root)
-
-    def save(self, df: DataFrame, name: str) -> DataFrame:
-        """``df`` as a written table (cuts the lineage)."""
-        self.count += 1
-        path = f"{self.root}/{self.count}-{name}"
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
     def replace(self, old: DataFrame, df: DataFrame, name: str) -> DataFrame:
         """Like ``save``, then deletes the table ``old`` that ``df`` was made from."""
         new, files = self.save(df, name), old.inputFiles()

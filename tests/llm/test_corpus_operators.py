@@ -434,3 +434,15 @@ def test_pipeline_stages_on_odd_rows(spark, tmp_path):
             assert left.columns == docs.columns, name
         assert sorted(str(r.doc_id) for r in left.collect()) == (["1", "7", "None"] if some is docs else [])
         assert corpus_pipeline.STAGES[-1][1](spark, left, sf).count() == (3 if some is docs else 0)
+
+
+def test_pipeline_leaves_its_result_alone(spark):
+    from rankgrad.session import ensure_checkpoint_dir, release
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(ensure_checkpoint_dir(spark))
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    folders = lambda: {s.getPath().getName() for s in fs.listStatus(root)}
+    before = folders()
+    out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    assert out.count() > 0
+    assert {n.rsplit("-", 1)[0] for n in folders() - before} == {"live-pipeline-packing"}
+    assert release(out) == 1 and folders() == before
