@@ -193,19 +193,20 @@ def fit(docs: DataFrame, *, max_documents: int = 3000, windows_per_document: int
     return train(samples)
 
 
-def least_score(docs: DataFrame, net: Network | None, keep: float = 0.995, max_documents: int = 3000) -> float:
+def least_score(docs: DataFrame, net: Network | None, keep: float = 0.995, max_documents: int = 3000,
+                least_documents: int = 100) -> float:
     """The score below which a text is in no learned language.
 
     Of held-out documents whose language is told right, the share ``keep`` scores as much or
-    more; a bounded sample of them, as in ``fit``, is scored over whole texts. 0 without a
-    network or without held-out documents.
+    more; a bounded sample of them, as in ``fit``, is scored over whole texts. With fewer than
+    ``least_documents`` of them there is no such share to tell: 0, as without a network.
     """
     if net is None:
         return 0.0
     sample = spread_sample(_known(docs).where(held_out()), {"text": F.col("text")}, max_documents)
     told = identify(sample, net).where("lang_pred = lang")
-    found = told.agg(F.percentile("score", 1 - keep)).first()[0]
-    return found if found is not None else 0.0
+    n, found = told.agg(F.count("*"), F.percentile("score", 1 - keep)).first()
+    return found if n >= least_documents else 0.0
 
 
 def _has_letter(text: bytes | None) -> bool:
