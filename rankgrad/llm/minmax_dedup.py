@@ -11,8 +11,9 @@ evaluations of plain minhash; bands of minima and bands of maxima propose pairs.
    labels are open. Two sets that are similar enough share one of the rarest shingles
    of each (of n shingles, the first n - ceil(t n) + 1 in any one order), so open nodes
    meet by these alone: boilerplate that very many documents have in common, which
-   fills a bucket, is in nobody's rarest part. Where nodes of several labels share a
-   rare shingle, those outside the most frequent label are compared with the others by
+   fills a bucket, is in nobody's rarest part. What rare shingles connect is a cluster,
+   and only nodes of one cluster can be linked, so a bucket is divided by clusters. In
+   each part, nodes outside the most frequent label are compared with all others by
    signature, in blocks, and each pair of likely enough signatures, once, on full sets.
    So every pair that shares a band is connected or compared.
 
@@ -72,7 +73,7 @@ class Shingler:
         words = text.translate(LOWER).split() if text else []
         if not words:
             return np.empty(0, np.uint64)
-        if len(self.known) > 1_000_000:
+        if len(self.known) > 250_000:
             self.known.clear()
         known = self.known
         for w in set(words):
@@ -115,7 +116,6 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
 
 
 LINK = T.StructType([T.StructField(n, T.LongType()) for n in ("a", "b")])
-PAIR = T.StructType([T.StructField(n, T.LongType()) for n in ("doc", "pivot")])
 ASK = T.StructType([T.StructField(n, T.LongType()) for n in ("g1", "g2", "doc", "label")]
                    + [T.StructField("partners", T.ArrayType(T.LongType()))])
 FIELDS = [("n_shingles", T.LongType()), ("same", T.BinaryType()), ("bands", T.ArrayType(T.LongType())), ("sketch", T.BinaryType())]
@@ -234,10 +234,16 @@ def _slots(shingles: np.ndarray) -> np.ndarray:
 def frequent(texts: DataFrame) -> np.ndarray:
     """Sketch of the shingles' frequency in ``texts`` (text): counts by slot, 0 where a task saw no more than usual."""
     def run(batches):
-        shingles, counts = Shingler(), np.zeros(SLOTS, np.int64)
+        shingles, counts, held, n = Shingler(), np.zeros(SLOTS, np.int64), [], 0
         for b in batches:
             for text in utf8(b.column(0)):
-                counts += np.bincount(_slots(shingles(text)), minlength=SLOTS) if text else 0
+                held.append(_slots(shingles(text)))
+                n += len(held[-1])
+                if n >= SLOTS:
+                    counts += np.bincount(np.concatenate(held), minlength=SLOTS)
+                    held, n = [], 0
+        if held:
+            counts += np.bincount(np.concatenate(held), minlength=SLOTS)
         heavy = np.flatnonzero(counts > 2 * counts.mean() + 4)
         yield pa.RecordBatch.from_arrays([pa.array(heavy), pa.array(counts[heavy])], names=["slot", "n"])
 
@@ -254,15 +260,12 @@ def rare_part(shingles: np.ndarray, counts: np.ndarray, num: int, den: int) -> n
     return shingles[np.lexsort((shingles, counts[_slots(shingles)]))[:take]]
 
 
-def _rest(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, texts: DataFrame, num: int, den: int, scratch: Scratch) -> DataFrame | None:
-    """Asks for pairs of open nodes that share a rare shingle and that the signatures don't rule out."""
-    named = buckets.select("key", "doc").join(labels.withColumnRenamed("node", "doc"), "doc", "left").select(
-        "key", "doc", F.coalesce("label", "doc").alias("label"))
-    several = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
-    open_ = named.join(several, "key", "left_semi").groupBy("doc").agg(F.min("label").alias("label"))
-    open_ = scratch.save(open_.join(texts, "doc"), "open")
-    if not open_.limit(1).count():
-        return None
+def clusters(open_: DataFrame, num: int, den: int, scratch: Scratch) -> DataFrame:
+    """(doc, cluster) of ``open_`` (doc, label, text): what rare shingles of several labels connect.
+
+    Nodes that are similar enough and of different labels are in one cluster; a node
+    that is in none has no such partner.
+    """
     counts = frequent(open_)
 
     def spell(batches):
@@ -276,13 +279,33 @@ def _rest(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, texts: DataFr
                                                   some.column(1).take(pa.array(owner))], names=["key", "doc", "label"])
 
     rare = open_.select("doc", "label", "text").mapInArrow(spell, "key long, doc long, label long")
-    shared = rare.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
-    rare = scratch.save(rare.join(shared, "key", "left_semi"), "rare")
-    by_label = rare.groupBy("key", "label").agg(F.count("*").alias("n"))
-    sizes = by_label.groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("all")).select(
+    rare = scratch.save(rare, "rare")
+    stars = rare.groupBy("key").agg(F.min("doc").alias("pivot"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    edges = rare.join(stars.select("key", "pivot"), "key").where("doc <> pivot").select(F.col("doc").alias("a"), F.col("pivot").alias("b")).distinct()
+    return components(edges, scratch).select(F.col("node").alias("doc"), F.col("label").alias("cluster"))
+
+
+def _rest(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, texts: DataFrame, num: int, den: int, scratch: Scratch) -> DataFrame | None:
+    """Asks for pairs of one bucket and cluster and several labels that the signatures don't rule out."""
+    named = buckets.select("key", "band", "doc").join(labels.withColumnRenamed("node", "doc"), "doc", "left").select(
+        "key", "band", "doc", F.coalesce("label", "doc").alias("label"))
+    several = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
+    named = scratch.save(named.join(several, "key"), "named")
+    opened = named.groupBy("doc").agg(F.min("label").alias("label"))
+    opened = scratch.save(opened.join(texts, "doc"), "open")
+    if not opened.limit(1).count():
+        return None
+    t = num / den
+    least = t - 5 * (t * (1 - t) / VALUES) ** 0.5
+    named = named.join(clusters(opened, num, den, scratch), "doc").select(F.xxhash64("key", "cluster").alias("key"), "band", "doc", "label")
+    by_label = named.groupBy("key", "label").agg(F.count("*").alias("n"))
+    open_ = scratch.save(by_label.groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("all"), F.count("*").alias("labels"))
+                  .where("labels > 1").select(
         "key", F.col("top.label").alias("most"),
-        F.ceil(F.col("top.n") / F.lit(BLOCK)).alias("big"), F.ceil((F.col("all") - F.col("top.n")) / F.lit(BLOCK)).alias("small"))
-    rows = rare.join(sizes, "key")
+        F.ceil(F.col("top.n") / F.lit(BLOCK)).alias("big"), F.ceil((F.col("all") - F.col("top.n")) / F.lit(BLOCK)).alias("small")), "open")
+    if not open_.limit(1).count():
+        return None
+    rows = named.join(open_, "key")
     other = F.col("label") != F.col("most")
     mine = F.when(other, F.pmod(F.xxhash64("doc"), F.col("small"))).otherwise(F.pmod(F.xxhash64("doc"), F.col("big")))
     zero = F.lit(0).cast("long")
@@ -293,34 +316,36 @@ def _rest(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, texts: DataFr
         F.transform(F.sequence(zero, F.col("big") - 1), lambda k: meet(1, F.col("mine"), k)))).otherwise(
         F.transform(F.sequence(zero, F.col("small") - 1), lambda k: meet(1, k, F.col("mine"))))
     g2 = (F.shiftleft(F.col("at.i"), 31).bitwiseOR(F.col("at.j"))) * 2 + F.col("at.kind")
-    dealt = (rows.withColumn("mine", mine).select("key", "doc", "label", other.alias("other"), "mine", F.explode(places).alias("at"))
-             .join(nodes.select("doc", "sketch"), "doc")
-             .select(F.col("key").alias("g1"), g2.alias("g2"), "doc", "label", "other", "mine", "sketch"))
-    t = num / den
-    least = t - 5 * (t * (1 - t) / VALUES) ** 0.5
-    pairs = per_group(dealt, ("g1", "g2"), PAIR, lambda: lambda *columns: likely(least, *columns)).distinct()
-    pairs = scratch.save(pairs.join(nodes.select("doc", F.col("n_shingles").alias("n")), "doc"), "pairs")
-    return _star(pairs)
+    dealt = (rows.withColumn("mine", mine).select("key", "band", "doc", "label", other.alias("other"), "mine", F.explode(places).alias("at"))
+             .join(nodes.select("doc", "bands", "sketch"), "doc")
+             .select(F.col("key").alias("g1"), g2.alias("g2"), "band", "doc", "label", "other", "mine", "bands", "sketch"))
+    return scratch.save(per_group(dealt, ("g1", "g2"), ASK, lambda: lambda *columns: likely(least, *columns)), "asks")
 
 
-def likely(least: float, g1, g2, docs, labels, other, mine, sketch) -> list[tuple]:
-    """Pairs (doc, pivot) of one block to confirm: of different labels, with signatures that agree well enough."""
-    code = g2[0].as_py()
-    kind, i, j = code & 1, code >> 32, (code >> 1) & 0x7FFFFFFF
+def likely(least: float, g1, g2, band, docs, labels, other, mine, bands, sketch) -> list[tuple]:
+    """Rows of one block that have a pair to confirm, each with its partners."""
+    key, code = g1[0].as_py(), g2[0].as_py()
+    kind, i, j, t = code & 1, code >> 32, (code >> 1) & 0x7FFFFFFF, band[0].as_py()
     doc, label, block = docs.to_numpy(), labels.to_numpy(), mine.to_numpy()
     outside = other.to_numpy(zero_copy_only=False)
     marks = np.frombuffer(b"".join(sketch.to_pylist()), np.uint8).reshape(len(doc), VALUES)
+    keys = bands.flatten().to_numpy().reshape(len(doc), BANDS)
     left = np.flatnonzero(outside & (block == i)) if kind == 0 else np.flatnonzero(outside)
     right = np.flatnonzero(outside & (block == j)) if kind == 0 else np.flatnonzero(~outside)
-    found = []
+    wanted: dict[int, list[int]] = {}
     for a in left:
         with_ = right[label[right] != label[a]]
         if kind == 0 and i == j:
             with_ = with_[with_ > a]
         if len(with_):
             with_ = with_[(marks[with_] == marks[a]).mean(axis=1) >= least]
-            found += [(int(max(doc[a], b)), int(min(doc[a], b))) for b in doc[with_].tolist()]
-    return found
+        if len(with_):  # a pair belongs to the first band that it shares
+            with_ = with_[(keys[with_] == keys[a]).argmax(axis=1) == t]
+        if len(with_):
+            wanted.setdefault(int(a), []).extend(doc[with_].tolist())
+            for b in with_.tolist():
+                wanted.setdefault(b, [])
+    return [(key, code, int(doc[a]), int(label[a]), partners) for a, partners in wanted.items()]
 
 
 def near_duplicates(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
@@ -369,7 +394,7 @@ def _reps(linkable: DataFrame, scratch: Scratch) -> DataFrame:
 def _labels(nodes: DataFrame, texts: DataFrame, links: DataFrame | None, num: int, den: int, scratch: Scratch) -> DataFrame:
     """(node, label) of the nodes that have links, for ``nodes`` (one row per set) and further ``links`` (a, b)."""
     nodes = nodes.select(F.col("row_id").alias("doc"), "n_shingles", "bands", "sketch")
-    spread = nodes.select("doc", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
+    spread = nodes.select("doc", F.col("n_shingles").alias("n"), F.posexplode("bands").alias("band", "key"))
     shared = spread.groupBy("key").agg(F.min("doc").alias("pivot"), F.max("doc").alias("other")).where("pivot < other").drop("other")
     buckets = scratch.save(spread.join(shared, "key"), "buckets")
     asked = buckets.select("doc").distinct()
