@@ -20,6 +20,8 @@ FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 o
              for c in range(256))
 #: bytes.translate table: lower-cases A-Z only.
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+#: Rows whose texts a task holds as Python values at a time.
+SLICE = 1000
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
@@ -86,7 +88,7 @@ def add_columns(df: DataFrame, inputs: list[str], fields: list[tuple[str, T.Data
 
         types = [f.type for f in to_arrow_schema(extra)]
         compute = make()
-        for batch in batches:
+        for batch in (b.slice(lo, SLICE) for b in batches for lo in range(0, b.num_rows, SLICE)):
             made = compute(*[batch.column(i) for i in at])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i) for i in range(keep)]
