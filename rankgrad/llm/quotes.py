@@ -3,7 +3,10 @@
 Messages are split into passages of equal quote level (``>`` marks). A quoted
 passage is normalised (blanks collapsed, lower case) and hashed, and joined to
 the original: the earliest message that holds the same words as its own text or
-as one of its lines, in the same conversation if there is one. The first linked
+as one of its lines, in the same conversation if there is one, else in another
+(the least of that text, or the greatest where the least is the one that quotes).
+A passage that has no original as a whole is tried line by line, and the first
+line that has one links it. The first linked
 passage of level 1 names the message that is replied to; conversations come out
 in reply order (``thread_turn``, ``depth``, ``turn``) and without quotes.
 
@@ -43,6 +46,12 @@ def _key(text) -> F.Column:
     return F.when(text != "", F.unhex(F.substring(F.sha2(text, 256), 1, 40)))
 
 
+def _keys(text) -> F.Column:
+    """Keys of a text by trial: the whole, then its lines in order; without words none."""
+    return F.filter(F.transform(F.array_distinct(F.concat(F.array(normalised(text)), F.transform(F.split(text, "\n"), normalised))), _key),
+                    lambda key: key.isNotNull())
+
+
 def passages(messages: DataFrame) -> DataFrame:
     """``messages`` (text) with ``passages``: array of (level, body), in order."""
     lines = F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), lambda line: F.struct(
@@ -74,40 +83,36 @@ def link(messages: DataFrame) -> DataFrame:
 
 
 def _linked(messages: DataFrame, scratch: Scratch) -> DataFrame:
-    rows = scratch.save(passages(messages.select("conv_id", "turn", "role", "text"))
-                 .withColumn("row_id", F.monotonically_increasing_id()), "rows")
     own = F.array_join(F.transform(F.filter("passages", lambda p: p["level"] == 0), lambda p: p["body"]), "\n")
-    plain = rows.select("row_id", "conv_id", "turn", "role", own_text(own).alias("text"))
-    keyed = (plain.where(F.col("conv_id").isNotNull() & F.col("turn").isNotNull())
-             .withColumn("each", F.explode(F.array_distinct(F.concat(
-                 F.array(normalised("text")), F.transform(F.split("text", "\n"), normalised)))))
-             .select("conv_id", "turn", _key(F.col("each")).alias("key")).where("key is not null"))
-    here = keyed.groupBy("key", "conv_id").agg(F.min("turn").alias("first_turn"))
-    anywhere = keyed.groupBy("key").agg(F.min("conv_id").alias("first_conv"))
-
-    quoted = rows.select("row_id", "conv_id", "turn", F.posexplode("passages").alias("place", "p")).where("p.level > 0")
-    whole = normalised(F.col("p.body"))
-    first_line = F.get(F.filter(F.transform(F.split("p.body", "\n"), normalised), lambda x: x != ""), F.lit(0))
-    tries = quoted.select("row_id", "conv_id", "turn", "place", F.col("p.level").alias("level"), F.posexplode(
-        F.array(_key(whole), _key(F.coalesce(first_line, F.lit(""))))).alias("try", "key"))
+    quoted = F.filter(F.transform("passages", lambda p, place: F.struct(place.alias("place"), p["level"].alias("level"), p["body"].alias("body"))),
+                      lambda p: p["level"] > 0)
+    rows = scratch.save(passages(messages.select("conv_id", "turn", "role", "text")).select(
+        F.monotonically_increasing_id().alias("row_id"), "conv_id", "turn", "role", own_text(own).alias("text"), quoted.alias("quoted")), "rows")
+    here = (rows.where(F.col("conv_id").isNotNull() & F.col("turn").isNotNull())
+            .select("conv_id", "turn", F.explode(_keys(F.col("text"))).alias("key"))
+            .groupBy("key", "conv_id").agg(F.min("turn").alias("first_turn")))
+    # two conversations of a text: one of them is another than the one that quotes it
+    anywhere = here.groupBy("key").agg(F.min("conv_id").alias("low"), F.max("conv_id").alias("high"))
+
+    tries = (rows.select("row_id", "conv_id", "turn", F.explode("quoted").alias("p"))
+             .select("row_id", "conv_id", "turn", "p.place", "p.level", F.posexplode(_keys(F.col("p.body"))).alias("try", "key")))
     mine = here.withColumnRenamed("conv_id", "c").withColumnRenamed("key", "k")
-    near = (F.col("first_turn") < F.col("turn"))
-    found = (tries.join(mine, (F.col("key") == F.col("k")) & (F.col("conv_id") == F.col("c")), "left").drop("k", "c")
-             .join(anywhere.withColumnRenamed("key", "k"), F.col("key") == F.col("k"), "left").drop("k")
+    near, conv = F.col("first_turn") < F.col("turn"), F.col("conv_id")
+    found = (tries.join(mine, (F.col("key") == F.col("k")) & (conv == F.col("c")), "left").drop("k", "c")
+             .join(anywhere.withColumnRenamed("key", "k"), F.col("key") == F.col("k"))
              .withColumn("to_turn", F.when(near, F.col("first_turn")))
-             .withColumn("to_conv", F.when(near, F.col("conv_id")).when(
-                 ~F.col("first_conv").eqNullSafe(F.col("conv_id")), F.col("first_conv"))))
-    linked = F.col("to_conv").isNotNull()
-    by_passage = found.groupBy("row_id", "place", "level").agg(
-        F.min(F.when(linked, F.struct("try", "to_conv", "to_turn"))).alias("hit"))
+             .withColumn("to_conv", F.when(near, conv).when(~F.col("low").eqNullSafe(conv), F.col("low"))
+                         .when(~F.col("high").eqNullSafe(conv), F.col("high")))
+             .where("to_conv is not null").repartition("row_id"))
+    by_passage = found.groupBy("row_id", "place", "level").agg(F.min(F.struct("try", "to_conv", "to_turn")).alias("hit"))
     by_row = by_passage.groupBy("row_id").agg(
-        F.count("*").alias("n_quotes"), F.count("hit").alias("n_linked"),
+        F.count("*").alias("n_linked"),
         F.min(F.when((F.col("level") == 1) & F.col("hit.to_turn").isNotNull(),
                      F.struct("place", "hit.to_turn"))).alias("reply"),
-        F.min(F.when(F.col("hit").isNotNull(), F.struct("place", "hit.to_conv"))).alias("source"))
-    replies = scratch.save(plain.join(by_row, "row_id", "left").select(
+        F.min(F.struct("place", "hit.to_conv")).alias("source"))
+    replies = scratch.save(rows.join(by_row, "row_id", "left").select(
         "conv_id", "turn", "role", "text",
-        F.coalesce("n_quotes", F.lit(0)).alias("n_quotes"), F.coalesce("n_linked", F.lit(0)).alias("n_linked"),
+        F.size("quoted").cast("long").alias("n_quotes"), F.coalesce("n_linked", F.lit(0)).alias("n_linked"),
         F.col("reply.to_turn").alias("parent_turn"), F.col("source.to_conv").alias("source_conv")), "replies")
     heads = thread_heads(replies, scratch).select(F.col("conv_id").alias("c"), F.col("turn").alias("t"), "head", "steps")
     above = replies.join(heads, (F.col("conv_id") == F.col("c")) & (F.col("parent_turn") == F.col("t")), "left")
@@ -161,15 +166,17 @@ WITH RECURSIVE m AS (SELECT conv_id, turn, role, {_TRIM.format("coalesce(text, '
 k AS (SELECT DISTINCT conv_id, turn, {_NORM.format("x")} AS key FROM (
   SELECT conv_id, turn, text AS x FROM m UNION ALL SELECT conv_id, turn, unnest(string_split(text, chr(10))) FROM m)),
 here AS (SELECT key, conv_id, min(turn) AS t FROM k WHERE key <> '' GROUP BY 1, 2),
-anywhere AS (SELECT key, min(conv_id) AS c FROM k WHERE key <> '' GROUP BY 1),
-q AS (SELECT a.conv_id, a.turn, l.level, {_NORM.format("b.sent")} AS key,
-        {_NORM.format("coalesce(list_filter(string_split(b.sent, chr(10)), lambda y: trim(y) <> '')[1], '')")} AS line
-      FROM m a CROSS JOIN (VALUES (1), (2)) l(level) JOIN m b ON b.conv_id = a.conv_id AND b.turn = a.turn - l.level),
-h AS (SELECT q.conv_id, q.turn, q.level,
-        CASE WHEN w.t < q.turn THEN q.conv_id WHEN g.c <> q.conv_id THEN g.c WHEN v.t < q.turn THEN q.conv_id WHEN f.c <> q.conv_id THEN f.c END AS c,
-        CASE WHEN w.t < q.turn THEN w.t WHEN g.c <> q.conv_id THEN NULL WHEN v.t < q.turn THEN v.t END AS t
-      FROM q LEFT JOIN here w ON w.key = q.key AND w.conv_id = q.conv_id LEFT JOIN anywhere g ON g.key = q.key
-      LEFT JOIN here v ON v.key = q.line AND v.conv_id = q.conv_id LEFT JOIN anywhere f ON f.key = q.line),
+anywhere AS (SELECT key, min(conv_id) AS low, max(conv_id) AS high FROM k WHERE key <> '' GROUP BY 1),
+q AS (SELECT a.conv_id, a.turn, l.level, b.sent FROM m a CROSS JOIN (VALUES (1), (2)) l(level)
+      JOIN m b ON b.conv_id = a.conv_id AND b.turn = a.turn - l.level),
+y AS (SELECT conv_id, turn, level, 0 AS try, {_NORM.format("sent")} AS key FROM q UNION ALL
+      SELECT conv_id, turn, level, i, {_NORM.format("string_split(sent, chr(10))[i]")}
+      FROM (SELECT *, unnest(range(1, len(string_split(sent, chr(10))) + 1)) AS i FROM q)),
+z AS (SELECT y.conv_id, y.turn, y.level, y.try, CASE WHEN w.t < y.turn THEN w.t END AS t,
+        CASE WHEN w.t < y.turn THEN y.conv_id WHEN g.low <> y.conv_id THEN g.low WHEN g.high <> y.conv_id THEN g.high END AS c
+      FROM y LEFT JOIN here w ON w.key = y.key AND w.conv_id = y.conv_id LEFT JOIN anywhere g ON g.key = y.key),
+h AS (SELECT q.conv_id, q.turn, q.level, b.x.c AS c, b.x.t AS t FROM q LEFT JOIN (
+        SELECT conv_id, turn, level, arg_min({{'c': c, 't': t}}, try) AS x FROM z WHERE c IS NOT NULL GROUP BY ALL) b USING (conv_id, turn, level)),
 r AS (SELECT conv_id, turn, count(*) AS n_quotes, count(c) AS n_linked, min(CASE WHEN level = 1 THEN t END) AS parent_turn,
         arg_max(c, level) AS source_conv FROM h GROUP BY 1, 2),
 d AS (SELECT m.conv_id, m.turn, m.turn AS thread_turn, 0 AS depth FROM m LEFT JOIN r USING (conv_id, turn) WHERE r.parent_turn IS NULL

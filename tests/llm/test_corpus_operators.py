@@ -84,6 +84,16 @@ def test_quotes_are_linked(spark):
         (2, 3, ""): (0, 0, None, None, 3, 0), (None, 1, "no id"): (1, 1, None, 1, 1, 0), (3, None, "blank quote"): (1, 0, None, None, None, 0)}
 
 
+def test_quotes_with_edited_lines_and_own_copies(spark):
+    rows = [(1, 0, "> common words\nfirst reply"), (1, 1, "common words"), (5, 0, "common words"), (7, 3, "common words"), (7, 0, "> common words\nseventh"),
+            (8, 0, "one\ntwo\nthree four"), (8, 1, "> edited one\n>   \n> TWO \n> three\nafter"), (8, 2, "> not a line\n> nor this\nnone")]
+    got = {(r.conv_id, r.turn): (r.n_quotes, r.n_linked, r.parent_turn, r.source_conv, r.depth)
+           for r in quotes.link(spark.createDataFrame([(c, t, "u", x) for c, t, x in rows], "conv_id long, turn long, role string, text string")).collect()}
+    # conversation 1 holds the words itself, but later: another one is the original; the same from the other end
+    assert got[1, 0] == (1, 1, None, 7, 0) and got[7, 0] == (1, 1, None, 1, 0)
+    assert got[8, 1] == (1, 1, 0, 8, 1) and got[8, 2] == (1, 0, None, None, 0)
+
+
 def test_quotes_of_nothing(spark):
     empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert quotes.link(quotes.with_reply_quotes(empty)).count() == 0
