@@ -17,8 +17,10 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import FOLD, add_columns, utf8
@@ -41,9 +43,14 @@ TEMPLATES = [
     ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
     ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("bsd-2-clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."),
+    ("bsd-3-clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
     ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies"),
     ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
     ("unlicense", "This is free and unencumbered software released into the public domain"),
+    ("zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution."),
+    ("bsl-1.0", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following"),
+    ("0bsd", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS"),
 ]
 
 
@@ -192,6 +199,32 @@ class Scanner:
         return sorted(spans, key=lambda s: (s[1], s[2], s[0])), best
 
 
+@lru_cache(maxsize=2)
+def _scanner(templates: tuple[tuple[str, str], ...]) -> Scanner:
+    """One scanner a Python worker, however many tasks it runs."""
+    return Scanner(templates)
+
+
+def templates_of(licences: DataFrame, max_chars: int = 4_000_000) -> tuple[tuple[str, str], ...]:
+    """The templates of a table (label, text), such as whole licences, for ``scan_documents``.
+
+    Rows with a null label or a text without words are none, repeated rows are one.
+    Templates go to every task as a whole; more than ``max_chars`` characters raise.
+    """
+    rows = licences.where(F.col("label").isNotNull() & F.col("text").isNotNull()).select("label", "text").distinct()
+    size = rows.agg(F.sum(F.length("text"))).first()[0] or 0
+    if size > max_chars:
+        raise ValueError(f"{size} characters of templates, more than {max_chars}")
+    return tuple(sorted((r.label, r.text) for r in rows.collect() if words_of(r.text.encode())))
+
+
+def templates_in(spark, path: str, max_chars: int = 4_000_000) -> tuple[tuple[str, str], ...]:
+    """The templates of a folder of text files, each a whole licence; the file's name in lower case is the label."""
+    files = spark.read.text(path, wholetext=True)
+    return templates_of(files.select(F.lower(F.regexp_extract("_metadata.file_path", "([^/]+)$", 1)).alias("label"),
+                                     F.col("value").alias("text")), max_chars)
+
+
 def phrase_places(words: list[bytes], phrases: dict[str, str] = PHRASES) -> dict[str, list[int]]:
     """Word positions at which each phrase starts, overlapping ones too."""
     out = {}
@@ -216,8 +249,8 @@ FIELDS = [("n_words", T.LongType()), ("n_base", T.LongType()), ("first_word", T.
           ("score", T.DoubleType()), ("spans", T.ArrayType(SPAN))]
 
 
-def _scan_texts():
-    scanner = Scanner()
+def _scan_texts(templates):
+    scanner = _scanner(templates)
 
     def one(text):
         words = words_of(text)
@@ -232,9 +265,13 @@ def _scan_texts():
     return lambda texts: list(zip(*map(one, utf8(texts)))) or [[] for _ in FIELDS]
 
 
-def scan_documents(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with the columns of ``FIELDS``; columns of these names are replaced."""
-    return add_columns(docs, [text_col], FIELDS, _scan_texts)
+def scan_documents(docs: DataFrame, text_col: str = "text", templates: tuple[tuple[str, str], ...] = ()) -> DataFrame:
+    """``docs`` with the columns of ``FIELDS``; columns of these names are replaced.
+
+    ``templates`` (label, text) are held beside the built-in notices.
+    """
+    held = (*TEMPLATES, *(t for t in templates if t not in TEMPLATES))
+    return add_columns(docs, [text_col], FIELDS, lambda: _scan_texts(held))
 
 
 def op8_license_scan(spark, sf_dir: str) -> DataFrame:

@@ -310,3 +310,42 @@ def test_columns_pass_through(spark, odd):
     from pyspark.sql import types as T
     got = add_columns(odd, ["text"], [("text", T.LongType())], lambda: lambda c: [[len(x or "") for x in c.to_pylist()]])
     assert got.columns == ["doc_id", "lang", "source", "n_words", "text"] and got.agg({"text": "max"}).first()[0] == len(LONG)
+
+
+# ---- licence templates
+
+def test_every_built_in_licence_is_found_in_a_file():
+    scanner = licenses.Scanner()
+    for label, text in licenses.TEMPLATES:
+        around = f"/* copyright 2020 somebody\n * {text}\n */ int main ( ) {{ return 0 ; }}"
+        spans, score = scanner.scan(licenses.words_of(around.encode()))
+        assert label in {s[0] for s in spans} and score == 1.0, label
+
+
+def test_two_and_three_clauses():
+    scanner, text = licenses.Scanner(), dict(licenses.TEMPLATES)
+    two, third = text["bsd-2-clause"], text["bsd-3-clause"]
+    at = two.index("THIS SOFTWARE")
+    labels = lambda t: {s[0] for s in scanner.scan(licenses.words_of(t.encode()))[0]}
+    assert labels(two) == {"bsd", "bsd-2-clause"}
+    assert labels(f"{two[:at]} 3. {third}. {two[at:]}") == {"bsd", "bsd-3-clause"}
+
+
+def test_templates_of_a_table_and_of_files(spark, tmp_dir):
+    import pathlib
+
+    own = " ".join(f"clause{k} of the house licence number {k}" for k in range(300))
+    changed = own.replace("clause7 of", "section7 of").replace("clause90 of the", "")
+    for name, body in (("House-1.0", own), ("empty", "")):
+        (pathlib.Path(tmp_dir) / name).write_text(body)
+    rows = [("house-1.0", own), ("house-1.0", own), (None, "no label"), ("none", None), ("blank", " . ")]
+    table = licenses.templates_of(spark.createDataFrame(rows, "label string, text string"))
+    assert table == licenses.templates_in(spark, tmp_dir) == (("house-1.0", own),)
+    with pytest.raises(ValueError, match="characters of templates"):
+        licenses.templates_of(spark.createDataFrame(rows, "label string, text string"), max_chars=100)
+    assert licenses.templates_of(spark.createDataFrame([], "label string, text string")) == ()
+    docs = spark.createDataFrame([(1, changed), (2, "clause1 of the house"), (3, None)], "doc_id long, text string")
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.scan_documents(docs, templates=table).collect()}
+    assert got[1][0] == "house-1.0" and 0.98 < got[1][1] < 1
+    assert got[2][0] == got[3][0] == "" and got[3][1] == 0
+    assert {r.labels for r in licenses.scan_documents(docs).collect()} == {""}
