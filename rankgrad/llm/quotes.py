@@ -87,7 +87,8 @@ def _linked(messages: DataFrame, scratch: Scratch) -> DataFrame:
     quoted = F.filter(F.transform("passages", lambda p, place: F.struct(place.alias("place"), p["level"].alias("level"), p["body"].alias("body"))),
                       lambda p: p["level"] > 0)
     rows = scratch.save(passages(messages.select("conv_id", "turn", "role", "text")).select(
-        F.monotonically_increasing_id().alias("row_id"), "conv_id", "turn", "role", own_text(own).alias("text"), quoted.alias("quoted")), "rows")
+        F.monotonically_increasing_id().alias("row_id"), "conv_id", "turn", "role", own_text(own).alias("text"),
+        quoted.alias("quoted"), F.size(quoted).cast("long").alias("n_quotes")), "rows")
     here = (rows.where(F.col("conv_id").isNotNull() & F.col("turn").isNotNull())
             .select("conv_id", "turn", F.explode(_keys(F.col("text"))).alias("key"))
             .groupBy("key", "conv_id").agg(F.min("turn").alias("first_turn")))
@@ -111,8 +112,7 @@ def _linked(messages: DataFrame, scratch: Scratch) -> DataFrame:
                      F.struct("place", "hit.to_turn"))).alias("reply"),
         F.min(F.struct("place", "hit.to_conv")).alias("source"))
     replies = scratch.save(rows.join(by_row, "row_id", "left").select(
-        "conv_id", "turn", "role", "text",
-        F.size("quoted").cast("long").alias("n_quotes"), F.coalesce("n_linked", F.lit(0)).alias("n_linked"),
+        "conv_id", "turn", "role", "text", "n_quotes", F.coalesce("n_linked", F.lit(0)).alias("n_linked"),
         F.col("reply.to_turn").alias("parent_turn"), F.col("source.to_conv").alias("source_conv")), "replies")
     heads = thread_heads(replies, scratch).select(F.col("conv_id").alias("c"), F.col("turn").alias("t"), "head", "steps")
     above = replies.join(heads, (F.col("conv_id") == F.col("c")) & (F.col("parent_turn") == F.col("t")), "left")
