@@ -79,9 +79,17 @@ class Network:
 
     def probabilities(self, texts: list[bytes], batch: int = 1024) -> np.ndarray:
         """Pooled probabilities of each whole text (rows of zeros for texts without letter bytes)."""
+        return self.read(texts, batch)[0]
+
+    def read(self, texts: list[bytes], batch: int = 1024) -> tuple[np.ndarray, np.ndarray]:
+        """Pooled probabilities of each whole text, and how sure its windows are, each of its own best language.
+
+        A text that changes from one learned language to another has low pooled
+        probabilities and sure windows. Texts without letter bytes have zeros.
+        """
         counts = [max(1, -(-len(t) // WINDOW)) for t in texts]
         owner = np.repeat(np.arange(len(texts)), counts)
-        sums, letters = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts))
+        sums, sure, letters = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts)), np.zeros(len(texts))
         place = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
         for lo in range(0, len(owner), batch):
             own, at = owner[lo:lo + batch], place[lo:lo + batch]
@@ -90,8 +98,10 @@ class Network:
             x = np.frombuffer(b"".join(p.ljust(WINDOW, b"\0") for p in pieces), np.uint8).reshape(len(pieces), WINDOW)
             s, n = self.window_sums(x, lengths)
             np.add.at(sums, own, s)
+            np.add.at(sure, own, s.max(axis=1))
             np.add.at(letters, own, n)
-        return sums / np.maximum(letters, 1)[:, None]
+        letters = np.maximum(letters, 1)
+        return sums / letters[:, None], sure / letters
 
     def gradients(self, windows, lengths, targets):
         """Mean cross-entropy over the letter positions, and its gradient, through time both ways."""
@@ -193,19 +203,19 @@ def fit(docs: DataFrame, *, max_documents: int = 3000, windows_per_document: int
     return train(samples)
 
 
-def least_score(docs: DataFrame, net: Network | None, keep: float = 0.995, max_documents: int = 3000,
-                least_documents: int = 100) -> float:
-    """The score below which a text is in no learned language.
+def least_certainty(docs: DataFrame, net: Network | None, keep: float = 0.995, max_documents: int = 3000,
+                    least_documents: int = 100) -> float:
+    """The certainty below which a text is in no learned language.
 
-    Of held-out documents whose language is told right, the share ``keep`` scores as much or
-    more; a bounded sample of them, as in ``fit``, is scored over whole texts. With fewer than
+    Of held-out documents whose language is told right, the share ``keep`` has as much or
+    more; a bounded sample of them, as in ``fit``, is read as whole texts. With fewer than
     ``least_documents`` of them there is no such share to tell: 0, as without a network.
     """
     if net is None:
         return 0.0
     sample = spread_sample(_known(docs).where(held_out()), {"text": F.col("text")}, max_documents)
     told = identify(sample, net).where("lang_pred = lang")
-    n, found = told.agg(F.count("*"), F.percentile("score", 1 - keep)).first()
+    n, found = told.agg(F.count("*"), F.percentile("certainty", 1 - keep)).first()
     return found if n >= least_documents else 0.0
 
 
@@ -216,21 +226,26 @@ def _has_letter(text: bytes | None) -> bool:
 
 
 def identify(docs: DataFrame, net: Network | None, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``; columns of these names are replaced."""
+    """``docs`` with ``lang_pred``, ``score`` and ``certainty``; columns of these names are replaced.
+
+    The score is the text's pooled probability of ``lang_pred``; the certainty is that of
+    its windows, each of its own best language.
+    """
     def make():
         def run(column):
             texts = utf8(column)
-            langs, scores = ["und"] * len(texts), [0.0] * len(texts)
+            langs, scores, certain = ["und"] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
             at = [i for i, t in enumerate(texts) if net and _has_letter(t)]
             if at:
-                pooled = net.probabilities([texts[i] for i in at])
+                pooled, sure = net.read([texts[i] for i in at])
                 best = pooled.argmax(axis=1)
-                for i, b, p in zip(at, best, pooled):
-                    langs[i], scores[i] = net.languages[b], float(min(max(p[b], 0.0), 1.0))
-            return [langs, scores]
+                for i, b, p, c in zip(at, best, pooled, sure):
+                    langs[i], scores[i], certain[i] = net.languages[b], float(min(max(p[b], 0.0), 1.0)), float(min(max(c, 0.0), 1.0))
+            return [langs, scores, certain]
         return run
 
-    return add_columns(docs, [text_col], [("lang_pred", T.StringType()), ("score", T.DoubleType())], make)
+    return add_columns(docs, [text_col], [(n, T.StringType() if n == "lang_pred" else T.DoubleType())
+                                          for n in ("lang_pred", "score", "certainty")], make)
 
 
 def op7_language_id(spark, sf_dir: str) -> DataFrame:
@@ -244,11 +259,12 @@ def language_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: drops documents in no learned language; columns unchanged.
 
     Those are texts without a letter (``und``) and texts on which the network is less
-    sure than on nearly all held-out documents (``least_score``).
+    sure than on nearly all held-out documents (``least_certainty``). A text in several
+    learned languages stays, as its windows are sure.
     """
     net = fit(docs)
-    least = least_score(docs, net)
+    least = least_certainty(docs, net)
     passed = docs.toDF(*[f"passed_{i}" for i in range(len(docs.columns))])
     text = f"passed_{docs.columns.index('text')}"
-    return (identify(passed, net, text).where((F.col("lang_pred") != "und") & (F.col("score") >= least))
+    return (identify(passed, net, text).where((F.col("lang_pred") != "und") & (F.col("certainty") >= least))
             .select(*passed.columns).toDF(*docs.columns))

@@ -1,5 +1,6 @@
 """Quality rules, licence scan, language ID, text blocks: brute force and corner cases."""
 
+import itertools
 import random
 import re
 from collections import Counter
@@ -196,8 +197,12 @@ def test_stage_drops_languages_it_has_not_learned(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where(F.length("text") > 300)
     planted = spark.createDataFrame([(10 ** 9 + k, t * 5, None, "planted", 0) for k, t in enumerate(FOREIGN)], "doc_id long, text string, lang string, source string, n_chars long")
     both = docs.unionByName(planted.select([F.col(f.name).cast(f.dataType) for f in docs.schema]))
+    halves = {r.lang: r.text for r in docs.groupBy("lang").agg(F.min_by("text", "doc_id").alias("text")).where("lang is not null").collect()}
+    mixed = [(2 * 10 ** 9 + k, f"{halves[x][:1500]}\n{halves[y][:1500]}", None, "mixed", 0) for k, (x, y) in enumerate(itertools.combinations(sorted(halves), 2))]
+    both = both.unionByName(spark.createDataFrame(mixed, planted.schema).select([F.col(f.name).cast(f.dataType) for f in docs.schema]))
     kept = {r.doc_id for r in language_id.language_stage(spark, both, "").select("doc_id").collect()}
     assert not kept & {10 ** 9 + k for k in range(len(FOREIGN))}
+    assert len(mixed) >= 3 and kept >= {m[0] for m in mixed}  # in two learned languages
     labelled = [r.doc_id for r in docs.where("lang is not null").select("doc_id").collect()]
     assert sum(d in kept for d in labelled) >= 0.99 * len(labelled)
 
