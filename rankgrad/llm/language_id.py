@@ -203,20 +203,21 @@ def fit(docs: DataFrame, *, max_documents: int = 3000, windows_per_document: int
     return train(samples)
 
 
-def least_certainty(docs: DataFrame, net: Network | None, keep: float = 0.995, max_documents: int = 3000,
+def least_certainty(docs: DataFrame, net: Network | None, keep: float = 0.995, slack: float = 2.0, max_documents: int = 3000,
                     least_documents: int = 100) -> float:
     """The certainty below which a text is in no learned language.
 
-    Of held-out documents whose language is told right, the share ``keep`` has as much or
-    more; a bounded sample of them, as in ``fit``, is read as whole texts. With fewer than
-    ``least_documents`` of them there is no such share to tell: 0, as without a network.
+    A text may lack ``slack`` times the certainty that the least sure of the share ``keep``
+    of held-out documents lacks, of those whose language is told right; a bounded sample of
+    them, as in ``fit``, is read as whole texts. With fewer than ``least_documents`` of them
+    there is no such share to tell: 0, as without a network.
     """
     if net is None:
         return 0.0
     sample = spread_sample(_known(docs).where(held_out()), {"text": F.col("text")}, max_documents)
     told = identify(sample, net).where("lang_pred = lang")
     n, found = told.agg(F.count("*"), F.percentile("certainty", 1 - keep)).first()
-    return found if n >= least_documents else 0.0
+    return max(0.0, 1 - slack * (1 - found)) if n >= least_documents else 0.0
 
 
 def _has_letter(text: bytes | None) -> bool:
@@ -258,7 +259,7 @@ def op7_language_id(spark, sf_dir: str) -> DataFrame:
 def language_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: drops documents in no learned language; columns unchanged.
 
-    Those are texts without a letter (``und``) and texts on which the network is less
+    Those are texts without a letter (``und``) and texts on which the network is far less
     sure than on nearly all held-out documents (``least_certainty``). A text in several
     learned languages stays, as its windows are sure.
     """

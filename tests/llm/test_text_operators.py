@@ -204,7 +204,7 @@ def test_stage_drops_languages_it_has_not_learned(spark):
     assert not kept & {10 ** 9 + k for k in range(len(FOREIGN))}
     assert len(mixed) >= 3 and kept >= {m[0] for m in mixed}  # in two learned languages
     labelled = [r.doc_id for r in docs.where("lang is not null").select("doc_id").collect()]
-    assert sum(d in kept for d in labelled) >= 0.99 * len(labelled)
+    assert sum(d in kept for d in labelled) >= 0.998 * len(labelled)
 
 
 def test_a_hot_id_and_a_rare_language(spark):
