@@ -47,6 +47,7 @@ VALUES = BANDS * ROWS  # half of them minima, half maxima
 BLOCK = 256  # nodes of a bucket that one task compares at a time
 BLOCK_SHINGLES = 1 << 21  # and their shingles, about
 SLOTS = 1 << 18  # counters of the frequency sketch
+MARKS = 1 << 23  # bits of the table of wanted rows
 _RNG = np.random.default_rng(20240229)
 _ODD = lambda n: _RNG.integers(0, 2 ** 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 PLACE, TIMES, PLUS, BAND = _ODD(WORDS), _ODD(VALUES // 2), _ODD(VALUES // 2), _ODD(ROWS)
@@ -216,6 +217,19 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
             return state.select("node", "label")
 
 
+def marked(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``rows`` whose doc is in ``wanted`` (doc), and a few more, told without a shuffle of ``rows``.
+
+    By a table of ``MARKS`` bits that goes to every task, for a join that drops the few
+    more: when the table fills up with what is wanted, that join is sent more rows.
+    """
+    slot = F.pmod(F.xxhash64("doc"), F.lit(MARKS))
+    word, bit = F.shiftright(slot, 6).alias("mark_word"), slot.bitwiseAND(F.lit(63)).cast("int")
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), bit)
+    bits = wanted.select(word, one.alias("one")).groupBy("mark_word").agg(F.bit_or("one").alias("mark_bits"))
+    return rows.select("*", word).join(F.broadcast(bits), "mark_word").where(F.getbit("mark_bits", bit) == 1).select(*rows.columns)
+
+
 def _star(pairs: DataFrame) -> DataFrame:
     """Asks of every node to its pivots (``pairs``: doc, n, pivot, distinct); a pivot's nodes are dealt into blocks."""
     blocks = pairs.groupBy("pivot").agg(F.greatest(F.ceil(F.count("*") / F.lit(BLOCK)), F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES))).alias("blocks"))
@@ -285,7 +299,7 @@ def clusters(open_: DataFrame, num: int, den: int, scratch: Scratch) -> DataFram
     return components(edges, scratch).select(F.col("node").alias("doc"), F.col("label").alias("cluster"))
 
 
-def _rest(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, texts: DataFrame, num: int, den: int, scratch: Scratch) -> DataFrame | None:
+def _rest(buckets: DataFrame, labels: DataFrame, rows: DataFrame, texts: DataFrame, num: int, den: int, scratch: Scratch) -> DataFrame | None:
     """Asks for pairs of one bucket and cluster and several labels that the signatures don't rule out."""
     named = buckets.select("key", "band", "doc").join(labels.withColumnRenamed("node", "doc"), "doc", "left").select(
         "key", "band", "doc", F.coalesce("label", "doc").alias("label"))
@@ -305,7 +319,7 @@ def _rest(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, texts: DataFr
         F.ceil(F.col("top.n") / F.lit(BLOCK)).alias("big"), F.ceil((F.col("all") - F.col("top.n")) / F.lit(BLOCK)).alias("small")), "open")
     if not open_.limit(1).count():
         return None
-    rows = named.join(open_, "key")
+    placed = named.join(open_, "key")
     other = F.col("label") != F.col("most")
     mine = F.when(other, F.pmod(F.xxhash64("doc"), F.col("small"))).otherwise(F.pmod(F.xxhash64("doc"), F.col("big")))
     zero = F.lit(0).cast("long")
@@ -316,8 +330,8 @@ def _rest(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, texts: DataFr
         F.transform(F.sequence(zero, F.col("big") - 1), lambda k: meet(1, F.col("mine"), k)))).otherwise(
         F.transform(F.sequence(zero, F.col("small") - 1), lambda k: meet(1, k, F.col("mine"))))
     g2 = (F.shiftleft(F.col("at.i"), 31).bitwiseOR(F.col("at.j"))) * 2 + F.col("at.kind")
-    dealt = (rows.withColumn("mine", mine).select("key", "band", "doc", "label", other.alias("other"), "mine", F.explode(places).alias("at"))
-             .join(nodes.select("doc", "bands", "sketch"), "doc")
+    dealt = (placed.withColumn("mine", mine).select("key", "band", "doc", "label", other.alias("other"), "mine", F.explode(places).alias("at"))
+             .join(marked(rows.select("doc", "bands", "sketch"), opened), "doc")
              .select(F.col("key").alias("g1"), g2.alias("g2"), "band", "doc", "label", "other", "mine", "bands", "sketch"))
     return scratch.save(per_group(dealt, ("g1", "g2"), ASK, lambda: lambda *columns: likely(least, *columns)), "asks")
 
@@ -368,7 +382,7 @@ def _near_duplicates(texts: DataFrame, num: int, den: int, scratch: Scratch) ->
     # rows of one id with different sets are one document: an edge between their nodes
     split = members.groupBy("doc").agg(F.min("node").alias("a"), F.max("node").alias("top")).where("a < top").select("doc", "a")
     same_id = members.join(split, "doc").where("node <> a").select("a", F.col("node").alias("b")).distinct()
-    labels = _labels(linkable.join(reps.select(F.col("node").alias("row_id")), "row_id", "left_semi"), texts, same_id, num, den, scratch)
+    labels = _labels(linkable, reps, texts, same_id, num, den, scratch)
     named = labels.join(reps.select("node", "named.doc"), "node")
     least = labels.join(named.groupBy("label").agg(F.min("doc").alias("least")), "label").select("node", "least")
     found = members.join(least, "node", "left").select("doc", "n_shingles", F.coalesce("least", "rep").alias("component_id"))
@@ -391,18 +405,20 @@ def _reps(linkable: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.save(first.withColumn("node", F.coalesce("named.row_id", "unnamed")), "reps")
 
 
-def _labels(nodes: DataFrame, texts: DataFrame, links: DataFrame | None, num: int, den: int, scratch: Scratch) -> DataFrame:
-    """(node, label) of the nodes that have links, for ``nodes`` (one row per set) and further ``links`` (a, b)."""
-    nodes = nodes.select(F.col("row_id").alias("doc"), "n_shingles", "bands", "sketch")
+def _labels(linkable: DataFrame, reps: DataFrame, texts: DataFrame, links: DataFrame | None, num: int, den: int, scratch: Scratch) -> DataFrame:
+    """(node, label) of the nodes of ``reps`` (rows of ``linkable``, one per set) that have links, with further ``links`` (a, b)."""
+    rows = linkable.select(F.col("row_id").alias("doc"), "n_shingles", "bands", "sketch")
+    nodes = rows.join(reps.select(F.col("node").alias("doc")), "doc", "left_semi")
     spread = nodes.select("doc", F.col("n_shingles").alias("n"), F.posexplode("bands").alias("band", "key"))
     shared = spread.groupBy("key").agg(F.min("doc").alias("pivot"), F.max("doc").alias("other")).where("pivot < other").drop("other")
     buckets = scratch.save(spread.join(shared, "key"), "buckets")
     asked = buckets.select("doc").distinct()
-    wanted = scratch.save(texts.select(F.col("row_id").alias("doc"), "text").join(asked, "doc", "left_semi"), "texts")
+    # most texts share no band: they stay where they are (a semi-join would be made before the marks are looked at)
+    wanted = scratch.save(marked(texts.select(F.col("row_id").alias("doc"), "text"), asked).join(asked, "doc"), "texts")
     found = confirmed(_star(buckets.where("doc <> pivot").select("doc", "n", "pivot").distinct()), wanted, num, den)
     links = scratch.save(found if links is None else found.unionByName(links), "links")
     labels = components(links, scratch)
-    rest = _rest(buckets, labels, nodes, wanted, num, den, scratch)
+    rest = _rest(buckets, labels, rows, wanted, num, den, scratch)
     if rest is None:
         return labels
     more = scratch.save(confirmed(rest, wanted, num, den), "links")
@@ -431,7 +447,7 @@ def _repeats(texts: DataFrame, num: int, den: int, scratch: Scratch) -> DataFram
     """Row ids of all rows of ``texts`` but the first with an id and the first without of each group."""
     linkable = _sets(texts, scratch).where("n_shingles > 0")
     reps = _reps(linkable, scratch)
-    labels = _labels(linkable.join(reps.select(F.col("node").alias("row_id")), "row_id", "left_semi"), texts, None, num, den, scratch)
+    labels = _labels(linkable, reps, texts, None, num, den, scratch)
     first = scratch.save(reps.join(labels, "node", "left").groupBy(F.coalesce("label", "node").alias("label"))
                          .agg(F.min("named").alias("named"), F.min("unnamed").alias("unnamed")), "first")
     stay = first.select(F.explode(F.array("named.row_id", "unnamed")).alias("row_id")).where("row_id is not null")

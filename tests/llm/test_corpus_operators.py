@@ -456,3 +456,26 @@ def test_pipeline_leaves_its_result_alone(spark):
     assert out.count() > 0
     assert {n.rsplit("-", 1)[0] for n in folders() - before} == {"live-pipeline-packing"}
     assert release(out) == 1 and folders() == before
+
+
+def test_texts_without_shared_band_are_not_shuffled(spark, monkeypatch):
+    """Only texts that share a band, and few others, reach the exchange before the texts of the links are kept."""
+    wanted = spark.range(0, 3000, 100).select(F.col("id").alias("doc"))
+    rows = spark.range(3000).select(F.col("id").alias("doc"), F.lit("x").alias("text"))
+    told = {r.doc for r in minmax_dedup.marked(rows, wanted).collect()}
+    assert told >= set(range(0, 3000, 100)) and len(told) < 60
+    words = [f"w{i}" for i in range(400)]
+    texts = [(i, " ".join(random.Random(i // 2 if i < 20 else i).sample(words, 60))) for i in range(200)]
+    texts = [(i, t + " more" if i < 20 and i % 2 else t) for i, t in texts]
+    plans, save = [], minmax_dedup.Scratch.save
+
+    def noted(self, df, name):
+        if name == "texts":
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return save(self, df, name)
+
+    monkeypatch.setattr(minmax_dedup.Scratch, "save", noted)
+    got = {r.doc_id: r.component_id for r in minmax_dedup.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert got == {i: i - i % 2 if i < 20 else i for i in range(200)}
+    # the marks are looked at below the exact join, so before its shuffle
+    assert len(plans) == 1 and plans[0].index("(doc#") < plans[0].index("mark_bits") and "LeftSemi" not in plans[0]
