@@ -1,9 +1,10 @@
 """Language ID by a bidirectional gated recurrent network over bytes.
 
-``train`` fits the network in numpy by backpropagation through time on windows of
-a bounded sample of labelled documents. ``Network.probabilities`` labels every
-byte of a whole text (in windows that are read both ways) and pools the
-probabilities of its letters over the document.
+``fit`` learns from windows of every learnable document, by backpropagation through
+time: in rounds, each shard of the windows goes on from the network of the round
+before in its own task (``trained``), and the shards' networks are averaged on the
+cluster. ``Network.probabilities`` labels every byte of a whole text (in windows that
+are read both ways) and pools the probabilities of its letters over the document.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0;
 null ids and repeated rows give a row each (a null id isn't held out). Without
@@ -13,13 +14,18 @@ labelled documents to learn from, every document is ``und``.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import add_columns, utf8
+from .common import Scratch, add_columns, saved, utf8
 
 WINDOW = 96
+ROUNDS = 6
+BATCH = 256  # windows of a step
+SHARD = 24 * BATCH  # windows of a shard and round, about
+PLACES = 10_000  # steps in which certainties are counted
 LETTERS = np.zeros(256, bool)
 LETTERS[65:91] = LETTERS[97:123] = LETTERS[128:] = True
 
@@ -103,14 +109,16 @@ class Network:
         letters = np.maximum(letters, 1)
         return sums / letters[:, None], sure / letters
 
-    def gradients(self, windows, lengths, targets):
-        """Mean cross-entropy over the letter positions, and its gradient, through time both ways."""
+    def gradients(self, windows, lengths, targets, weights=None):
+        """Mean cross-entropy over the letter positions (of weighted windows), and its gradient, through time both ways."""
         w, h = self.weights, self.units
         x = np.ascontiguousarray(windows.T)
         valid = (np.arange(x.shape[0])[:, None] < lengths[None, :]).astype(np.float32)[:, None, :]
         runs = {d: self._run(x, valid, d, keep=True) for d in "fb"}
         p = self._softmax(runs["f"][0], runs["b"][0])
         counted = LETTERS[x][:, None, :] * valid
+        if weights is not None:
+            counted = counted * weights.astype(np.float32)
         total = max(counted.sum(), 1.0)
         at = np.arange(x.shape[1])
         loss = -(np.log(p[:, targets, at] + 1e-9) * counted[:, 0]).sum() / total
@@ -120,7 +128,7 @@ class Network:
         for d in "fb":
             states, tape = runs[d]
             grads[f"out_{d}"] = np.einsum("tkb,thb->kh", error, states)
-            g_in, g_rec = np.zeros_like(w[f"in_{d}"]).T.copy(), np.zeros_like(w[f"rec_{d}"])
+            g_rec, g_read = np.zeros_like(w[f"rec_{d}"]), np.empty((3 * h, *x.shape), w[f"in_{d}"].dtype)
             carry = np.zeros((h, x.shape[1]), np.float32)
             for t, before, z, r, new, pre in reversed(tape):
                 g = (w[f"out_{d}"].T @ error[t] + carry) * valid[t]
@@ -130,12 +138,33 @@ class Network:
                 g_x = np.concatenate([g_z, g_r, g_new])
                 g_h = np.concatenate([g_z, g_r, g_new * r])
                 g_rec += g_h @ before.T
-                np.add.at(g_in, x[t], g_x.T)
+                g_read[:, t] = g_x
                 carry = w[f"rec_{d}"].T @ g_h + g * z
-            grads[f"in_{d}"], grads[f"rec_{d}"] = g_in.T, g_rec
+            by_byte = [np.bincount(x.ravel(), row.ravel(), 256) for row in g_read]
+            grads[f"in_{d}"], grads[f"rec_{d}"] = np.stack(by_byte).astype(g_read.dtype), g_rec
         return loss, grads
 
 
+class Adam:
+    """Steps of Adam on a network, with the gradient's norm held to 1."""
+
+    def __init__(self, net: Network):
+        self.net, self.step = net, 0
+        self.m, self.v = ({k: np.zeros_like(w) for k, w in net.weights.items()} for _ in range(2))
+
+    def __call__(self, pieces: list[bytes], targets: np.ndarray, rate: float, weights: np.ndarray | None = None) -> None:
+        net, m, v = self.net, self.m, self.v
+        self.step += 1
+        x = np.frombuffer(b"".join(p.ljust(WINDOW, b"\0") for p in pieces), np.uint8).reshape(len(pieces), WINDOW)
+        _, grads = net.gradients(x, np.array([len(p) for p in pieces]), targets, weights)
+        norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
+        for k, g in grads.items():
+            g = g * min(1, 1 / max(norm, 1e-9))
+            m[k] = 0.9 * m[k] + 0.1 * g
+            v[k] = 0.98 * v[k] + 0.02 * g * g
+            net.weights[k] = (net.weights[k] - rate * (m[k] / (1 - 0.9 ** self.step)) / (np.sqrt(v[k] / (1 - 0.98 ** self.step)) + 1e-6)).astype(np.float32)
+
+
 def train(samples: list[tuple[str, bytes]], *, units: int = 12, steps: int = 240, batch: int = 96,
           rate: float = 0.02, seed: int = 11) -> Network | None:
     """A network fitted to (language, window of bytes) by Adam; languages are drawn evenly."""
@@ -146,19 +175,11 @@ def train(samples: list[tuple[str, bytes]], *, units: int = 12, steps: int = 240
     rng = np.random.default_rng(seed)
     net = Network(languages, units, rng)
     by = [[b for lang, b in samples if lang == name] for name in languages]
-    m, v = ({k: np.zeros_like(w) for k, w in net.weights.items()} for _ in range(2))
+    descend = Adam(net)
     for step in range(1, steps + 1):
         targets = rng.integers(0, len(by), batch)
         picked = [by[y][rng.integers(0, len(by[y]))] for y in targets]
-        x = np.frombuffer(b"".join(p.ljust(WINDOW, b"\0") for p in picked), np.uint8).reshape(batch, WINDOW)
-        _, grads = net.gradients(x, np.array([len(p) for p in picked]), targets)
-        norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
-        now = rate * min(1, 2 * (1 - step / (steps + 1)))
-        for k, g in grads.items():
-            g = g * min(1, 1 / max(norm, 1e-9))
-            m[k] = 0.9 * m[k] + 0.1 * g
-            v[k] = 0.98 * v[k] + 0.02 * g * g
-            net.weights[k] = (net.weights[k] - now * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(v[k] / (1 - 0.98 ** step)) + 1e-6)).astype(np.float32)
+        descend(picked, targets, rate * min(1, 2 * (1 - step / (steps + 1))))
     return net
 
 
@@ -194,30 +215,112 @@ def _known(docs: DataFrame) -> DataFrame:
         F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & (F.length("text") > 0))
 
 
-def fit(docs: DataFrame, *, max_documents: int = 3000, windows_per_document: int = 4) -> Network | None:
-    """A network from windows of at most ``max_documents`` learnable documents, equally many of each language."""
+def _windows(number: int | None) -> F.Column:
+    """Windows of a text: ``number`` of them from hashed places, or all, end to end."""
+    if number is None:
+        places = F.sequence(F.lit(1), F.length("text"), F.lit(WINDOW))
+        return F.transform(places, lambda at: F.substring(F.col("text"), at, F.lit(WINDOW)))
     start = lambda k: F.pmod(F.xxhash64("doc_id", F.lit(k)), F.length("text")).cast("int") + 1
-    windows = {f"w{k}": F.substring(F.col("text"), start(k), F.lit(WINDOW)) for k in range(windows_per_document)}
-    rows = spread_sample(_known(docs).where(~held_out()), windows, max_documents)
-    samples = sorted((str(r[0]), w.encode()) for r in rows.collect() for w in r[2:])
+    return F.array(*[F.substring(F.col("text"), start(k), F.lit(WINDOW)) for k in range(number)])
+
+
+def fit(docs: DataFrame, *, max_documents: int | None = None, windows_per_document: int | None = 4) -> Network | None:
+    """A network from every learnable document: some windows of each, or with ``None`` its whole text.
+
+    ``max_documents``: from a sample of so many at most instead, equally many of each
+    language, trained on the driver with some windows of each.
+    """
+    known = _known(docs).where(~held_out())
+    if max_documents is None:
+        return trained(known.select("lang", "doc_id", F.explode(_windows(windows_per_document)).alias("w")))
+    rows = spread_sample(known, {"w": _windows(windows_per_document)}, max_documents)
+    samples = sorted((str(r.lang), w.encode()) for r in rows.select("lang", "w").collect() for w in r.w)
     return train(samples)
 
 
-def least_certainty(docs: DataFrame, net: Network | None, keep: float = 0.995, slack: float = 2.0, max_documents: int = 3000,
-                    least_documents: int = 100) -> float:
+def trained(windows: DataFrame, *, units: int = 12, rate: float = 0.02, seed: int = 11, max_languages: int = 1000) -> Network | None:
+    """A network fitted to all of ``windows`` (lang, doc_id, w).
+
+    Every window is read once at least; all of them as often as a shard's steps ask for if
+    they are few, and those of a language with under a quarter of its even share more
+    often. What is left of uneven shares is evened out by weights. A round is one job: its
+    shards, of about ``SHARD`` windows, are tasks, and the driver gets one network.
+    ``max_languages`` bounds the network's outputs, most frequent first.
+    """
+    spark = windows.sparkSession
+    counts = {r.lang: r["count"] for r in windows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()}
+    if not counts:
+        return None
+    languages, every = sorted(counts), sum(counts.values())
+    again = -(-ROUNDS * SHARD // every)  # a whole number of readings, 1 if there are enough
+    times = {name: max(again, -(-again * every // (4 * len(counts) * n))) for name, n in counts.items()}
+    read = sum(n * times[name] for name, n in counts.items())
+    weights = np.array([read / (len(counts) * counts[name] * times[name]) for name in languages])
+    shards = -(-read // (ROUNDS * SHARD))
+    net = Network(languages, units, np.random.default_rng(seed))
+    table = spark.createDataFrame([(name, i, times[name]) for i, name in enumerate(languages)], "lang string, y int, times long")
+    with Scratch(spark, "windows") as scratch:
+        dealt = windows.join(F.broadcast(table), "lang").select(
+            "y", "doc_id", "w", F.explode(F.sequence(F.lit(1).cast("long"), "times")).alias("reading"))
+        h = F.xxhash64("doc_id", "w", "reading")
+        path = scratch.path("dealt")
+        dealt.select("y", "w", h.alias("h"), F.pmod(F.xxhash64("h", F.lit(1)), F.lit(shards)).alias("shard"),
+                     F.pmod(F.xxhash64("h", F.lit(2)), F.lit(ROUNDS)).cast("int").alias("round")).write.partitionBy("round").parquet(path)
+        rows = spark.read.schema("y int, w string, h long, shard long, round int").parquet(path)
+        for k in range(ROUNDS):
+            found = (rows.where(F.col("round") == k).groupBy("shard").applyInArrow(_shard_round(net, weights, k, rate, seed), "weights array<double>")
+                     .select(F.posexplode("weights").alias("at", "x")).groupBy("at").agg(F.avg("x").alias("x")).toArrow())
+            flat = np.zeros(sum(w.size for w in net.weights.values()))
+            flat[found["at"].to_numpy()] = found["x"].to_numpy()
+            if found.num_rows:
+                net.weights = _shaped(flat, net.weights)
+    return net
+
+
+def _shaped(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    ends = np.cumsum([w.size for w in like.values()])
+    return {k: x.reshape(w.shape).astype(np.float32) for (k, w), x in zip(like.items(), np.split(flat, ends[:-1]))}
+
+
+def _shard_round(net: Network, weights: np.ndarray, k: int, rate: float, seed: int):
+    """One round of a shard: its windows once, in a shuffled order; the weights of the network it comes to."""
+    def run(table: pa.Table) -> pa.Table:
+        # an order that doesn't depend on how rows arrive
+        table = table.sort_by([("h", "ascending"), ("y", "ascending"), ("w", "ascending")])
+        order = np.random.default_rng([seed, k, int(table["shard"][0].as_py())]).permutation(table.num_rows)
+        y, w = table["y"].to_numpy()[order], utf8(table["w"].combine_chunks().take(pa.array(order)))
+        mine = Network(net.languages, net.units, np.random.default_rng(0))
+        mine.weights = net.weights
+        descend, steps = Adam(mine), -(-len(y) // BATCH)
+        for step in range(steps):
+            some = slice(step * BATCH, (step + 1) * BATCH)
+            left = 1 - (k + step / steps) / ROUNDS
+            descend([b[:WINDOW] for b in w[some]], y[some], rate * min(1, 2 * left), weights[y[some]])
+        return pa.table({"weights": pa.array([np.concatenate([x.ravel() for x in mine.weights.values()]).astype(float)], pa.list_(pa.float64()))})
+
+    return run
+
+
+def least_certainty(told: DataFrame, keep: float = 0.995, slack: float = 2.0, least_documents: int = 100, even: int = 30) -> float:
     """The certainty below which a text is in no learned language.
 
     A text may lack ``slack`` times the certainty that the least sure of the share ``keep``
-    of held-out documents lacks, of those whose language is told right; a bounded sample of
-    them, as in ``fit``, is read as whole texts. With fewer than ``least_documents`` of them
-    there is no such share to tell: 0, as without a network.
+    of held-out documents lacks, of those whose language is told right. ``told`` is what
+    ``identify`` gives for all of them (doc_id, lang, lang_pred, certainty); a language
+    counts as much as any other that has ``even`` of them. Certainties are counted in
+    steps of 1 / ``PLACES``, so the driver gets that many rows at most. With fewer than
+    ``least_documents`` of them there is no such share to tell: 0, as without a network.
     """
-    if net is None:
+    right = told.where(held_out() & (F.col("lang_pred") == F.col("lang").cast("string")))
+    by = right.groupBy("lang", F.floor(F.col("certainty") * PLACES).alias("place")).agg(F.count("*").alias("n"))
+    shares = by.groupBy("lang").agg(F.sum("n").alias("all"))
+    found = (by.join(shares, "lang").groupBy("place").agg(F.sum("n").alias("n"), F.sum(F.col("n") / F.greatest("all", F.lit(even))).alias("weight"))
+             .orderBy("place").toPandas())
+    if found["n"].sum() < least_documents:
         return 0.0
-    sample = spread_sample(_known(docs).where(held_out()), {"text": F.col("text")}, max_documents)
-    told = identify(sample, net).where("lang_pred = lang")
-    n, found = told.agg(F.count("*"), F.percentile("certainty", 1 - keep)).first()
-    return max(0.0, 1 - slack * (1 - found)) if n >= least_documents else 0.0
+    sums = found["weight"].cumsum()
+    least = found["place"][(sums >= (1 - keep) * sums.iloc[-1]).argmax()] / PLACES
+    return float(max(0.0, 1 - slack * (1 - least)))
 
 
 def _has_letter(text: bytes | None) -> bool:
@@ -260,12 +363,13 @@ def language_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: drops documents in no learned language; columns unchanged.
 
     Those are texts without a letter (``und``) and texts on which the network is far less
-    sure than on nearly all held-out documents (``least_certainty``). A text in several
-    learned languages stays, as its windows are sure.
+    sure than on nearly all held-out documents (``least_certainty``, of all of them). A
+    text in several learned languages stays, as its windows are sure.
     """
-    net = fit(docs)
-    least = least_certainty(docs, net)
+    net = fit(docs, windows_per_document=None)
     passed = docs.toDF(*[f"passed_{i}" for i in range(len(docs.columns))])
-    text = f"passed_{docs.columns.index('text')}"
-    return (identify(passed, net, text).where((F.col("lang_pred") != "und") & (F.col("certainty") >= least))
+    of = lambda name: F.col(f"passed_{docs.columns.index(name)}")
+    told = saved(identify(passed, net, f"passed_{docs.columns.index('text')}"), "language-told")
+    least = least_certainty(told.select(of("doc_id").alias("doc_id"), of("lang").alias("lang"), "lang_pred", "certainty"))
+    return (told.where((F.col("lang_pred") != "und") & (F.col("certainty") >= least))
             .select(*passed.columns).toDF(*docs.columns))

@@ -354,3 +354,37 @@ def test_templates_of_a_table_and_of_files(spark, tmp_dir):
     assert got[1][0] == "house-1.0" and 0.98 < got[1][1] < 1
     assert got[2][0] == got[3][0] == "" and got[3][1] == 0
     assert {r.labels for r in licenses.scan_documents(docs).collect()} == {""}
+
+
+def test_stage_learns_from_every_whole_text(spark, monkeypatch):
+    """The network and the threshold of the stage come from all documents, no sample of them."""
+    rows = [(k, f"{'the words of this text and that ' if k % 2 else 'und der die das ist nicht '}{k} " * (1 + k % 9), "en" if k % 2 else "de") for k in range(7000)]
+    docs = spark.createDataFrame(rows + [(None, "no id", "en"), (7001, None, "en"), (7002, "", "en"), (7003, "no language", None)], "doc_id long, text string, lang string").repartition(3)
+    learned, judged, trained, least = [], [], language_id.trained, language_id.least_certainty
+    monkeypatch.setattr(language_id, "spread_sample", lambda *a, **kw: pytest.fail("a sample"))
+    monkeypatch.setattr(language_id, "trained", lambda windows, **kw: (learned.append(windows.collect()), trained(windows, **kw))[1])
+    monkeypatch.setattr(language_id, "least_certainty", lambda told, **kw: (judged.append(told.count()), least(told, **kw))[1])
+    kept = language_id.language_stage(spark, docs, "").count()
+    held = {r.doc_id for r in docs.where(language_id.held_out()).collect()}
+    pieces = itertools.groupby(sorted(learned[0], key=lambda r: r.doc_id), lambda r: r.doc_id)
+    assert {i: sum(len(r.w) for r in some) for i, some in pieces} == {i: len(t) for i, t, _ in rows if i not in held}
+    assert judged == [7004] and kept >= 0.99 * 7000
+
+
+def test_threshold_counts_every_held_out_document(spark):
+    told = spark.range(40_000).select(F.col("id").alias("doc_id"), F.lit("en").alias("lang"), F.lit("en").alias("lang_pred"),
+                                      F.when(F.col("id") % 50 == 7, 0.8).otherwise(0.99).alias("certainty"))
+    assert language_id.least_certainty(told) == pytest.approx(0.6, abs=1e-3)
+    assert language_id.least_certainty(told, keep=0.9) == pytest.approx(0.98, abs=1e-3)
+    assert language_id.least_certainty(told.limit(50)) == 0 and language_id.least_certainty(told.limit(0)) == 0
+
+
+def test_training_in_shards(spark, monkeypatch):
+    """Shards in tasks of their own and a rare language: the averaged network tells them, however rows are dealt."""
+    monkeypatch.setattr(language_id, "SHARD", 512)
+    words = {"en": "the words of this and that are here ", "de": "und der die das ist nicht ein ", "es": "el que los las por una con "}
+    rows = [(k, (words[name] * 4)[k % 20:][:90], name) for k in range(6000) for name in [("es" if k % 200 == 0 else "en" if k % 3 else "de")]]
+    nets = [language_id.trained(spark.createDataFrame(rows, "doc_id long, w string, lang string").repartition(n)) for n in (2, 7)]
+    assert all(np.allclose(nets[0].weights[k], nets[1].weights[k], atol=1e-4) for k in nets[0].weights)
+    told = nets[0].probabilities([(words[n] * 3)[5:].encode() for n in nets[0].languages])
+    assert nets[0].languages == ["de", "en", "es"] and told.argmax(axis=1).tolist() == [0, 1, 2]
