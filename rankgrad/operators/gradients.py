@@ -10,6 +10,9 @@ many shards and tasks there are.
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -18,10 +21,9 @@ from pyspark.sql import functions as F
 from ..functions.model import Params
 
 
-def _kernel(w: np.ndarray, b: np.ndarray, feat: str, label: str, shard: str):
-    k, d = w.shape
-
-    def fold(batches):
+def _folder(feat: str, label: str, shard: str):
+    """A function from batches and ``(w, b)`` to one frame ``(shard, stats)``; pickled by value, as are all that use it."""
+    def fold(batches, w, b):
         acc: dict[int, np.ndarray] = {}
         for pdf in batches:
             if pdf.empty:
@@ -49,6 +51,11 @@ def _kernel(w: np.ndarray, b: np.ndarray, feat: str, label: str, shard: str):
     return fold
 
 
+def _kernel(w: np.ndarray, b: np.ndarray, feat: str, label: str, shard: str):
+    fold = _folder(feat, label, shard)
+    return lambda batches: fold(batches, w, b)
+
+
 def shard_stats(df: DataFrame, params: Params, feat: str = "embedding", label: str = "label",
                 shard: str = "shard") -> DataFrame:
     """``(shard, slot, v, n)`` sums: slot 0 = rows, 1 = loss sum, 2.. = gradient sums
@@ -108,3 +115,41 @@ def collect_step(df: DataFrame, params: Params, n_shards: int, feat: str = "embe
         total[slot], shards = value, found
     # all-reduce mean: divide by the shard count, then sum
     return total[2:] / n_shards, float(total[1] / shards) if shards else float("nan")
+
+
+def collect_run(df: DataFrame, steps: range, params: Params, velocity: np.ndarray | None, n_shards: int,
+                update: Callable[[np.ndarray, np.ndarray, np.ndarray | None], tuple[np.ndarray, np.ndarray]],
+                feat: str = "embedding", label: str = "label", shard: str = "shard",
+                step: str = "batch_id") -> tuple[Params, np.ndarray, list[tuple[float, float]]]:
+    """Consecutive small steps as one job: parameters and velocity after them, and (loss, seconds) of each.
+
+    A step needs the parameters of the one before, so a run of steps is one task, which
+    must hold the run's rows; what ``collect_step`` gives for a step and ``update`` (of
+    flat parameters, gradient and velocity) make the next parameters there. A step's
+    seconds are its own and its share of the job's.
+    """
+    k, d = params.w.shape
+    fold, start = _folder(feat, label, shard), params.flat()
+
+    def run(batches):
+        rows = pd.concat([b for b in batches if len(b)] or [pd.DataFrame({step: []})])
+        by = dict(list(rows.groupby(step)))
+        now, moved = start, velocity
+        for at in steps:
+            began, total, found = time.perf_counter(), np.zeros(k * (d + 1) + 1), 0
+            m = now.reshape(k, d + 1)
+            for part in fold([by[at]] if at in by else [], m[:, :d], m[:, d]):
+                for stats in map(np.asarray, part["stats"]):
+                    total, found = total + stats[1:] / stats[0], found + 1
+            now, moved = update(now, total[1:] / n_shards, moved)
+            last = at == steps[-1]
+            yield pd.DataFrame({"step": [at], "loss": [total[0] / found if found else float("nan")], "seconds": [time.perf_counter() - began],
+                                "params": [now.tolist() if last else None], "velocity": [moved.tolist() if last else None]})
+
+    clock = time.time()
+    got = df.select(step, feat, label, shard).coalesce(1).mapInPandas(
+        run, "step long, loss double, seconds double, params array<double>, velocity array<double>").collect()
+    got.sort(key=lambda r: r.step)
+    share = max(0.0, time.time() - clock - sum(r.seconds for r in got)) / len(got)
+    return (Params.from_flat(np.array(got[-1].params), k, d), np.array(got[-1].velocity),
+            [(r.loss, r.seconds + share) for r in got])

@@ -9,7 +9,9 @@ read is pruned to one block's files instead of scanning the epoch.
 Per step, one Spark job computes the shard gradients on executors
 (``mapInPandas`` kernel), adds them up and averages them over the shards; the
 driver gets one gradient, applies the SGD update (momentum, weight decay), and the
-new parameters travel in the next step's closure.
+new parameters travel in the next step's closure. A job costs far more than a step of
+a few hundred rows, so small steps run a block of the log at a time, one job a block,
+in a task that goes through the same gradients and updates in order.
 
 The step log is written block by block as the run goes. With ``save_dir``, every
 block also saves parameters, velocity, epoch and step there; a later call with
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 
 from ..functions.features import test_transform, train_transform
 from ..functions.model import (Params, argmax_expr, cross_entropy_expr, label_range, scores_expr)
-from ..operators.gradients import collect_step
+from ..operators.gradients import collect_run, collect_step
 from ..operators.sample import (assign_batches, assign_shards, hash_order_key,
                                 random_order_key, with_positions)
 from ..session import LIVE, Scratch, drop_path
@@ -50,6 +52,9 @@ TEST_MOD = 5
 
 # row-group size of a staged epoch: what one step reads at least
 STEP_ROW_GROUP_BYTES = 512 * 1024
+# a run of steps in one task: rows of a step at most, steps at least
+RUN_STEP_ROWS = 4096
+RUN_STEPS = 16
 # rows of a block that one task writes, about
 WRITER_ROWS = 125_000
 
@@ -102,6 +107,12 @@ def step_rows(staged: DataFrame, step: int, batches_per_block: int) -> DataFrame
                          & (F.col("batch_id") == step))
 
 
+def run_rows(staged: DataFrame, steps: range, batches_per_block: int) -> DataFrame:
+    """The rows of consecutive steps, pruned like ``step_rows``."""
+    return staged.filter(F.col("block").between(steps[0] // batches_per_block, steps[-1] // batches_per_block)
+                         & F.col("batch_id").between(steps[0], steps[-1]))
+
+
 @dataclass
 class TrainResult:
     params: Params
@@ -109,14 +120,21 @@ class TrainResult:
     losses: DataFrame  # (epoch, step, loss): 0-based step, mean shard loss
 
 
+def sgd_rule(lr: float, momentum: float, weight_decay: float):
+    """``sgd_update`` of flat parameters, as a function that is pickled by value."""
+    def update(w, grad, velocity):
+        dvec = grad + weight_decay * w
+        v = dvec if velocity is None else momentum * velocity + dvec
+        return w - lr * v, v
+
+    return update
+
+
 def sgd_update(params: Params, grad: np.ndarray, velocity: np.ndarray | None,
                lr: float, momentum: float, weight_decay: float) -> tuple[Params, np.ndarray]:
     """``d = g + wd * w``; ``v = mu * v + d`` (``v = d`` at first); ``w -= lr * v``."""
-    k, d = params.w.shape
-    w = params.flat()
-    dvec = grad + weight_decay * w
-    v = dvec if velocity is None else momentum * velocity + dvec
-    return Params.from_flat(w - lr * v, k, d), v
+    w, v = sgd_rule(lr, momentum, weight_decay)(params.flat(), grad, velocity)
+    return Params.from_flat(w, *params.w.shape), v
 
 
 class TrainRun:
@@ -227,15 +245,24 @@ def train_softmax(df: DataFrame, shards: int = 1, batch_size: int = BATCH_SIZE,
                 staged = stage_epoch(laid.select("batch_id", "shard", label_col, "x"), scratch.path("staged"), batches_per_block, writers)
             n_batches = staged.agg(F.max("batch_id")).first()[0] + 1
             clock = time.time()
-            for step in range(run.step if epoch == run.epoch else 0, n_batches):
-                rows = step_rows(staged, step, batches_per_block)
-                grad, loss = collect_step(rows, params, shards, "x", label_col, "shard")
-                params, velocity = sgd_update(params, grad, velocity, lr, momentum, weight_decay)
-                now = time.time()
-                run.log.add(epoch, step + 1, now - clock, loss)
-                clock = now
-                if (step + 1) % log_every == 0 or step + 1 == n_batches:
-                    run.commit(epoch, step + 1, params, velocity)
+            step = run.step if epoch == run.epoch else 0
+            while step < n_batches:
+                block = range(step, min(n_batches, (step // log_every + 1) * log_every))
+                if len(block) >= RUN_STEPS and shards * batch_size <= RUN_STEP_ROWS:
+                    params, velocity, done = collect_run(run_rows(staged, block, batches_per_block), block, params, velocity,
+                                                         shards, sgd_rule(lr, momentum, weight_decay), "x", label_col, "shard")
+                    for at, (loss, seconds) in zip(block, done):
+                        run.log.add(epoch, at + 1, seconds, loss)
+                    clock = time.time()
+                else:
+                    for at in block:
+                        grad, loss = collect_step(step_rows(staged, at, batches_per_block), params, shards, "x", label_col, "shard")
+                        params, velocity = sgd_update(params, grad, velocity, lr, momentum, weight_decay)
+                        now = time.time()
+                        run.log.add(epoch, at + 1, now - clock, loss)
+                        clock = now
+                step = block.stop
+                run.commit(epoch, step, params, velocity)
     log = run.log.read()
     steps = log.select("epoch", "iteration", "elapsed")
     losses = log.select("epoch", (F.col("iteration") - 1).alias("step"), "loss")

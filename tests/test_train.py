@@ -289,3 +289,21 @@ def test_resume_compares_the_run(spark, tmp_dir):
         train.train_softmax(vec(spark), resume=True)
     with pytest.raises(ValueError, match="no run record"):
         train.train_softmax(vec(spark), save_dir=f"{tmp_dir}/none", resume=True)
+
+
+def test_small_steps_run_a_block_a_job(spark, monkeypatch):
+    """A long epoch of small steps costs a job a block of the log, not one a step, and gives the same."""
+    big = vectors.read_vectors(spark, f"{SF01.replace('0.01', '0.1')}/embeddings.parquet")
+    for shards, batch in ((1, 60), (3, 20)):
+        how = dict(shards=shards, batch_size=batch, order=train.fixture_order(), block_rows=500)
+        jobs, real = [], train.collect_step
+        monkeypatch.setattr(train, "collect_step", lambda *a, **kw: (jobs.append(1), real(*a, **kw))[1])
+        got = train.train_softmax(big, **how)
+        few = len(jobs)
+        monkeypatch.setattr(train, "RUN_STEP_ROWS", 0)
+        want = train.train_softmax(big, **how)
+        assert few < 20 and len(jobs) - few == want.steps.count() > 30
+        assert np.allclose(got.params.flat(), want.params.flat(), atol=1e-12)
+        a, b = ([(r.epoch, r.step, round(r.loss, 10)) for r in x.losses.orderBy("step").collect()] for x in (got, want))
+        assert a == b and got.steps.where("elapsed > 0").count() == len(a)
+        monkeypatch.undo()
