@@ -9,8 +9,10 @@ own write (``StepLog``), so a run that fails leaves all blocks before.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 STEP_SCHEMA = T.StructType([
     T.StructField("epoch", T.IntegerType()),
@@ -62,7 +64,10 @@ class StepLog:
         if not self.rows:
             return
         block = f"block={self.rows[0][0]:06d}-{self.rows[0][1]:012d}"
-        rows = self.spark.createDataFrame(self.rows, self.SCHEMA).coalesce(1)
+        # Arrow columns: rows of Python values would take a Python worker to read back
+        kinds = to_arrow_schema(self.SCHEMA)
+        columns = [pa.array(c, type=f.type) for c, f in zip(zip(*self.rows), kinds)]
+        rows = self.spark.createDataFrame(pa.Table.from_arrays(columns, schema=kinds), self.SCHEMA).coalesce(1)
         rows.write.mode("overwrite").parquet(f"{self.path}/{block}")
         if self.csv_path:
             write_step_log(rows, f"{self.csv_path.rstrip('/')}/{block}", mode="overwrite")
