@@ -177,3 +177,22 @@ def test_ranks_survive_failures():
     env = os.environ | {"PYSPARK_SUBMIT_ARGS": "pyspark-shell"}
     run = subprocess.run([sys.executable, "-c", FAILING, ROOT, SF01], capture_output=True, text=True, timeout=400, env=env)
     assert "SURVIVED" in run.stdout, run.stdout[-2000:] + run.stderr[-4000:]
+
+
+def test_an_iteration_neither_sorts_nor_sends_edges(spark):
+    """A cell is one row, in cell order, so a step's plan sorts ranks only."""
+    edges = spark.createDataFrame([(i % 40, (i * 7) % 31) for i in range(900)], "src long, dst long")
+    with Scratch(spark, "test-packed") as scratch:
+        laid = grid.grid_edges(edges, scratch, blocks=2, max_cell=50)
+        try:
+            cells = laid.cells.groupBy("cell").count().collect()
+            assert laid.packed.count() == len(cells) > 4
+            sent = {r.src: sorted(r.cells) for r in laid.routes.collect()}
+            want = laid.cells.groupBy("src").agg(F.sort_array(F.collect_set("cell")).alias("cells")).collect()
+            assert sent == {r.src: r.cells for r in want}
+            ranks = laid.routes.select(F.col("src").alias("node"), F.lit(1.0).alias("rank")).where("node > 10")
+            got = {r.node: r.partial for r in grid.cell_sums(laid, ranks).groupBy("node").agg(F.sum("partial").alias("partial")).collect()}
+            by = {r.dst: r.s for r in laid.cells.where("src > 10").groupBy("dst").agg(F.sum("w").alias("s")).collect()}
+            assert got == pytest.approx(by)
+        finally:
+            laid.unpersist()
