@@ -217,17 +217,18 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
             return state.select("node", "label")
 
 
-def marked(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+def marked(rows: DataFrame, wanted: DataFrame, others: bool = False) -> DataFrame:
     """The rows of ``rows`` whose doc is in ``wanted`` (doc), and a few more, told without a shuffle of ``rows``.
 
-    By a table of ``MARKS`` bits that goes to every task, for a join that drops the few
+    With ``others``, all that are left out. By a table of ``MARKS`` bits that goes to every task, for a join that drops the few
     more: when the table fills up with what is wanted, that join is sent more rows.
     """
     slot = F.pmod(F.xxhash64("doc"), F.lit(MARKS))
     word, bit = F.shiftright(slot, 6).alias("mark_word"), slot.bitwiseAND(F.lit(63)).cast("int")
     one = F.call_function("shiftleft", F.lit(1).cast("long"), bit)
     bits = wanted.select(word, one.alias("one")).groupBy("mark_word").agg(F.bit_or("one").alias("mark_bits"))
-    return rows.select("*", word).join(F.broadcast(bits), "mark_word").where(F.getbit("mark_bits", bit) == 1).select(*rows.columns)
+    found = rows.select("*", word).join(F.broadcast(bits), "mark_word", "left" if others else "inner")
+    return found.where(F.coalesce(F.getbit("mark_bits", bit), F.lit(0)) == (0 if others else 1)).select(*rows.columns)
 
 
 def _star(pairs: DataFrame) -> DataFrame:
@@ -408,7 +409,9 @@ def _reps(linkable: DataFrame, scratch: Scratch) -> DataFrame:
 def _labels(linkable: DataFrame, reps: DataFrame, texts: DataFrame, links: DataFrame | None, num: int, den: int, scratch: Scratch) -> DataFrame:
     """(node, label) of the nodes of ``reps`` (rows of ``linkable``, one per set) that have links, with further ``links`` (a, b)."""
     rows = linkable.select(F.col("row_id").alias("doc"), "n_shingles", "bands", "sketch")
-    nodes = rows.join(reps.select(F.col("node").alias("doc")), "doc", "left_semi")
+    ids = reps.select(F.col("node").alias("doc"))
+    copies = scratch.save(rows.select("doc").join(ids, "doc", "left_anti"), "copies")
+    nodes = marked(rows, copies, others=True).unionByName(marked(rows, copies).join(ids, "doc"))
     spread = nodes.select("doc", F.col("n_shingles").alias("n"), F.posexplode("bands").alias("band", "key"))
     shared = spread.groupBy("key").agg(F.min("doc").alias("pivot"), F.max("doc").alias("other")).where("pivot < other").drop("other")
     buckets = scratch.save(spread.join(shared, "key"), "buckets")

@@ -464,6 +464,8 @@ def test_texts_without_shared_band_are_not_shuffled(spark, monkeypatch):
     rows = spark.range(3000).select(F.col("id").alias("doc"), F.lit("x").alias("text"))
     told = {r.doc for r in minmax_dedup.marked(rows, wanted).collect()}
     assert told >= set(range(0, 3000, 100)) and len(told) < 60
+    assert sorted(told | {r.doc for r in minmax_dedup.marked(rows, wanted, others=True).collect()}) == list(range(3000))
+    assert minmax_dedup.marked(rows, wanted, others=True).count() == 3000 - len(told)
     words = [f"w{i}" for i in range(400)]
     texts = [(i, " ".join(random.Random(i // 2 if i < 20 else i).sample(words, 60))) for i in range(200)]
     texts = [(i, t + " more" if i < 20 and i % 2 else t) for i, t in texts]
