@@ -30,16 +30,6 @@ LETTERS = np.zeros(256, bool)
 LETTERS[65:91] = LETTERS[97:123] = LETTERS[128:] = True
 
 
-def _gates(pre_x, pre_h, h, size):
-    """One step of a gated unit: update, reset and candidate, and the new state (units x batch)."""
-    zr = np.tanh(0.5 * (pre_x[:2 * size] + pre_h[:2 * size]))
-    zr *= 0.5
-    zr += 0.5
-    z, r = zr[:size], zr[size:]
-    new = np.tanh(pre_x[2 * size:] + r * pre_h[2 * size:])
-    return z, r, new, new + z * (h - new)
-
-
 class Network:
     """Weights: per direction an input table (256 bytes), a recurrent matrix and an output matrix."""
 
@@ -53,22 +43,41 @@ class Network:
                              f"out_{d}": normal(k, h, scale=h ** -0.5)}
 
     def _run(self, x: np.ndarray, valid: np.ndarray, d: str, keep: bool = False):
-        """States of one direction (time x units x batch); with ``keep``, also what backpropagation needs."""
+        """States of one direction (time x units x batch); with ``keep``, also what backpropagation needs.
+
+        That is the gates (update, reset and candidate) and what the recurrent matrix gave for
+        them, of every time. Without it, every time is computed in the same place.
+        """
         n, batch = x.shape
-        table, rec, h = self.weights[f"in_{d}"], self.weights[f"rec_{d}"], np.zeros((self.units, batch), np.float32)
-        states, tape = np.empty((n, self.units, batch), np.float32), []
+        u = self.units
+        # tanh(x / 2) / 2 + 1 / 2 is the gate's sigmoid; halved weights give the same x / 2
+        half = np.repeat([0.5, 0.5, 1], u).astype(np.float32)[:, None]
+        table, rec = self.weights[f"in_{d}"] * half, self.weights[f"rec_{d}"] * half
+        gates, pre = (np.empty((n if keep else 1, 3 * u, batch), table.dtype) for _ in range(2))
+        states, h, reset = np.empty((n, u, batch), table.dtype), np.zeros((u, batch), table.dtype), np.empty((u, batch), table.dtype)
         for t in range(n) if d == "f" else range(n - 1, -1, -1):
-            pre_h = rec @ h
-            z, r, new, after = _gates(np.take(table, x[t], axis=1), pre_h, h, self.units)
+            now, from_h = gates[t if keep else 0], pre[t if keep else 0]
+            zr, new, after = now[:2 * u], now[2 * u:], states[t]
+            np.matmul(rec, h, out=from_h)
+            table.take(x[t], axis=1, out=now, mode="clip")
+            zr += from_h[:2 * u]
+            np.tanh(zr, out=zr)
+            zr *= 0.5
+            zr += 0.5
+            new += np.multiply(zr[u:], from_h[2 * u:], out=reset)
+            np.tanh(new, out=new)
+            np.subtract(h, new, out=after)
+            after *= zr[:u]
+            after += new
             after *= valid[t]
-            if keep:
-                tape.append((t, h, z, r, new, pre_h[2 * self.units:]))
-            states[t] = h = after
-        return states, tape
+            h = after
+        return states, (gates, pre)
 
     def _softmax(self, states_f, states_b):
         w = self.weights
-        scores = w["out_f"] @ states_f + w["out_b"] @ states_b + w["bias"]
+        scores = w["out_f"] @ states_f
+        scores += w["out_b"] @ states_b
+        scores += w["bias"]
         scores -= scores.max(axis=-2, keepdims=True)
         np.exp(scores, out=scores)
         scores /= scores.sum(axis=-2, keepdims=True)
@@ -81,7 +90,9 @@ class Network:
         back, _ = self._run(x, valid, "b")
         front, _ = self._run(x, valid, "f")
         counted = LETTERS[x][:, None, :] * valid
-        return (self._softmax(front, back) * counted).sum(axis=0).T, counted.sum(axis=0)[0]
+        p = self._softmax(front, back)
+        p *= counted
+        return p.sum(axis=0).T, counted.sum(axis=0)[0]
 
     def probabilities(self, texts: list[bytes], batch: int = 1024) -> np.ndarray:
         """Pooled probabilities of each whole text (rows of zeros for texts without letter bytes)."""
@@ -125,22 +136,36 @@ class Network:
         p[:, targets, at] -= 1
         error = p * (counted / total).astype(np.float32)
         grads = {"bias": error.sum(axis=(0, 2))[:, None]}
+        at_byte = x.ravel().astype(np.intp)
         for d in "fb":
-            states, tape = runs[d]
+            states, (gates, pre) = runs[d]
             grads[f"out_{d}"] = np.einsum("tkb,thb->kh", error, states)
-            g_rec, g_read = np.zeros_like(w[f"rec_{d}"]), np.empty((3 * h, *x.shape), w[f"in_{d}"].dtype)
-            carry = np.zeros((h, x.shape[1]), np.float32)
-            for t, before, z, r, new, pre in reversed(tape):
-                g = (w[f"out_{d}"].T @ error[t] + carry) * valid[t]
-                g_new = g * (1 - z) * (1 - new * new)
-                g_z = g * (before - new) * z * (1 - z)
-                g_r = g_new * pre * r * (1 - r)
-                g_x = np.concatenate([g_z, g_r, g_new])
-                g_h = np.concatenate([g_z, g_r, g_new * r])
+            rec, g_rec, kind = w[f"rec_{d}"], np.zeros_like(w[f"rec_{d}"]), w[f"in_{d}"].dtype
+            g_read, g_h = np.empty(gates.shape, kind), np.empty(gates.shape[1:], kind)
+            from_out, left, slope = w[f"out_{d}"].T @ error, 1 - gates[:, :2 * h], 1 - gates[:, 2 * h:] * gates[:, 2 * h:]
+            start = carry = np.zeros((h, x.shape[1]), np.float32)
+            step = 1 if d == "f" else -1
+            for t in range(len(x))[::-step]:
+                before = states[t - step] if 0 <= t - step < len(x) else start
+                z, r, new = gates[t, :h], gates[t, h:2 * h], gates[t, 2 * h:]
+                g, g_z, g_r, g_new = from_out[t], g_read[t, :h], g_read[t, h:2 * h], g_read[t, 2 * h:]
+                g += carry
+                g *= valid[t]
+                np.multiply(g, left[t, :h], out=g_new)
+                g_new *= slope[t]
+                np.subtract(before, new, out=g_z)
+                for factor in (g, z, left[t, :h]):
+                    g_z *= factor
+                np.multiply(g_new, pre[t, 2 * h:], out=g_r)
+                g_r *= r
+                g_r *= left[t, h:]
+                g_h[:2 * h] = g_read[t, :2 * h]
+                np.multiply(g_new, r, out=g_h[2 * h:])
                 g_rec += g_h @ before.T
-                g_read[:, t] = g_x
-                carry = w[f"rec_{d}"].T @ g_h + g * z
-            by_byte = [np.bincount(x.ravel(), row.ravel(), 256) for row in g_read]
+                carry = rec.T @ g_h
+                g *= z
+                carry += g
+            by_byte = [np.bincount(at_byte, g_read[:, i].ravel(), 256) for i in range(3 * h)]
             grads[f"in_{d}"], grads[f"rec_{d}"] = np.stack(by_byte).astype(g_read.dtype), g_rec
         return loss, grads
 

@@ -388,3 +388,25 @@ def test_training_in_shards(spark, monkeypatch):
     assert all(np.allclose(nets[0].weights[k], nets[1].weights[k], atol=1e-4) for k in nets[0].weights)
     told = nets[0].probabilities([(words[n] * 3)[5:].encode() for n in nets[0].languages])
     assert nets[0].languages == ["de", "en", "es"] and told.argmax(axis=1).tolist() == [0, 1, 2]
+
+
+def test_every_time_of_a_window_is_computed_in_place(monkeypatch):
+    """The network's states are those of the plain formula, without fresh arrays for every byte."""
+    rng = np.random.default_rng(5)
+    net, n, batch, u = language_id.Network(["a", "b", "c"], 4, rng), 30, 9, 4
+    x, lengths = rng.integers(32, 127, (n, batch)).astype(np.uint8), rng.integers(1, n + 1, batch)
+    valid = (np.arange(n)[:, None] < lengths).astype(np.float32)[:, None, :]
+    want = {}
+    for d in "fb":
+        h, want[d] = np.zeros((u, batch)), np.zeros((n, u, batch))
+        for t in range(n) if d == "f" else range(n - 1, -1, -1):
+            read, heard = net.weights[f"in_{d}"][:, x[t]], net.weights[f"rec_{d}"] @ h
+            z, r = (1 / (1 + np.exp(-(read[i:i + u] + heard[i:i + u]))) for i in (0, u))
+            new = np.tanh(read[2 * u:] + r * heard[2 * u:])
+            want[d][t] = h = (new + z * (h - new)) * valid[t]
+    tanh, fresh = np.tanh, []
+    monkeypatch.setattr(np, "tanh", lambda v, out=None: (fresh.append(out is None), tanh(v, out=out))[1])
+    for d in "fb":
+        for keep in (False, True):
+            assert np.allclose(net._run(x, valid, d, keep)[0], want[d], atol=1e-5)
+    assert len(fresh) == 4 * 2 * n and not any(fresh)
