@@ -39,13 +39,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LOWER, Scratch, add_columns, per_group, saved, utf8
+from .common import LOWER, Scratch, add_columns, per_group, saved, small_batches, utf8
 
 WORDS = 5
 BANDS, ROWS = 40, 6
 VALUES = BANDS * ROWS  # half of them minima, half maxima
 BLOCK = 256  # nodes of a bucket that one task compares at a time
 BLOCK_SHINGLES = 1 << 21  # and their shingles, about
+WORDS_KNOWN = 1 << 16  # words whose hashes a task remembers (about 200 bytes each)
 SLOTS = 1 << 18  # counters of the frequency sketch
 MARKS = 1 << 23  # bits of the table of wanted rows
 _RNG = np.random.default_rng(20240229)
@@ -74,7 +75,7 @@ class Shingler:
         words = text.translate(LOWER).split() if text else []
         if not words:
             return np.empty(0, np.uint64)
-        if len(self.known) > 250_000:
+        if len(self.known) > WORDS_KNOWN:
             self.known.clear()
         known = self.known
         for w in set(words):
@@ -262,7 +263,8 @@ def frequent(texts: DataFrame) -> np.ndarray:
         heavy = np.flatnonzero(counts > 2 * counts.mean() + 4)
         yield pa.RecordBatch.from_arrays([pa.array(heavy), pa.array(counts[heavy])], names=["slot", "n"])
 
-    found = texts.select("text").mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    with small_batches(texts.sparkSession):
+        found = texts.select("text").mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     table = np.zeros(SLOTS, np.int64)
     table[found["slot"].to_numpy()] = found["n"].to_numpy()
     return table

@@ -7,13 +7,14 @@ from collections import defaultdict
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from rankgrad.llm import minmax_dedup, packing, positional_index, quotes, sharding, warc
+from rankgrad.llm import common, minmax_dedup, packing, positional_index, quotes, sharding, warc
 from rankgrad.llm.common import Scratch
-from rankgrad.session import scratch_path
+from rankgrad.session import release, scratch_path
 
 FOLDED = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 SPACED = re.compile(r"[^\x20\x09-\x0D]+")
@@ -481,3 +482,38 @@ def test_texts_without_shared_band_are_not_shuffled(spark, monkeypatch):
     assert got == {i: i - i % 2 if i < 20 else i for i in range(200)}
     # the marks are looked at below the exact join, so before its shuffle
     assert len(plans) == 1 and plans[0].index("(doc#") < plans[0].index("mark_bits") and "LeftSemi" not in plans[0]
+
+
+def test_workers_are_sent_few_texts_at_a_time(spark):
+    """What an operator writes goes through Python workers in small batches; the session's setting stays."""
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows])], names=["n"])
+
+    before = spark.conf.get(common.BATCH_ROWS, None)
+    rows = spark.range(0, 4500, 1, 1).mapInArrow(sizes, "n long")
+    with common.Scratch(spark, "sizes") as scratch:
+        stored = scratch.save(rows, "sizes")
+        kept = common.saved(rows, "sizes")
+        for made in (stored, kept):
+            assert sorted(r.n for r in made.collect()) == [500, 1000, 1000, 1000, 1000]
+        release(kept)
+    assert spark.conf.get(common.BATCH_ROWS, None) == before
+    spark.conf.set(common.BATCH_ROWS, "300")  # a smaller setting stays
+    try:
+        with common.Scratch(spark, "sizes") as scratch:
+            assert max(r.n for r in scratch.save(rows, "sizes").collect()) == 300
+        assert spark.conf.get(common.BATCH_ROWS) == "300"
+    finally:
+        spark.conf.unset(common.BATCH_ROWS) if before is None else spark.conf.set(common.BATCH_ROWS, before)
+
+
+def test_words_that_a_task_remembers_are_bounded():
+    shingles = minmax_dedup.Shingler()
+    texts = [" ".join(f"w{i * 700 + k}" for k in range(700)).encode() for i in range(200)]
+    most = 0
+    for text in texts:
+        shingles(text)
+        most = max(most, len(shingles.known))
+    assert most <= minmax_dedup.WORDS_KNOWN + 700 < 70_000
+    assert (shingles(texts[0]) == minmax_dedup.Shingler()(texts[0])).all()  # forgotten words hash as before
