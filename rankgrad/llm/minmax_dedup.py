@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LOWER, Scratch, add_columns, per_group, saved, small_batches, utf8
+from .common import LOWER, Scratch, add_columns, marked, per_group, saved, small_batches, utf8, without
 
 WORDS = 5
 BANDS, ROWS = 40, 6
@@ -48,7 +48,6 @@ BLOCK = 256  # nodes of a bucket that one task compares at a time
 BLOCK_SHINGLES = 1 << 21  # and their shingles, about
 WORDS_KNOWN = 1 << 16  # words whose hashes a task remembers (about 200 bytes each)
 SLOTS = 1 << 18  # counters of the frequency sketch
-MARKS = 1 << 23  # bits of the table of wanted rows
 _RNG = np.random.default_rng(20240229)
 _ODD = lambda n: _RNG.integers(0, 2 ** 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 PLACE, TIMES, PLUS, BAND = _ODD(WORDS), _ODD(VALUES // 2), _ODD(VALUES // 2), _ODD(ROWS)
@@ -218,20 +217,6 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
             return state.select("node", "label")
 
 
-def marked(rows: DataFrame, wanted: DataFrame, others: bool = False) -> DataFrame:
-    """The rows of ``rows`` whose doc is in ``wanted`` (doc), and a few more, told without a shuffle of ``rows``.
-
-    With ``others``, all that are left out. By a table of ``MARKS`` bits that goes to every task, for a join that drops the few
-    more: when the table fills up with what is wanted, that join is sent more rows.
-    """
-    slot = F.pmod(F.xxhash64("doc"), F.lit(MARKS))
-    word, bit = F.shiftright(slot, 6).alias("mark_word"), slot.bitwiseAND(F.lit(63)).cast("int")
-    one = F.call_function("shiftleft", F.lit(1).cast("long"), bit)
-    bits = wanted.select(word, one.alias("one")).groupBy("mark_word").agg(F.bit_or("one").alias("mark_bits"))
-    found = rows.select("*", word).join(F.broadcast(bits), "mark_word", "left" if others else "inner")
-    return found.where(F.coalesce(F.getbit("mark_bits", bit), F.lit(0)) == (0 if others else 1)).select(*rows.columns)
-
-
 def _star(pairs: DataFrame) -> DataFrame:
     """Asks of every node to its pivots (``pairs``: doc, n, pivot, distinct); a pivot's nodes are dealt into blocks."""
     blocks = pairs.groupBy("pivot").agg(F.greatest(F.ceil(F.count("*") / F.lit(BLOCK)), F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES))).alias("blocks"))
@@ -445,7 +430,7 @@ def dedup_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     texts = tagged.select(F.col("row.doc_id").cast("long").alias("doc"), "row.text", "row_id")
     with Scratch(spark, "dedup") as scratch:
         gone = saved(_repeats(texts, 80, 100, scratch), "dedup-gone")
-    return tagged.join(gone, "row_id", "left_anti").select("row.*")
+    return without(tagged, gone, "row_id").select("row.*")
 
 
 def _repeats(texts: DataFrame, num: int, den: int, scratch: Scratch) -> DataFrame:

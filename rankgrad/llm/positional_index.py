@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, fold_case, raw_words, saved
+from .common import Scratch, fold_case, marked, raw_words, saved, without
 
 WINDOW = 13
 LISTS = 3
@@ -102,7 +102,8 @@ def phrase_matches(index: Index, window: int = WINDOW, lists: int = LISTS) -> Da
     aligned = index.scratch.save(found.select("row_id", "item", "shift").distinct(), "aligned")
     every = index.tokens.select("item", "item_id", "n", "off", "term")
     asked = aligned.join(index.hint(every), "item").withColumn("pos", F.col("shift") + F.col("off"))
-    same = asked.join(index.postings, ["row_id", "pos", "term"], "left_semi")
+    # few documents have an aligned item: the postings of the others stay where they are
+    same = asked.join(marked(index.postings, aligned, "row_id"), ["row_id", "pos", "term"], "left_semi")
     one = Window.partitionBy("row_id", "item", "shift").orderBy("off")  # at most an item's words
     runs = (same.withColumn("run", F.col("off") - F.row_number().over(one))
             .groupBy("row_id", "item", "item_id", "n", "shift", "run")
@@ -166,7 +167,7 @@ def decontamination_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     verdicts = decontaminate(docs.select(digest.alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text"))
     bad = verdicts.where("contaminated").select(F.col("doc_id").alias("digest")).distinct()
     row = docs.select(F.struct(*docs.columns).alias("row"), digest.alias("digest"))
-    return row.join(bad, "digest", "left_anti").select("row.*")
+    return without(row, bad, "digest").select("row.*")
 
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"

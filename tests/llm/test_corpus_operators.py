@@ -517,3 +517,26 @@ def test_words_that_a_task_remembers_are_bounded():
         most = max(most, len(shingles.known))
     assert most <= minmax_dedup.WORDS_KNOWN + 700 < 70_000
     assert (shingles(texts[0]) == minmax_dedup.Shingler()(texts[0])).all()  # forgotten words hash as before
+
+
+def _optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rows_that_stay_are_not_shuffled(spark, tmp_path):
+    """Stages drop rows without sending all others through an exchange, and an aligned item asks only for its documents' postings."""
+    rows = spark.createDataFrame([(None, "n"), *((k % 500, str(k)) for k in range(600))], "id int, row string")
+    gone = spark.createDataFrame([(3,), (3,), (700,), (None,), (40,)], "id int")
+    left = common.without(rows, gone, "id")
+    assert sorted(r.row for r in left.collect()) == sorted(["n", *(str(k) for k in range(600) if k % 500 not in (3, 40))])
+    passage = "this very passage of the test set has thirteen words or even more of them"
+    spark.createDataFrame([(1, passage)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame([(1, passage), (2, "clean of"), (3, "clean of"), (4, None)], "doc_id long, text string")
+    for stage, ids in ((positional_index.decontamination_stage, [2, 3, 4]), (minmax_dedup.dedup_stage, [1, 2, 4])):
+        left = stage(spark, docs, str(tmp_path))
+        assert sorted(r.doc_id for r in left.collect()) == ids
+        plan = _optimized(left)  # an anti-join would be made before the marks are looked at
+        assert "LeftAnti" not in plan and "getbit" in plan
+    with Scratch(spark, "test-index") as scratch:
+        runs = positional_index.phrase_matches(positional_index.build_index(docs, spark.read.parquet(f"{tmp_path}/benchmark.parquet"), scratch))
+        assert "getbit" in _optimized(runs) and [(r["first"], r["last"]) for r in runs.collect()] == [(0, 14)]
