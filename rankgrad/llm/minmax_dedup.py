@@ -32,6 +32,7 @@ rows of a null id link like others, rows of one id only by their texts. A pair o
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -353,16 +354,17 @@ def likely(least: float, g1, g2, band, docs, labels, other, mine, bands, sketch)
 def near_duplicates(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept.
 
-    Linked are documents whose sets have ``den * intersection >= num * union``.
+    Linked are documents whose sets have ``den * intersection >= num * union``. No copy
+    of the texts is stored: ``docs`` is read again for those that share a band, and has
+    to give the same rows, in whatever order.
     """
     with Scratch(docs.sparkSession, "dedup") as scratch:
-        texts = scratch.save(docs.select(F.col("doc_id").cast("long").alias("doc"), "text",
-                                         F.monotonically_increasing_id().alias("row_id")), "rows")
-        return saved(_near_duplicates(texts, num, den, scratch), "dedup-components")
+        return saved(_near_duplicates(docs, num, den, scratch), "dedup-components")
 
 
-def _near_duplicates(texts: DataFrame, num: int, den: int, scratch: Scratch) -> DataFrame:
-    rows = _sets(texts, scratch)
+def _near_duplicates(docs: DataFrame, num: int, den: int, scratch: Scratch) -> DataFrame:
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text", F.unhex(F.sha2("text", 256)).alias("digest"))
+    rows = _sets(texts.withColumn("row_id", F.monotonically_increasing_id()), scratch)
     linkable = rows.where("doc is not null and n_shingles > 0")
     reps = _reps(linkable, scratch)
     members = scratch.save(linkable.select("doc", "n_shingles", "same").join(
@@ -370,7 +372,7 @@ def _near_duplicates(texts: DataFrame, num: int, den: int, scratch: Scratch) ->
     # rows of one id with different sets are one document: an edge between their nodes
     split = members.groupBy("doc").agg(F.min("node").alias("a"), F.max("node").alias("top")).where("a < top").select("doc", "a")
     same_id = members.join(split, "doc").where("node <> a").select("a", F.col("node").alias("b")).distinct()
-    labels = _labels(linkable, reps, texts, same_id, num, den, scratch)
+    labels = _labels(linkable, reps, lambda asked: _read_again(texts, linkable, asked, scratch), same_id, num, den, scratch)
     named = labels.join(reps.select("node", "named.doc"), "node")
     least = labels.join(named.groupBy("label").agg(F.min("doc").alias("least")), "label").select("node", "least")
     found = members.join(least, "node", "left").select("doc", "n_shingles", F.coalesce("least", "rep").alias("component_id"))
@@ -380,8 +382,24 @@ def _near_duplicates(texts: DataFrame, num: int, den: int, scratch: Scratch) ->
         F.coalesce(F.col("doc") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
+def _read_again(texts: DataFrame, linkable: DataFrame, asked: DataFrame, scratch: Scratch) -> DataFrame:
+    """(doc, text) of the nodes ``asked`` (doc: a row id), a stored table.
+
+    Found in ``texts`` (doc, text, digest) by id and text's digest, as row ids may differ
+    when rows are read again; of rows that have both in common, one is sent on.
+    """
+    both = ["doc", "digest"]
+    keys = scratch.save(linkable.select(*both, F.col("row_id").alias("node")).join(asked.withColumnRenamed("doc", "node"), "node"), "keys")
+    found = marked(texts, keys, both).dropDuplicates(both)
+    # an inner join: a semi-join would be made before the marks are looked at
+    found = scratch.save(found.join(keys, both).select(F.col("node").alias("doc"), "text"), "texts")
+    if found.count() != keys.count():
+        raise RuntimeError("the documents changed while they were compared")
+    return found
+
+
 def _sets(texts: DataFrame, scratch: Scratch) -> DataFrame:
-    """Row ids, docs and the columns of ``FIELDS`` of ``texts`` (doc, text, row_id), a stored table."""
+    """The columns of ``texts`` (doc, text, row_id and more) without the text, and those of ``FIELDS``, a stored table."""
     return scratch.save(add_columns(texts, ["text"], FIELDS, _set_columns).drop("text"), "sets")
 
 
@@ -393,8 +411,12 @@ def _reps(linkable: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.save(first.withColumn("node", F.coalesce("named.row_id", "unnamed")), "reps")
 
 
-def _labels(linkable: DataFrame, reps: DataFrame, texts: DataFrame, links: DataFrame | None, num: int, den: int, scratch: Scratch) -> DataFrame:
-    """(node, label) of the nodes of ``reps`` (rows of ``linkable``, one per set) that have links, with further ``links`` (a, b)."""
+def _labels(linkable: DataFrame, reps: DataFrame, texts_of: Callable[[DataFrame], DataFrame], links: DataFrame | None,
+            num: int, den: int, scratch: Scratch) -> DataFrame:
+    """(node, label) of the nodes of ``reps`` (rows of ``linkable``, one per set) that have links, with further ``links`` (a, b).
+
+    ``texts_of`` gives the stored texts (doc, text) of nodes (doc).
+    """
     rows = linkable.select(F.col("row_id").alias("doc"), "n_shingles", "bands", "sketch")
     ids = reps.select(F.col("node").alias("doc"))
     copies = scratch.save(rows.select("doc").join(ids, "doc", "left_anti"), "copies")
@@ -402,9 +424,7 @@ def _labels(linkable: DataFrame, reps: DataFrame, texts: DataFrame, links: DataF
     spread = nodes.select("doc", F.col("n_shingles").alias("n"), F.posexplode("bands").alias("band", "key"))
     shared = spread.groupBy("key").agg(F.min("doc").alias("pivot"), F.max("doc").alias("other")).where("pivot < other").drop("other")
     buckets = scratch.save(spread.join(shared, "key"), "buckets")
-    asked = buckets.select("doc").distinct()
-    # most texts share no band: they stay where they are (a semi-join would be made before the marks are looked at)
-    wanted = scratch.save(marked(texts.select(F.col("row_id").alias("doc"), "text"), asked).join(asked, "doc"), "texts")
+    wanted = texts_of(buckets.select("doc").distinct())  # most texts share no band
     found = confirmed(_star(buckets.where("doc <> pivot").select("doc", "n", "pivot").distinct()), wanted, num, den)
     links = scratch.save(found if links is None else found.unionByName(links), "links")
     labels = components(links, scratch)
@@ -437,7 +457,12 @@ def _repeats(texts: DataFrame, num: int, den: int, scratch: Scratch) -> DataFram
     """Row ids of all rows of ``texts`` but the first with an id and the first without of each group."""
     linkable = _sets(texts, scratch).where("n_shingles > 0")
     reps = _reps(linkable, scratch)
-    labels = _labels(linkable, reps, texts, None, num, den, scratch)
+
+    def texts_of(asked):
+        # they stay where they are (a semi-join would be made before the marks are looked at)
+        return scratch.save(marked(texts.select(F.col("row_id").alias("doc"), "text"), asked).join(asked, "doc"), "texts")
+
+    labels = _labels(linkable, reps, texts_of, None, num, den, scratch)
     first = scratch.save(reps.join(labels, "node", "left").groupBy(F.coalesce("label", "node").alias("label"))
                          .agg(F.min("named").alias("named"), F.min("unnamed").alias("unnamed")), "first")
     stay = first.select(F.explode(F.array("named.row_id", "unnamed")).alias("row_id")).where("row_id is not null")

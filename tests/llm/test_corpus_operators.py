@@ -540,3 +540,25 @@ def test_rows_that_stay_are_not_shuffled(spark, tmp_path):
     with Scratch(spark, "test-index") as scratch:
         runs = positional_index.phrase_matches(positional_index.build_index(docs, spark.read.parquet(f"{tmp_path}/benchmark.parquet"), scratch))
         assert "getbit" in _optimized(runs) and [(r["first"], r["last"]) for r in runs.collect()] == [(0, 14)]
+
+
+def test_dedup_stores_no_copy_of_all_texts(spark, monkeypatch):
+    """Texts are stored of nodes that share a band only, one each, whatever the rows' ids."""
+    words = [f"w{i}" for i in range(400)]
+    text = lambda k: " ".join(random.Random(k).sample(words, 60))
+    rows = [(k, text(k)) for k in range(100)]
+    rows += [(200, text(0) + " more"), (200, text(0) + " more"), (None, text(1) + " more"), (201, text(2)), (202, text(2) + " more"), (203, None)]
+    stored, save = [], Scratch.save
+
+    def noted(self, df, name):
+        out = save(self, df, name)
+        if "text" in out.columns:
+            stored.append(out.count())
+        return out
+
+    monkeypatch.setattr(Scratch, "save", noted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    got = sorted(((r.doc_id, r.component_id) for r in minmax_dedup.near_duplicates(docs).collect()), key=str)
+    links = {200: 0, 201: 2, 202: 2}
+    assert got == sorted(((k, links.get(k, k)) for k, _ in rows), key=str)
+    assert stored and max(stored) <= 8  # two nodes and one or two rows of each of three links
