@@ -19,12 +19,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch, add_columns, saved, utf8
+from .common import Scratch, add_columns, saved, settings, small_batches, utf8
 
 WINDOW = 96
 ROUNDS = 6
 BATCH = 256  # windows of a step
 SHARD = 24 * BATCH  # windows of a shard and round, about
+ROW_GROUP = 4 << 20  # bytes of windows that a task holds for each round before it writes them
 PLACES = 10_000  # steps in which certainties are counted
 LETTERS = np.zeros(256, bool)
 LETTERS[65:91] = LETTERS[97:123] = LETTERS[128:] = True
@@ -273,7 +274,8 @@ def trained(windows: DataFrame, *, units: int = 12, rate: float = 0.02, seed: in
     ``max_languages`` bounds the network's outputs, most frequent first.
     """
     spark = windows.sparkSession
-    counts = {r.lang: r["count"] for r in windows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()}
+    with small_batches(spark):
+        counts = {r.lang: r["count"] for r in windows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()}
     if not counts:
         return None
     languages, every = sorted(counts), sum(counts.values())
@@ -289,8 +291,11 @@ def trained(windows: DataFrame, *, units: int = 12, rate: float = 0.02, seed: in
             "y", "doc_id", "w", F.explode(F.sequence(F.lit(1).cast("long"), "times")).alias("reading"))
         h = F.xxhash64("doc_id", "w", "reading")
         path = scratch.path("dealt")
-        dealt.select("y", "w", h.alias("h"), F.pmod(F.xxhash64("h", F.lit(1)), F.lit(shards)).alias("shard"),
-                     F.pmod(F.xxhash64("h", F.lit(2)), F.lit(ROUNDS)).cast("int").alias("round")).write.partitionBy("round").parquet(path)
+        dealt = dealt.select("y", "w", h.alias("h"), F.pmod(F.xxhash64("h", F.lit(1)), F.lit(shards)).alias("shard"),
+                             F.pmod(F.xxhash64("h", F.lit(2)), F.lit(ROUNDS)).cast("int").alias("round"))
+        # a file of each round stays open, so a task needn't sort its windows by round first
+        with small_batches(spark), settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": str(ROUNDS)}):
+            dealt.write.option("parquet.block.size", ROW_GROUP).partitionBy("round").parquet(path)
         rows = spark.read.schema("y int, w string, h long, shard long, round int").parquet(path)
         for k in range(ROUNDS):
             found = (rows.where(F.col("round") == k).groupBy("shard").applyInArrow(_shard_round(net, weights, k, rate, seed), "weights array<double>")

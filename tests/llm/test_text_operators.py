@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rankgrad.llm import html_blocks, language_id, licenses, quality_rules
+from rankgrad.llm import common, html_blocks, language_id, licenses, quality_rules
 from rankgrad.llm.common import add_columns
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_words string"
@@ -390,6 +390,23 @@ def test_training_in_shards(spark, monkeypatch):
     assert nets[0].languages == ["de", "en", "es"] and told.argmax(axis=1).tolist() == [0, 1, 2]
 
 
+def test_windows_are_dealt_to_rounds_without_a_sort(spark, monkeypatch):
+    """A task writes to all rounds' files at once, of texts read a slice at a time; every window is dealt, settings come back."""
+    writers, rows = "spark.sql.maxConcurrentOutputFileWriters", [(k, f"the words {k} of this", "en" if k % 3 else "de") for k in range(900)]
+    before, seen, kind = {k: spark.conf.get(k) for k in (writers, common.READ_ROWS, common.BATCH_ROWS)}, [], type(spark.range(1).write)
+
+    def written(self, path, *a, f=kind.parquet, **kw):
+        f(self, path, *a, **kw)
+        if path.endswith("-dealt"):
+            seen.append((int(spark.conf.get(writers)), int(spark.conf.get(common.READ_ROWS)), spark.read.parquet(path).select("w").distinct().count()))
+
+    monkeypatch.setattr(kind, "parquet", written)
+    net = language_id.trained(spark.createDataFrame(rows, "doc_id long, w string, lang string").repartition(2))
+    (at_once, read, dealt), = seen
+    assert net.languages == ["de", "en"] and at_once >= language_id.ROUNDS and read <= common.SLICE and dealt == 900
+    assert before == {k: spark.conf.get(k) for k in before}
+
+
 def test_every_time_of_a_window_is_computed_in_place(monkeypatch):
     """The network's states are those of the plain formula, without fresh arrays for every byte."""
     rng = np.random.default_rng(5)
